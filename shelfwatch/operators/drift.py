@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.window import Window
 
 from ..functions import drift_band
-from .ordered import ranked_values
+from .ordered import count_reached, interpolated_quantiles, ranks_near
 
 EPSILON = 1e-6
 N_BINS = 10
@@ -71,91 +72,56 @@ def value_share(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def _edges_of(ranked: DataFrame, n_bins: int, round_to: int | None) -> DataFrame:
-    """Rows (feature, edges) from running counts of the reference.
-
-    The i-th edge lies at position (rows - 1) * i / n_bins, counted from 0, with linear
-    interpolation. It is worked out in the floating-point steps numpy takes, from the nearer
-    of both neighbours, because a value may equal an edge to the last bit.
-    """
-    last = F.col("ref_n_total") - 1
-    start, upto = F.col("ref_n_upto") - F.col("ref_n"), F.col("ref_n_upto")
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < upto), F.col("v")))
-
-    aggregates, edges = [], []
-    for i in range(n_bins + 1):
-        fraction = 1.0 if i == n_bins else i * (1.0 / n_bins)
-        position = last.cast("double") * F.lit(fraction)
-        below = F.floor(position)
-        aggregates += [
-            value_at(below).alias(f"__a{i}"),
-            value_at(F.least(below + 1, last)).alias(f"__b{i}"),
-            F.max(position - below).alias(f"__t{i}"),
-        ]
-        a, b, t = F.col(f"__a{i}"), F.col(f"__b{i}"), F.col(f"__t{i}")
-        edge = F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
-        edges.append(edge if round_to is None else F.round(edge, round_to))
-    return (
-        ranked.filter(F.col("ref_n") > 0)
-        .groupBy("feature")
-        .agg(*aggregates)
-        .select("feature", F.array_sort(F.array_distinct(F.array(*edges))).alias("edges"))
-    )
+def _reference_ranks(ref: DataFrame, cols: Sequence[str], n_bins: int) -> DataFrame:
+    return ranks_near(long_form(ref, cols, "double"), "feature", "v", [i / n_bins for i in range(1, n_bins)])
 
 
 def quantile_edges(
     ref: DataFrame, cols: Sequence[str], n_bins: int = N_BINS, round_to: int | None = None
 ) -> DataFrame:
     """Rows (feature, edges): exact, distinct quantiles of each numeric column."""
-    counts = long_form(ref, cols, "double").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("ref_n"))
-    return _edges_of(ranked_values(counts, "feature", "v", ["ref_n"]), n_bins, round_to)
-
+    edges = interpolated_quantiles(_reference_ranks(ref, cols, n_bins), "feature", n_bins)
+    if round_to is None:
+        return edges
+    rounded = F.transform("edges", lambda edge: F.round(edge, round_to))
+    return edges.withColumn("edges", F.array_distinct(rounded))
 
-def bin_of(value: Column, edges: Column) -> Column:
-    """Bin of a value: half-open bins, the last one closed, null outside all of them."""
-    n = F.size(edges) - 1
-    reached = F.size(F.filter(edges, lambda edge: edge <= value))
-    inside = (n >= 1) & (reached >= 1) & (value <= F.element_at(edges, -1))
-    return F.when(inside, F.least(reached, n) - 1)
 
+def bin_of(value: str, edges: str, n_bins: int = N_BINS) -> Column:
+    """Bin of a value column: half-open bins, the last one closed, null outside all of them.
 
-def _place_in_bins(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Add ``bin``; ``edges`` is one row per column of the table, so small enough to broadcast."""
-    return (
-        rows.join(F.broadcast(edges), "feature")
-        .withColumn("bin", bin_of(F.col("v"), F.col("edges")))
-        .filter(F.col("bin").isNotNull())
+    ``edges`` names an array column of at most ``n_bins + 1`` edges.
+    """
+    reached = count_reached(f"`{value}`", f"`{edges}`", n_bins + 1)
+    return F.expr(
+        f"""CASE WHEN size(`{edges}`) > 1 AND `{value}` >= get(`{edges}`, 0) AND `{value}` <= get(`{edges}`, size(`{edges}`) - 1)
+            THEN least({reached}, size(`{edges}`) - 1) - 1 END"""
     )
 
 
-def histogram_counts(long: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows (feature, bin, n) of long-form values within the edges; values outside are dropped."""
-    return _place_in_bins(long, edges).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+def histogram_counts(long: DataFrame, edges: DataFrame, n_bins: int = N_BINS) -> DataFrame:
+    """Rows (feature, bin, n) of long-form values within the edges; values outside are dropped.
+
+    ``edges`` is one row per column of the table, so small enough to broadcast.
+    """
+    placed = long.join(F.broadcast(edges), "feature").select("feature", bin_of("v", "edges", n_bins).alias("bin"))
+    return placed.filter(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _index_of(counts: DataFrame, totals: DataFrame, eps: float) -> DataFrame:
-    """Rows (feature, psi, ref_rows, cur_rows) from counts per bin and the rows they are shares of."""
+def _psi_term(eps: float) -> Column:
     ref_share = F.coalesce(F.try_divide(F.col("ref_n"), F.col("ref_rows")), F.lit(0.0)) + eps
     cur_share = F.coalesce(F.try_divide(F.col("cur_n"), F.col("cur_rows")), F.lit(0.0)) + eps
-    term = (cur_share - ref_share) * F.log(cur_share / ref_share)
-    return (
-        counts.join(F.broadcast(totals), "feature")
-        .groupBy("feature")
-        .agg(F.round(F.sum(term), 6).alias("psi"), F.max("ref_rows").alias("ref_rows"), F.max("cur_rows").alias("cur_rows"))
-    )
-
-
-def _side_totals(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("feature").agg(F.sum("ref_n").alias("ref_rows"), F.sum("cur_n").alias("cur_rows"))
+    return (cur_share - ref_share) * F.log(cur_share / ref_share)
 
 
 def _all_features(result: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per asked column, also for columns without any value."""
+    """One row per asked column, also for columns without any value.
+
+    The result has one row per column of the table, so it can be broadcast.
+    """
     spark = result.sparkSession
-    names = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
-    return names.join(result, "feature", "left")
+    names = spark.range(1, numPartitions=1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
+    return names.join(F.broadcast(result), "feature", "left")
 
 
 def psi_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], eps: float = EPSILON) -> DataFrame:
@@ -165,10 +131,19 @@ def psi_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], eps: fl
     term but lowers the shares of the others.
     """
     counts = value_counts(ref, cur, cols, "string")
-    result = _index_of(counts.filter(F.col("ref_n") > 0), _side_totals(counts), eps)
-    status = F.when((F.col("ref_rows") > 0) & (F.col("cur_rows") > 0), "ok").otherwise("no_data")
+    # One row per column of the table.
+    totals = counts.groupBy("feature").agg(F.sum("ref_n").alias("ref_rows"), F.sum("cur_n").alias("cur_rows"))
+    result = (
+        counts.join(F.broadcast(totals), "feature")
+        .groupBy("feature")
+        .agg(
+            F.round(F.sum(F.when(F.col("ref_n") > 0, _psi_term(eps))), 6).alias("psi"),
+            ((F.max("ref_rows") > 0) & (F.max("cur_rows") > 0)).alias("filled"),
+        )
+    )
+    status = F.when(F.col("filled"), "ok").otherwise("no_data")
     return _all_features(result, cols).select(
-        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi"), F.coalesce(status, F.lit("no_data")).alias("status")
+        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi"), status.alias("status")
     )
 
 
@@ -179,22 +154,42 @@ def psi_numeric(
 
     Shares are of the rows inside the bins. A column with fewer than two distinct edges has
     index 0; one without values on either side has none.
+
+    The current frame is read once and combined before its shuffle. The reference's bins are
+    summed from the ranks its edges came from: an edge never lies inside a stretch of ranks,
+    so a stretch is in one bin as a whole.
     """
-    counts = value_counts(ref, cur, cols, "double")
-    edges = _edges_of(ranked_values(counts, "feature", "v", ["ref_n", "cur_n"]), n_bins, None)
-    bins = (
-        _place_in_bins(counts, edges)
-        .groupBy("feature", "bin")
-        .agg(F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n"))
-    )
-    result = _index_of(bins, _side_totals(bins), eps).join(
-        edges.select("feature", F.size("edges").alias("__edges")), "feature", "right"
+    ranks = _reference_ranks(ref, cols, n_bins)
+    edges = interpolated_quantiles(ranks, "feature", n_bins)
+    flat = F.size("edges") < 2
+
+    def bins(rows: DataFrame, value: str, ref_n: Column, cur_n: Column) -> DataFrame:
+        placed = rows.join(F.broadcast(edges), "feature").select(
+            "feature",
+            F.when(flat, F.lit(-1)).otherwise(bin_of(value, "edges", n_bins)).alias("bin"),
+            ref_n.alias("ref_n"),
+            cur_n.alias("cur_n"),
+        )
+        return placed.filter(F.col("bin").isNotNull())
+
+    none = F.lit(0).cast("long")
+    both = bins(ranks, "low", F.col("n"), none).unionByName(
+        bins(long_form(cur, cols, "double"), "v", none, F.lit(1).cast("long"))
     )
-    filled = (F.col("ref_rows") > 0) & (F.col("cur_rows") > 0)
-    psi = F.when(F.col("__edges") < 2, F.lit(0.0)).when(filled, F.col("psi"))
-    return _all_features(result, cols).select("feature", psi.alias("psi")).withColumn(
-        "status", F.when(F.col("psi").isNull(), "no_data").otherwise("ok")
+    counts = both.groupBy("feature", "bin").agg(F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n"))
+    # At most n_bins rows per column from here on.
+    whole = Window.partitionBy("feature")
+    result = (
+        counts.withColumn("ref_rows", F.sum("ref_n").over(whole))
+        .withColumn("cur_rows", F.sum("cur_n").over(whole))
+        .groupBy("feature")
+        .agg(
+            F.when(F.max("bin") == -1, F.lit(0.0))
+            .when((F.max("ref_rows") > 0) & (F.max("cur_rows") > 0), F.round(F.sum(_psi_term(eps)), 6))
+            .alias("psi")
+        )
     )
+    return _all_features(result, cols).withColumn("status", F.when(F.col("psi").isNull(), "no_data").otherwise("ok"))
 
 
 def psi_report(

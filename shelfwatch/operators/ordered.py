@@ -1,11 +1,13 @@
 """Ordered computations that never put a whole series, or a whole column, into one task.
 
-Two building blocks:
+Three building blocks:
 
 * ``with_history``: rows are split by series *and* stretch of time, and each stretch gets the
   few rows before it as history, so a row-based window over one stretch is exact.
 * ``ranked_values``: distinct values are split into ranges of about equal size, and running
   counts continue from one range to the next, so ranks are exact without a global sort.
+* ``ranks_near``: exact ranks, but only of the values around a few fractions of the rows;
+  everything between them is counted in bulk, so hardly anything is shuffled.
 """
 
 from __future__ import annotations
@@ -138,3 +140,118 @@ def ranked_values(
             *[f"{c}_total" for c in count_cols],
         )
     )
+
+
+# Sketches are off by at most one in SKETCH_ACCURACY rows; twice that is kept on each side.
+SKETCH_ACCURACY = 50_000
+# Groups up to this size keep every distinct value: a margin of 2 / SKETCH_ACCURACY would
+# there be less than a few rows wide.
+KEEP_ALL_ROWS = 200_000
+
+
+def count_reached(value: str, cuts: str, n_cuts: int) -> str:
+    """SQL: how many of up to ``n_cuts`` ascending cuts the value has reached.
+
+    A binary search in nested CASE, which stays in generated code; a higher-order function
+    would not. Cuts the array does not have are null and so never reached.
+    """
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high + 1) // 2
+        above, below = search(middle, high), search(low, middle - 1)
+        return f"CASE WHEN {value} >= get({cuts}, {middle - 1}) THEN {above} ELSE {below} END"
+
+    return search(0, n_cuts)
+
+
+def ranks_near(long: DataFrame, group: str, value: str, fractions: Sequence[float]) -> DataFrame:
+    """Rows (group, low, high, n, start, upto, total): values with the ranks they take up.
+
+    A row stands for the ``n`` rows of a group with ranks ``start`` to ``upto - 1``, counted
+    from 0, whose values go from ``low`` to ``high``. Around each fraction of the rows, and
+    at the least and greatest value, a row is one distinct value; the stretches between are
+    one row each. So ranks and values at the fractions are exact.
+
+    The input is read twice, once for a sketch that says where the fractions lie and once to
+    count; both combine before their shuffle. Of N rows about
+    ``4 * len(fractions) * N / SKETCH_ACCURACY`` are shuffled one by one, fewer where values
+    repeat. What is broadcast is one row per group and one per (group, stretch).
+    """
+    margin = 2.0 / SKETCH_ACCURACY
+    probes = [min(max(f + side * margin, 0.0), 1.0) for f in fractions for side in (-1, 1)]
+    n_cuts = len(probes) + 2
+    # A stretch is numbered by the cuts below it; it is open when it lies within one fraction's probes.
+    sketch = (
+        long.groupBy(group)
+        .agg(
+            F.percentile_approx(value, probes, SKETCH_ACCURACY).alias("__probes"),
+            F.array(F.min(value), F.max(value)).alias("__ends"),
+            F.count(value).alias("total"),
+        )
+        .withColumn("__cuts", F.expr("array_sort(array_distinct(concat(__ends, __probes)))"))
+        .withColumn(
+            "__open",
+            F.expr(
+                f"""transform(sequence(0, {n_cuts}), i -> total <= {KEEP_ALL_ROWS} OR coalesce(exists(
+                    sequence(0, {len(probes) - 2}, 2),
+                    j -> get(__probes, j) <= get(__cuts, i - 1) AND get(__probes, j + 1) >= get(__cuts, i)), false))"""
+            ),
+        )
+        .select(group, "total", "__cuts", "__open")
+    )
+    reached = F.expr(count_reached(f"`{value}`", "__cuts", n_cuts))
+    on_cut = F.expr(f"get(__cuts, __reached - 1) <=> `{value}`")
+    placed = (
+        long.join(F.broadcast(sketch), group).withColumn("__reached", reached).withColumn("__on_cut", on_cut)
+    )
+    counted = placed.groupBy(
+        group,
+        (2 * F.col("__reached") - F.col("__on_cut").cast("int")).alias("__slot"),
+        F.when(F.col("__on_cut") | F.get("__open", F.col("__reached")), F.col(value)).alias("__v"),
+    ).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n"), F.max("total").alias("total"))
+    # Always true; it keeps all columns in every branch, so that all read the same exchange.
+    counted = counted.filter((F.col("high") >= F.col("low")) & (F.col("total") >= F.col("n")))
+
+    earlier = Window.partitionBy(group).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        counted.groupBy(group, "__slot")
+        .agg(F.sum("n").alias("__n"))
+        .select(group, "__slot", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    )
+    within = Window.partitionBy(group, "__slot").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("__before") + F.col("__within")
+    return (
+        counted.withColumn("__within", F.sum("n").over(within))
+        .join(F.broadcast(offsets), [group, "__slot"])
+        .select(group, "low", "high", "n", (upto - F.col("n")).alias("start"), upto.alias("upto"), "total")
+    )
+
+
+def interpolated_quantiles(ranks: DataFrame, group: str, n_parts: int) -> DataFrame:
+    """Rows (group, edges): the distinct quantiles 0, 1/n, ..., 1 from ``ranks_near``.
+
+    The i-th lies at position (total - 1) * i / n_parts, counted from 0, with linear
+    interpolation. It is worked out in the floating-point steps numpy takes, from the nearer
+    of both neighbours, because a value may equal a quantile to the last bit.
+    """
+    step = repr(1.0 / n_parts)
+    positions = f"transform(sequence(0, {n_parts}), i -> (total - 1) * IF(i = {n_parts}, 1D, i * {step}D))"
+    neighbours = f"flatten(transform({positions}, p -> array(floor(p), least(floor(p) + 1, total - 1))))"
+    wanted = f"filter(array_distinct({neighbours}), r -> r >= start AND r < upto)"
+    found = F.expr(
+        """CASE WHEN low = high OR rank = start THEN low WHEN rank = upto - 1 THEN high
+           ELSE CAST(raise_error('a sketch missed its error bound') AS DOUBLE) END"""
+    )
+    # At most two ranks per quantile are left of a group.
+    values = ranks.withColumn("rank", F.explode(F.expr(wanted))).select(group, "total", "rank", found.alias("__v"))
+    ends = f"""transform({positions}, p -> named_struct(
+        'a', at[floor(p)], 'b', at[least(floor(p) + 1, total - 1)], 't', p - floor(p)))"""
+    edges = f"""array_sort(array_distinct(transform({ends},
+        x -> IF(x.t < 0.5D, x.a + (x.b - x.a) * x.t, x.b - (x.b - x.a) * (1D - x.t)))))"""
+    return (
+        values.groupBy(group, "total")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "__v"))).alias("at"))
+        .select(group, F.expr(edges).alias("edges"))
+    )

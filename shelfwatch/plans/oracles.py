@@ -115,14 +115,14 @@ _family_list = ", ".join(f"'{f}'" for f in _families)
 ORACLES["pit_join"] = f"""
 WITH {SALES}, asked AS (
   SELECT o_orderkey, CAST(c_nationkey AS BIGINT) AS store_nbr, ([{_family_list}])[o_orderkey % 6 + 1] AS family,
-         CAST(o_orderdate AS DATE) AS at
+         CAST(o_orderdate AS DATE) AS asked_on
   FROM orders JOIN customer ON o_custkey = c_custkey),
 found AS (
   SELECT a.*, s.date, s.onpromotion, s.sales FROM asked a ASOF LEFT JOIN sales s
-  ON a.store_nbr = s.store_nbr AND a.family = s.family AND a.at >= s.date)
-SELECT o_orderkey, store_nbr, family, strftime(at, '%Y-%m-%d 00:00:00') AS event_timestamp,
-       CAST(CASE WHEN at - date <= 10 THEN onpromotion ELSE -1 END AS BIGINT) AS onpromotion,
-       CASE WHEN at - date <= 10 THEN sales ELSE -1 END AS sales
+  ON a.store_nbr = s.store_nbr AND a.family = s.family AND a.asked_on >= s.date)
+SELECT o_orderkey, store_nbr, family, strftime(asked_on, '%Y-%m-%d 00:00:00') AS event_timestamp,
+       CAST(CASE WHEN asked_on - date <= 10 THEN onpromotion ELSE -1 END AS BIGINT) AS onpromotion,
+       CASE WHEN asked_on - date <= 10 THEN sales ELSE -1 END AS sales
 FROM found
 """
 ORACLES["latest_per_key"] = """

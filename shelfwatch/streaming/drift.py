@@ -26,7 +26,7 @@ def reference_bins(ref: DataFrame, cols: Sequence[str], n_bins: int = N_BINS) ->
     parts = []
     if numeric:
         edges = quantile_edges(ref, numeric, n_bins)
-        counts = histogram_counts(long_form(ref, numeric, "double"), edges)
+        counts = histogram_counts(long_form(ref, numeric, "double"), edges, n_bins)
         every_bin = edges.filter(F.size("edges") > 1).withColumn(
             "bin", F.explode(F.sequence(F.lit(0), F.size("edges") - 2))
         )
@@ -53,6 +53,7 @@ def window_bin_counts(
     slide: str | None = None,
     watermark: str | None = None,
     ts: str = "ts",
+    n_bins: int = N_BINS,
 ) -> DataFrame:
     """Rows (w, feature, bin, cur_n) of a batch or a stream.
 
@@ -66,7 +67,7 @@ def window_bin_counts(
     if numeric:
         edges = bins.filter(F.col("edges").isNotNull()).groupBy("feature").agg(F.first("edges").alias("edges"))
         rows = _long_with_time(log, numeric, "double", ts).join(F.broadcast(edges), "feature")
-        rows = rows.withColumn("bin", bin_of(F.col("v"), F.col("edges"))).filter(F.col("bin").isNotNull())
+        rows = rows.withColumn("bin", bin_of("v", "edges", n_bins)).filter(F.col("bin").isNotNull())
         parts.append(rows.select("feature", F.col("bin").cast("string"), ts))
     if categorical:
         known = bins.filter(F.col("edges").isNull()).select("feature", F.col("bin").alias("v"), F.lit(True).alias("__known"))
@@ -127,7 +128,7 @@ def psi_stream(
     table = scratch_path(spark, "reference-bins")
     reference_bins(ref, cols, n_bins).write.parquet(table)
     bins = spark.read.parquet(table)
-    counts = window_bin_counts(stream, bins, cols, length, slide, watermark)
+    counts = window_bin_counts(stream, bins, cols, length, slide, watermark, n_bins=n_bins)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()

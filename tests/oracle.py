@@ -42,11 +42,14 @@ def _rows(columns: list[str], rows) -> list[tuple]:
 
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """What differs between a Spark result and its SQL, empty when nothing does."""
+    start = time.time()
     found = con.execute(sql)
     columns = [d[0] for d in found.description]
     if sorted(columns) != sorted(df.columns):
         return [f"columns {sorted(df.columns)} against {sorted(columns)}"]
     expected = _rows(columns, found.fetchall())
+    if os.environ.get("SHOW_SQL_TIME"):
+        print(f"   SQL {time.time() - start:.2f}s")
     actual = _rows(df.columns, [tuple(r) for r in df.collect()])
     if len(expected) != len(actual):
         return [f"{len(actual)} rows against {len(expected)}"]
@@ -61,6 +64,7 @@ def main() -> None:
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = sys.argv[1:] or list(QUERIES)
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+                          spark__ui__showConsoleProgress="false",
                           spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
