@@ -43,6 +43,13 @@ def _six(col: str | Column, name: str | None = None) -> Column:
     return F.round(F.col(col) if isinstance(col, str) else col, 6).alias(name or col)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder and read back, for results that are read several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _drift_windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = features.calendar_features(star.daily_sales(spark, sf_dir))
     ref, cur = star.reference_window(rows), star.current_window(rows)
@@ -457,7 +464,7 @@ def psi_windows(spark, sf_dir):
     """Daily windows against the first ten days, in one batch."""
     log = _log(spark, sf_dir)
     old = F.col("ts") < F.lit(DRIFT_FROM).cast("timestamp")
-    bins = reference_bins(log.filter(old), DRIFT_COLUMNS)
+    bins = _stored(reference_bins(log.filter(old), DRIFT_COLUMNS), "reference-bins")
     counts = window_bin_counts(log.filter(~old), bins, DRIFT_COLUMNS, "1 day")
     return _window_drift(window_psi(counts, bins))
 
@@ -587,7 +594,8 @@ def ground_truth_join(spark, sf_dir):
 
 @query
 def prediction_drift(spark, sf_dir):
-    rows = _baseline_rows(spark, sf_dir)
+    """Drift of stored predictions."""
+    rows = _stored(_baseline_rows(spark, sf_dir).select("date", "yhat"), "predictions")
     return checks.prediction_drift(star.reference_window(rows), star.current_window(rows))
 
 
@@ -613,9 +621,8 @@ TRIAL_ROUNDS = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.2, "seed": 42}
 
 def _split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Feature rows of all series, written once: the split and every round of boosting read them."""
-    path = scratch_path(spark, "training-rows")
-    features.demand_features(star.daily_sales(spark, sf_dir), exclude_current=True).write.parquet(path)
-    rows = split.chrono_split(spark.read.parquet(path))
+    rows = features.demand_features(star.daily_sales(spark, sf_dir), exclude_current=True)
+    rows = split.chrono_split(_stored(rows, "training-rows"))
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "valid")
 
 
