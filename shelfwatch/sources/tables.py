@@ -13,9 +13,9 @@ from ..operators.split import drift_window
 
 SALES_TYPES = {
     "date": "date",
-    "store_nbr": "bigint",
+    "store_nbr": "long",
     "family": "string",
-    "onpromotion": "bigint",
+    "onpromotion": "long",
     "sales": "double",
 }
 
@@ -47,7 +47,7 @@ def scan_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = StructType()
     for name in header.columns:
         schema.add(name, SALES_TYPES.get(name, StringType()))
-    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
+    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
 
 
 def scan_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
