@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
-from .ordered import CHUNK, CHUNK_DAYS, time_chunk
+from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, PART, split_hot_stretches, time_chunk
 
 
 def pit_join(
@@ -19,6 +20,7 @@ def pit_join(
     ttl_days: int = 3650,
     tie_cols: Sequence[str] = (),
     chunk_days: int = CHUNK_DAYS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each entity row the newest feature row of its key at or before its time.
 
@@ -27,9 +29,9 @@ def pit_join(
     greatest by all columns when none are named).
 
     Lookups are made once per distinct (key, time), so any number of copies of one entity is
-    a join matter, where a hot key can be split. They are made by key and stretch of time;
-    what a stretch inherits from earlier ones is one feature row per key, found on a summary
-    with one row per key and stretch.
+    a join matter, where a hot key can be split. They are made by key and stretch of time,
+    and a stretch with more than ``hot_rows`` times is cut into parts. What a stretch or part
+    inherits from earlier ones is one feature row, found on a summary of one row for each.
     """
     keys = list(keys)
     values = [c for c in features.columns if c not in keys and c != time_col]
@@ -43,39 +45,35 @@ def pit_join(
         features.filter(F.col(time_col).isNotNull())
         .groupBy(*keys, F.col(time_col).alias(at))
         .agg(F.max_by(F.struct(F.col(time_col), *values), newest).alias("__f"))
-        .withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
-    ).repartition(*keys, CHUNK)
-    asked = (
-        entities.select(*keys, F.col(time_col).alias(at))
-        .filter(F.col(at).isNotNull())
-        .distinct()
-        .withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
-    ).repartition(*keys, CHUNK)
-
-    # A lookup has no feature and no feature time, so max_by passes over it.
-    summary = (
-        known.unionByName(asked.withColumn(at, F.lit(None)), allowMissingColumns=True)
-        .groupBy(*keys, CHUNK)
-        .agg(F.max_by("__f", at).alias("__f"))
+        .withColumn("__side", F.lit(0))
     )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    asked = entities.select(*keys, F.col(time_col).alias(at)).filter(F.col(at).isNotNull()).distinct()
+    # At one time the feature row (side 0) goes before the lookup (side 1).
+    sides = known.unionByName(asked.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+    sides = sides.withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
+    if isinstance(entities.schema[time_col].dataType, DateType):
+        sides = sides.withColumn(PART, F.lit(0))  # a stretch has no more times than days
+    else:
+        sides = split_hot_stretches(sides, keys, at, hot_rows)
+    stretch = [*keys, CHUNK, PART]
+    sides = sides.repartition(*stretch)
+
+    summary = sides.groupBy(*stretch).agg(F.max_by("__f", F.when(F.col("__side") == 0, F.col(at))).alias("__f"))
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK, PART).rowsBetween(Window.unboundedPreceding, -1)
     inherited = (
         summary.withColumn("__f", F.last("__f", ignorenulls=True).over(earlier))
         .filter(F.col("__f").isNotNull())
-        .select(*keys, F.col(f"__f.{time_col}").alias(at), "__f", CHUNK)
-        .repartition(*keys, CHUNK)
+        .select(*keys, F.col(f"__f.{time_col}").alias(at), "__f", F.lit(0).alias("__side"), CHUNK, PART)
+        .repartition(*stretch)
     )
 
-    # At one time the feature row (side 0) goes before the lookup (side 1).
-    sides = known.unionByName(inherited).withColumn("__side", F.lit(0)).unionByName(
-        asked.withColumn("__side", F.lit(1)), allowMissingColumns=True
-    )
-    upto = Window.partitionBy(*keys, CHUNK).orderBy(at, "__side").rowsBetween(Window.unboundedPreceding, 0)
-    age = F.col(at).cast("timestamp") - F.expr(f"INTERVAL '{int(ttl_days)}' DAY")
+    upto = Window.partitionBy(*stretch).orderBy(at, "__side").rowsBetween(Window.unboundedPreceding, 0)
+    oldest = F.col(at).cast("timestamp") - F.expr(f"INTERVAL '{int(ttl_days)}' DAY")
     found = (
-        sides.withColumn("__f", F.last("__f", ignorenulls=True).over(upto))
+        sides.unionByName(inherited)
+        .withColumn("__f", F.last("__f", ignorenulls=True).over(upto))
         .filter(F.col("__side") == 1)
-        .filter(F.col(f"__f.{time_col}").cast("timestamp") >= age)
+        .filter(F.col(f"__f.{time_col}").cast("timestamp") >= oldest)
         .select(*keys, F.col(at).alias(time_col), *[F.col("__f")[c].alias(c) for c in values])
     )
     return _left_join_null_safe(entities, found, [*keys, time_col])

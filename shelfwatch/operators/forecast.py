@@ -11,6 +11,7 @@ from pyspark.sql.types import FractionalType, StringType
 
 from ..functions import clip_forecast
 from .features import calendar_features
+from .models import input_columns
 
 # What a request that leaves a field out is taken to ask for.
 DEFAULT_STORE = 1
@@ -119,12 +120,7 @@ def align_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
 
 def score_table(model: Transformer, df: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Add ``yhat``: the model's non-negative prediction, with absent inputs taken as 0."""
-    expected = getattr(model, "expected_columns", None)
-    if expected is None:
-        from .models import input_columns
-
-        expected = input_columns(model)
-    ready = df.withColumns({c: F.lit(0.0) for c in expected if c not in df.columns})
+    ready = df.withColumns({c: F.lit(0.0) for c in input_columns(model) if c not in df.columns})
     scored = model.transform(ready)
     return scored.select(*df.columns, clip_forecast(F.col(prediction)).alias("yhat"))
 

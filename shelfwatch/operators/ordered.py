@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 CHUNK_DAYS = 256
 CHUNK = "__chunk"
 HISTORY = "__history"
+PART = "__part"
+HOT_ROWS = 1_000_000
 
 
 def time_chunk(time: Column, chunk_days: int) -> Column:
@@ -78,6 +80,37 @@ def with_history(
     return placed.withColumn(HISTORY, F.lit(False)).unionByName(history)
 
 
+def split_hot_stretches(
+    df: DataFrame, keys: Sequence[str], time: str, hot_rows: int, n_parts: int = 64
+) -> DataFrame:
+    """Add ``__part``: 0, or the part of its stretch a row lies in where that holds more than
+    ``hot_rows`` rows. Parts are cut at quantiles of the time, so they are of about one size.
+
+    There are at most rows / ``hot_rows`` hot stretches. Usually there is none, and the
+    adaptive planner then drops the join.
+    """
+    cell = [*keys, CHUNK]
+    sizes = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > hot_rows).select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(cell)])
+    match = None
+    for i, c in enumerate(cell):
+        equal = F.col(c).eqNullSafe(F.col(f"__h{i}"))
+        match = equal if match is None else match & equal
+    clock = F.unix_micros(F.col(time).cast("timestamp"))
+    fractions = [i / n_parts for i in range(1, n_parts)]
+    cuts = (
+        df.join(hot, match, "left_semi")
+        .groupBy(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(cell)])
+        .agg(F.percentile_approx(clock, fractions, 50 * n_parts).alias("__cuts"))
+    )
+    part = F.when(F.col("__cuts").isNull(), 0).otherwise(F.expr(count_reached("__clock", "__cuts", n_parts - 1)))
+    return (
+        df.join(cuts, match, "left")
+        .withColumn("__clock", clock)
+        .select(*df.columns, part.alias(PART))
+    )
+
+
 def chunk_window(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 

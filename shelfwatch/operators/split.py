@@ -6,25 +6,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 TRAIN_RATIO = 0.8
 _MISSING = "\u0000missing"
+# Values fetched at most while a boundary is looked for, and cuts made when there are more.
+MAX_VALUES = 10_000
+N_PIVOTS = 200
 
 
-def _counts_upto(df: DataFrame, col: str) -> DataFrame:
-    """Rows per distinct value of one column, with the running count in value order.
+def _before(col: str, value: object) -> Column:
+    return F.lit(False) if value is None else F.col(col).isNull() | (F.col(col) < F.lit(value))
 
-    Combined before the shuffle; the window sees one row per distinct date, store or family.
-    """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.withColumn(
-        "__upto", F.sum("__n").over(Window.orderBy(F.col(col).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
-    )
 
+def _sort_key(value: object) -> tuple:
+    return (value is not None, value)
 
-def _before(col: str, value: object) -> Column:
-    return F.lit(False) if value is None else F.col(col).isNull() | (F.col(col) < F.lit(value))
+
+def _cut_value(rows: DataFrame, col: str, wanted: int, limit: int = MAX_VALUES) -> tuple[object, int, int]:
+    """(value, rows before it, rows with it) of the value that holds the ``wanted``-th row by ``col``.
+
+    Rows are counted per value, combined before the shuffle. Up to ``limit`` values are
+    fetched with their counts. Of more values an even sample, picked by hash, cuts them into
+    stretches; rows are counted per stretch, and the search goes on in the one that matters.
+    """
+    skipped = 0
+    while True:
+        counts = rows.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+        found = counts.orderBy(F.xxhash64(col), col).limit(limit).collect()
+        values = sorted(((r[0], r[1]) for r in found), key=lambda pair: _sort_key(pair[0]))
+        if len(values) < limit:
+            upto = skipped
+            for value, n in values:
+                if upto + n >= wanted:
+                    return value, upto, n
+                upto += n
+            raise ValueError("the rows changed while they were split")
+        known = [value for value, _ in values if value is not None]
+        pivots = known[:: max(1, len(known) // N_PIVOTS)]
+        reached = F.size(F.filter(F.array(*[F.lit(p) for p in pivots]), lambda p: p <= F.col(col)))
+        stretch = F.when(F.col(col).isNull(), 0).otherwise(reached)
+        upto = skipped
+        for number, n in sorted(counts.groupBy(stretch.alias("s")).agg(F.sum("__n")).collect()):
+            if upto + n >= wanted:
+                skipped = upto
+                break
+            upto += n
+        rows = rows.filter(stretch == number)
 
 
 def split_boundary(
@@ -33,7 +60,7 @@ def split_boundary(
     """Predicate that holds for exactly the first ``int(rows * ratio)`` rows by date and ties.
 
     Found level by level: the date in which the boundary lies, then within it the value of
-    the first tie column, and so on. Each level is one aggregate that returns one row.
+    the first tie column, and so on. Missing values come first.
     """
     if not 0 <= ratio <= 1:
         raise ValueError("ratio must lie between 0 and 1")
@@ -42,22 +69,21 @@ def split_boundary(
     taken: Column = F.lit(False)
     same: Column = F.lit(True)
     wanted = int(df.count() * ratio)
+    n = 0
     for level in levels:
         if wanted == 0:
             return taken
-        upto = _counts_upto(inside, level)
-        cut = upto.filter(F.col("__upto") >= wanted).orderBy("__upto").first()
-        value = cut[level]
+        value, before, n = _cut_value(inside, level, wanted)
         taken = taken | (same & _before(level, value))
         here = F.col(level).eqNullSafe(F.lit(value))
         same = same & here
         inside = inside.filter(here)
-        wanted -= cut["__upto"] - cut["__n"]
-        if wanted == cut["__n"]:
+        wanted -= before
+        if wanted == n:
             return taken | same
     if wanted:
         raise ValueError(
-            f"{cut['__n']} rows are equal in {levels} at the boundary and {wanted} of them belong to the "
+            f"{n} rows are equal in {levels} at the boundary and {wanted} of them belong to the "
             "first part: name more tie columns"
         )
     return taken

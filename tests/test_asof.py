@@ -27,8 +27,8 @@ def brute(entities, features, ttl_days):
     return out
 
 
-@pytest.mark.parametrize("chunk_days", [1, 3, 256])
-def test_against_brute_force(spark, chunk_days):
+@pytest.mark.parametrize("chunk_days,hot_rows", [(1, 1000), (3, 1000), (256, 1000), (256, 10), (7, 3)])
+def test_against_brute_force(spark, chunk_days, hot_rows):
     draw = random.Random(3)
     entities = [(i, draw.choice([1, 2, 3]), draw.choice("AB"), at(draw.randint(0, 24 * 40))) for i in range(300)]
     entities += [(300, 1, "A", None), (301, 9, "A", at(5)), (302, None, "A", at(5))]
@@ -44,6 +44,7 @@ def test_against_brute_force(spark, chunk_days):
         ttl_days=6,
         tie_cols=["v", "note"],
         chunk_days=chunk_days,
+        hot_rows=hot_rows,
     )
     assert got.columns == ["id", "store_nbr", "family", "event_timestamp", "v", "note"]
     expected = brute(entities, features, 6)
@@ -76,3 +77,25 @@ def test_shared_column_names_are_refused(spark):
 def test_latest_per_key(spark, rows):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "n"), ("b", 1, "m")], "k string, ts int, v string")
     assert rows(asof.latest_per_key(df, ["k"], "ts")) == [("a", 2, "z"), ("b", 1, "m")]
+
+
+def test_dates_as_times(spark):
+    entities = spark.createDataFrame([(1, dt.date(2020, 1, 5)), (1, dt.date(2020, 1, 1))], "k int, day date")
+    features = spark.createDataFrame([(1, dt.date(2020, 1, 2), 3.0)], "k int, day date, v double")
+    got = {r["day"].day: r["v"] for r in asof.pit_join(entities, features, ["k"], "day").collect()}
+    assert got == {5: 3.0, 1: None}
+
+
+def test_a_hot_stretch_is_cut_into_parts_of_one_size(spark):
+    from shelfwatch.operators import ordered
+
+    df = spark.range(6400).select(
+        F.when(F.col("id") < 6000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.timestamp_micros(F.col("id") * F.col("id") * 1000).alias("t"),
+    )
+    df = df.withColumn(ordered.CHUNK, ordered.time_chunk(F.col("t"), 256))
+    got = ordered.split_hot_stretches(df, ["k"], "t", 100)
+    assert got.count() == 6400
+    sizes = got.filter("k = 'hot'").groupBy(ordered.PART).count().collect()
+    assert len(sizes) == 64 and max(r["count"] for r in sizes) < 130
+    assert got.filter("k <> 'hot'").select(ordered.PART).distinct().collect()[0][0] == 0

@@ -26,6 +26,21 @@ def test_first_rows_by_date_and_ties(spark, n, n_days, ratio):
     assert len(got) == n
 
 
+@pytest.mark.parametrize("kind", ["date", "text", "number"])
+def test_boundary_among_more_values_than_are_fetched(spark, monkeypatch, kind):
+    monkeypatch.setattr(split, "N_PIVOTS", 5)
+    df = spark.range(3000).select(
+        F.date_from_unix_date((F.col("id") % 900).cast("int")).alias("date"),
+        F.concat(F.lit("k"), F.col("id") % 777).alias("text"),
+        (F.col("id") * 7 % 1201).alias("number"),
+    )
+    values = sorted(r[0] for r in df.select(kind).collect())
+    for wanted in (1, 2, 1500, 2999, 3000):
+        value, before, n = split._cut_value(df, kind, wanted, limit=20)
+        assert value == values[wanted - 1]
+        assert (before, n) == (values.index(value), values.count(value))
+
+
 def test_missing_values_come_first(spark):
     keys = [(None, 1, "A"), (dt.date(2020, 1, 1), None, "A"), (dt.date(2020, 1, 1), 1, None), (dt.date(2020, 1, 1), 1, "B")]
     got = split.chrono_split(spark.createDataFrame(keys, SCHEMA), ratio=0.75).collect()
