@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
-from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, PART, split_hot_stretches, time_chunk
+from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, PART, hot_stretch_cuts, place_in_parts, time_chunk
 
 
 def pit_join(
@@ -24,8 +24,8 @@ def pit_join(
 ) -> DataFrame:
     """For each entity row the newest feature row of its key at or before its time.
 
-    Features older than ``ttl_days`` give nulls, as does a key without earlier features. Of
-    feature rows with the same key and time the greatest by ``tie_cols`` is taken (the
+    Features older than ``ttl_days`` give nulls, as does a key without earlier features, and
+    a missing key or time. Of feature rows with the same key and time the greatest by ``tie_cols`` is taken (the
     greatest by all columns when none are named).
 
     Lookups are made once per distinct (key, time), so any number of copies of one entity is
@@ -40,30 +40,37 @@ def pit_join(
         raise ValueError(f"columns are in both frames: {clash}")
     at = "__at"
 
-    newest = F.struct(*tie_cols, *[c for c in values if c not in tie_cols])
+    present = F.col(time_col).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    features, lookups = features.filter(present), entities.filter(present)
+
+    def stretches(df: DataFrame) -> DataFrame:
+        return df.select(*keys, F.col(time_col).alias(at), time_chunk(F.col(time_col), chunk_days).alias(CHUNK))
+
+    # A stretch of dates has no more of them than days; one of timestamps may have any number.
+    cuts = None
+    if not isinstance(entities.schema[time_col].dataType, DateType):
+        cuts = hot_stretch_cuts(stretches(lookups).unionByName(stretches(features)), keys, at, hot_rows)
+
+    # At one time the feature row (side 0) goes before the lookup (side 1).
+    order = [*tie_cols, *[c for c in values if c not in tie_cols]]
     known = (
-        features.filter(F.col(time_col).isNotNull())
-        .groupBy(*keys, F.col(time_col).alias(at))
-        .agg(F.max_by(F.struct(F.col(time_col), *values), newest).alias("__f"))
-        .withColumn("__side", F.lit(0))
+        features.groupBy(*keys, F.col(time_col).alias(at))
+        .agg(F.max(F.struct(*order)).alias("__v"))
+        .select(*keys, at, F.struct(F.col(at).alias("__known_at"), "__v").alias("__f"), F.lit(0).alias("__side"))
     )
-    asked = entities.select(*keys, F.col(time_col).alias(at)).filter(F.col(at).isNotNull()).distinct()
-    # At one time the feature row (side 0) goes before the lookup (side 1).
-    sides = known.unionByName(asked.withColumn("__side", F.lit(1)), allowMissingColumns=True)
-    sides = sides.withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
-    if isinstance(entities.schema[time_col].dataType, DateType):
-        sides = sides.withColumn(PART, F.lit(0))  # a stretch has no more times than days
-    else:
-        sides = split_hot_stretches(sides, keys, at, hot_rows)
+    asked = lookups.select(*keys, F.col(time_col).alias(at)).distinct().withColumn("__side", F.lit(1))
+    sides = known.unionByName(asked, allowMissingColumns=True).withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
     stretch = [*keys, CHUNK, PART]
-    sides = sides.repartition(*stretch)
+    sides = place_in_parts(sides, keys, at, cuts).repartition(*stretch)
 
     summary = sides.groupBy(*stretch).agg(F.max_by("__f", F.when(F.col("__side") == 0, F.col(at))).alias("__f"))
     earlier = Window.partitionBy(*keys).orderBy(CHUNK, PART).rowsBetween(Window.unboundedPreceding, -1)
     inherited = (
         summary.withColumn("__f", F.last("__f", ignorenulls=True).over(earlier))
         .filter(F.col("__f").isNotNull())
-        .select(*keys, F.col(f"__f.{time_col}").alias(at), "__f", F.lit(0).alias("__side"), CHUNK, PART)
+        .select(*keys, F.col("__f.__known_at").alias(at), "__f", F.lit(0).alias("__side"), CHUNK, PART)
         .repartition(*stretch)
     )
 
@@ -73,20 +80,10 @@ def pit_join(
         sides.unionByName(inherited)
         .withColumn("__f", F.last("__f", ignorenulls=True).over(upto))
         .filter(F.col("__side") == 1)
-        .filter(F.col(f"__f.{time_col}").cast("timestamp") >= oldest)
-        .select(*keys, F.col(at).alias(time_col), *[F.col("__f")[c].alias(c) for c in values])
+        .filter(F.col("__f.__known_at").cast("timestamp") >= oldest)
+        .select(*keys, F.col(at).alias(time_col), *[F.col("__f.__v")[c].alias(c) for c in values])
     )
-    return _left_join_null_safe(entities, found, [*keys, time_col])
-
-
-def _left_join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join on equal columns, null keys matching each other, columns of ``on`` kept once."""
-    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
-    condition = None
-    for c in on:
-        equal = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
-        condition = equal if condition is None else condition & equal
-    return left.join(renamed, condition, "left").drop(*[f"__r_{c}" for c in on])
+    return entities.join(found, [*keys, time_col], "left").select(*entities.columns, *values)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tie_cols: Sequence[str] = ()) -> DataFrame:

@@ -23,6 +23,7 @@ CHUNK = "__chunk"
 HISTORY = "__history"
 PART = "__part"
 HOT_ROWS = 1_000_000
+MAX_HOT = 1000
 
 
 def time_chunk(time: Column, chunk_days: int) -> Column:
@@ -80,33 +81,39 @@ def with_history(
     return placed.withColumn(HISTORY, F.lit(False)).unionByName(history)
 
 
-def split_hot_stretches(
+def hot_stretch_cuts(
     df: DataFrame, keys: Sequence[str], time: str, hot_rows: int, n_parts: int = 64
-) -> DataFrame:
-    """Add ``__part``: 0, or the part of its stretch a row lies in where that holds more than
-    ``hot_rows`` rows. Parts are cut at quantiles of the time, so they are of about one size.
+) -> DataFrame | None:
+    """Rows (keys, __chunk, __cuts) of stretches with more than ``hot_rows`` rows; None without any.
 
-    There are at most rows / ``hot_rows`` hot stretches. Usually there is none, and the
-    adaptive planner then drops the join.
+    The cuts are quantiles of the time, so parts between them are of about one size. At most
+    MAX_HOT stretches are cut, the largest ones: any other holds less than one in MAX_HOT of
+    the rows. Runs one aggregate, which returns at most that many rows.
     """
     cell = [*keys, CHUNK]
-    sizes = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(cell)])
-    match = None
-    for i, c in enumerate(cell):
-        equal = F.col(c).eqNullSafe(F.col(f"__h{i}"))
-        match = equal if match is None else match & equal
+    sizes = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    hot = sizes.orderBy(F.desc("__n"), *cell).limit(MAX_HOT).select(*cell)
+    found = hot.collect()
+    if not found:
+        return None
+    hot = df.sparkSession.createDataFrame(found, hot.schema)
     clock = F.unix_micros(F.col(time).cast("timestamp"))
     fractions = [i / n_parts for i in range(1, n_parts)]
-    cuts = (
-        df.join(hot, match, "left_semi")
-        .groupBy(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(cell)])
+    return (
+        df.join(F.broadcast(hot), cell, "left_semi")
+        .groupBy(*cell)
         .agg(F.percentile_approx(clock, fractions, 50 * n_parts).alias("__cuts"))
     )
+
+
+def place_in_parts(df: DataFrame, keys: Sequence[str], time: str, cuts: DataFrame | None, n_parts: int = 64) -> DataFrame:
+    """Add ``__part``: the part of a hot stretch a row lies in, else 0. At most MAX_HOT rows are broadcast."""
+    if cuts is None:
+        return df.withColumn(PART, F.lit(0))
     part = F.when(F.col("__cuts").isNull(), 0).otherwise(F.expr(count_reached("__clock", "__cuts", n_parts - 1)))
     return (
-        df.join(cuts, match, "left")
-        .withColumn("__clock", clock)
+        df.join(F.broadcast(cuts), [*keys, CHUNK], "left")
+        .withColumn("__clock", F.unix_micros(F.col(time).cast("timestamp")))
         .select(*df.columns, part.alias(PART))
     )
 

@@ -11,7 +11,7 @@ TRAIN_RATIO = 0.8
 _MISSING = "\u0000missing"
 # Values fetched at most while a boundary is looked for, and cuts made when there are more.
 MAX_VALUES = 10_000
-N_PIVOTS = 200
+N_PIVOTS = 128
 
 
 def _before(col: str, value: object) -> Column:
@@ -43,15 +43,32 @@ def _cut_value(rows: DataFrame, col: str, wanted: int, limit: int = MAX_VALUES)
             raise ValueError("the rows changed while they were split")
         known = [value for value, _ in values if value is not None]
         pivots = known[:: max(1, len(known) // N_PIVOTS)]
-        reached = F.size(F.filter(F.array(*[F.lit(p) for p in pivots]), lambda p: p <= F.col(col)))
-        stretch = F.when(F.col(col).isNull(), 0).otherwise(reached)
         upto = skipped
-        for number, n in sorted(counts.groupBy(stretch.alias("s")).agg(F.sum("__n")).collect()):
+        for stretch, n in sorted(counts.groupBy(_stretch_of(col, pivots).alias("s")).agg(F.sum("__n")).collect()):
             if upto + n >= wanted:
                 skipped = upto
                 break
             upto += n
-        rows = rows.filter(stretch == number)
+        # Plain bounds, which reach the scan of a file.
+        if stretch == 0:
+            rows = rows.filter(F.col(col).isNull() | (F.col(col) < F.lit(pivots[0])))
+        else:
+            rows = rows.filter(F.col(col) >= F.lit(pivots[stretch - 1]))
+            if stretch < len(pivots):
+                rows = rows.filter(F.col(col) < F.lit(pivots[stretch]))
+
+
+def _stretch_of(col: str, pivots: Sequence) -> Column:
+    """How many of the ascending pivots a value has reached; 0 for a missing value."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        reached = F.col(col) >= F.lit(pivots[middle - 1])
+        return F.when(reached, search(middle, high)).otherwise(search(low, middle - 1))
+
+    return search(0, len(pivots))
 
 
 def split_boundary(

@@ -20,7 +20,7 @@ def brute(entities, features, ttl_days):
     for i, store, family, ts in entities:
         best = None
         for s, f, fts, v, note in features:
-            if s == store and f == family and ts is not None and fts is not None and fts <= ts and fts >= ts - dt.timedelta(days=ttl_days):
+            if s == store and s is not None and f == family and ts is not None and fts is not None and fts <= ts and fts >= ts - dt.timedelta(days=ttl_days):
                 if best is None or (fts, v, note) > best:
                     best = (fts, v, note)
         out[i] = best[1:] if best else (None, None)
@@ -94,8 +94,11 @@ def test_a_hot_stretch_is_cut_into_parts_of_one_size(spark):
         F.timestamp_micros(F.col("id") * F.col("id") * 1000).alias("t"),
     )
     df = df.withColumn(ordered.CHUNK, ordered.time_chunk(F.col("t"), 256))
-    got = ordered.split_hot_stretches(df, ["k"], "t", 100)
+    cuts = ordered.hot_stretch_cuts(df, ["k"], "t", 100)
+    assert cuts.count() == 1
+    got = ordered.place_in_parts(df, ["k"], "t", cuts)
     assert got.count() == 6400
     sizes = got.filter("k = 'hot'").groupBy(ordered.PART).count().collect()
     assert len(sizes) == 64 and max(r["count"] for r in sizes) < 130
     assert got.filter("k <> 'hot'").select(ordered.PART).distinct().collect()[0][0] == 0
+    assert ordered.hot_stretch_cuts(df, ["k"], "t", 10_000) is None
