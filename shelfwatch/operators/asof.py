@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
-from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, PART, hot_stretch_cuts, place_in_parts, time_chunk
+from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, hot_stretch_cuts, place_in_parts, stretch_of, time_chunk
 
 
 def pit_join(
@@ -62,15 +62,17 @@ def pit_join(
     )
     asked = lookups.select(*keys, F.col(time_col).alias(at)).distinct().withColumn("__side", F.lit(1))
     sides = known.unionByName(asked, allowMissingColumns=True).withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
-    stretch = [*keys, CHUNK, PART]
-    sides = place_in_parts(sides, keys, at, cuts).repartition(*stretch)
+    sides = place_in_parts(sides, keys, at, cuts)
+    parts = stretch_of(sides)
+    stretch = [*keys, *parts]
+    sides = sides.repartition(*stretch)
 
     summary = sides.groupBy(*stretch).agg(F.max_by("__f", F.when(F.col("__side") == 0, F.col(at))).alias("__f"))
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK, PART).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
     inherited = (
         summary.withColumn("__f", F.last("__f", ignorenulls=True).over(earlier))
         .filter(F.col("__f").isNotNull())
-        .select(*keys, F.col("__f.__known_at").alias(at), "__f", F.lit(0).alias("__side"), CHUNK, PART)
+        .select(*keys, F.col("__f.__known_at").alias(at), "__f", F.lit(0).alias("__side"), *parts)
         .repartition(*stretch)
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
 from ..functions import days_to_holiday
-from .ordered import CHUNK, CHUNK_DAYS, HISTORY, chunk_window, time_chunk, with_history, without_history
+from .ordered import CHUNK, CHUNK_DAYS, HISTORY, HOT_ROWS, chunk_window, time_chunk, with_history, without_history
 
 SERIES_KEYS = ("store_nbr", "family")
 MAX_CATEGORIES = 10_000
@@ -50,6 +50,7 @@ def series_features(
     exclude_current: bool = False,
     tie_cols: Sequence[str] = (),
     chunk_days: int = CHUNK_DAYS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Row lags and the rolling mean of each series, all from one shuffle.
 
@@ -63,8 +64,8 @@ def series_features(
         return df.withColumns({name: F.lit(0.0) for name in names})
 
     reach = max([*lags, n or 1])
-    rows = with_history(df, keys, order, reach, tie_cols, chunk_days)
-    window = chunk_window(keys, [order, *tie_cols])
+    rows = with_history(df, keys, order, reach, tie_cols, chunk_days, hot_rows)
+    window = chunk_window(rows, keys, [order, *tie_cols])
     features = {f"lag_{lag}": F.lag(_number(value), lag).over(window) for lag in lags}
     if n:
         frame = (-n, -1) if exclude_current else (1 - n, 0)
@@ -82,9 +83,10 @@ def lag_features(
     lags: Sequence[int] = (7, 14),
     tie_cols: Sequence[str] = (),
     chunk_days: int = CHUNK_DAYS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lag_k``: the value k rows earlier in the same series, 0 where there is none."""
-    return series_features(df, keys, order, value, lags, None, False, tie_cols, chunk_days)
+    return series_features(df, keys, order, value, lags, None, False, tie_cols, chunk_days, hot_rows)
 
 
 def rolling_mean(
@@ -96,9 +98,10 @@ def rolling_mean(
     exclude_current: bool = False,
     tie_cols: Sequence[str] = (),
     chunk_days: int = CHUNK_DAYS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Mean of the current and the n-1 rows before, or of the n rows before the current one."""
-    return series_features(df, keys, order, value, (), n, exclude_current, tie_cols, chunk_days)
+    return series_features(df, keys, order, value, (), n, exclude_current, tie_cols, chunk_days, hot_rows)
 
 
 def calendar_lag(

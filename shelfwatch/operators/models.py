@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .features import MAX_CATEGORIES, fitted_categories
@@ -167,9 +167,11 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(spark, path: str) -> PipelineModel | None:
+def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
     """The saved pipeline, or None where there is none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    return PipelineModel.load(path)
+    try:
+        return PipelineModel.load(path)
+    except Exception as error:
+        if "does not exist" in str(error):
+            return None
+        raise

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
 CHUNK_DAYS = 256
@@ -44,12 +45,16 @@ def with_history(
     n_rows: int,
     tie_cols: Sequence[str] = (),
     chunk_days: int = CHUNK_DAYS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of ``df`` by series and stretch, plus the ``n_rows`` rows before each stretch.
 
-    Adds ``__chunk`` and the flag ``__history``. The result is hash-partitioned by series and
-    stretch, so a window on those columns needs no further shuffle. ``time`` and ``tie_cols``
-    together order a series.
+    Adds ``__chunk``, ``__part`` where chunks are cut, and the flag ``__history``. The result
+    is hash-partitioned by series and stretch, so a window on them needs no further shuffle.
+    ``time`` and ``tie_cols`` together order the rows of a series.
+
+    A series of dates has one row a day, so a chunk of it is no longer than its days. In a
+    series of timestamps a chunk with more than ``hot_rows`` rows is cut into parts first.
 
     The full rows are shuffled once: the tails read the same exchange as the main branch
     (which is why they carry every column), and what they shuffle themselves is at most
@@ -59,24 +64,30 @@ def with_history(
     keys = list(keys)
     columns = df.columns
     order = [time, *tie_cols]
-    placed = df.withColumn(CHUNK, time_chunk(F.col(time), chunk_days)).repartition(*keys, CHUNK)
-
-    newest_first = Window.partitionBy(*keys, CHUNK).orderBy(*[F.desc_nulls_last(c) for c in order])
+    placed = df.withColumn(CHUNK, time_chunk(F.col(time), chunk_days))
+    cuts = None
+    if not isinstance(df.schema[time].dataType, DateType):
+        cuts = hot_stretch_cuts(placed, keys, time, hot_rows)
+    placed = place_in_parts(placed, keys, time, cuts)
+    parts = stretch_of(placed)
+    placed = placed.repartition(*keys, *parts)
+
+    newest_first = chunk_window(placed, keys, [F.desc_nulls_last(c) for c in order])
     payload = [c for c in columns if c not in keys]
     tails = (
         placed.withColumn("__back", F.row_number().over(newest_first))
         .filter(F.col("__back") <= n_rows)
-        .groupBy(*keys, CHUNK)
+        .groupBy(*keys, *parts)
         .agg(F.array_sort(F.collect_list(F.struct("__back", *payload)), _oldest_first).alias("__tail"))
     )
     # Every stretch holds at least one row, so the n_rows stretches before it are enough.
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(-n_rows, -1)
+    before = Window.partitionBy(*keys).orderBy(*parts).rowsBetween(-n_rows, -1)
     history = (
         tails.withColumn("__tail", F.flatten(F.collect_list("__tail").over(before)))
         .withColumn("__row", F.explode(F.slice("__tail", F.greatest(F.size("__tail") - n_rows + 1, F.lit(1)), n_rows)))
-        .select(*keys, *[F.col("__row")[c].alias(c) for c in payload], CHUNK)
-        .select(*columns, CHUNK, F.lit(True).alias(HISTORY))
-        .repartition(*keys, CHUNK)
+        .select(*keys, *[F.col("__row")[c].alias(c) for c in payload], *parts)
+        .select(*columns, *parts, F.lit(True).alias(HISTORY))
+        .repartition(*keys, *parts)
     )
     return placed.withColumn(HISTORY, F.lit(False)).unionByName(history)
 
@@ -107,9 +118,13 @@ def hot_stretch_cuts(
 
 
 def place_in_parts(df: DataFrame, keys: Sequence[str], time: str, cuts: DataFrame | None, n_parts: int = 64) -> DataFrame:
-    """Add ``__part``: the part of a hot stretch a row lies in, else 0. At most MAX_HOT rows are broadcast."""
+    """Add ``__part``: the part of a hot stretch a row lies in, else 0. At most MAX_HOT rows are broadcast.
+
+    Without cuts there is no such column: a constant in a partitioning would hide from the
+    planner that the rows are already where a window needs them.
+    """
     if cuts is None:
-        return df.withColumn(PART, F.lit(0))
+        return df
     part = F.when(F.col("__cuts").isNull(), 0).otherwise(F.expr(count_reached("__clock", "__cuts", n_parts - 1)))
     return (
         df.join(F.broadcast(cuts), [*keys, CHUNK], "left")
@@ -118,12 +133,17 @@ def place_in_parts(df: DataFrame, keys: Sequence[str], time: str, cuts: DataFram
     )
 
 
-def chunk_window(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+def stretch_of(df: DataFrame) -> list[str]:
+    """Columns that tell the stretches of a series apart, in order of time."""
+    return [c for c in (CHUNK, PART) if c in df.columns]
+
+
+def chunk_window(df: DataFrame, keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys, *stretch_of(df)).orderBy(*order)
 
 
 def without_history(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col(HISTORY)).drop(CHUNK, HISTORY)
+    return df.filter(~F.col(HISTORY)).drop(CHUNK, PART, HISTORY)
 
 
 def default_ranges(df: DataFrame) -> int:

@@ -422,6 +422,7 @@ requests AS (
   FROM orders JOIN customer ON o_custkey = c_custkey)
 """
 ORACLES["clip_forecast"] = "SELECT c_custkey, greatest(c_acctbal, 0) AS yhat FROM customer"
+ORACLES["align_columns"] = "SELECT 0.0::DOUBLE AS lag_7, c_acctbal, c_custkey FROM customer"
 ORACLES["expand_horizon"] = f"""
 WITH {REQUESTS}, steps AS (
   SELECT *, CAST(unnest(range(days_ahead)) AS INTEGER) AS step FROM requests),

@@ -512,6 +512,13 @@ def clip_forecast(spark, sf_dir):
     return customers.select("c_custkey", fn.clip_forecast(F.col("c_acctbal")).alias("yhat"))
 
 
+@query
+def align_columns(spark, sf_dir):
+    """The columns a model expects: one absent, one dropped, the rest in its order."""
+    customers = star.table(spark, sf_dir, "customer")
+    return forecast.align_columns(customers, ["lag_7", "c_acctbal", "c_custkey"])
+
+
 @query
 def expand_horizon(spark, sf_dir):
     rows = forecast.expand_horizon(star.requests(spark, sf_dir), sales_hint=F.col("store_nbr") + 0.5)

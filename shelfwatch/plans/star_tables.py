@@ -10,6 +10,9 @@ CURRENT_FROM = "1998-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the star schema. Its times are stored without a zone and are taken as UTC."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -61,6 +61,24 @@ def test_a_series_before_1970_and_across_it(spark):
     assert [r["lag_7"] for r in got] == [0.0] * 7 + [float(i) for i in range(23)]
 
 
+def test_a_hot_series_of_timestamps_is_cut_into_parts(spark):
+    n = 2000
+    df = spark.range(n).select(
+        F.timestamp_seconds(F.col("id") * F.col("id")).alias("at"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 2).cast("long").alias("store_nbr"),
+        F.lit("A").alias("family"),
+        (F.col("id") % 17).cast("double").alias("sales"),
+    )
+    plain = features.series_features(df, order="at", chunk_days=100_000, hot_rows=n)
+    cut = features.series_features(df, order="at", chunk_days=100_000, hot_rows=100)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+    from shelfwatch.operators import ordered
+
+    rows = ordered.with_history(df, ["store_nbr", "family"], "at", 14, chunk_days=100_000, hot_rows=100)
+    sizes = rows.groupBy("store_nbr", ordered.CHUNK, ordered.PART).count()
+    assert sizes.agg(F.max("count")).first()[0] < 60
+
+
 def test_nan_sales_count_as_missing(spark):
     data = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), 1, "A", v) for i, v in enumerate([math.nan, 4.0, math.nan, 8.0])]
     got = features.rolling_mean(spark.createDataFrame(data, SCHEMA)).orderBy("date").collect()

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwatch.operators import drift, features, metrics, ordered
+from shelfwatch.operators import asof, drift, features, metrics, ordered
 from shelfwatch.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,6 +64,15 @@ def test_series_features_shuffle_the_rows_once(spark, sales_table):
     assert len(shuffles) == 3  # the rows; and of the tails, one summary per series and one history
 
 
+def test_as_of_join_places_each_side_once(spark, sales_table):
+    features_side = sales_table.select("date", "store_nbr", F.col("sales").alias("known"))
+    asked = sales_table.select("date", "store_nbr", "note")
+    plan = final(asof.pit_join(asked, features_side, ["store_nbr"], "date"))
+    by_stretch = [x for x in plan.splitlines() if "REPARTITION_BY_COL" in x and "Reused" not in x]
+    assert len(by_stretch) == 2  # lookups with features, and what is inherited
+    assert "ReusedExchange" in plan
+
+
 def test_no_group_of_a_series_window_is_larger_than_its_stretch(spark, sales_table):
     rows = ordered.with_history(sales_table, ["store_nbr", "family"], "date", 14, chunk_days=100)
     groups = rows.groupBy("store_nbr", "family", ordered.CHUNK).count()
