@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 TRAIN_RATIO = 0.8
 _MISSING = "\u0000missing"
@@ -14,8 +15,8 @@ MAX_VALUES = 10_000
 N_PIVOTS = 128
 
 
-def _before(col: str, value: object) -> Column:
-    return F.lit(False) if value is None else F.col(col).isNull() | (F.col(col) < F.lit(value))
+def _before(col: str, value: object, literal: Column) -> Column:
+    return F.lit(False) if value is None else F.col(col).isNull() | (F.col(col) < literal)
 
 
 def _sort_key(value: object) -> tuple:
@@ -82,7 +83,9 @@ def split_boundary(
     if not 0 <= ratio <= 1:
         raise ValueError("ratio must lie between 0 and 1")
     levels = [date, *tie_cols]
-    inside = df.select(*levels)
+    # Timestamps go through the driver as microseconds: a local time may name two instants.
+    stamps = [c for c in levels if isinstance(df.schema[c].dataType, TimestampType)]
+    inside = df.select(*[F.unix_micros(c).alias(c) if c in stamps else F.col(c) for c in levels])
     taken: Column = F.lit(False)
     same: Column = F.lit(True)
     wanted = int(df.count() * ratio)
@@ -91,10 +94,10 @@ def split_boundary(
         if wanted == 0:
             return taken
         value, before, n = _cut_value(inside, level, wanted)
-        taken = taken | (same & _before(level, value))
-        here = F.col(level).eqNullSafe(F.lit(value))
-        same = same & here
-        inside = inside.filter(here)
+        literal = F.timestamp_micros(F.lit(value)) if level in stamps and value is not None else F.lit(value)
+        taken = taken | (same & _before(level, value, literal))
+        same = same & F.col(level).eqNullSafe(literal)
+        inside = inside.filter(F.col(level).eqNullSafe(F.lit(value)))
         wanted -= before
         if wanted == n:
             return taken | same

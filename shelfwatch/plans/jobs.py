@@ -16,7 +16,7 @@ from ..operators.forecast import MODEL_VERSION, forecast_requests, rmse, score_t
 from ..operators.models import load_model, save_model, search_params, train_regressor
 from ..operators.split import chrono_split
 from ..session import scratch_path
-from ..sources import format_gauge_lines, scan_eval_jsonl, scan_sales_csv, scan_table, write_feature_table, write_gauge_file
+from ..sources import scan_eval_jsonl, scan_sales_csv, scan_table, write_feature_table, write_gauge_file
 
 
 def feature_job(spark: SparkSession, sales_path: str, out_path: str, exclude_current: bool = False) -> None:
@@ -115,7 +115,6 @@ __all__ = [
     "drift_job",
     "feature_job",
     "forecast_job",
-    "format_gauge_lines",
     "gate_job",
     "stored_features",
     "training_job",

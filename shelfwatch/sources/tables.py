@@ -64,10 +64,10 @@ def feature_table(df: DataFrame) -> DataFrame:
 
 
 def write_feature_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("year",)) -> None:
-    """Write the feature table; rows of one partition value go to as many files as they fill.
+    """Write the feature table.
 
-    Rows are clustered by partition value and store before the write, so a task writes few
-    files; the adaptive planner splits a hot value.
+    Rows are brought together by partition value before the write, so a task writes few
+    files; the adaptive planner splits a value that holds many rows and joins small ones.
     """
     table = feature_table(df) if "event_timestamp" not in df.columns else df.select(*FEATURE_COLUMNS)
     if partition_by:

@@ -54,6 +54,20 @@ def test_rows_that_cannot_be_told_apart(spark):
     assert split.chrono_split(same, ratio=1.0).filter(F.col("split") == "train").count() == 10
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_timestamps_around_a_change_of_the_clock(spark, zone):
+    # 2020-11-01 05:30 UTC and on: the local hour from one to two happens twice in New York.
+    df = spark.range(90).select(F.timestamp_seconds(1604208600 + 120 * F.col("id")).alias("at"), "id")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for ratio in (0.1, 0.35, 0.5, 0.8):
+            got = split.chrono_split(df, "at", ["id"], ratio).filter("split = 'train'").select("id").collect()
+            assert sorted(r["id"] for r in got) == list(range(int(90 * ratio)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_the_split_is_a_predicate(spark):
     df = split.chrono_split(spark.createDataFrame(sales_keys(50, 5), SCHEMA))
     assert "Exchange" not in df._jdf.queryExecution().toString()
