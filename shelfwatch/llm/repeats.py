@@ -228,8 +228,8 @@ def repeated_passages(
     occurrences cover have ``cut``; words of a first occurrence are never cut. Words are
     compared byte by byte and white space does not count. ``digest`` stands for the row's words.
 
-    Documents with the same words are found by their digest: all but the first are cut whole,
-    or not at all if they are shorter than ``min_words``. Null and blank texts and rows with a
+    Documents with the same words are found first, by their digest: all but the first are cut
+    whole, or not at all if they are shorter than ``min_words``, and play no further part. Null and blank texts and rows with a
     null id have no passages. Rows that repeat an id and a text are one document; different
     texts of one id are different documents. No rows give no rows.
     """
