@@ -23,8 +23,8 @@ from .graph import components
 BANDS, ROWS = 32, 4
 #: Buckets of up to so many documents are compared pair by pair.
 SMALL = 64
-#: Rounds of one pivot per large bucket before its rest is searched by rare shingles.
-PIVOT_ROUNDS = 3
+#: Further pivots that each node of a larger bucket is compared with, before rare shingles are searched.
+PIVOTS = 8
 _CHUNK = 1 << 15
 
 
@@ -115,11 +115,31 @@ def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(rows.join(mixed.select("key"), "key"), "open-buckets")
 
 
+def _by_chance(buckets: DataFrame) -> DataFrame:
+    """``PIVOTS`` pairs for each node of a large bucket: with members that a hash picks.
+
+    Every bucket has a few pivots, and a node takes each of them from one of its buckets, so
+    the pairs grow with the nodes, whatever the size of the buckets.
+    """
+    large = buckets.filter(F.col("n") > SMALL).select("key", "node")
+    turns = range(PIVOTS)
+    pivots = large.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(t)), "node")).alias(f"p{t}") for t in turns])
+    chosen = (
+        large.join(pivots, "key")
+        .groupBy("node")
+        .agg(*[F.min(F.struct(F.xxhash64("key", F.lit(t)), F.col(f"p{t}.node").alias("p"))).alias(f"c{t}") for t in turns])
+    )
+    pairs = chosen.select("node", F.explode(F.array_distinct(F.array(*[F.col(f"c{t}.p") for t in turns]))).alias("p"))
+    return pairs.filter("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+
+
 def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of large buckets that may be alike, found without pairing the whole bucket.
 
-    Two sets that are alike enough share one of the rarest ``n - ceil(n * percent / 100) + 1``
-    shingles of each. Only documents outside a shingle's commonest component are paired.
+    In the order from rare to common shingles, two sets that are alike enough have their first
+    shared shingle so early in both that enough shingles are left behind it. Pairs that meet
+    only at later shingles cannot be links. Only documents outside a shingle's commonest
+    component are paired with the others.
     """
     nodes = rows.select("node", "label").distinct()
     shingles = nodes.join(sets, "node").select(
@@ -130,8 +150,8 @@ def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
     prefix = stored(
         shingles.join(often, "shingle")
         .withColumn("rank", rank)
-        .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-        .select("node", "label", "n", "shingle"),
+        .filter((F.col("often") > 1) & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+        .select("node", "label", "n", "shingle", "rank"),
         "rare-shingles",
     )
     per_label = prefix.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("k"))
@@ -141,10 +161,11 @@ def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
     main = main.filter("labels > 1").select("shingle", "main")
     minor = prefix.join(main, "shingle").filter("label <> main").drop("main")
     other = prefix.join(main.select("shingle"), "shingle").select(
-        F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), "shingle"
+        F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rank").alias("rb"), "shingle"
     )
-    near = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent
-    pairs = minor.join(other, "shingle").filter((F.col("label") != F.col("lb")) & near)
+    needed = F.ceil((F.col("n") + F.col("nb")) * percent / (100 + percent))
+    enough = F.least(F.col("n") - F.col("rank"), F.col("nb") - F.col("rb")) + 1 >= needed
+    pairs = minor.join(other, "shingle").filter((F.col("label") != F.col("lb")) & enough)
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
@@ -164,9 +185,9 @@ def near_duplicates(
     is named by its smallest doc_id, and that document is kept.
 
     Documents with equal sets are one node, whatever their number. In a bucket every node is
-    compared with the smallest one first. What that leaves apart is compared pair by pair in
-    buckets of up to ``SMALL`` nodes; larger ones try a few further pivots and then join on
-    rare shingles, which loses no pair and pairs no whole bucket.
+    compared with the smallest one first, in large buckets with a few more. What that leaves
+    apart is compared pair by pair in buckets of up to ``SMALL`` nodes; larger ones are joined
+    on rare shingles, which loses no pair and pairs no whole bucket.
 
     Null or blank texts have no shingles and are linked with nothing. A row with a null id has
     a null component and is kept. Rows that repeat an id are one document: it is linked when
@@ -204,24 +225,10 @@ def near_duplicates(
         .join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         .select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     )
+    pairs = pairs.union(_by_chance(buckets)).distinct()
     links = stored(_confirmed(pairs, sets, percent).union(repeated_ids), "confirmed")
     roots = components(links)
     apart = _labelled(buckets, roots)
-    for turn in range(PIVOT_ROUNDS):
-        large = apart.filter(F.col("n") > SMALL)
-        if large.isEmpty():
-            break
-        by_chance = F.struct(F.xxhash64("node", F.lit(turn)), "node", "label")
-        pivot = large.groupBy("key").agg(F.min(by_chance).alias("p"))
-        pairs = (
-            large.join(pivot, "key")
-            .filter(F.col("label") != F.col("p.label"))
-            .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))
-            .distinct()
-        )
-        links = links.union(stored(_confirmed(pairs, sets, percent), "confirmed"))
-        roots = components(links)
-        apart = _labelled(buckets, roots)
     if not apart.isEmpty():
         small = apart.filter(F.col("n") <= SMALL).select("key", "node", "label")
         other = small.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))

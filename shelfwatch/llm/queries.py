@@ -5,13 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dups, packing, quality, repeats
+from . import (
+    fingerprints,
+    lm_scores,
+    mixing,
+    near_dups,
+    packing,
+    quality,
+    repeats,
+    token_counts,
+    token_shards,
+    vector_search,
+)
+from ..session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    """Path of a public vocabulary file; the box that runs the tasks has them too."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _byte_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return vector_search.nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -20,6 +50,15 @@ def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards and reads them back: one row per record, in the files' own numbers."""
+    path = scratch_path(spark, "shards")
+    token_shards.write_shards(
+        _table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.tiktoken"), _byte_pattern()
+    )
+    return token_shards.read_shards(spark, path)
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
     return sizes.select("doc_id", "size", "source_size", "target", "taken")
@@ -36,6 +75,20 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score_documents(
+        _table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), _byte_pattern()
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.fit_votes(docs, _table(spark, sf_dir, "labels"))
@@ -49,10 +102,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_pack": op2_pack,
     "op3_near_dups": op3_near_dups,
+    "op4_shards": op4_shards,
     "op5_mix": op5_mix,
     "op6_repeats": op6_repeats,
+    "op7_token_counts": op7_token_counts,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_lm_scores": op9_lm_scores,
     "op10_quality": op10_quality,
 }
 
