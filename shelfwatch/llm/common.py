@@ -8,17 +8,21 @@ at once, so a task's memory depends on the slice and on its longest document onl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 #: Bytes of text worked on at once in a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
+#: Rows of texts that go to a Python worker at once.
+TEXT_ROWS = 512
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of ids that may be broadcast: 32 MB of longs.
 BROADCAST_ROWS = 4_000_000
 
@@ -46,8 +50,25 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def narrow_batches(spark: SparkSession) -> None:
+    """Sends texts to Python in small batches, from now on: a batch is bounded in rows only."""
+    spark.conf.set(_BATCH_ROWS, str(TEXT_ROWS))
+
+
+@contextmanager
+def wide_batches(spark: SparkSession, rows: int = 10_000):
+    """Larger batches for rows of a few numbers, while something is written."""
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text): what other columns are called does not matter."""
+    narrow_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

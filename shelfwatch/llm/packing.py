@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import stored
+from .common import stored, wide_batches
 from .mixing import word_count
 
 #: Words of a piece at most, buckets, padded words of a batch at most.
@@ -130,7 +130,8 @@ def pack(
     order = ["bucket_words", "at", "doc_id", "piece"]
     ranged = hashed.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = StructType([*hashed.schema.fields, StructField("part", IntegerType()), StructField("number", LongType())])
-    numbered = stored(ranged.mapInArrow(_numbered, schema), "numbered")
+    with wide_batches(docs.sparkSession):
+        numbered = stored(ranged.mapInArrow(_numbered, schema), "numbered")
     # One row for each task and bucket in it: tasks are in the order of the sort.
     counts = numbered.groupBy("bucket_words", "part").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.partitionBy("bucket_words").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Words, documents_of, slices, text_column
+from .common import Words, documents_of, narrow_batches, slices, text_column
 
 #: Labelled documents that take part at most, chosen by a hash of their id.
 SAMPLE_ROWS = 4_096
@@ -173,6 +173,7 @@ def score_quality(
     empty and very short texts score the share of label 1 among the voters. Text is the only
     input. The model is broadcast: its size is bounded by the sample. No rows give no rows.
     """
+    narrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c.lower() != score_col.lower()]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
@@ -182,7 +183,7 @@ def score_quality(
         for batch in batches:
             texts = text_column(batch.column(at))
             scores = np.zeros(len(texts))
-            for start, end, data, offsets in slices(texts, 1 << 20):
+            for start, end, data, offsets in slices(texts):
                 for a in range(start, end, BLOCK):
                     b = min(a + BLOCK, end)
                     part = offsets[a - start : b - start + 1]

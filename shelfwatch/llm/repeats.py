@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, ByteType, StructField, StructType
 
-from .common import Words, bounded_broadcast, documents_of, list_array, range_hashes, slices, stored, text_column
+from .common import Words, bounded_broadcast, documents_of, list_array, narrow_batches, range_hashes, slices, stored, text_column, wide_batches
 
 #: Words of a passage at least; words of an anchor; anchors of which the smallest is chosen.
 MIN_WORDS, ANCHOR, CHOICE = 50, 5, 20
@@ -173,7 +173,8 @@ def equal_neighbours(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
     ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     flags = [StructField("before", BooleanType()), StructField("after", BooleanType()), StructField("edge", ByteType())]
     schema = StructType([*df.schema.fields, *flags])
-    marked = stored(ranged.mapInArrow(_compare(keys), schema), "neighbours")
+    with wide_batches(spark):
+        marked = stored(ranged.mapInArrow(_compare(keys), schema), "neighbours")
     at_edge = marked.filter("edge > 0")
     ends = at_edge.groupBy(*keys).agg(F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi"))
     place = F.struct(*order)
@@ -313,6 +314,7 @@ def cut_repeats(
     cuts = passages.select("doc_id", "digest", F.filter("spans", lambda s: s["cut"]).alias("spans")).filter(
         F.size("spans") > 0
     )
+    narrow_batches(docs.sparkSession)
     name = "__cuts"
     while name in docs.columns:
         name += "_"
