@@ -136,36 +136,47 @@ def _by_chance(buckets: DataFrame) -> DataFrame:
 def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of large buckets that may be alike, found without pairing the whole bucket.
 
-    In the order from rare to common shingles, two sets that are alike enough have their first
-    shared shingle so early in both that enough shingles are left behind it. Pairs that meet
-    only at later shingles cannot be links. Only documents outside a shingle's commonest
-    component are paired with the others.
+    Of two nodes that share a bucket and are in different components, one at least is outside
+    the bucket's commonest component. In one order of all shingles, rare ones first, two sets
+    that are alike enough have their first shared shingle so early that enough shingles are
+    left behind it; so the first shingles of the nodes outside are looked up among all nodes.
+    How often a shingle occurs is taken from those nodes and an eighth of the others: it
+    makes the order good, any order makes the search complete.
     """
-    nodes = rows.select("node", "label").distinct()
-    shingles = nodes.join(sets, "node").select(
-        "node", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
-    )
-    often = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    per_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = per_label.groupBy("key").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
+    outside = rows.join(main, "key").groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("outside"))
+    nodes = stored(outside.join(sets, "node"), "open-sets").withColumn("n", F.size("shingles"))
+    looked_at = nodes.filter(F.col("outside") | (F.pmod(F.xxhash64("node"), F.lit(8)) == 0))
+    often = looked_at.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    asking = nodes.filter("outside").select("node", "label", "n", F.explode("shingles").alias("shingle"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
     prefix = stored(
-        shingles.join(often, "shingle")
+        asking.join(often, "shingle")
         .withColumn("rank", rank)
-        .filter((F.col("often") > 1) & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+        .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
         .select("node", "label", "n", "shingle", "rank"),
         "rare-shingles",
     )
-    per_label = prefix.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("k"))
-    main = per_label.groupBy("shingle").agg(
-        F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
-    )
-    main = main.filter("labels > 1").select("shingle", "main")
-    minor = prefix.join(main, "shingle").filter("label <> main").drop("main")
-    other = prefix.join(main.select("shingle"), "shingle").select(
-        F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rank").alias("rb"), "shingle"
+    # One bit for each of 2**16 classes of shingles keeps what nobody asks for from being unpacked.
+    place = F.shiftright("shingle", 6).bitwiseAND(F.lit(1023)).cast("int")
+    bits = prefix.groupBy(place.alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shingle & 63 as int))")).alias("w"))
+    words = dict(bits.collect())  # at most 1,024 rows
+    asked = F.array(*[F.lit(words.get(k, 0)).cast("bigint") for k in range(1024)])
+
+    def wanted(s):
+        word = F.get(asked, F.shiftright(s, 6).bitwiseAND(F.lit(1023)).cast("int"))
+        return F.call_function("shiftright", word, s.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    other = nodes.select(
+        F.col("node").alias("b"),
+        F.col("label").alias("lb"),
+        F.col("n").alias("nb"),
+        F.explode(F.filter("shingles", wanted)).alias("shingle"),
     )
     needed = F.ceil((F.col("n") + F.col("nb")) * percent / (100 + percent))
-    enough = F.least(F.col("n") - F.col("rank"), F.col("nb") - F.col("rb")) + 1 >= needed
-    pairs = minor.join(other, "shingle").filter((F.col("label") != F.col("lb")) & enough)
+    enough = (F.col("n") - F.col("rank") + 1 >= needed) & (F.col("nb") >= needed)
+    pairs = prefix.join(other, "shingle").filter((F.col("label") != F.col("lb")) & enough)
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 

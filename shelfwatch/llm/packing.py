@@ -60,7 +60,9 @@ def pieces(
     """Rows (doc_id, piece, first_word, n_words): documents cut into at most ``max_length`` words."""
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_count(F.col(text_col)).alias("size"))
     last = F.floor((F.col("size") - 1) / max_length)
-    cut = sized.filter("size > 0").select("doc_id", "size", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+    # No filter on the size: it would be pushed below and count the words twice.
+    places = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last))
+    cut = sized.select("doc_id", "size", F.explode(places).alias("piece"))
     first = F.col("piece") * max_length
     return cut.select(
         "doc_id",
