@@ -9,8 +9,8 @@ from __future__ import annotations
 import numpy as np
 
 #: Positions of a window, positions that are context only, vector size, hidden size.
-SPAN, OVERLAP, SIZE, HIDDEN = 32, 8, 16, 32
-_MASK = np.triu(np.full((SPAN, SPAN), -1e9, np.float32), 1)
+SPAN, OVERLAP, SIZE, HIDDEN = 32, 4, 16, 32
+_SEEN = np.tril(np.ones((SPAN, SPAN), np.float32))
 
 
 def shapes(inputs: int, classes: int) -> dict[str, tuple[int, ...]]:
@@ -52,56 +52,58 @@ def unpack(vector: np.ndarray, inputs: int, classes: int) -> dict[str, np.ndarra
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
-
-
-def forward(w: dict[str, np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Class probabilities (windows, positions, classes) and what the backward step needs."""
-    x = w["embed"][tokens] + w["place"]
-    q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-    near = _softmax(q @ k.transpose(0, 2, 1) * np.float32(SIZE**-0.5) + _MASK)
-    seen = near @ v
+def _logits(w: dict[str, np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, dict]:
+    """Class logits, a row per position, and what the backward step needs. All but the attention
+    itself is a product of two matrices."""
+    n = tokens.size
+    x = (w["embed"][tokens] + w["place"]).reshape(n, SIZE)
+    cube = lambda a: a.reshape(-1, SPAN, SIZE)
+    q, k, v = cube(x @ w["q"]), cube(x @ w["k"]), cube(x @ w["v"])
+    near = np.exp(np.minimum(q @ k.transpose(0, 2, 1) * np.float32(SIZE**-0.5), 60)) * _SEEN
+    near /= near.sum(axis=-1, keepdims=True)
+    seen = (near @ v).reshape(n, SIZE)
     h = x + seen @ w["mixed"]
     hidden = np.maximum(h @ w["up"] + w["up_bias"], 0)
     y = h + hidden @ w["down"]
-    p = _softmax(y @ w["out"] + w["out_bias"])
-    return p, {"x": x, "q": q, "k": k, "v": v, "near": near, "seen": seen, "h": h, "hidden": hidden, "y": y}
+    logits = np.clip(y @ w["out"] + w["out_bias"], -60, 60)
+    return logits, {"x": x, "q": q, "k": k, "v": v, "near": near, "seen": seen, "h": h, "hidden": hidden, "y": y}
 
 
 def class_log10(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """log10 probability of each target class, window by window."""
-    p, _ = forward(w, tokens)
-    return np.log10(np.maximum(np.take_along_axis(p, targets[:, :, None], axis=2)[:, :, 0], 1e-30))
+    logits, _ = _logits(w, tokens)
+    own = logits[np.arange(len(logits)), targets.ravel()]
+    np.exp(logits, out=logits)
+    return ((own - np.log(logits.sum(axis=1))) / np.log(10)).reshape(targets.shape)
 
 
 def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
     """Gradient of the mean cross-entropy over the counted positions."""
-    p, s = forward(w, tokens)
-    flat = lambda a: a.reshape(-1, a.shape[-1])
-    np.put_along_axis(p, targets[:, :, None], np.take_along_axis(p, targets[:, :, None], 2) - 1, 2)
-    d = p * (counted / max(1, counted.sum()))[:, :, None].astype(np.float32)
-    g = {"out": flat(s["y"]).T @ flat(d), "out_bias": flat(d).sum(0)}
+    d, s = _logits(w, tokens)
+    np.exp(d, out=d)
+    d /= d.sum(axis=1, keepdims=True)
+    d[np.arange(len(d)), targets.ravel()] -= 1
+    d *= (counted.ravel() / max(1, counted.sum())).astype(d.dtype)[:, None]
+    g = {"out": s["y"].T @ d, "out_bias": d.sum(0)}
     dy = d @ w["out"].T
     dhidden = (dy @ w["down"].T) * (s["hidden"] > 0)
-    g["down"] = flat(s["hidden"]).T @ flat(dy)
-    g["up"], g["up_bias"] = flat(s["h"]).T @ flat(dhidden), flat(dhidden).sum(0)
+    g["down"] = s["hidden"].T @ dy
+    g["up"], g["up_bias"] = s["h"].T @ dhidden, dhidden.sum(0)
     dh = dy + dhidden @ w["up"].T
-    g["mixed"] = flat(s["seen"]).T @ flat(dh)
-    dseen = dh @ w["mixed"].T
+    g["mixed"] = s["seen"].T @ dh
+    dseen = (dh @ w["mixed"].T).reshape(s["v"].shape)
     dnear = dseen @ s["v"].transpose(0, 2, 1)
     dv = s["near"].transpose(0, 2, 1) @ dseen
     dscore = s["near"] * (dnear - (dnear * s["near"]).sum(-1, keepdims=True)) * np.float32(SIZE**-0.5)
     dq, dk = dscore @ s["k"], dscore.transpose(0, 2, 1) @ s["q"]
+    dx = dh
     for name, part in (("q", dq), ("k", dk), ("v", dv)):
-        g[name] = flat(s["x"]).T @ flat(part)
-    dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
-    g["place"] = dx.sum(0)
-    at, rows = tokens.ravel(), flat(dx)
-    g["embed"] = np.stack([np.bincount(at, rows[:, j], len(w["embed"])) for j in range(SIZE)], 1).astype(np.float32)
+        part = part.reshape(-1, SIZE)
+        g[name] = s["x"].T @ part
+        dx = dx + part @ w[name].T
+    g["place"] = dx.reshape(-1, SPAN, SIZE).sum(0)
+    at = tokens.ravel()
+    g["embed"] = np.stack([np.bincount(at, dx[:, j], len(w["embed"])) for j in range(SIZE)], 1).astype(dx.dtype)
     return g
 
 

@@ -23,11 +23,11 @@ from .common import Words, bounded_broadcast, documents_of, slices, stored, text
 from .token_shards import byte_encoder
 
 #: Words whose counts every task holds; rarer ones are joined.
-DICTIONARY = 1_000_000
+DICTIONARY = 300_000
 #: Subwords with an input vector of their own, single-subword classes, classes in all.
-INPUTS, SINGLE, CLASSES = 2_047, 64, 96
+INPUTS, SINGLE, CLASSES = 2_047, 40, 64
 #: Training rounds; of every so many windows of a document one is learned from in each round.
-TRAIN_ROUNDS, EVERY, BATCH = 2, 8, 32
+TRAIN_ROUNDS, EVERY, BATCH = 1, 24, 32
 END_ID = 50_256
 END_KEY = np.uint64(0x9AE16A3B2F90404F)
 _REMEMBERED = 600_000
@@ -200,7 +200,7 @@ def _trained(shared, part: int):
                 ids, word = table.subwords(places)
                 sizes = np.bincount(of[word], minlength=words.docs)
                 tokens, targets, scored, _ = model.batches(ids, sizes)
-                # Every eighth window of the stream, another one in each round.
+                # Every so many windows of the stream, others in each round.
                 mine = np.arange(len(tokens)) % EVERY == part * 3 % EVERY
                 waiting.append((tokens[mine], targets[mine], scored[mine]))
                 learn(32 * BATCH)
@@ -249,8 +249,8 @@ def _scored(shared):
                 sizes = np.bincount(of[word], minlength=words.docs)
                 tokens, targets, scored, at = model.batches(ids, sizes)
                 log10 = model.within[ids]
-                for a in range(0, len(tokens), 512):
-                    b = a + 512
+                for a in range(0, len(tokens), 64):
+                    b = a + 64
                     part = class_log10(weights, tokens[a:b], targets[a:b])
                     log10[at[a:b][scored[a:b]]] += part[scored[a:b]]
                 by_word = np.bincount(word, log10, len(keys))
