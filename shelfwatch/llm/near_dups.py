@@ -212,7 +212,7 @@ def near_duplicates(
         base.join(classes, "set_key", "left").select(
             "doc_id",
             "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"),
+            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"),
             F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands"),
         ),
         "members",
