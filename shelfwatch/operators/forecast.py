@@ -19,8 +19,6 @@ DEFAULT_FAMILY = "GROCERY I"
 DEFAULT_ONPROMOTION = 0
 DEFAULT_HORIZON = 30
 MODEL_VERSION = "1.0.0"
-# A bound on the rows one request turns into; ten years of days.
-MAX_HORIZON = 3650
 
 REQUEST_PARAMS = ("store_nbr", "family", "onpromotion", "base_date", "days_ahead")
 
@@ -39,12 +37,12 @@ def check_requests(
     df: DataFrame,
     default_horizon: int = DEFAULT_HORIZON,
     base_date: str | None = None,
-    max_horizon: int = MAX_HORIZON,
+    max_horizon: int | None = None,
 ) -> DataFrame:
     """Typed request columns, ``raw`` and ``reason``; works on batches and streams.
 
     A missing value takes its default. A value of the wrong type makes ``reason`` name its
-    fields; it is null for good rows.
+    fields; it is null for good rows. A horizon is free unless ``max_horizon`` bounds it.
     """
     today = F.to_date(F.lit(base_date)) if base_date else F.current_date()
     given = {c: (F.col(c) if c in df.columns else F.lit(None)) for c in REQUEST_PARAMS}
@@ -60,7 +58,8 @@ def check_requests(
         typed[col] = F.coalesce(parsed, F.lit(default).cast(kind))
     date = given["base_date"].try_cast("date")
     bad.append(F.when(given["base_date"].isNotNull() & date.isNull(), "base_date"))
-    bad.append(F.when(typed["days_ahead"] > max_horizon, "days_ahead"))
+    if max_horizon is not None:
+        bad.append(F.when(typed["days_ahead"] > max_horizon, "days_ahead"))
     typed["base_date"] = F.coalesce(date, today)
     typed["family"] = F.coalesce(given["family"].cast("string"), F.lit(DEFAULT_FAMILY))
 
@@ -86,7 +85,7 @@ def validate_requests(
     df: DataFrame,
     default_horizon: int = DEFAULT_HORIZON,
     base_date: str | None = None,
-    max_horizon: int = MAX_HORIZON,
+    max_horizon: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid requests, quarantine)."""
     return split_checked(check_requests(df, default_horizon, base_date, max_horizon))
@@ -163,7 +162,10 @@ def forecast_requests(
         .agg(F.array_sort(F.collect_list(F.struct("step", "yhat"))).alias("__steps"))
         .select(*params, F.col("__steps.yhat").alias("forecast"))
     )
-    joined = requests.select(request_id, *params).join(forecasts, params, "left")
+    asked = requests.select(request_id, *params)
+    # Null-safe, so that a request with a null parameter finds its forecast.
+    same = [asked[p].eqNullSafe(forecasts[p]) for p in params]
+    joined = asked.join(forecasts, same, "left").select(request_id, "forecast")
     empty = F.array().cast("array<double>")
     return joined.select(
         request_id, F.coalesce("forecast", empty).alias("forecast"), *answer, F.lit("ok").alias("status")

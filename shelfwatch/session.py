@@ -35,7 +35,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if named:
         return named
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="shelfwatch-")
     spark.conf.set("spark.checkpoint.dir", folder)

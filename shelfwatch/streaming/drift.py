@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import drift_band
 from ..operators.drift import EPSILON, N_BINS, bin_of, column_kinds, histogram_counts, long_form, quantile_edges
-from ..session import scratch_path
-from .tables import batch_folder
+from .tables import batch_folder, checkpoint_beside
 
 OTHER = "\u0000other"
 
@@ -87,15 +87,22 @@ def _long_with_time(log: DataFrame, cols: Sequence[str], kind: str, ts: str) ->
 
 def window_psi(counts: DataFrame, bins: DataFrame, eps: float = EPSILON) -> DataFrame:
     """Rows (window_start, window_end, feature, psi, band) from the bin counts of whole windows."""
+    def term(cur_share):
+        return (cur_share - F.col("ref_share")) * F.log(cur_share / F.col("ref_share"))
+
+    # The index of a window without rows, once per column; each bin that a window has rows in
+    # then changes its own term. So the work grows with the bins seen, not with all of them.
+    ref_share = (F.col("ref_n") / F.col("ref_rows") + eps).alias("ref_share")
+    terms = bins.select("feature", "bin", ref_share).withColumn("empty", term(F.lit(eps)))
+    base = terms.groupBy("feature").agg(F.sum("empty").alias("base"))
     totals = counts.groupBy("w", "feature").agg(F.sum("cur_n").alias("cur_rows"))
-    wanted = totals.join(bins.drop("edges"), "feature")
-    filled = wanted.join(counts, ["w", "feature", "bin"], "left")
-    cur_share = F.coalesce("cur_n", F.lit(0)) / F.col("cur_rows") + eps
-    ref_share = F.col("ref_n") / F.col("ref_rows") + eps
-    term = (cur_share - ref_share) * F.log(cur_share / ref_share)
+    seen = counts.join(totals, ["w", "feature"]).join(terms, ["feature", "bin"], "left")
+    change = F.coalesce(term(F.col("cur_n") / F.col("cur_rows") + eps) - F.col("empty"), F.lit(0.0))
     return (
-        filled.groupBy("w", "feature")
-        .agg(F.round(F.sum(term), 6).alias("psi"))
+        seen.groupBy("w", "feature")
+        .agg(F.sum(change).alias("change"))
+        .join(F.broadcast(base), "feature")
+        .withColumn("psi", F.round(F.col("base") + F.col("change"), 6))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
@@ -121,13 +128,18 @@ def psi_stream(
 ) -> StreamingQuery:
     """Append the index of every window once it is closed, one folder per batch.
 
-    The reference is binned once and written to the shared folder; batches read that table.
+    The reference is binned once, beside the checkpoint, and a restart goes on with the same
+    bins; the checkpoint stands beside ``path`` unless one is named. Batches read the bins' table.
     All rows of a window leave the state in one batch, so each window is compared whole.
     """
     spark = stream.sparkSession
-    table = scratch_path(spark, "reference-bins")
-    reference_bins(ref, cols, n_bins).write.parquet(table)
-    bins = spark.read.parquet(table)
+    checkpoint = checkpoint or checkpoint_beside(path)
+    table = f"{checkpoint.rstrip('/')}_bins"
+    try:
+        bins = spark.read.parquet(table)
+    except AnalysisException:
+        reference_bins(ref, cols, n_bins).write.mode("overwrite").parquet(table)
+        bins = spark.read.parquet(table)
     counts = window_bin_counts(stream, bins, cols, length, slide, watermark, n_bins=n_bins)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -140,6 +152,6 @@ def psi_stream(
     writer = (
         counts.writeStream.outputMode("append")
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
+        .option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()

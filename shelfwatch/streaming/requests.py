@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.forecast import DEFAULT_HORIZON, check_requests, split_checked
-from ..session import scratch_path
-from .tables import batch_folder
+from .tables import batch_folder, checkpoint_beside
 
 
 def validate_stream(
@@ -19,9 +18,13 @@ def validate_stream(
     base_date: str | None = None,
     once: bool = False,
     every: str = "1 minute",
+    max_horizon: int | None = None,
 ) -> StreamingQuery:
-    """Write good requests and quarantined ones to their tables, one folder per batch."""
-    checked = check_requests(stream, default_horizon, base_date)
+    """Write good requests and quarantined ones to their tables, one folder per batch.
+
+    Unless a checkpoint is named, it stands beside the table of good requests; a restart goes on from it.
+    """
+    checked = check_requests(stream, default_horizon, base_date, max_horizon)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -33,6 +36,6 @@ def validate_stream(
             batch.unpersist()
 
     writer = checked.writeStream.foreachBatch(write).option(
-        "checkpointLocation", checkpoint or scratch_path(stream.sparkSession, "stream")
+        "checkpointLocation", checkpoint or checkpoint_beside(ok_path)
     )
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..session import scratch_path
 
 
 def read_log_stream(
@@ -30,18 +29,26 @@ def append_table(
 ) -> StreamingQuery:
     """Append finished rows to a Parquet table; ``once`` drains what is there and stops.
 
+    Unless one is named, the checkpoint stands beside the table, so that a restart goes on
+    where the last run ended: the sink skips batches that it has already written.
+
     The file sink lists its files per batch, so a batch that is run again after a lost
     executor adds nothing twice.
     """
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", checkpoint or scratch_path(stream.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint or checkpoint_beside(path))
         .option("path", path)
     )
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
+def checkpoint_beside(path: str) -> str:
+    """Where a stream into ``path`` keeps its progress when no place is named."""
+    return f"{path.rstrip('/')}_checkpoint"
+
+
 def batch_folder(path: str, batch_id: int) -> str:
     """One folder per batch, overwritten when the batch is run again."""
     return f"{path.rstrip('/')}/batch={batch_id}"

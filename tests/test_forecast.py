@@ -27,7 +27,8 @@ def test_defaults_and_quarantine(spark):
         ],
         RAW,
     )
-    good, bad = forecast.validate_requests(df, base_date="2017-08-16")
+    assert forecast.validate_requests(df)[0].filter("days_ahead = 99999").count() == 1
+    good, bad = forecast.validate_requests(df, base_date="2017-08-16", max_horizon=3650)
     got = {r["request_id"]: tuple(r)[1:] for r in good.collect()}
     assert got == {
         "ok": (3, "DAIRY", 1, DAY, 7),

@@ -91,3 +91,32 @@ def test_validate_stream(spark, tmp_path):
     good = {r["request_id"]: (r["store_nbr"], r["days_ahead"]) for r in spark.read.parquet(ok).collect()}
     assert good == {"a": (1, 30), "c": (1, 4)}
     assert [r["reason"] for r in spark.read.parquet(bad).collect()] == ["invalid: store_nbr"]
+
+
+def test_a_restart_without_a_named_checkpoint_loses_nothing(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "rows")
+    write_log(spark, log, [(i, "success", 0.1) for i in range(10)])
+    append_table(read_log_stream(spark, log, SCHEMA), out, once=True).awaitTermination()
+    write_log(spark, log, [(i, "success", 0.1) for i in range(50)])
+    append_table(read_log_stream(spark, log, SCHEMA), out, once=True).awaitTermination()
+    assert spark.read.schema(SCHEMA).parquet(out).count() == 60
+
+
+def test_requests_and_drift_survive_a_restart(spark, tmp_path):
+    asked, ok, bad = str(tmp_path / "asked"), str(tmp_path / "ok"), str(tmp_path / "bad")
+    schema = "request_id string, store_nbr long, days_ahead int"
+    for n in (10, 50):
+        spark.range(n).selectExpr("cast(id as string) request_id", "id store_nbr", "5000 days_ahead").coalesce(1).write.mode(
+            "append"
+        ).parquet(asked)
+        validate_stream(read_log_stream(spark, asked, schema), ok, bad, once=True).awaitTermination()
+    assert spark.read.parquet(ok).count() == 60
+
+    log, out = str(tmp_path / "values"), str(tmp_path / "psi")
+    windows = []
+    for shift in (0, 86400):
+        sample(spark, 600, 10.0, shift).coalesce(1).write.mode("append").parquet(log)
+        stream = read_log_stream(spark, log, "ts timestamp, value double, kind string")
+        psi_stream(stream, sample(spark, 500), ["value", "kind"], out, watermark="1 minute", once=True).awaitTermination()
+        windows.append(spark.read.parquet(out).select("window_start", "feature").distinct().count())
+    assert windows[1] > windows[0] + 10
