@@ -25,6 +25,8 @@ BANDS, ROWS = 32, 4
 SMALL = 64
 #: Further pivots that each node of a larger bucket is compared with, before rare shingles are searched.
 PIVOTS = 8
+#: Shingles at most whose place in the order is broadcast.
+COMMON = 1 << 16
 _CHUNK = 1 << 15
 
 
@@ -133,6 +135,41 @@ def _by_chance(buckets: DataFrame) -> DataFrame:
     return pairs.filter("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
 
 
+def _parted(shared, percent: int):
+    """Each node's shingles that are not common, and of the common ones, in order, those still in its prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.argsort(shared.value)
+        known = shared.value[place]
+        for batch in batches:
+            column = batch.column(2)
+            sizes = np.diff(column.offsets.to_numpy()).astype(np.int64)
+            flat = column.flatten().to_numpy()
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+            is_common = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+            rare = np.bincount(of[~is_common], minlength=len(sizes))
+            late_of, late_place = of[is_common], place[at[is_common]]
+            order = np.lexsort((late_place, late_of))
+            late_of, late = late_of[order], flat[is_common][order]
+            commons = sizes - rare
+            within = np.arange(len(late)) - np.repeat(np.cumsum(commons) - commons, commons)
+            room = sizes - -(-sizes * percent // 100) + 1 - rare
+            kept = within < room[late_of]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(sizes),
+                    list_array(flat[~is_common], rare, pa.int64()),
+                    list_array(late[kept], np.bincount(late_of[kept], minlength=len(sizes)), pa.int64()),
+                ],
+                names=["node", "label", "n", "rare", "late"],
+            )
+
+    return run
+
+
 def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of large buckets that may be alike, found without pairing the whole bucket.
 
@@ -141,7 +178,9 @@ def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
     that are alike enough have their first shared shingle so early that enough shingles are
     left behind it; so the first shingles of the nodes outside are looked up among all nodes.
     How often a shingle occurs is taken from those nodes and an eighth of the others: it
-    makes the order good, any order makes the search complete.
+    makes the order good, any order makes the search complete. The commonest shingles come
+    last by a broadcast list of at most ``COMMON``, so that no shuffle is dealt by them; the
+    counts of the others are joined.
     """
     per_label = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     main = per_label.groupBy("key").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
@@ -149,15 +188,24 @@ def _by_rare_shingles(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
     nodes = stored(outside.join(sets, "node"), "open-sets").withColumn("n", F.size("shingles"))
     looked_at = nodes.filter(F.col("outside") | (F.pmod(F.xxhash64("node"), F.lit(8)) == 0))
     often = looked_at.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    asking = nodes.filter("outside").select("node", "label", "n", F.explode("shingles").alias("shingle"))
+    # A shingle with one in COMMON of all rows or more is common, so there are at most COMMON of them.
+    often = stored(often, "shingle-counts")
+    total = often.agg(F.coalesce(F.sum("often"), F.lit(0))).first()[0]
+    common = often.filter(F.col("often") * COMMON >= total).orderBy("often", "shingle").toPandas()
+    shared = rows.sparkSession.sparkContext.broadcast(common["shingle"].to_numpy(np.int64))
+    schema = "node long, label long, n long, rare array<long>, late array<long>"
+    asking = stored(nodes.filter("outside").select("node", "label", "shingles").mapInArrow(_parted(shared, percent), schema), "asking")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
-    prefix = stored(
-        asking.join(often, "shingle")
+    first = (
+        asking.select("node", "label", "n", F.explode("rare").alias("shingle"))
+        .join(often, "shingle")
         .withColumn("rank", rank)
         .filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-        .select("node", "label", "n", "shingle", "rank"),
-        "rare-shingles",
+        .select("node", "label", "n", "shingle", "rank")
     )
+    late = asking.select("node", "label", "n", F.size("rare").alias("before"), F.posexplode("late").alias("at", "shingle"))
+    late = late.select("node", "label", "n", "shingle", (F.col("before") + F.col("at") + 1).alias("rank"))
+    prefix = stored(first.unionByName(late), "rare-shingles")
     # One bit for each of 2**16 classes of shingles keeps what nobody asks for from being unpacked.
     place = F.shiftright("shingle", 6).bitwiseAND(F.lit(1023)).cast("int")
     bits = prefix.groupBy(place.alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shingle & 63 as int))")).alias("w"))
