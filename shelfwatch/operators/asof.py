@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
-from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, hot_stretch_cuts, place_in_parts, stretch_of, time_chunk
+from .ordered import CHUNK, CHUNK_DAYS, HOT_ROWS, cut_hot_stretches, stretch_of, time_chunk
 
 
 def pit_join(
@@ -45,14 +45,6 @@ def pit_join(
         present = present & F.col(k).isNotNull()
     features, lookups = features.filter(present), entities.filter(present)
 
-    def stretches(df: DataFrame) -> DataFrame:
-        return df.select(*keys, F.col(time_col).alias(at), time_chunk(F.col(time_col), chunk_days).alias(CHUNK))
-
-    # A stretch of dates has no more of them than days; one of timestamps may have any number.
-    cuts = None
-    if not isinstance(entities.schema[time_col].dataType, DateType):
-        cuts = hot_stretch_cuts(stretches(lookups).unionByName(stretches(features)), keys, at, hot_rows)
-
     # At one time the feature row (side 0) goes before the lookup (side 1).
     order = [*tie_cols, *[c for c in values if c not in tie_cols]]
     known = (
@@ -62,7 +54,9 @@ def pit_join(
     )
     asked = lookups.select(*keys, F.col(time_col).alias(at)).distinct().withColumn("__side", F.lit(1))
     sides = known.unionByName(asked, allowMissingColumns=True).withColumn(CHUNK, time_chunk(F.col(at), chunk_days))
-    sides = place_in_parts(sides, keys, at, cuts)
+    # A stretch of dates has no more of them than days; one of timestamps may have any number.
+    if not isinstance(sides.schema[at].dataType, DateType):
+        sides = cut_hot_stretches(sides, keys, [at, "__side"], hot_rows)
     parts = stretch_of(sides)
     stretch = [*keys, *parts]
     sides = sides.repartition(*stretch)

@@ -8,13 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
-from pyspark.sql.window import Window
 
 from ..functions import days_to_holiday
-from .ordered import CHUNK, CHUNK_DAYS, HISTORY, HOT_ROWS, chunk_window, time_chunk, with_history, without_history
+from .ordered import CHUNK_DAYS, HOT_ROWS, chunk_window, with_history, without_history
 
 SERIES_KEYS = ("store_nbr", "family")
-MAX_CATEGORIES = 10_000
 
 
 def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
@@ -111,35 +109,40 @@ def calendar_lag(
     date: str = "date",
     value: str = "sales",
     days: Sequence[int] = (7, 14),
-    chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
     """``day_lag_k``: the value k calendar days earlier, 0 where the series has no such day.
 
-    The last days of a stretch are sent to the next stretch as well, so one shuffle suffices.
+    Values are added up per series and day before their shuffle, and each sum is sent to the
+    days that look back at it; the rows then join on series and day, where adaptive execution
+    can split a hot day. Rows without a date get 0.
     """
-    if not days or min(days) < 1 or max(days) > chunk_days:
-        raise ValueError("days must lie between 1 and chunk_days")
+    if not days or min(days) < 1:
+        raise ValueError("days must be at least 1")
     day = F.unix_date(F.to_date(F.col(date))).cast("long")
-    home = time_chunk(F.col(date), chunk_days)
-    near_end = F.pmod(day, F.lit(chunk_days)) >= chunk_days - max(days)
-    targets = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
-    rows = (
-        df.withColumn("__day", day)
-        .withColumn("__home", home)
-        .withColumn(CHUNK, F.explode(targets))
-        .withColumn(HISTORY, ~F.col(CHUNK).eqNullSafe(F.col("__home")))
+    names = [f"__key_{i}" for i in range(len(keys))]
+    sums = (
+        df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], day.alias("__day"), _number(value).alias("__v"))
+        .filter(F.col("__day").isNotNull() & F.col("__v").isNotNull())
+        .groupBy(*names, "__day")
+        .agg(F.sum("__v").alias("__v"))
     )
-    window = Window.partitionBy(*keys, CHUNK).orderBy("__day")
-    features = {
-        f"day_lag_{k}": F.coalesce(F.sum(_number(value)).over(window.rangeBetween(-k, -k)), F.lit(0.0)) for k in days
-    }
-    return without_history(rows.select("*", *[c.alias(name) for name, c in features.items()])).drop("__day", "__home")
-
-
-def fitted_categories(df: DataFrame, col: str = "family", limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values; fails beyond ``limit`` rather than collecting without bound."""
-    rows = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+    seen = (
+        sums.withColumn("__back", F.explode(F.array(*[F.lit(k) for k in sorted(set(days))])))
+        .groupBy(*names, (F.col("__day") + F.col("__back")).alias("__to"))
+        .agg(*[F.sum(F.when(F.col("__back") == k, F.col("__v"))).alias(f"__lag_{k}") for k in sorted(set(days))])
+    )
+    same = F.col("__day") == F.col("__to")
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    joined = df.withColumn("__day", day).join(seen, same, "left")
+    return joined.select(*df.columns, *[F.coalesce(f"__lag_{k}", F.lit(0.0)).alias(f"day_lag_{k}") for k in days])
+
+
+def fitted_categories(df: DataFrame, col: str = "family", limit: int | None = None) -> list[str]:
+    """Sorted distinct values, each of which becomes a column; a ``limit`` fails beyond it."""
+    values = df.select(col).filter(F.col(col).isNotNull()).distinct()
+    rows = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"{col} has more than {limit} categories")
     return sorted(row[0] for row in rows)
 

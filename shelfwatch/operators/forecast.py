@@ -134,10 +134,13 @@ def forecast_requests(
     model: Transformer | Callable[[DataFrame], DataFrame] | None = None,
     version: str = MODEL_VERSION,
     request_id: str = "request_id",
-    sales_hint: float = 0.0,
+    sales_hint: float | str = 0.0,
 ) -> DataFrame:
     """Rows (request_id, forecast, model_version, prediction_id, status).
 
+    ``sales_hint`` is the recent sale that a request's history repeats: one number for all
+    requests, or the column that holds each request's own; a missing one counts as 0.
+
     ``model`` is a fitted pipeline, or a function that adds ``yhat`` to feature rows. Without
     one the forecast is zeros and the status ``no_model``.
 
@@ -155,6 +158,9 @@ def forecast_requests(
         return requests.select(request_id, zeros.alias("forecast"), *answer, F.lit("no_model").alias("status"))
 
     params = list(REQUEST_PARAMS)
+    if isinstance(sales_hint, str):
+        params.append(sales_hint)
+        sales_hint = F.coalesce(F.col(sales_hint).cast("double"), F.lit(0.0))
     rows = expand_horizon(requests.select(*params).distinct(), sales_hint)
     scored = score_table(model, rows) if isinstance(model, Transformer) else model(rows)
     forecasts = (

@@ -12,8 +12,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .features import MAX_CATEGORIES, fitted_categories
-
+# What the model reads.
 FEATURES = (
     "store_nbr",
     "onpromotion",
@@ -62,8 +61,6 @@ def train_regressor(
     trees are fitted again with it. The encoder sees the training rows only.
     """
     settings = {**DEFAULT_PARAMS, **(params or {})}
-    if category:
-        fitted_categories(train, category, MAX_CATEGORIES)
     needed = [*features, *([category] if category else []), label]
     rows = train.select(*needed).filter(F.col(label).isNotNull())
     model = Pipeline(stages=_stages(features, label, category, settings)).fit(rows)

@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 from pyspark.sql.window import Window
 
+from ..session import scratch_path
+
 CHUNK_DAYS = 256
 CHUNK = "__chunk"
 HISTORY = "__history"
 PART = "__part"
+# Rows that one task may sort, and parts that a larger stretch is cut into at a time.
 HOT_ROWS = 1_000_000
-MAX_HOT = 1000
+N_PARTS = 32
 
 
 def time_chunk(time: Column, chunk_days: int) -> Column:
@@ -53,8 +56,9 @@ def with_history(
     is hash-partitioned by series and stretch, so a window on them needs no further shuffle.
     ``time`` and ``tie_cols`` together order the rows of a series.
 
-    A series of dates has one row a day, so a chunk of it is no longer than its days. In a
-    series of timestamps a chunk with more than ``hot_rows`` rows is cut into parts first.
+    A series of dates without ``tie_cols`` has one row a day, so a chunk of it is no longer
+    than its days. In any other series a chunk with more than ``hot_rows`` rows is cut into
+    parts first, by time and ``tie_cols``.
 
     The full rows are shuffled once: the tails read the same exchange as the main branch
     (which is why they carry every column), and what they shuffle themselves is at most
@@ -65,10 +69,8 @@ def with_history(
     columns = df.columns
     order = [time, *tie_cols]
     placed = df.withColumn(CHUNK, time_chunk(F.col(time), chunk_days))
-    cuts = None
-    if not isinstance(df.schema[time].dataType, DateType):
-        cuts = hot_stretch_cuts(placed, keys, time, hot_rows)
-    placed = place_in_parts(placed, keys, time, cuts)
+    if tie_cols or not isinstance(df.schema[time].dataType, DateType):
+        placed = cut_hot_stretches(placed, keys, order, hot_rows)
     parts = stretch_of(placed)
     placed = placed.repartition(*keys, *parts)
 
@@ -92,45 +94,51 @@ def with_history(
     return placed.withColumn(HISTORY, F.lit(False)).unionByName(history)
 
 
-def hot_stretch_cuts(
-    df: DataFrame, keys: Sequence[str], time: str, hot_rows: int, n_parts: int = 64
-) -> DataFrame | None:
-    """Rows (keys, __chunk, __cuts) of stretches with more than ``hot_rows`` rows; None without any.
+def cut_hot_stretches(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Add ``__part`` where stretches have more than ``hot_rows`` rows; parts follow ``order``.
 
-    The cuts are quantiles of the time, so parts between them are of about one size. At most
-    MAX_HOT stretches are cut, the largest ones: any other holds less than one in MAX_HOT of
-    the rows. Runs one aggregate, which returns at most that many rows.
+    A hot stretch is cut at the least value, the greatest and some that a hash picks, and so
+    are its parts until none is hot, whatever the number of rows and of hot stretches. Only
+    rows that are equal in ``order`` stay together. One aggregate says whether there is
+    anything to cut; cuts are written to the shared folder. Without hot stretches there is no
+    such column: a constant in a partitioning would hide from the planner that the rows are
+    already where a window needs them.
     """
-    cell = [*keys, CHUNK]
-    sizes = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    hot = sizes.orderBy(F.desc("__n"), *cell).limit(MAX_HOT).select(*cell)
-    found = hot.collect()
-    if not found:
-        return None
-    hot = df.sparkSession.createDataFrame(found, hot.schema)
-    clock = F.unix_micros(F.col(time).cast("timestamp"))
-    fractions = [i / n_parts for i in range(1, n_parts)]
-    return (
-        df.join(F.broadcast(hot), cell, "left_semi")
-        .groupBy(*cell)
-        .agg(F.percentile_approx(clock, fractions, 50 * n_parts).alias("__cuts"))
-    )
-
+    at = F.struct(*order)
+    while True:
+        cell = [*keys, *stretch_of(df)]
+        hot = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+        if hot.isEmpty():
+            return df
+        hot = hot.select(*[F.col(c).alias(f"__hot_{c}") for c in cell])
+        picked = [F.min_by(at, F.xxhash64(*order, F.lit(turn))) for turn in range(N_PARTS - 3)]
+        cuts = (
+            df.join(hot, _same(cell), "left_semi")
+            .groupBy(*[F.col(c).alias(f"__hot_{c}") for c in cell])
+            .agg(F.array_sort(F.array_distinct(F.array(F.min(at), F.max(at), *picked))).alias("__cuts"))
+            .filter(F.size("__cuts") > 1)
+        )
+        path = scratch_path(df.sparkSession, "cuts")
+        cuts.write.parquet(path)
+        cuts = df.sparkSession.read.schema(cuts.schema).parquet(path)
+        if cuts.isEmpty():
+            return df
+        part = F.when(F.col("__cuts").isNull(), 0).otherwise(F.expr(count_reached("__clock", "__cuts", N_PARTS - 1)))
+        before = F.col(PART) * N_PARTS if PART in df.columns else F.lit(0)
+        kept = [c for c in df.columns if c != PART]
+        df = (
+            df.withColumn("__clock", at)
+            .join(cuts, _same(cell), "left")
+            .select(*kept, (before + part).cast("long").alias(PART))
+        )
 
-def place_in_parts(df: DataFrame, keys: Sequence[str], time: str, cuts: DataFrame | None, n_parts: int = 64) -> DataFrame:
-    """Add ``__part``: the part of a hot stretch a row lies in, else 0. At most MAX_HOT rows are broadcast.
 
-    Without cuts there is no such column: a constant in a partitioning would hide from the
-    planner that the rows are already where a window needs them.
-    """
-    if cuts is None:
-        return df
-    part = F.when(F.col("__cuts").isNull(), 0).otherwise(F.expr(count_reached("__clock", "__cuts", n_parts - 1)))
-    return (
-        df.join(F.broadcast(cuts), [*keys, CHUNK], "left")
-        .withColumn("__clock", F.unix_micros(F.col(time).cast("timestamp")))
-        .select(*df.columns, part.alias(PART))
-    )
+def _same(cell: Sequence[str]) -> Column:
+    """Whether a row lies in a hot stretch; missing keys are a series too."""
+    found = F.lit(True)
+    for c in cell:
+        found = found & F.col(c).eqNullSafe(F.col(f"__hot_{c}"))
+    return found
 
 
 def stretch_of(df: DataFrame) -> list[str]:

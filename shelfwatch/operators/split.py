@@ -123,10 +123,20 @@ def chrono_split(
 def sample_exact(df: DataFrame, keys: Sequence[str], n: int = 5000, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement, the same ones for the same keys and seed.
 
-    Rows are ordered by a hash of their keys, so each task keeps only its ``n`` best.
+    Rows are ordered by a hash of their keys. The row count says below which hash the sample
+    lies, so of all tasks together little more than ``n`` rows are sorted; should that be too
+    few, the bound is doubled.
     """
     parts = [F.coalesce(F.col(k).cast("string"), F.lit(_MISSING)) for k in keys]
-    return df.orderBy(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), *keys).limit(n)
+    place = F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
+    total, wanted = df.count(), n + 8 * n**0.5 + 16
+    rows = df
+    while wanted < total:
+        rows = df.filter(place < F.lit(f"{int(wanted / total * 2**32):08x}"))
+        if rows.count() >= n:
+            break
+        rows, wanted = df, 2 * wanted
+    return rows.orderBy(place, *keys).limit(n)
 
 
 def drift_window(df: DataFrame) -> DataFrame:

@@ -90,13 +90,14 @@ WITH {SALES} SELECT {DAY}, store_nbr, family, sales, round({MEAN_7}, 6) AS rolli
 ORACLES["rolling_mean_before"] = f"""
 WITH {SALES} SELECT {DAY}, store_nbr, family, sales, round({MEAN_BEFORE}, 6) AS rolling_mean_7 FROM sales
 """
+_day_lags = ", ".join(
+    f"""coalesce(sum(sales) OVER (PARTITION BY store_nbr, family ORDER BY date
+       RANGE BETWEEN INTERVAL {k} DAY PRECEDING AND INTERVAL {k} DAY PRECEDING), 0) AS day_lag_{k}"""
+    for k in (7, 14)
+)
 ORACLES["calendar_lag"] = f"""
 WITH {SALES}
-SELECT strftime(s.date, '%Y-%m-%d') AS date, s.store_nbr, s.family, s.sales,
-       coalesce(a.sales, 0) AS day_lag_7, coalesce(b.sales, 0) AS day_lag_14
-FROM sales s
-LEFT JOIN sales a ON a.store_nbr = s.store_nbr AND a.family = s.family AND a.date = s.date - 7
-LEFT JOIN sales b ON b.store_nbr = s.store_nbr AND b.family = s.family AND b.date = s.date - 14
+SELECT strftime(date, '%Y-%m-%d') AS date, store_nbr, family, sales, {_day_lags} FROM sales
 """
 _families = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 _flags = ", ".join(f"CAST(family = '{f}' AS DOUBLE) AS family_{f}" for f in _families)

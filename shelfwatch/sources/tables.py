@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 from ..operators.features import event_timestamp
 from ..operators.split import drift_window
 
+# The columns of sales files and of the feature table.
 SALES_TYPES = {
     "date": "date",
     "store_nbr": "long",

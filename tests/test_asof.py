@@ -86,19 +86,34 @@ def test_dates_as_times(spark):
     assert got == {5: 3.0, 1: None}
 
 
-def test_a_hot_stretch_is_cut_into_parts_of_one_size(spark):
+@pytest.mark.parametrize("scale", [1, 10])
+def test_no_part_of_a_hot_stretch_is_larger_than_allowed(spark, scale):
     from shelfwatch.operators import ordered
 
-    df = spark.range(6400).select(
-        F.when(F.col("id") < 6000, "hot").otherwise(F.col("id").cast("string")).alias("k"),
-        F.timestamp_micros(F.col("id") * F.col("id") * 1000).alias("t"),
+    df = spark.range(3000 * scale).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, None).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("2020-01-01").cast("date"))
+        .otherwise(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 7).cast("int")))
+        .alias("t"),
+        F.col("id").cast("string").alias("tie"),
     )
     df = df.withColumn(ordered.CHUNK, ordered.time_chunk(F.col("t"), 256))
-    cuts = ordered.hot_stretch_cuts(df, ["k"], "t", 100)
-    assert cuts.count() == 1
-    got = ordered.place_in_parts(df, ["k"], "t", cuts)
-    assert got.count() == 6400
-    sizes = got.filter("k = 'hot'").groupBy(ordered.PART).count().collect()
-    assert len(sizes) == 64 and max(r["count"] for r in sizes) < 130
-    assert got.filter("k <> 'hot'").select(ordered.PART).distinct().collect()[0][0] == 0
-    assert ordered.hot_stretch_cuts(df, ["k"], "t", 10_000) is None
+    got = ordered.cut_hot_stretches(df, ["k"], ["t", "tie"], 100)
+    assert got.count() == 3000 * scale
+    sizes = got.groupBy("k", ordered.CHUNK, ordered.PART).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "tie")).alias("lo"), F.max(F.struct("t", "tie")).alias("hi")
+    )
+    assert sizes.agg(F.max("n")).first()[0] <= 100
+    for missing in (True, False):
+        rows = sizes.filter(F.col("k").isNull() if missing else F.col("k") == "hot").orderBy(ordered.CHUNK, ordered.PART).collect()
+        assert len(rows) >= 10 * scale
+        assert all(x["hi"] < y["lo"] for x, y in zip(rows, rows[1:]))
+    assert ordered.PART not in ordered.cut_hot_stretches(df, ["k"], ["t", "tie"], 100_000).columns
+
+
+def test_rows_that_cannot_be_told_apart_stay_together(spark):
+    from shelfwatch.operators import ordered
+
+    df = spark.range(500).select(F.lit(1).alias("k"), F.lit("2020-01-01").cast("date").alias("t"))
+    df = df.withColumn(ordered.CHUNK, ordered.time_chunk(F.col("t"), 256))
+    assert ordered.cut_hot_stretches(df, ["k"], ["t"], 100).count() == 500

@@ -76,7 +76,21 @@ def test_a_hot_series_of_timestamps_is_cut_into_parts(spark):
 
     rows = ordered.with_history(df, ["store_nbr", "family"], "at", 14, chunk_days=100_000, hot_rows=100)
     sizes = rows.groupBy("store_nbr", ordered.CHUNK, ordered.PART).count()
-    assert sizes.agg(F.max("count")).first()[0] < 60
+    assert sizes.agg(F.max("count")).first()[0] <= 100 + 14
+
+
+def test_a_hot_day_with_ties_is_cut_too(spark):
+    n = 2000
+    df = spark.range(n).select(
+        F.lit("2020-03-01").cast("date").alias("date"),
+        F.col("id").cast("string").alias("ticket"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(2).cast("long").alias("store_nbr"),
+        F.lit("A").alias("family"),
+        (F.col("id") % 17).cast("double").alias("sales"),
+    )
+    plain = features.series_features(df, tie_cols=["ticket"], hot_rows=n)
+    cut = features.series_features(df, tie_cols=["ticket"], hot_rows=100)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_nan_sales_count_as_missing(spark):
@@ -91,10 +105,9 @@ def test_without_sales_all_history_is_zero(spark):
     assert (row["lag_7"], row["lag_14"], row["rolling_mean_7"]) == (0.0, 0.0, 0.0)
 
 
-@pytest.mark.parametrize("chunk_days", [14, 15, 256])
-def test_calendar_lag_follows_days_not_rows(spark, chunk_days):
+def test_calendar_lag_follows_days_not_rows(spark):
     data = gappy_sales(seed=5)
-    got = features.calendar_lag(spark.createDataFrame(data, SCHEMA), chunk_days=chunk_days).collect()
+    got = features.calendar_lag(spark.createDataFrame(data, SCHEMA)).collect()
     by_day = {(d, s, f): v for d, s, f, v in data}
     assert len(got) == len(data)
     for r in got:
@@ -103,10 +116,15 @@ def test_calendar_lag_follows_days_not_rows(spark, chunk_days):
             assert r[f"day_lag_{k}"] == (before or 0.0)
 
 
-def test_calendar_lag_refuses_days_beyond_a_chunk(spark):
-    df = spark.createDataFrame(gappy_sales(), SCHEMA)
+def test_calendar_lag_adds_up_a_day_and_takes_nulls(spark):
+    day = dt.date(2020, 1, 1)
+    data = [(day, 1, None, 2.0), (day, 1, None, 3.0), (day + dt.timedelta(days=400), 1, None, None), (None, 1, None, 7.0)]
+    got = features.calendar_lag(spark.createDataFrame(data, SCHEMA), days=(400, 1)).collect()
+    assert sorted((str(r["date"]), r["day_lag_400"], r["day_lag_1"]) for r in got) == [
+        ("2020-01-01", 0.0, 0.0), ("2020-01-01", 0.0, 0.0), ("2021-02-04", 5.0, 0.0), ("None", 0.0, 0.0),
+    ]
     with pytest.raises(ValueError):
-        features.calendar_lag(df, days=(7, 30), chunk_days=20)
+        features.calendar_lag(spark.createDataFrame(data, SCHEMA), days=(0, 7))
 
 
 def test_calendar_features(spark):

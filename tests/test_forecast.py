@@ -111,6 +111,14 @@ def test_errors(spark):
     assert forecast.rmsle(df.limit(1)).first()["rmsle"] == pytest.approx(0.6931471805599453)
 
 
+def test_each_request_may_have_its_own_hint(spark):
+    rows = [("a", 1, "A", 0, 2, 10.0), ("b", 1, "A", 0, 2, 30.0), ("c", 1, "A", 0, 2, None)]
+    df = spark.createDataFrame(rows, "request_id string, store_nbr long, family string, onpromotion long, days_ahead int, hint double")
+    df = df.withColumn("base_date", F.lit("2017-08-16").cast("date"))
+    got = forecast.forecast_requests(df, forecast.baseline_forecast, sales_hint="hint").collect()
+    assert {r["request_id"]: r["forecast"] for r in got} == {"a": [5.0, 5.0], "b": [15.0, 15.0], "c": [0.0, 0.0]}
+
+
 def test_align_columns(spark):
     df = spark.createDataFrame([(1, 2)], "extra int, kept int")
     assert tuple(forecast.align_columns(df, ["absent", "kept"]).first()) == (0.0, 2)

@@ -80,6 +80,9 @@ def test_sample_exact(spark, rows):
     assert first == rows(split.sample_exact(df.repartition(5), ["id"], 50, seed=1))
     assert first != rows(split.sample_exact(df, ["id"], 50, seed=2))
     assert split.sample_exact(df, ["id"], 5000).count() == 1000
+    assert split.sample_exact(df, ["id"], 1000).count() == 1000
+    copies = df.withColumn("id", F.when(F.col("id") < 900, 1).otherwise(F.col("id")))
+    assert split.sample_exact(copies, ["id"], 50).count() == 50
 
 
 def test_drift_window(spark):
