@@ -28,6 +28,8 @@ DICTIONARY = 300_000
 INPUTS, SINGLE, CLASSES = 2_047, 40, 64
 #: Training rounds; of every so many windows of a document one is learned from in each round.
 TRAIN_ROUNDS, EVERY, BATCH = 1, 24, 32
+#: Windows scored at once: what they need stays in a core's cache.
+AT_ONCE = 24
 END_ID = 50_256
 END_KEY = np.uint64(0x9AE16A3B2F90404F)
 _REMEMBERED = 600_000
@@ -249,8 +251,8 @@ def _scored(shared):
                 sizes = np.bincount(of[word], minlength=words.docs)
                 tokens, targets, scored, at = model.batches(ids, sizes)
                 log10 = model.within[ids]
-                for a in range(0, len(tokens), 64):
-                    b = a + 64
+                for a in range(0, len(tokens), AT_ONCE):
+                    b = a + AT_ONCE
                     part = class_log10(weights, tokens[a:b], targets[a:b])
                     log10[at[a:b][scored[a:b]]] += part[scored[a:b]]
                 by_word = np.bincount(word, log10, len(keys))
