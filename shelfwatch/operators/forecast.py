@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, StringType
 
 from ..functions import clip_forecast
+from .asof import pit_join
 from .features import calendar_features
 from .models import input_columns
 
@@ -178,6 +179,25 @@ def forecast_requests(
     )
 
 
+def history_hints(
+    requests: DataFrame,
+    features: DataFrame,
+    keys: Sequence[str] = ("store_nbr", "family"),
+    hint: str = "sales_hint",
+    value: str = "rolling_mean_7",
+    ttl_days: int = 3650,
+) -> DataFrame:
+    """Requests with the column ``hint``: the recent sales of their series on their base date.
+
+    It is ``value`` of the newest row of the feature table at or before the base date, looked
+    up point in time, so nothing later is seen. A series without history, or with a missing
+    key or date, has a null hint; ``forecast_requests`` counts it as 0.
+    """
+    known = features.select(*keys, F.col("event_timestamp").cast("timestamp").alias("event_timestamp"), F.col(value).alias(hint))
+    asked = requests.withColumn("event_timestamp", F.col("base_date").cast("timestamp"))
+    return pit_join(asked, known, keys, ttl_days=ttl_days).drop("event_timestamp")
+
+
 def live_prediction_id() -> Column:
     """A random identifier, for live use; batch runs use the repeatable one."""
     return F.uuid()

@@ -11,6 +11,7 @@ from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer,
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # What the model reads.
 FEATURES = (
@@ -87,6 +88,23 @@ def best_round(losses: Sequence[float], patience: int = PATIENCE) -> int:
     return best
 
 
+def kept_rounds(losses: DataFrame, fit: str = "trial", turn: str = "round", loss: str = "loss", patience: int = PATIENCE) -> DataFrame:
+    """Rows (fit, kept): ``best_round`` of every fit in a table with one row per fit and round.
+
+    A round is a gain when its loss is below all before it; the one kept is the first gain
+    that no other follows within ``patience`` rounds. Missing losses are no gain. A window
+    holds the rounds of one fit, which ``maxIter`` bounds.
+    """
+    order = Window.partitionBy(fit).orderBy(turn)
+    before = F.min(loss).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    gains = losses.select(fit, turn, loss, before.alias("__before")).filter(
+        F.col(loss).isNotNull() & (F.col("__before").isNull() | (F.col(loss) < F.col("__before")))
+    )
+    following = gains.withColumn("__next", F.lead(turn).over(order))
+    last = F.col("__next").isNull() | (F.col("__next") > F.col(turn) + patience)
+    return following.filter(last).groupBy(fit).agg(F.min(turn).alias("kept"))
+
+
 def early_stop(model: PipelineModel, valid: DataFrame, patience: int = PATIENCE) -> int:
     """Best number of boosting rounds on the validation rows."""
     prepared = PipelineModel(model.stages[:-1]).transform(valid)

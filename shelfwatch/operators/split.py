@@ -14,6 +14,9 @@ _MISSING = "\u0000missing"
 MAX_VALUES = 10_000
 N_PIVOTS = 128
 
+# The columns that a drift check compares.
+WINDOW_COLUMNS = ("store_nbr", "family", "onpromotion", "day_of_week", "month", "year")
+
 
 def _before(col: str, value: object, literal: Column) -> Column:
     return F.lit(False) if value is None else F.col(col).isNull() | (F.col(col) < literal)
@@ -141,6 +144,4 @@ def sample_exact(df: DataFrame, keys: Sequence[str], n: int = 5000, seed: int =
 
 def drift_window(df: DataFrame) -> DataFrame:
     """The six columns a drift check compares, whole numbers as 64-bit."""
-    whole = ["store_nbr", "onpromotion", "day_of_week", "month", "year"]
-    order = ["store_nbr", "family", *whole[1:]]
-    return df.select(*[F.col(c).cast("long").alias(c) if c in whole else F.col(c) for c in order])
+    return df.select(*[F.col(c) if c == "family" else F.col(c).cast("long").alias(c) for c in WINDOW_COLUMNS])

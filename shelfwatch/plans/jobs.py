@@ -7,12 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.asof import pit_join
 from ..operators.drift import psi_report, retrain_decision, window_sizes
 from ..operators.evaluate import eval_gate, require_pass, score_answers
 from ..operators.features import SERIES_KEYS, demand_features, event_timestamp
-from ..operators.forecast import MODEL_VERSION, forecast_requests, rmse, score_table, validate_requests
+from ..operators.forecast import MODEL_VERSION, forecast_requests, history_hints, rmse, score_table, validate_requests
 from ..operators.models import load_model, save_model, search_params, train_regressor
 from ..operators.split import chrono_split
 from ..session import scratch_path
@@ -31,11 +32,22 @@ def drift_job(
     out_path: str,
     gauge_path: str | None = None,
     cols: Sequence[str] | None = None,
+    schema: StructType | str | None = None,
+    history_path: str | None = None,
+    scored_on: str | None = None,
 ) -> dict:
-    """Compare two windows, write the scores, and say whether to retrain."""
-    ref, cur = scan_table(spark, reference_path), scan_table(spark, current_path)
+    """Compare two windows, write the scores, and say whether to retrain.
+
+    With ``history_path`` the scores are also appended to that table, with the day
+    ``scored_on`` (today if it is not given); ``latest_per_key`` reads the newest from it.
+    CSV windows need a ``schema``, or their types are inferred by another pass.
+    """
+    ref, cur = scan_table(spark, reference_path, schema), scan_table(spark, current_path, schema)
     psi_report(ref, cur, cols).write.mode("overwrite").parquet(out_path)
     scores = spark.read.parquet(out_path)
+    if history_path:
+        day = F.to_date(F.lit(scored_on)) if scored_on else F.current_date()
+        scores.withColumn("scored_on", day).write.mode("append").parquet(history_path)
     if gauge_path:
         write_gauge_file(scores, gauge_path)
     return {**retrain_decision(scores).first().asDict(), **window_sizes(ref, cur).first().asDict()}
@@ -86,11 +98,20 @@ def forecast_job(
     model_path: str | None = None,
     version: str = MODEL_VERSION,
     base_date: str | None = None,
+    feature_path: str | None = None,
+    schema: StructType | str | None = None,
 ) -> None:
-    """Requests table to forecasts and quarantine."""
-    valid, bad = validate_requests(scan_table(spark, requests_path), base_date=base_date)
+    """Requests table to forecasts and quarantine.
+
+    With ``feature_path`` a request's history is the recent sales of its series in that feature table.
+    """
+    valid, bad = validate_requests(scan_table(spark, requests_path, schema), base_date=base_date)
     model: PipelineModel | None = load_model(spark, model_path) if model_path else None
-    forecast_requests(valid, model, version).write.mode("overwrite").parquet(out_path)
+    hint: float | str = 0.0
+    if feature_path:
+        hint = "sales_hint"
+        valid = history_hints(valid.drop(hint), spark.read.parquet(feature_path), hint=hint)
+    forecast_requests(valid, model, version, sales_hint=hint).write.mode("overwrite").parquet(out_path)
     bad.write.mode("overwrite").parquet(quarantine_path)
 
 

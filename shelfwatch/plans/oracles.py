@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from ..functions.calendar import HOLIDAYS
 from ..operators.metrics import LATENCY_BOUNDS, bucket_label
+from ..operators.models import trial_params
+from ..operators.split import TRAIN_RATIO
 
 ORACLES: dict[str, str] = {}
 
@@ -36,6 +38,7 @@ SALES_GAP = to_holiday("SELECT DISTINCT date AS d FROM sales")
 
 ORACLES["scan_table"] = "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
 ORACLES["daily_sales"] = f"WITH {SALES} SELECT {DAY}, store_nbr, family, onpromotion, sales FROM sales"
+ORACLES["scan_sales_csv"] = ORACLES["daily_sales"]
 ORACLES["scan_eval_jsonl"] = """
 SELECT conv_id, turn,
        CASE (conv_id * 7 + turn) % 9 WHEN 1 THEN 'missing: context' WHEN 2 THEN 'not a non-empty string: question'
@@ -495,3 +498,52 @@ SELECT {DAY}, store_nbr, family, n_name AS store, n_regionkey AS region, sales F
 ORACLES["best_trial"] = """
 SELECT p_size AS trial, min(p_retailprice) AS val_rmse FROM part GROUP BY p_brand, p_size ORDER BY val_rmse, trial LIMIT 1
 """
+
+ORACLES["write_feature_table"] = ORACLES["feature_table"]
+ORACLES["stored_features"] = f"""
+WITH {SALES}
+SELECT {DAY}, store_nbr, family, sales, {LAGS}, round({MEAN_7}, 6) AS rolling_mean_7 FROM sales
+"""
+ORACLES["forecast_requests_history"] = f"""
+WITH {SALES}, known AS (SELECT *, {MEAN_7} AS hint FROM sales),
+asked AS (
+  SELECT strftime(date, '%Y-%m-%d') || '|' || store_nbr || '|' || family AS request_id, store_nbr, family,
+         date + 3 AS base_date, CAST(1 + day(date) % 10 AS INTEGER) AS steps FROM sales),
+found AS (
+  SELECT a.request_id, a.steps, k.hint FROM asked a ASOF JOIN known k
+  ON a.store_nbr = k.store_nbr AND a.family = k.family AND a.base_date >= k.date)
+SELECT request_id, 'history' AS model_version, sha256(request_id || '|history') AS prediction_id, 'ok' AS status, steps,
+       round(least(steps, 7) * hint / 2 + greatest(steps - 7, 0) * hint, 4) AS total
+FROM found
+"""
+_SPLIT = f"""
+{SALES}, placed AS (
+  SELECT *, row_number() OVER (ORDER BY date, store_nbr, family) <= floor((SELECT count(*) FROM sales) * {TRAIN_RATIO}) AS first
+  FROM sales)
+"""
+ORACLES["train_regressor"] = f"""
+WITH {_SPLIT} SELECT CASE WHEN first THEN 'train' ELSE 'valid' END AS split, count(*) AS n, true AS beats_mean FROM placed GROUP BY 1
+"""
+ORACLES["load_model"] = f"""
+WITH {_SPLIT} SELECT CASE WHEN first THEN 'train' ELSE 'valid' END AS split, count(*) AS n, count(*) AS same FROM placed GROUP BY 1
+"""
+ORACLES["score_table"] = f"""
+WITH {_SPLIT} SELECT {DAY}, store_nbr, family, sales, true AS has_forecast FROM placed WHERE NOT first
+"""
+ORACLES["forecast_requests"] = f"""
+WITH {REQUESTS}
+SELECT request_id, '1.0.0' AS model_version, sha256(request_id || '|1.0.0') AS prediction_id, 'ok' AS status,
+       days_ahead AS steps, true AS not_below_zero FROM requests
+"""
+_trials = ", ".join(
+    f"({i}, {p['maxDepth']}, round({p['stepSize']!r}::DOUBLE, 9), true)" for i, p in enumerate(trial_params(2, 42, (4, 8)))
+)
+ORACLES["search_params"] = f"SELECT * FROM (VALUES {_trials}) t(trial, \"maxDepth\", \"stepSize\", measured)"
+ORACLES["early_stop"] = """
+WITH losses AS (
+  SELECT o_custkey AS trial, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS round, o_totalprice AS loss FROM orders),
+best AS (SELECT *, min(loss) OVER (PARTITION BY trial ORDER BY round) AS least FROM losses),
+firsts AS (SELECT trial, least, min(round) AS round FROM best GROUP BY trial, least),
+ends AS (SELECT trial, round, lead(round) OVER (PARTITION BY trial ORDER BY round) AS following FROM firsts)
+SELECT trial, CAST(min(round) AS INTEGER) AS kept FROM ends WHERE following IS NULL OR following > round + 3 GROUP BY trial
+"""

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import asof, checks, drift, evaluate, features, forecast, metrics, models, split
 from ..session import scratch_path
-from ..sources import check_eval_lines, format_gauge_lines, gauge_json
+from ..sources import FEATURE_COLUMNS, check_eval_lines, format_gauge_lines, gauge_json
+from ..sources import write_feature_table as write_features
 from ..streaming import append_table, psi_stream, read_log_stream, validate_stream
 from ..streaming.drift import reference_bins, window_bin_counts, window_psi
 from . import star_tables as star
@@ -22,7 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SERIES = ["store_nbr", "family"]
-WINDOW_COLUMNS = ["store_nbr", "family", "onpromotion", "day_of_week", "month", "year"]
 STREAM_DELAY = "10 minutes"
 
 
@@ -75,6 +75,16 @@ def daily_sales(spark, sf_dir):
     return star.daily_sales(spark, sf_dir).select(_day(), *SERIES, "onpromotion", "sales")
 
 
+@query
+def scan_sales_csv(spark, sf_dir):
+    """The sales written as a CSV file with a header, and read back."""
+    from ..sources import scan_sales_csv as scan
+
+    path = scratch_path(spark, "sales-csv")
+    star.daily_sales(spark, sf_dir).write.option("header", True).csv(path)
+    return scan(spark, path).select(_day(), *SERIES, "onpromotion", "sales")
+
+
 @query
 def scan_eval_jsonl(spark, sf_dir):
     """JSON lines made of conversation turns: most are valid, the rest break one rule each."""
@@ -184,6 +194,29 @@ def feature_table(spark, sf_dir):
     )
 
 
+def _feature_path(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "feature-table")
+    write_features(features.demand_features(star.daily_sales(spark, sf_dir)), path)
+    return path
+
+
+@query
+def write_feature_table(spark, sf_dir):
+    """The feature table written by year, and read back."""
+    table = spark.read.parquet(_feature_path(spark, sf_dir)).select(*FEATURE_COLUMNS)
+    numbers = {c: F.round(c, 6) for c in ("lag_7", "lag_14", "rolling_mean_7")}
+    return table.withColumns({"event_timestamp": _time("event_timestamp"), "year": F.col("year").cast("long"), **numbers})
+
+
+@query
+def stored_features(spark, sf_dir):
+    """Features of every sales row, looked up in the written feature table."""
+    from .jobs import stored_features as look_up
+
+    rows = look_up(star.daily_sales(spark, sf_dir), _feature_path(spark, sf_dir))
+    return _series_rows(rows, ["lag_7", "lag_14", "rolling_mean_7"])
+
+
 # As-of join, split, sample ----------------------------------------------------------------
 
 
@@ -268,7 +301,7 @@ def psi_categorical(spark, sf_dir):
 
 @query
 def psi_report(spark, sf_dir):
-    report = drift.psi_report(*_drift_windows(spark, sf_dir), WINDOW_COLUMNS)
+    report = drift.psi_report(*_drift_windows(spark, sf_dir), split.WINDOW_COLUMNS)
     return report.withColumn("band", F.coalesce("band", F.lit("")))
 
 
@@ -547,6 +580,23 @@ def forecast_requests_baseline(spark, sf_dir):
     return _forecast_rows(made)
 
 
+@query
+def forecast_requests_history(spark, sf_dir):
+    """A request for every day of every series, three days later, from the sales known by then."""
+    sales = star.daily_sales(spark, sf_dir)
+    table = spark.read.parquet(_feature_path(spark, sf_dir))
+    asked = sales.select(
+        F.concat_ws("|", F.date_format("date", "yyyy-MM-dd"), F.col("store_nbr").cast("string"), "family").alias("request_id"),
+        *SERIES,
+        F.lit(0).cast("long").alias("onpromotion"),
+        F.date_add("date", 3).alias("base_date"),
+        (1 + F.day("date") % 10).cast("int").alias("days_ahead"),
+    )
+    hinted = forecast.history_hints(asked, table)
+    made = forecast.forecast_requests(hinted, forecast.baseline_forecast, version="history", sales_hint="sales_hint")
+    return _forecast_rows(made).withColumn("total", F.round("total", 4))
+
+
 def _baseline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.baseline_forecast(features.series_features(star.daily_sales(spark, sf_dir), exclude_current=True))
 
@@ -635,32 +685,64 @@ def _split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 @query
 def train_regressor(spark, sf_dir):
-    """Errors of a fitted model on both parts, per part."""
+    """Rows per part of the split, and whether the fit is better there than the training mean."""
     train, valid = _split_rows(spark, sf_dir)
     model = models.train_regressor(train, valid, params=TRIAL_ROUNDS)
-    scored = forecast.score_table(model, train.unionByName(valid))
-    return forecast.rmse(scored, "sales", "yhat", ["split"])
+    mean = train.agg(F.avg("sales")).first()[0]
+    scored = forecast.score_table(model, train.unionByName(valid)).withColumn("mean", F.lit(mean))
+    fit, plain = forecast.rmse(scored, "sales", "yhat", ["split"]), forecast.rmse(scored, "sales", "mean", ["split"])
+    plain = plain.select("split", F.col("rmse").alias("plain"))
+    return fit.join(plain, "split").select("split", "n", (F.col("rmse") < F.col("plain")).alias("beats_mean"))
 
 
 @query
 def score_table(spark, sf_dir):
+    """Every row of the later part, and whether its forecast is a number not below 0."""
     train, valid = _split_rows(spark, sf_dir)
     model = models.train_regressor(train, params={**TRIAL_ROUNDS, "maxIter": 5})
-    return forecast.score_table(model, valid).select(_day(), *SERIES, "sales", "yhat")
+    scored = forecast.score_table(model, valid)
+    return scored.select(_day(), *SERIES, "sales", F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("has_forecast"))
 
 
 @query
 def forecast_requests(spark, sf_dir):
+    """Forecasts of a fitted model: per request the steps, identifiers, and whether all are at least 0."""
     train, _ = _split_rows(spark, sf_dir)
     model = models.train_regressor(train, params={**TRIAL_ROUNDS, "maxIter": 5})
-    return forecast.forecast_requests(star.requests(spark, sf_dir), model)
+    made = forecast.forecast_requests(star.requests(spark, sf_dir), model)
+    return made.select(
+        "request_id", "model_version", "prediction_id", "status",
+        F.size("forecast").alias("steps"), F.forall("forecast", lambda y: y >= 0).alias("not_below_zero"),
+    )
 
 
 @query
 def search_params(spark, sf_dir):
+    """The settings that were drawn, and whether each trial was measured and kept at most its rounds."""
     train, valid = _split_rows(spark, sf_dir)
     _, trials = models.search_params(train, valid, n_trials=2, rounds=(4, 8))
-    return trials
+    measured = F.col("val_rmse").isNotNull() & (F.col("val_rmse") > 0) & F.col("maxIter").between(1, 8)
+    return trials.select("trial", "maxDepth", F.round("stepSize", 9).alias("stepSize"), measured.alias("measured"))
+
+
+@query
+def load_model(spark, sf_dir):
+    """Rows per part of the split, and how many score alike after the model was saved and loaded."""
+    train, valid = _split_rows(spark, sf_dir)
+    model, path = models.train_regressor(train, params={**TRIAL_ROUNDS, "maxIter": 5}), scratch_path(spark, "model")
+    models.save_model(model, path)
+    scored = forecast.score_table(model, train.unionByName(valid)).withColumnRenamed("yhat", "first")
+    both = forecast.score_table(models.load_model(spark, path), scored)
+    return both.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("first") == F.col("yhat")).alias("same"))
+
+
+@query
+def early_stop(spark, sf_dir):
+    """The patience rule over a table of losses: the order values of each customer, in turn."""
+    orders = star.table(spark, sf_dir, "orders")
+    turn = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    losses = orders.select(F.col("o_custkey").alias("trial"), turn.alias("round"), F.col("o_totalprice").alias("loss"))
+    return models.kept_rounds(losses, patience=3)
 
 
 @query

@@ -2,11 +2,12 @@
 
 from .evalset import EmptyEvalSet, QuarantineNotEmpty, check_eval_lines, scan_eval_jsonl
 from .gauges import format_gauge_lines, gauge_json, write_gauge_file
-from .tables import scan_sales_csv, scan_table, write_drift_window, write_feature_table
+from .tables import FEATURE_COLUMNS, scan_sales_csv, scan_table, write_drift_window, write_feature_table
 
 __all__ = [
     "EmptyEvalSet",
     "QuarantineNotEmpty",
+    "FEATURE_COLUMNS",
     "check_eval_lines",
     "format_gauge_lines",
     "gauge_json",

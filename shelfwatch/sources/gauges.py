@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the help text of the gauge.
 HELP = "Population Stability Index per feature"
 
 

@@ -121,3 +121,30 @@ def test_training_and_forecast_jobs(spark, tmp_path):
     assert spark.read.parquet(bad).count() == 1
     forecast_job(spark, str(tmp_path / "requests"), out, bad, str(tmp_path / "no model"), base_date="2017-01-01")
     assert spark.read.parquet(out).first()["status"] == "no_model"
+
+
+def test_kept_rounds_equal_the_rule(spark):
+    draw = random.Random(5)
+    fits = {k: [draw.choice([1.0, 2.0, 3.0, 4.0, 5.0]) for _ in range(draw.randint(1, 30))] for k in range(60)}
+    data = [(k, i, loss) for k, losses in fits.items() for i, loss in enumerate(losses, start=1)]
+    table = spark.createDataFrame(data, "trial int, round int, loss double")
+    for patience in (1, 3, 50):
+        found = dict(models.kept_rounds(table, patience=patience).collect())
+        assert found == {k: models.best_round(losses, patience) for k, losses in fits.items()}
+
+
+def test_history_hints(spark):
+    stored = spark.createDataFrame(
+        [(1, "A", dt.datetime(2017, 1, 1), 5.0), (1, "A", dt.datetime(2017, 1, 9), 7.0)],
+        "store_nbr bigint, family string, event_timestamp timestamp, rolling_mean_7 double",
+    )
+    day = dt.date(2017, 1, 5)
+    asked = spark.createDataFrame(
+        [("a", 1, "A", 0, day, 9), ("b", 1, "A", 0, dt.date(2016, 1, 1), 9), ("c", None, "A", 0, day, 9)],
+        "request_id string, store_nbr bigint, family string, onpromotion bigint, base_date date, days_ahead int",
+    )
+    hinted = forecast.history_hints(asked, stored)
+    assert {r["request_id"]: r["sales_hint"] for r in hinted.collect()} == {"a": 5.0, "b": None, "c": None}
+    made = forecast.forecast_requests(hinted, forecast.baseline_forecast, sales_hint="sales_hint")
+    totals = {r["request_id"]: sum(r["forecast"]) for r in made.collect()}
+    assert totals == {"a": 7 * 2.5 + 2 * 5.0, "b": 0.0, "c": 0.0}

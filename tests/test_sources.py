@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch import sources
 from shelfwatch.operators.features import demand_features
+from shelfwatch.operators.asof import latest_per_key
 from shelfwatch.plans.jobs import drift_job, feature_job
 
 
@@ -114,3 +115,16 @@ def test_drift_job(spark, tmp_path):
     assert decision["retrain"] and decision["max_feature"] == "x"
     assert (decision["ref_rows"], decision["cur_rows"]) == (1000, 1000)
     assert spark.read.parquet(str(tmp_path / "psi")).count() == 2
+
+
+def test_drift_scores_over_time(spark, tmp_path):
+    rows = spark.createDataFrame([(i % 3, float(i)) for i in range(60)], "a int, b double")
+    rows.write.parquet(str(tmp_path / "ref"))
+    rows.filter("b < 40").write.parquet(str(tmp_path / "cur"))
+    paths = [str(tmp_path / name) for name in ("ref", "cur", "psi")]
+    for day in ("2017-01-01", "2017-01-02"):
+        drift_job(spark, *paths, history_path=str(tmp_path / "history"), scored_on=day)
+    history = spark.read.parquet(str(tmp_path / "history"))
+    assert history.count() == 4
+    newest = latest_per_key(history, ["feature"], "scored_on").collect()
+    assert {(r["feature"], str(r["scored_on"])) for r in newest} == {("a", "2017-01-02"), ("b", "2017-01-02")}
