@@ -83,6 +83,19 @@ def _suffixes(min_words: int):
     return run
 
 
+def _steps_back(of: np.ndarray, places: np.ndarray, key: np.ndarray, key2: np.ndarray, most: int) -> np.ndarray:
+    """How far before each run the first equal run of its document begins, ``most`` at most."""
+    order = np.lexsort((places, key2, key, of))
+    fresh = np.ones(len(order), bool)
+    for v in (of, key, key2):
+        fresh[1:] &= v[order[1:]] == v[order[:-1]]
+    fresh[1:] = ~fresh[1:]
+    begin = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
+    back = np.empty(len(order), np.int64)
+    back[order] = places[order] - places[order[begin]]
+    return np.minimum(back, most).astype(np.int32)
+
+
 def _runs(min_words: int):
     """Hashes of the whole runs whose chosen suffix has an equal one somewhere."""
 
@@ -97,17 +110,20 @@ def _runs(min_words: int):
                     own = places[start + d].values.to_numpy() + words.first[d]
                     wanted[own[own < words.first[d + 1]]] = True
                 runs = runs[wanted[chosen]]
-                of = words.doc[runs]
+                of, places_in = words.doc[runs], runs - words.first[words.doc[runs]]
+                key = range_hashes(words.hashes, runs, runs + min_words)
+                key2 = range_hashes(words.hashes, runs, runs + min_words, _SECOND)
                 digests = pa.array([_digest(words, d) for d in range(words.docs)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(range_hashes(words.hashes, runs, runs + min_words).view(np.int64)),
-                        pa.array(range_hashes(words.hashes, runs, runs + min_words, _SECOND).view(np.int64)),
+                        pa.array(key.view(np.int64)),
+                        pa.array(key2.view(np.int64)),
                         batch.column(0).slice(start, end - start).take(pa.array(of)),
                         digests.take(pa.array(of)),
-                        pa.array((runs - words.first[of]).astype(np.int32)),
+                        pa.array(places_in.astype(np.int32)),
+                        pa.array(_steps_back(of, places_in, key, key2, min_words)),
                     ],
-                    names=["key", "key2", "doc_id", "digest", "place"],
+                    names=["key", "key2", "doc_id", "digest", "place", "back"],
                 )
 
     return run
@@ -195,14 +211,18 @@ def _covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
 
 
 def _spans(min_words: int):
+    """What is cut: words of a run seen before, but for the part in which a run overlaps its own first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for first, again in zip(batch.column(2), batch.column(3)):
-                first, again = first.values.to_numpy(), again.values.to_numpy()
+            for first, again, back in zip(batch.column(2), batch.column(3), batch.column(4)):
+                first, again, back = (v.values.to_numpy() for v in (first, again, back))
                 n = int(max(first.max(initial=0), again.max(initial=0))) + min_words
-                kept = _covered(first, min_words, n)
-                state = np.where(kept, 1, np.where(_covered(again, min_words, n), 2, 0))
+                own = (back > 0) & (back < min_words) & np.isin(again - back, first)
+                seen = _covered(again[~own], min_words, n)
+                kept = _covered(first, min_words, n) & ~seen
+                state = np.where(kept, 1, np.where(seen | _covered(again[own], min_words, n), 2, 0))
                 turns = np.flatnonzero(np.diff(state, prepend=-1, append=-1))
                 out.append(
                     [
@@ -225,9 +245,11 @@ def repeated_passages(
     """Rows (doc_id, digest, spans) of every document that holds a repeated passage.
 
     A run of ``min_words`` words that occurs at several places, in one document or more, is
-    kept where it stands first, by doc_id and then by position. Words that only later
-    occurrences cover have ``cut``; words of a first occurrence are never cut. Words are
-    compared byte by byte and white space does not count. ``digest`` stands for the row's words.
+    kept where it stands first, by doc_id and then by position. Every word that a later
+    occurrence covers has ``cut``, even where a run that itself stands first reaches into it.
+    Only where a later occurrence overlaps the first one, in a text that repeats itself, do the
+    first one's words stay. Words are compared byte by byte and white space does not count.
+    ``digest`` stands for the row's words.
 
     Documents with the same words are found first, by their digest: all but the first are cut
     whole, or not at all if they are shorter than ``min_words``, and play no further part. Null and blank texts and rows with a
@@ -253,13 +275,13 @@ def repeated_passages(
     places = places.join(only_copies.join(other, "doc_id", "left_anti"), "doc_id", "left_anti")
     wanted = texts.join(bounded_broadcast(places.select("doc_id")), "doc_id", "left_semi").join(places, "doc_id")
     runs = wanted.select("doc_id", "text", "places").mapInArrow(
-        _runs(min_words), "key long, key2 long, doc_id long, digest binary, place int"
+        _runs(min_words), "key long, key2 long, doc_id long, digest binary, place int, back int"
     )
     runs = equal_neighbours(stored(runs, "runs"), ["key", "key2"], ["doc_id", "digest", "place"])
     per_doc = runs.groupBy("doc_id", "digest").agg(
         F.collect_list(F.when(~F.col("before"), F.col("place"))).alias("first"),
-        F.collect_list(F.when(F.col("before"), F.col("place"))).alias("again"),
-    )
+        F.collect_list(F.when(F.col("before"), F.struct("place", "back"))).alias("again"),
+    ).select("doc_id", "digest", "first", F.col("again.place").alias("again"), F.col("again.back").alias("back"))
     found = per_doc.mapInArrow(_spans(min_words), f"doc_id long, digest binary, spans {_SPAN}")
     whole = copies.select(
         "doc_id",

@@ -95,6 +95,47 @@ def test_repeats_of_awkward_rows(spark):
     assert sum(r["doc_id"] == 10 for r in repeats.cut_repeats(docs, passages).collect()) == 2
 
 
+def seen_before(texts, n=50):
+    """{doc: words cut} by listing every run of n words: a word goes if a run that stands earlier covers it,
+    other than a first run that the later one overlaps; what only such overlaps cover goes outside first runs."""
+    docs = sorted((i, (t or "").encode().split()) for i, t in texts.items())
+    places, gone, own, kept = collections.defaultdict(list), *(collections.defaultdict(set) for _ in range(3))
+    for i, w in docs:
+        for p in range(len(w) - n + 1):
+            places[tuple(w[p : p + n])].append((i, p))
+    for (j, q), *later in places.values():
+        if later:
+            kept[j].update(range(q, q + n))
+        for i, p in later:
+            (own if i == j and p - q < n else gone)[i].update(range(p, p + n))
+    cut = {i: gone[i] | own[i] - kept[i] for i, _ in docs}
+    return {i: v for i, v in cut.items() if v}
+
+
+def test_repeats_seen_before(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = {i for i, t in texts.items() if min(j for j in texts if (texts[j] or "").split() == (t or "").split()) < i}
+    cut, _ = found_words(repeats.repeated_passages(docs).collect())
+    wanted = seen_before({i: t for i, t in texts.items() if i not in whole})
+    assert {i: v for i, v in cut.items() if i not in whole} == wanted
+
+
+def test_repeats_between_equal_words(spark):
+    shared = " ".join(f"p{i}" for i in range(60))
+    loop = " ".join(f"r{i % 30}" for i in range(140))
+    edges = [("a", "b"), ("x", "y"), ("x", "z"), ("q", "y"), ("x", "y"), ("c", "d"), ("q", "z")]
+    texts = {i: f"l{i} {a} {shared} {b} t{i}" for i, (a, b) in enumerate(edges)}
+    texts |= {20: f"before {loop} after", 21: f"other {loop} end", 22: f"{shared} {loop}"}
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in texts.items()], "doc_id long, text string, n_chars long")
+    passages = repeats.repeated_passages(docs)
+    cut, _ = found_words(passages.collect())
+    assert cut == seen_before(texts)
+    rest = {r["doc_id"]: r["text"].split() for r in repeats.cut_repeats(docs, passages).collect()}
+    assert all(("p30" in rest[i]) == (i == 0) and f"l{i}" in rest[i] and f"t{i}" in rest[i] for i in range(len(edges)))
+    assert not any(w.startswith("p") for i in range(1, len(edges)) for w in rest[i])
+    assert rest[20][1:61] == loop.split()[:60] or rest[20][1:51] == loop.split()[:50]
+
+
 def test_repeats_of_nothing(spark):
     assert repeats.repeated_passages(nothing(spark)).collect() == []
 
