@@ -37,6 +37,8 @@ WANTED, PROBES = 0.97, 256
 #: Vectors and queries of a block.
 BLOCK_VECTORS, BLOCK_QUERIES = 8_192, 2_048
 ITERATIONS = 8
+#: Components of the pairs that are scored at once.
+PAIR_VALUES = 1 << 20
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -238,6 +240,32 @@ def _listed(shared, reading: bool):
     return run
 
 
+def pair_scores(queries: np.ndarray, vectors: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs (q, v) of rows, added in an order that depends on the length only.
+
+    A matrix product rounds by the shape of its block; here a pair has the same bits in every
+    block. Pairs are taken some megabytes at a time.
+    """
+    out, step = np.empty(len(q)), max(1, PAIR_VALUES // queries.shape[1])
+    for at in range(0, len(q), step):
+        terms = queries[q[at : at + step]] * vectors[v[at : at + step]]
+        while (width := terms.shape[1]) > 1:
+            half = width // 2
+            added = terms[:, :half] + terms[:, half : 2 * half]
+            terms = np.concatenate([added, terms[:, 2 * half :]], axis=1) if width % 2 else added
+        out[at : at + step] = terms[:, 0]
+    return out + 0.0
+
+
+def _few_copies(matrix: np.ndarray, most: int) -> np.ndarray:
+    """Rows without those that ``most`` earlier rows equal."""
+    same = np.ascontiguousarray(matrix).view(f"V{matrix.shape[1] * matrix.itemsize}").ravel()
+    _, group = np.unique(same, return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    place = np.arange(len(order)) - np.searchsorted(group[order], group[order])
+    return np.sort(order[place < most])
+
+
 def _compared(k: int):
     """The best candidates of every query of a block among the vectors of a block."""
 
@@ -248,23 +276,29 @@ def _compared(k: int):
             )
         vectors = vectors.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
         ids, matrix = vectors["vec_id"].to_numpy(), np.stack(vectors["vec"].to_numpy())
-        out = []
+        # Of equal vectors the k smallest ids come first, one more if the query is among them.
+        fewer = _few_copies(matrix, k + 1)
+        ids, matrix = ids[fewer], matrix[fewer]
+        longest, out = np.sqrt((matrix * matrix).sum(1).max()), []
         for at in range(0, len(queries), 256):
             part = queries.iloc[at : at + 256]
             q = part["vec_id"].to_numpy()
-            scores = np.stack(part["vec"].to_numpy()) @ matrix.T
+            wanted = np.stack(part["vec"].to_numpy())
+            scores = wanted @ matrix.T
             scores[ids[None] == q[:, None]] = -np.inf
+            reach = np.isfinite(scores)
             if k < len(ids):
-                # All that reach the k-th score stay until ties are broken by id.
-                least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k][:, None]
-                row, col = np.nonzero((scores >= least) & np.isfinite(scores))
-                order = np.lexsort((ids[col], -scores[row, col], row))
-                row, col = row[order], col[order]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                row, col = row[place < k], col[place < k]
-            else:
-                row, col = np.nonzero(np.isfinite(scores))
-            out.append(pd.DataFrame({"query_id": q[row], "vec_id": ids[col], "score": scores[row, col]}))
+                # All that may reach the k-th score, however the product was rounded.
+                least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+                slack = 4 * matrix.shape[1] * np.finfo(float).eps * np.sqrt((wanted * wanted).sum(1)) * longest
+                reach &= scores >= (least - slack)[:, None]
+            row, col = np.nonzero(reach)
+            exact = pair_scores(wanted, matrix, row, col)
+            order = np.lexsort((ids[col], -exact, row))
+            row, col, exact = row[order], col[order], exact[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, col, exact = row[best], col[best], exact[best]
+            out.append(pd.DataFrame({"query_id": q[row], "vec_id": ids[col], "score": exact}))
         return pd.concat(out)
 
     return run
@@ -327,7 +361,7 @@ def nearest_neighbours(
     left = dealt(home, held, asked, "vector_block", "query_block", BLOCK_VECTORS, BLOCK_QUERIES).groupBy(*cells)
     right = dealt(read, asked, held, "query_block", "vector_block", BLOCK_QUERIES, BLOCK_VECTORS).groupBy(*cells)
     best = left.cogroup(right).applyInPandas(_compared(k), "query_id long, vec_id long, score double")
-    # A copy in another list has the same score; the k best of each query are kept in an array.
+    # A copy in another list has the same score, bit by bit, so the set holds it once; the k best of each query are kept in an array.
     lists = best.groupBy("query_id").agg(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")).alias("all"))
     ranked = lists.select("query_id", F.posexplode(F.slice(F.array_sort("all"), 1, k)).alias("at", "c"))
     return ranked.select(

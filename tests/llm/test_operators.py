@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -378,6 +379,32 @@ def test_vector_search_recall(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_vector_scores_do_not_depend_on_the_block():
+    rng = np.random.default_rng(5)
+    values = rng.standard_normal((400, 77))
+    values[200:260] = values[100]
+    frame = pd.DataFrame({"vec_id": np.arange(400), "vec": list(values)})
+    together = vector_search._compared(20)(None, frame, frame.iloc[:90]).set_index(["query_id", "vec_id"])["score"]
+    for q in range(0, 90, 7):
+        for part in (frame, frame.iloc[::3], frame.iloc[100:261]):
+            alone = vector_search._compared(20)(None, part, frame.iloc[q : q + 1])
+            assert list(zip(-alone["score"], alone["vec_id"])) == sorted(zip(-alone["score"], alone["vec_id"]))
+            both = alone.set_index(["query_id", "vec_id"])["score"]
+            both = both[both.index.isin(together.index)]
+            assert (both == together[both.index]).all()
+            best = sorted((-math.fsum(values[q] * values[i]), i) for i in part["vec_id"] if i != q)[:20]
+            assert alone["score"].tolist() == pytest.approx([-s for s, _ in best])
+    copies = vector_search._compared(20)(None, frame, frame.iloc[100:101])
+    assert copies["vec_id"].tolist() == list(range(200, 220))
+
+
+def test_vector_search_gives_each_neighbour_once(spark):
+    found = collections.defaultdict(list)
+    for r in QUERIES["op1_neighbours"](spark, SF.replace("0.001", "0.01")).collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert found and all(len(v) == len(set(v)) for v in found.values())
+
+
 def test_vector_search_of_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [-1.0, 5.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]),
