@@ -26,8 +26,8 @@ from .token_shards import byte_encoder
 DICTIONARY = 300_000
 #: Subwords with an input vector of their own, single-subword classes, classes in all.
 INPUTS, SINGLE, CLASSES = 2_047, 40, 64
-#: Training rounds; of every so many windows of a document one is learned from in each round.
-TRAIN_ROUNDS, EVERY, BATCH = 1, 24, 32
+#: Training rounds, of which each window belongs to one; windows of a gradient step.
+TRAIN_ROUNDS, BATCH = 4, 32
 #: Windows scored at once: what they need stays in a core's cache.
 AT_ONCE = 24
 END_ID = 50_256
@@ -202,8 +202,8 @@ def _trained(shared, part: int):
                 ids, word = table.subwords(places)
                 sizes = np.bincount(of[word], minlength=words.docs)
                 tokens, targets, scored, _ = model.batches(ids, sizes)
-                # Every so many windows of the stream, others in each round.
-                mine = np.arange(len(tokens)) % EVERY == part * 3 % EVERY
+                # A window's round follows from its tokens, so none is missed when rows come in another order.
+                mine = tokens.sum(axis=1) % TRAIN_ROUNDS == part
                 waiting.append((tokens[mine], targets[mine], scored[mine]))
                 learn(32 * BATCH)
         learn(1)
@@ -218,7 +218,10 @@ def _trained(shared, part: int):
 
 
 def train(training: DataFrame, path: str, pattern: str, subword_counts: np.ndarray) -> LanguageModel:
-    """A model from all ``training`` texts (one text column): rounds of local steps and averages."""
+    """A model from all ``training`` texts (one text column): rounds of local steps and averages.
+
+    Every window is learned from once, in one of the rounds.
+    """
     spark = training.sparkSession
     inputs_of, class_of, within = classes_of(subword_counts)
     inputs = INPUTS + CLASSES

@@ -3,15 +3,18 @@ import hashlib
 import itertools
 import math
 import random
+import types
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import attention, fingerprints, lm_scores, mixing, near_dups, packing, quality, repeats
 from shelfwatch.llm import token_counts, token_shards, vector_search
+from shelfwatch.llm.common import Words, slices, text_column
 from shelfwatch.llm.queries import ORACLES, QUERIES
 
 from ..oracle import connect, differences
@@ -338,6 +341,30 @@ def test_windows_score_each_place_once():
     assert sorted(places[scored].tolist()) == list(range(sizes.sum()))
 
 
+def test_every_window_is_learned_from(texts, monkeypatch):
+    inputs_of, class_of, within = lm_scores.classes_of(np.ones(lm_scores.END_ID + 1))
+    inputs = lm_scores.INPUTS + lm_scores.CLASSES
+    weights = attention.start_weights(inputs, lm_scores.CLASSES)
+    model = lm_scores.LanguageModel(inputs_of, class_of, within, inputs, weights, RANKS, PATTERN)
+    learned = collections.Counter()
+    monkeypatch.setattr(
+        lm_scores.Adam, "step", lambda self, tokens, targets, counted: learned.update(t.tobytes() for t in tokens)
+    )
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts.values())[:60], pa.string())], names=["text"])
+    used = 0
+    for part in range(lm_scores.TRAIN_ROUNDS):
+        order = pa.array(np.random.default_rng(part).permutation(len(batch)))
+        for out in lm_scores._trained(types.SimpleNamespace(value=model), part)(iter([batch.take(order)])):
+            used += out.column(2)[0].as_py()
+    table, wanted = lm_scores._table(RANKS, PATTERN), collections.Counter()
+    for _, _, data, offsets in slices(text_column(batch.column(0))):
+        words = Words(data, offsets, lower=True)
+        _, places, of = table.find(words, data)
+        ids, word = table.subwords(places)
+        wanted.update(t.tobytes() for t in model.batches(ids, np.bincount(of[word], minlength=words.docs))[0])
+    assert learned == wanted and used == wanted.total()
+
+
 @pytest.mark.parametrize("dictionary", [1_000_000, 50])
 def test_lm_base_scores(spark, texts, dictionary):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
