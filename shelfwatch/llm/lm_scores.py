@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .attention import SPAN, Adam, class_log10, start_weights, unpack, windows
@@ -241,7 +241,10 @@ def train(training: DataFrame, path: str, pattern: str, subword_counts: np.ndarr
 
 
 def _scored(shared):
-    """Base and model scores of whole documents, and the words whose counts must be joined."""
+    """Base and model scores of whole documents, and the words whose counts must be joined.
+
+    Until then those words count as unseen; ``rare_network`` is the network's log10 probability of each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -267,6 +270,7 @@ def _scored(shared):
                 both = top + np.log10(0.5 * (10 ** (by_word - top) + 10 ** (by_count - top)))
                 total = lambda v: np.bincount(of, v, words.docs)
                 rare = ~known
+                ends = pa.array(np.concatenate([[0], np.cumsum(total(rare))]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
@@ -275,12 +279,10 @@ def _scored(shared):
                         pa.array(total(by_count)),
                         pa.array(total(by_word)),
                         pa.array(total(both)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.concatenate([[0], np.cumsum(total(rare))]).astype(np.int32)),
-                            pa.array(keys[rare].view(np.int64)),
-                        ),
+                        pa.ListArray.from_arrays(ends, pa.array(keys[rare].view(np.int64))),
+                        pa.ListArray.from_arrays(ends, pa.array(by_word[rare])),
                     ],
-                    names=["doc_id", "n_tokens", "n_known", "base", "network", "either", "rare"],
+                    names=["doc_id", "n_tokens", "n_known", "base", "network", "either", "rare", "rare_network"],
                 )
 
     return run
@@ -292,8 +294,8 @@ def score_documents(
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, network_score), one per row of ``docs``.
 
     Tokens are lower-cased words and one end per document. Counts of frequent words, at most
-    ``dictionary`` of them, are broadcast; the others are joined, so base scores are exact. In
-    the model's mixture a word outside the dictionary counts as unseen. Null texts are empty
+    ``dictionary`` of them, are broadcast; the others are joined, so no score depends on the
+    size of the dictionary. Null texts are empty
     and consist of the end alone; a null id belongs to the training fold; rows that repeat an
     id are scored and counted each on their own. No rows give no rows.
     """
@@ -319,22 +321,29 @@ def score_documents(
     model.keys, model.counts = keys[order], often["n"].to_numpy(np.int64)[order]
     model.total, model.smooth = total, float(total + distinct + 1)
     shared = spark.sparkContext.broadcast(model)
-    schema = "doc_id long, n_tokens long, n_known long, base double, network double, either double, rare array<long>"
+    schema = "doc_id long, n_tokens long, n_known long, base double, network double, either double"
+    schema += ", rare array<long>, rare_network array<double>"
     scored = stored(texts.mapInArrow(_scored(shared), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.filter(F.col("n") < least).select("key", "n")
+    counted_as = lambda n: F.log10((n + 1.0) / model.smooth)
+    mixed = _half_and_half(F.col("network"), counted_as(F.col("n"))) - _half_and_half(F.col("network"), counted_as(F.lit(0)))
     extra = (
-        scored.select("row", F.explode("rare").alias("key"))
-        .groupBy("row", "key")
-        .agg(F.count(F.lit(1)).alias("times"))
+        scored.select("row", F.explode(F.arrays_zip("rare", "rare_network")).alias("w"))
+        .select("row", F.col("w.rare").alias("key"), F.col("w.rare_network").alias("network"))
         .join(rare, "key")
         .groupBy("row")
-        .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("known"))
+        .agg(
+            F.sum(F.log10(F.col("n") + 1.0)).alias("more"),
+            F.sum(mixed).alias("more_either"),
+            F.count(F.lit(1)).alias("known"),
+        )
     )
     base = F.col("base") + F.coalesce("more", F.lit(0.0))
-    ways = [F.col("network"), F.col("either"), F.col("base_score")]
+    either = F.col("either") + F.coalesce("more_either", F.lit(0.0))
+    ways = [F.col("network"), either, F.col("base_score")]
     top = F.greatest(*ways)
     mean = sum((F.pow(F.lit(10.0), w - top) for w in ways), F.lit(0.0)) / len(ways)
-    joined = scored.drop("rare").join(extra, "row", "left").withColumn("base_score", base)
+    joined = scored.drop("rare", "rare_network").join(extra, "row", "left").withColumn("base_score", base)
     return joined.select(
         "doc_id",
         held_out().alias("held_out"),
@@ -347,6 +356,12 @@ def score_documents(
     )
 
 
+def _half_and_half(a: Column, b: Column) -> Column:
+    """log10 of the mean of two probabilities given as log10."""
+    top = F.greatest(a, b)
+    return top + F.log10(F.lit(0.5) * (F.pow(F.lit(10.0), a - top) + F.pow(F.lit(10.0), b - top)))
+
+
 def _threshold(words: DataFrame, dictionary: int) -> int:
     """The least count such that at most ``dictionary`` words have it, found from a histogram of counts."""
     top = 10_000

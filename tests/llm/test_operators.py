@@ -387,6 +387,20 @@ def test_lm_base_scores(spark, texts, dictionary):
     assert lm_scores.score_documents(nothing(spark), RANKS, PATTERN).collect() == []
 
 
+def test_lm_scores_do_not_depend_on_the_dictionary(spark, texts, monkeypatch):
+    monkeypatch.setattr(lm_scores, "TRAIN_ROUNDS", 1)
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items() if i < 80], "doc_id long, text string")
+    whole, small, none = (
+        {r["doc_id"]: r for r in lm_scores.score_documents(docs, RANKS, PATTERN, dictionary=n).collect()}
+        for n in (1_000_000, 50, 0)
+    )
+    for other in (small, none):
+        for i, r in whole.items():
+            for c in ("score", "base_score", "network_score"):
+                assert other[i][c] == pytest.approx(r[c], rel=1e-4), (i, c)
+            assert other[i]["n_known"] == r["n_known"]
+
+
 # vectors
 
 
