@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Positions of a window, positions that are context only, vector size, hidden size.
-SPAN, OVERLAP, SIZE, HIDDEN = 32, 4, 16, 32
+SPAN, OVERLAP, SIZE, HIDDEN = 32, 16, 16, 32
 _SEEN = np.tril(np.ones((SPAN, SPAN), np.float32))
 
 

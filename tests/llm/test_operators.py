@@ -341,6 +341,15 @@ def test_windows_score_each_place_once():
     assert sorted(places[scored].tolist()) == list(range(sizes.sum()))
 
 
+def test_later_windows_see_half_a_window_before():
+    sizes = np.array([0, 1, 31, 32, 33, 48, 200])
+    places, _, scored = attention.windows(sizes)
+    begin = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    row, at = np.nonzero(scored)
+    within = places[row, at] - begin[places[row, at]]
+    assert (at >= np.minimum(within, attention.SPAN // 2)).all()
+
+
 def test_every_window_is_learned_from(texts, monkeypatch):
     inputs_of, class_of, within = lm_scores.classes_of(np.ones(lm_scores.END_ID + 1))
     inputs = lm_scores.INPUTS + lm_scores.CLASSES
