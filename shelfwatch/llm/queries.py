@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    divergence,
     fingerprints,
     lm_scores,
     mixing,
@@ -101,6 +102,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_pack": op2_pack,
@@ -112,6 +117,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality": op10_quality,
+    "op13_divergence": op13_divergence,
 }
 
-ORACLES = {"op5_mix": mixing.MIXED_SIZES_SQL}
+ORACLES = {"op5_mix": mixing.MIXED_SIZES_SQL, "op13_divergence": divergence.DIVERGENCE_SQL}
