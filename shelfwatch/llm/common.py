@@ -72,6 +72,11 @@ def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes stand between words."""
+    return _SPACE[data]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit."""
     x = x ^ (x >> np.uint64(30))

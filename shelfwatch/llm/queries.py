@@ -12,6 +12,7 @@ from . import (
     mixing,
     near_dups,
     packing,
+    periodic,
     quality,
     repeats,
     token_counts,
@@ -102,6 +103,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_table(spark, sf_dir, "documents"), loops=True)
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.n").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.expr("1000 * longest.n div -longest.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_table(spark, sf_dir, "documents"))
 
@@ -117,6 +136,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality": op10_quality,
+    "op12_runs": op12_runs,
     "op13_divergence": op13_divergence,
 }
 
