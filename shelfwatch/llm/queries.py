@@ -17,6 +17,7 @@ from . import (
     repeats,
     token_counts,
     token_shards,
+    vector_dups,
     vector_search,
 )
 from ..session import scratch_path
@@ -103,6 +104,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dups.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(_table(spark, sf_dir, "documents"), loops=True)
     longest = F.array_max(
@@ -136,6 +141,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality": op10_quality,
+    "op11_vector_dups": op11_vector_dups,
     "op12_runs": op12_runs,
     "op13_divergence": op13_divergence,
 }
