@@ -13,6 +13,8 @@ from ..functions import days_to_holiday
 from .ordered import CHUNK_DAYS, HOT_ROWS, chunk_window, with_history, without_history
 
 SERIES_KEYS = ("store_nbr", "family")
+#: Categories that become columns of a table at most.
+MAX_CATEGORIES = 2_000
 
 
 def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
@@ -138,12 +140,12 @@ def calendar_lag(
     return joined.select(*df.columns, *[F.coalesce(f"__lag_{k}", F.lit(0.0)).alias(f"day_lag_{k}") for k in days])
 
 
-def fitted_categories(df: DataFrame, col: str = "family", limit: int | None = None) -> list[str]:
-    """Sorted distinct values, each of which becomes a column; a ``limit`` fails beyond it."""
+def fitted_categories(df: DataFrame, col: str = "family", limit: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct values, each of which becomes a column; more than ``limit`` of them fail."""
     values = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    rows = (values if limit is None else values.limit(limit + 1)).collect()
-    if limit is not None and len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} categories")
+    rows = values.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{col} has {values.count()} categories, more than the limit of {limit}")
     return sorted(row[0] for row in rows)
 
 
@@ -153,15 +155,22 @@ def category_column(col: str, category: object) -> str:
 
 
 def one_hot_family(
-    df: DataFrame, col: str = "family", categories: Sequence[str] | None = None, fit: bool = True
+    df: DataFrame,
+    col: str = "family",
+    categories: Sequence[str] | None = None,
+    fit: bool = True,
+    limit: int = MAX_CATEGORIES,
 ) -> tuple[DataFrame, list[str]]:
-    """One 0/1 column per fitted category in place of ``col``; unseen values are all zeros."""
+    """One 0/1 column per fitted category in place of ``col``; unseen values are all zeros.
+
+    Fitting fails beyond ``limit`` categories.
+    """
     if col not in df.columns:
         return df, list(categories or [])
     if categories is None:
         if not fit:
             raise ValueError("categories must be given when fit is false")
-        categories = fitted_categories(df, col)
+        categories = fitted_categories(df, col, limit)
     names: dict[str, str] = {}
     for category in categories:
         name = category_column(col, category)

@@ -19,6 +19,8 @@ DEFAULT_STORE = 1
 DEFAULT_FAMILY = "GROCERY I"
 DEFAULT_ONPROMOTION = 0
 DEFAULT_HORIZON = 30
+# A horizon is an array of days in one row: a hundred years unless a caller wants more.
+MAX_HORIZON = 36_500
 MODEL_VERSION = "1.0.0"
 
 REQUEST_PARAMS = ("store_nbr", "family", "onpromotion", "base_date", "days_ahead")
@@ -38,12 +40,12 @@ def check_requests(
     df: DataFrame,
     default_horizon: int = DEFAULT_HORIZON,
     base_date: str | None = None,
-    max_horizon: int | None = None,
+    max_horizon: int = MAX_HORIZON,
 ) -> DataFrame:
     """Typed request columns, ``raw`` and ``reason``; works on batches and streams.
 
     A missing value takes its default. A value of the wrong type makes ``reason`` name its
-    fields; it is null for good rows. A horizon is free unless ``max_horizon`` bounds it.
+    fields; it is null for good rows. A horizon beyond ``max_horizon`` days is such a value.
     """
     today = F.to_date(F.lit(base_date)) if base_date else F.current_date()
     given = {c: (F.col(c) if c in df.columns else F.lit(None)) for c in REQUEST_PARAMS}
@@ -59,8 +61,7 @@ def check_requests(
         typed[col] = F.coalesce(parsed, F.lit(default).cast(kind))
     date = given["base_date"].try_cast("date")
     bad.append(F.when(given["base_date"].isNotNull() & date.isNull(), "base_date"))
-    if max_horizon is not None:
-        bad.append(F.when(typed["days_ahead"] > max_horizon, "days_ahead"))
+    bad.append(F.when(typed["days_ahead"] > max_horizon, "days_ahead"))
     typed["base_date"] = F.coalesce(date, today)
     typed["family"] = F.coalesce(given["family"].cast("string"), F.lit(DEFAULT_FAMILY))
 
@@ -86,21 +87,24 @@ def validate_requests(
     df: DataFrame,
     default_horizon: int = DEFAULT_HORIZON,
     base_date: str | None = None,
-    max_horizon: int | None = None,
+    max_horizon: int = MAX_HORIZON,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid requests, quarantine)."""
     return split_checked(check_requests(df, default_horizon, base_date, max_horizon))
 
 
-def expand_horizon(requests: DataFrame, sales_hint: float | Column = 0.0, calendar: bool = True) -> DataFrame:
+def expand_horizon(
+    requests: DataFrame, sales_hint: float | Column = 0.0, calendar: bool = True, max_horizon: int = MAX_HORIZON
+) -> DataFrame:
     """One row per request and day, step 0 on the base date, with the model's feature columns.
 
     The history a request stands for is the hint repeated, so a lag is 0 until the step
     reaches it and the hint from then on, and the rolling mean is the hint. A horizon of 0
-    or less gives no rows.
+    or less gives no rows; one beyond ``max_horizon`` fails, as validation would have set it aside.
     """
     hint = (sales_hint if isinstance(sales_hint, Column) else F.lit(float(sales_hint))).cast("double")
-    steps = F.sequence(F.lit(0), F.col("days_ahead") - 1)
+    too_far = F.raise_error(F.concat(F.lit(f"a horizon is beyond {max_horizon} days: "), F.col("days_ahead").cast("string")))
+    steps = F.when(F.col("days_ahead") > max_horizon, too_far).otherwise(F.sequence(F.lit(0), F.col("days_ahead") - 1))
     rows = requests.filter(F.col("days_ahead") > 0).withColumn("__hint", hint).withColumn("step", F.explode(steps))
     rows = rows.select(
         *requests.columns,

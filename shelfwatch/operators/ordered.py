@@ -234,7 +234,9 @@ def count_reached(value: str, cuts: str, n_cuts: int) -> str:
     return search(0, n_cuts)
 
 
-def ranks_near(long: DataFrame, group: str, value: str, fractions: Sequence[float]) -> DataFrame:
+def ranks_near(
+    long: DataFrame, group: str, value: str, fractions: Sequence[float], probes: DataFrame | None = None
+) -> DataFrame:
     """Rows (group, low, high, n, start, upto, total): values with the ranks they take up.
 
     A row stands for the ``n`` rows of a group with ranks ``start`` to ``upto - 1``, counted
@@ -246,24 +248,21 @@ def ranks_near(long: DataFrame, group: str, value: str, fractions: Sequence[floa
     count; both combine before their shuffle. Of N rows about
     ``4 * len(fractions) * N / SKETCH_ACCURACY`` are shuffled one by one, fewer where values
     repeat. What is broadcast is one row per group and one per (group, stretch).
+
+    ``probes`` spares the first read: rows (group, __probes, __ends, total) from sketches kept
+    earlier, with two values around each fraction, the least and greatest value, and the rows.
+    Ranks still come from the count, so older sketches can make the search fail, never wrong.
     """
-    margin = 2.0 / SKETCH_ACCURACY
-    probes = [min(max(f + side * margin, 0.0), 1.0) for f in fractions for side in (-1, 1)]
-    n_cuts = len(probes) + 2
+    n_cuts = 2 * len(fractions) + 2
     # A stretch is numbered by the cuts below it; it is open when it lies within one fraction's probes.
     sketch = (
-        long.groupBy(group)
-        .agg(
-            F.percentile_approx(value, probes, SKETCH_ACCURACY).alias("__probes"),
-            F.array(F.min(value), F.max(value)).alias("__ends"),
-            F.count(value).alias("total"),
-        )
+        (_probes(long, group, value, fractions) if probes is None else probes)
         .withColumn("__cuts", F.expr("array_sort(array_distinct(concat(__ends, __probes)))"))
         .withColumn(
             "__open",
             F.expr(
                 f"""transform(sequence(0, {n_cuts}), i -> total <= {KEEP_ALL_ROWS} OR coalesce(exists(
-                    sequence(0, {len(probes) - 2}, 2),
+                    sequence(0, {2 * len(fractions) - 2}, 2),
                     j -> get(__probes, j) <= get(__cuts, i - 1) AND get(__probes, j + 1) >= get(__cuts, i)), false))"""
             ),
         )
@@ -286,14 +285,28 @@ def ranks_near(long: DataFrame, group: str, value: str, fractions: Sequence[floa
     offsets = (
         counted.groupBy(group, "__slot")
         .agg(F.sum("n").alias("__n"))
-        .select(group, "__slot", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+        .select(
+            group, "__slot", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+            F.sum("__n").over(Window.partitionBy(group)).alias("__counted"),
+        )
     )
+    total = F.col("total") if probes is None else F.col("__counted")
     within = Window.partitionBy(group, "__slot").orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("__before") + F.col("__within")
     return (
         counted.withColumn("__within", F.sum("n").over(within))
         .join(F.broadcast(offsets), [group, "__slot"])
-        .select(group, "low", "high", "n", (upto - F.col("n")).alias("start"), upto.alias("upto"), "total")
+        .select(group, "low", "high", "n", (upto - F.col("n")).alias("start"), upto.alias("upto"), total.alias("total"))
+    )
+
+
+def _probes(long: DataFrame, group: str, value: str, fractions: Sequence[float]) -> DataFrame:
+    margin = 2.0 / SKETCH_ACCURACY
+    at = [min(max(f + side * margin, 0.0), 1.0) for f in fractions for side in (-1, 1)]
+    return long.groupBy(group).agg(
+        F.percentile_approx(value, at, SKETCH_ACCURACY).alias("__probes"),
+        F.array(F.min(value), F.max(value)).alias("__ends"),
+        F.count(value).alias("total"),
     )
 
 

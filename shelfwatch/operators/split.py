@@ -123,6 +123,126 @@ def chrono_split(
     return df.withColumn("split", F.when(first, "train").otherwise("valid"))
 
 
+def split_boundaries(
+    df: DataFrame, date: str, tie_cols: Sequence[str], ratios: Sequence[float], limit: int = MAX_VALUES
+) -> list[Column]:
+    """One predicate for each ratio, as ``split_boundary`` finds it, from one counting pass a level for all of them.
+
+    A level counts its values once, within the values that the boundaries have reached on the
+    levels before. With more than ``limit`` values there each boundary is searched on its own.
+    """
+    if any(not 0 <= r <= 1 for r in ratios):
+        raise ValueError("ratios must lie between 0 and 1")
+    levels = [date, *tie_cols]
+    stamps = [c for c in levels if isinstance(df.schema[c].dataType, TimestampType)]
+    inside = df.select(*[F.unix_micros(c).alias(c) if c in stamps else F.col(c) for c in levels])
+    total = df.count()
+    # What a boundary has reached: values of the levels so far, rows that it still lacks, its predicate so far.
+    reached: list[tuple] = [()] * len(ratios)
+    wanted = [int(total * r) for r in ratios]
+    taken: list[Column] = [F.lit(False)] * len(ratios)
+    same: list[Column] = [F.lit(True)] * len(ratios)
+    open_ = [i for i, n in enumerate(wanted) if n]
+    left = dict.fromkeys(open_, 0)
+    for depth, level in enumerate(levels):
+        if not open_:
+            break
+        prefixes = list(dict.fromkeys(reached[i] for i in open_))
+
+        def within(prefix: tuple) -> Column:
+            found = F.lit(True)
+            for c, v in zip(levels, prefix):
+                found = found & F.col(c).eqNullSafe(F.lit(v))
+            return found
+
+        group = F.coalesce(*[F.when(within(p), F.lit(n)) for n, p in enumerate(prefixes)])
+        counts = inside.select(group.alias("__g"), level).filter("__g is not null").groupBy("__g", level).agg(F.count(F.lit(1)).alias("__n"))
+        rows = counts.limit(limit).collect()
+        by_prefix: dict[int, list] = {n: [] for n in range(len(prefixes))}
+        for r in rows:
+            by_prefix[r["__g"]].append((r[level], r["__n"]))
+        going = []
+        for i in open_:
+            if len(rows) < limit:
+                value, before, n = _find(sorted(by_prefix[prefixes.index(reached[i])], key=lambda pair: _sort_key(pair[0])), wanted[i])
+            else:
+                value, before, n = _cut_value(inside.filter(within(reached[i])), level, wanted[i], limit)
+            literal = F.timestamp_micros(F.lit(value)) if level in stamps and value is not None else F.lit(value)
+            taken[i] = taken[i] | (same[i] & _before(level, value, literal))
+            same[i] = same[i] & F.col(level).eqNullSafe(literal)
+            reached[i] = (*reached[i], value)
+            wanted[i] -= before
+            left[i] = n
+            if wanted[i] == n:
+                taken[i] = taken[i] | same[i]
+            elif wanted[i]:
+                going.append(i)
+        open_ = going
+    if open_:
+        raise ValueError(
+            f"{max(left[i] for i in open_)} rows are equal in {levels} at a boundary that parts them: name more tie columns"
+        )
+    return taken
+
+
+def _find(values: Sequence[tuple], wanted: int) -> tuple[object, int, int]:
+    upto = 0
+    for value, n in values:
+        if upto + n >= wanted:
+            return value, upto, n
+        upto += n
+    raise ValueError("the rows changed while they were split")
+
+
+def chrono_parts(
+    df: DataFrame,
+    parts: dict[str, float],
+    date: str = "date",
+    tie_cols: Sequence[str] = ("store_nbr", "family"),
+) -> DataFrame:
+    """Add ``split``: the name of each row's part, in the order of ``parts`` by date, with these shares of the rows.
+
+    ``chrono_parts(df, {"train": 0.7, "valid": 0.15, "test": 0.15})`` ends the first part after
+    ``int(rows * 0.7)`` rows. The shares add up to 1.
+    """
+    names, ends, upto = list(parts), [], 0.0
+    for share in list(parts.values())[:-1]:
+        upto += share
+        ends.append(min(1.0, round(upto, 12)))
+    if not names or abs(upto + parts[names[-1]] - 1) > 1e-9 or min(parts.values()) < 0:
+        raise ValueError("the shares of the parts must add up to 1")
+    name = F.lit(names[-1])
+    for part, first in reversed(list(zip(names, split_boundaries(df, date, tie_cols, ends)))):
+        name = F.when(first, part).otherwise(name)
+    return df.withColumn("split", name)
+
+
+def rolling_origins(
+    df: DataFrame,
+    folds: int,
+    first: float = 0.5,
+    date: str = "date",
+    tie_cols: Sequence[str] = ("store_nbr", "family"),
+) -> DataFrame:
+    """Add ``block``: 0 for the first share of the rows by date, then 1 to ``folds`` for equal stretches of the rest.
+
+    Fold k of a back-test learns from the blocks before k and is judged on block k, see ``fold``;
+    so no row is copied however many folds there are.
+    """
+    if folds < 1 or not 0 <= first < 1:
+        raise ValueError("there must be a fold, and rows left for it")
+    ends = [first + (1 - first) * k / folds for k in range(folds)]
+    block = F.lit(0)
+    for before in split_boundaries(df, date, tie_cols, ends):
+        block = block + F.when(before, 0).otherwise(1)
+    return df.withColumn("block", block)
+
+
+def fold(df: DataFrame, k: int, block: str = "block") -> tuple[DataFrame, DataFrame]:
+    """(rows to learn from, rows to judge on) of fold ``k``, counted from 1, of ``rolling_origins``."""
+    return df.filter(F.col(block) < k), df.filter(F.col(block) == k)
+
+
 def sample_exact(df: DataFrame, keys: Sequence[str], n: int = 5000, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement, the same ones for the same keys and seed.
 

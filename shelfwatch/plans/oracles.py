@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from ..functions.calendar import HOLIDAYS
 from ..operators.metrics import LATENCY_BOUNDS, bucket_label
-from ..operators.models import trial_params
 from ..operators.split import TRAIN_RATIO
 
 ORACLES: dict[str, str] = {}
@@ -521,24 +520,87 @@ _SPLIT = f"""
   SELECT *, row_number() OVER (ORDER BY date, store_nbr, family) <= floor((SELECT count(*) FROM sales) * {TRAIN_RATIO}) AS first
   FROM sales)
 """
-ORACLES["train_regressor"] = f"""
-WITH {_SPLIT} SELECT CASE WHEN first THEN 'train' ELSE 'valid' END AS split, count(*) AS n, true AS beats_mean FROM placed GROUP BY 1
-"""
 ORACLES["load_model"] = f"""
 WITH {_SPLIT} SELECT CASE WHEN first THEN 'train' ELSE 'valid' END AS split, count(*) AS n, count(*) AS same FROM placed GROUP BY 1
 """
+
+def _stumps(rounds: int = 8, step: float = 0.6, patience: int = 2, more_cells: str = "") -> str:
+    """CTEs cells(store_nbr, month, day_of_week, f), losses(round, loss), kept_round(kept): boosted trees of one split.
+
+    All rows of a store, month and day of the week are alike to the trees, so sums over these
+    cells say where each tree splits: where the squared sums of both sides over their rows are greatest.
+    """
+    names = ("store_nbr", "month", "day_of_week")
+    ctes = [
+        _SPLIT,
+        f"""c0 AS (
+  SELECT store_nbr, month, day_of_week, count(*) FILTER (WHERE part = 1) AS n, coalesce(sum(sales) FILTER (WHERE part = 1), 0) AS s,
+         count(*) FILTER (WHERE part = 2) AS vn, coalesce(sum(sales) FILTER (WHERE part = 2), 0) AS vs,
+         coalesce(sum(sales * sales) FILTER (WHERE part = 2), 0) AS vss
+  FROM (SELECT store_nbr, month(date) AS month, isodow(date) - 1 AS day_of_week, sales, CASE WHEN first THEN 1 ELSE 2 END AS part FROM placed
+        {more_cells}) GROUP BY ALL)""",
+    ]
+    for k in range(1, rounds + 1):
+        target, weight = ("s", 1.0) if k == 1 else (f"2 * (s - n * f{k - 1})", step)
+        before = "0" if k == 1 else f"f{k - 1}"
+        counted = " UNION ALL ".join(
+            f"SELECT '{x}' AS feature, {i} AS place, {x} AS v, sum(n) AS n, sum(t) AS t FROM t{k} GROUP BY {x} HAVING sum(n) > 0"
+            for i, x in enumerate(names)
+        )
+        side = "CASE feature WHEN 'store_nbr' THEN store_nbr WHEN 'month' THEN month ELSE day_of_week END"
+        ctes += [
+            f"t{k} AS MATERIALIZED (SELECT *, CAST({target} AS DOUBLE) AS t FROM c{k - 1})",
+            f"""b{k} AS MATERIALIZED (
+  SELECT feature, v, tl / nl AS below, (tt - tl) / (nt - nl) AS above FROM (
+    SELECT feature, place, v, sum(n) OVER upto AS nl, sum(t) OVER upto AS tl, sum(n) OVER whole AS nt, sum(t) OVER whole AS tt
+    FROM ({counted})
+    WINDOW upto AS (PARTITION BY feature ORDER BY v), whole AS (PARTITION BY feature))
+  WHERE nl < nt ORDER BY tl * tl / nl + (tt - tl) * (tt - tl) / (nt - nl) DESC, place, v LIMIT 1)""",
+            f"c{k} AS MATERIALIZED (SELECT t{k}.* EXCLUDE (t), {before} + {weight}::DOUBLE * CASE WHEN {side} <= v THEN below ELSE above END AS f{k} FROM t{k}, b{k})",
+        ]
+    losses = " UNION ALL ".join(
+        f"SELECT {k} AS round, sum(vss - 2 * f{k} * vs + vn * f{k} * f{k}) / sum(vn) AS loss FROM c{rounds}" for k in range(1, rounds + 1)
+    )
+    choice = " ".join(f"WHEN {k} THEN f{k}" for k in range(1, rounds + 1))
+    ctes += [
+        f"losses AS MATERIALIZED ({losses})",
+        "gains AS (SELECT * FROM (SELECT *, min(loss) OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS least FROM losses) WHERE least IS NULL OR loss < least)",
+        f"kept_round AS (SELECT min(round) AS kept FROM (SELECT round, lead(round) OVER (ORDER BY round) AS following FROM gains) WHERE following IS NULL OR following > round + {patience})",
+        f"cells AS (SELECT store_nbr, month, day_of_week, greatest(0, CASE kept {choice} END) AS f FROM c{rounds}, kept_round)",
+    ]
+    return ",\n".join(c.strip() for c in ctes)
+
+
+_CELL = "c.store_nbr = r.store_nbr AND c.month = month(r.date) AND c.day_of_week = isodow(r.date) - 1"
+ORACLES["train_stumps"] = f"""
+WITH {_stumps()}
+SELECT CASE WHEN first THEN 'train' ELSE 'valid' END AS split, count(*) AS n, round(sqrt(avg((sales - f) * (sales - f))), 6) AS rmse,
+       CAST(any_value(kept) AS BIGINT) AS rounds
+FROM placed r JOIN cells c ON {_CELL}, kept_round GROUP BY 1
+"""
+ORACLES["boosting_losses"] = f"""
+WITH {_stumps()}
+SELECT CAST(round AS BIGINT) AS round, round(loss, 6) AS loss, round <= kept AS kept FROM losses, kept_round WHERE round <= kept + 2
+"""
 ORACLES["score_table"] = f"""
-WITH {_SPLIT} SELECT {DAY}, store_nbr, family, sales, true AS has_forecast FROM placed WHERE NOT first
+WITH {_stumps()}
+SELECT strftime(r.date, '%Y-%m-%d') AS date, r.store_nbr, family, sales, round(f, 6) AS yhat FROM placed r JOIN cells c ON {_CELL} WHERE NOT first
 """
+_asked_cells = """UNION ALL
+        SELECT DISTINCT store_nbr, month(date), isodow(date) - 1, 0, 0 FROM dated"""
 ORACLES["forecast_requests"] = f"""
-WITH {REQUESTS}
+WITH {REQUESTS}, dated AS (
+  SELECT *, base_date + step AS date FROM (SELECT *, CAST(unnest(range(days_ahead)) AS INTEGER) AS step FROM requests)),
+{_stumps(more_cells=_asked_cells)}
 SELECT request_id, '1.0.0' AS model_version, sha256(request_id || '|1.0.0') AS prediction_id, 'ok' AS status,
-       days_ahead AS steps, true AS not_below_zero FROM requests
+       CAST(count(*) AS INTEGER) AS steps, round(sum(f), 3) AS total
+FROM dated r JOIN cells c ON {_CELL} GROUP BY request_id
+"""
+ORACLES["rung_survivors"] = """
+SELECT p_size AS rung, p_partkey AS trial, p_retailprice AS val_rmse,
+       row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice, p_partkey) <= ceil(count(*) OVER (PARTITION BY p_size) / 3.0) AS goes_on
+FROM part
 """
-_trials = ", ".join(
-    f"({i}, {p['maxDepth']}, round({p['stepSize']!r}::DOUBLE, 9), true)" for i, p in enumerate(trial_params(2, 42, (4, 8)))
-)
-ORACLES["search_params"] = f"SELECT * FROM (VALUES {_trials}) t(trial, \"maxDepth\", \"stepSize\", measured)"
 ORACLES["early_stop"] = """
 WITH losses AS (
   SELECT o_custkey AS trial, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS round, o_totalprice AS loss FROM orders),
@@ -547,3 +609,93 @@ firsts AS (SELECT trial, least, min(round) AS round FROM best GROUP BY trial, le
 ends AS (SELECT trial, round, lead(round) OVER (PARTITION BY trial ORDER BY round) AS following FROM firsts)
 SELECT trial, CAST(min(round) AS INTEGER) AS kept FROM ends WHERE following IS NULL OR following > round + 3 GROUP BY trial
 """
+
+# Lines, answers and streams
+
+ORACLES["scan_eval_lines"] = """
+WITH turns AS (
+  SELECT conv_id // 200 AS file, conv_id, turn, conv_id * 10 + turn AS k,
+         '{"question":' || to_json(role) || ',"context":' || to_json(text) || ',"answer":' || to_json(text) || '}' AS line
+  FROM conversations),
+lines AS (
+  SELECT file, conv_id, turn, 0 AS part, CASE WHEN k % 7 = 0 THEN substr(line, 1, length(line) - 1) ELSE line END AS value, k FROM turns
+  UNION ALL SELECT file, conv_id, turn, 1, '', k FROM turns WHERE k % 10 = 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY conv_id, turn, part) AS line_no FROM lines)
+SELECT file, line_no, CASE WHEN k % 7 = 0 THEN 'bad_json' ELSE 'ok' END AS reason, sha256(value) AS line_hash FROM numbered WHERE part = 0
+"""
+GRADED = f"""
+{ANSWERS}, {PRECISION}, measured AS (
+  SELECT id, precision, (length(context) + 7 + length(answer)) AS n, {_letters('question')} AS q, {_letters('answer')} AS a FROM precisions),
+graded AS (
+  SELECT id, precision, CASE n % 3 WHEN 0 THEN (n % 101) / 100.0::DOUBLE WHEN 1 THEN 1 - (n % 101) / 100.0::DOUBLE ELSE 0.5 END AS faithfulness,
+         CASE WHEN list_dot_product(q, q) * list_dot_product(a, a) = 0 THEN 0
+              ELSE greatest(0, least(1, list_dot_product(q, a) / sqrt(list_dot_product(q, q) * list_dot_product(a, a)))) END AS relevance
+  FROM measured)
+"""
+ORACLES["score_answers"] = f"""
+WITH {GRADED}
+SELECT id, round(faithfulness, 6) AS faithfulness, round(relevance, 4) AS relevance, round(precision, 6) AS precision FROM graded
+"""
+ORACLES["answer_gate"] = f"""
+WITH {GRADED}, means AS (SELECT count(*) AS n, avg(faithfulness) AS f, avg(relevance) AS r, avg(precision) AS p FROM graded)
+SELECT n, round(f, 6) AS mean_faithfulness, round(r, 4) AS mean_relevance, round(p, 6) AS mean_precision,
+       f >= 0.45 AS pass_faithfulness, r >= 0.45 AS pass_relevance, p >= 0.45 AS pass_precision, f >= 0.45 AND r >= 0.45 AND p >= 0.45 AS overall
+FROM means
+"""
+ORACLES["stream_latest_per_key"] = ORACLES["latest_per_key"]
+ORACLES["stream_pit_join"] = """
+WITH clicks AS (SELECT * FROM events WHERE event_type = 'click' AND ts < (SELECT date_trunc('day', max(ts)) FROM events)),
+views AS (SELECT user_id, ts, max(struct_pack(view_id := event_id, seen := value)) AS v FROM events WHERE event_type = 'view' GROUP BY ALL)
+SELECT c.event_id, c.user_id, CASE WHEN w.ts >= c.ts - INTERVAL 1 DAY THEN v.view_id END AS view_id,
+       CASE WHEN w.ts >= c.ts - INTERVAL 1 DAY THEN v.seen END AS seen
+FROM clicks c ASOF LEFT JOIN views w ON c.user_id = w.user_id AND c.ts >= w.ts
+"""
+ORACLES["delayed_truth_join"] = f"""
+WITH {BASELINE}
+SELECT {DAY}, store_nbr, family, round(yhat, 6) AS yhat, CASE WHEN (day(date) + store_nbr) % 12 <= 7 THEN sales ELSE -1 END AS y
+FROM baseline WHERE date < (SELECT max(date) FROM baseline) - INTERVAL 20 DAYS
+"""
+ORACLES["stream_delayed_truth"] = ORACLES["delayed_truth_join"]
+
+# Drift tests, parts and stored features
+
+_KOLMOGOROV = """CASE WHEN z <= 0.05 THEN 1
+  WHEN z < 1 THEN 1 - sqrt(2 * pi()) / z * list_sum(list_transform(range(1, 13), lambda k: exp(-((2 * k - 1) ** 2) * pi() ** 2 / (8 * z * z))))
+  ELSE least(1, greatest(0, list_sum(list_transform(range(1, 13), lambda k: (CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0 * k * k * z * z))))) END"""
+ORACLES["drift_tests"] = f"""
+WITH {LINE_LONG}, {LINE_TEXT}, counts AS (
+  SELECT feature, v, count(*) FILTER (WHERE ref) AS r, count(*) FILTER (WHERE NOT ref) AS c FROM numbers GROUP BY 1, 2),
+running AS (
+  SELECT feature, sum(r) OVER w / sum(r) OVER a AS fr, sum(c) OVER w / sum(c) OVER a AS fc, sum(r) OVER a AS n, sum(c) OVER a AS m FROM counts
+  WINDOW w AS (PARTITION BY feature ORDER BY v), a AS (PARTITION BY feature)),
+gaps AS (SELECT feature, max(abs(fr - fc)) AS ks, any_value(n)::DOUBLE AS n, any_value(m)::DOUBLE AS m FROM running GROUP BY 1),
+scaled AS (SELECT feature, ks, ks * sqrt(n * m / (n + m)) AS z FROM gaps),
+chi AS (SELECT feature, chi2, degrees, degrees / 2.0 AS a, chi2 / 2.0 AS x FROM (
+  WITH counts AS (
+    SELECT feature, v, count(*) FILTER (WHERE ref)::DOUBLE AS r, count(*) FILTER (WHERE NOT ref)::DOUBLE AS c FROM texts GROUP BY 1, 2),
+  totals AS (SELECT *, sum(r) OVER a AS rr, sum(c) OVER a AS cc FROM counts WINDOW a AS (PARTITION BY feature)),
+  expected AS (SELECT *, (r + c) * rr / (rr + cc) AS er, (r + c) * cc / (rr + cc) AS ec FROM totals)
+  SELECT feature, sum((r - er) ** 2 / er + (c - ec) ** 2 / ec) AS chi2, count(*) - 1 AS degrees FROM expected GROUP BY 1)),
+rows AS (
+  SELECT feature, 'ks' AS test, ks AS statistic, 0 AS degrees, {_KOLMOGOROV} AS p FROM scaled
+  UNION ALL
+  SELECT feature, 'chi2', chi2, degrees,
+         greatest(0, 1 - list_sum(list_transform(range(0, 3000), lambda n: exp((a + n) * ln(x) - x - lgamma(a + n + 1))))) FROM chi)
+SELECT feature, test, round(statistic, 6) AS statistic, CAST(degrees AS BIGINT) AS degrees, round(p, 9) AS p_value, p < 0.05 AS drift FROM rows
+"""
+ORACLES["quantile_edges_kept"] = ORACLES["quantile_edges"]
+ORACLES["psi_numeric_kept"] = ORACLES["psi_numeric"]
+ORACLES["chrono_parts"] = f"""
+WITH {SALES}, placed AS (SELECT *, row_number() OVER (ORDER BY date, store_nbr, family) AS place, count(*) OVER () AS n FROM sales)
+SELECT {DAY}, store_nbr, family,
+       CASE WHEN place <= floor(n * 0.75::DOUBLE) THEN 'train' WHEN place <= floor(n * 0.875::DOUBLE) THEN 'valid' ELSE 'test' END AS split
+FROM placed
+"""
+ORACLES["rolling_origins"] = f"""
+WITH {SALES}, placed AS (SELECT *, row_number() OVER (ORDER BY date, store_nbr, family) AS place, count(*) OVER () AS n FROM sales),
+blocks AS (SELECT *, len(list_filter([0.5, 0.625, 0.75, 0.875], lambda r: place > floor(n * r))) AS block FROM placed)
+SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN block < fold THEN 'train' ELSE 'valid' END AS part, count(*) AS n, sum(sales) AS sales,
+       strftime(max(date), '%Y-%m-%d') AS last
+FROM blocks, range(1, 5) f(fold) WHERE block <= fold GROUP BY 1, 2
+"""
+ORACLES["feature_table_update"] = ORACLES["feature_table"]

@@ -6,16 +6,21 @@ Dates and timestamps leave as text, so that results compare equal across engines
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import asof, checks, drift, evaluate, features, forecast, metrics, models, split
 from ..session import scratch_path
-from ..sources import FEATURE_COLUMNS, check_eval_lines, format_gauge_lines, gauge_json
+from ..sources import FEATURE_COLUMNS, check_eval_lines, format_gauge_lines, gauge_json, numbered_lines
+from ..sources import update_feature_table
 from ..sources import write_feature_table as write_features
-from ..streaming import append_table, psi_stream, read_log_stream, validate_stream
+from ..streaming import append_table, delayed_truth, newest_stream, pit_join_stream, psi_stream, read_log_stream, read_newest
+from ..streaming import validate_stream
 from ..streaming.drift import reference_bins, window_bin_counts, window_psi
 from . import star_tables as star
 
@@ -106,6 +111,31 @@ def scan_eval_jsonl(spark, sf_dir):
     )
 
 
+@query
+def scan_eval_lines(spark, sf_dir):
+    """Lines of JSON files, each cut into many pieces: the number of every line and what is wrong with it.
+
+    A file holds the turns of 200 conversations; every tenth turn has a blank line after it, every
+    seventh does not end its JSON.
+    """
+    turns = star.table(spark, sf_dir, "conversations")
+    path, key = scratch_path(spark, "json-lines"), F.col("conv_id") * 10 + F.col("turn")
+    whole = F.to_json(F.struct(F.col("role").alias("question"), F.col("text").alias("context"), F.col("text").alias("answer")))
+    line = F.when(key % 7 == 0, F.expr("substr(line, 1, length(line) - 1)")).otherwise(F.col("line"))
+    line = F.concat(line, F.when(key % 10 == 0, "\n").otherwise(""))
+    rows = turns.withColumn("line", whole).select("conv_id", "turn", line.alias("value"), F.expr("conv_id div 200").alias("file"))
+    rows.repartition("file").sortWithinPartitions("file", "conv_id", "turn").select("file", "value").write.partitionBy("file").text(path)
+    pieces, rows_n = "spark.sql.files.maxPartitionBytes", turns.count()
+    before = spark.conf.get(pieces)
+    spark.conf.set(pieces, str(min(128 << 20, max(16 << 10, 8 * rows_n))))
+    try:
+        lines = _stored(check_eval_lines(numbered_lines(spark, path)), "checked-lines")
+    finally:
+        spark.conf.set(pieces, before)
+    file = F.regexp_extract("source", "file=(\\d+)", 1).cast("long").alias("file")
+    return lines.select(file, "line_no", F.coalesce("reason", F.lit("ok")).alias("reason"), F.sha2("value", 256).alias("line_hash"))
+
+
 @query
 def scan_event_props(spark, sf_dir):
     """The field check on the events' own JSON: ``k`` is a number, so no row passes as text."""
@@ -203,9 +233,13 @@ def _feature_path(spark: SparkSession, sf_dir: str) -> str:
 @query
 def write_feature_table(spark, sf_dir):
     """The feature table written by year, and read back."""
-    table = spark.read.parquet(_feature_path(spark, sf_dir)).select(*FEATURE_COLUMNS)
+    return _feature_rows(spark.read.parquet(_feature_path(spark, sf_dir)))
+
+
+def _feature_rows(table: DataFrame) -> DataFrame:
     numbers = {c: F.round(c, 6) for c in ("lag_7", "lag_14", "rolling_mean_7")}
-    return table.withColumns({"event_timestamp": _time("event_timestamp"), "year": F.col("year").cast("long"), **numbers})
+    whole = {"event_timestamp": _time("event_timestamp"), "year": F.col("year").cast("long")}
+    return table.select(*FEATURE_COLUMNS).withColumns({**whole, **numbers})
 
 
 @query
@@ -256,6 +290,37 @@ def chrono_split(spark, sf_dir):
     return split.chrono_split(star.daily_sales(spark, sf_dir)).select(_day(), *SERIES, "split")
 
 
+@query
+def chrono_parts(spark, sf_dir):
+    """Three parts by date, from one counting pass a level."""
+    parts = {"train": 0.75, "valid": 0.125, "test": 0.125}
+    return split.chrono_parts(star.daily_sales(spark, sf_dir), parts).select(_day(), *SERIES, "split")
+
+
+@query
+def rolling_origins(spark, sf_dir):
+    """Rows and sales of what each of four back-test folds learns from and is judged on."""
+    rows = split.rolling_origins(star.daily_sales(spark, sf_dir), 4)
+    parts = []
+    for k in range(1, 5):
+        for name, part in zip(("train", "valid"), split.fold(rows, k)):
+            sums = part.agg(F.count(F.lit(1)).alias("n"), F.sum("sales").alias("sales"), F.date_format(F.max("date"), "yyyy-MM-dd").alias("last"))
+            parts.append(sums.select(F.lit(k).alias("fold"), F.lit(name).alias("part"), "n", "sales", "last"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def feature_table_update(spark, sf_dir):
+    """A stored table of three days in four of the sales, then the others added in two runs: the whole table."""
+    sales = star.daily_sales(spark, sf_dir)
+    turn = F.pmod(F.unix_date("date") + F.col("store_nbr"), F.lit(8))
+    path = scratch_path(spark, "growing-features")
+    write_features(features.demand_features(sales.filter(turn < 6)), path)
+    for extra in (7, 6):
+        update_feature_table(sales.filter(turn == extra), path)
+    return _feature_rows(spark.read.parquet(path))
+
+
 @query
 def sample_exact(spark, sf_dir):
     sales = star.daily_sales(spark, sf_dir).withColumn("day", F.date_format("date", "yyyy-MM-dd"))
@@ -335,6 +400,36 @@ def chi2_test(spark, sf_dir):
     return found.select("feature", _six("chi2"), "degrees")
 
 
+@query
+def drift_tests(spark, sf_dir):
+    """Chances of so large a difference, and which columns drifted."""
+    found = checks.drift_tests(*star.line_windows(spark, sf_dir))
+    degrees = F.coalesce("degrees", F.lit(0).cast("long")).alias("degrees")
+    return found.select("feature", "test", _six("statistic"), degrees, F.round("p_value", 9).alias("p_value"), "drift")
+
+
+def _line_sketches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(lines before the cut, lines from it, sketches per day of all lines), the sketches as a stored table."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    kept = _stored(drift.daily_sketches(lines, LINE_NUMBERS, "l_shipdate"), "daily-sketches")
+    return (*star.line_windows(spark, sf_dir), kept.filter(F.col("day") < F.lit(star.CURRENT_FROM).cast("date")))
+
+
+@query
+def quantile_edges_kept(spark, sf_dir):
+    """The same edges from sketches kept per day: the reference is read once."""
+    ref, _, sketches = _line_sketches(spark, sf_dir)
+    edges = drift.quantile_edges(ref, LINE_NUMBERS, sketches=sketches)
+    return edges.select("feature", F.posexplode("edges").alias("edge_no", "edge")).withColumn("edge", F.round("edge", 6))
+
+
+@query
+def psi_numeric_kept(spark, sf_dir):
+    """The same scores from sketches kept per day."""
+    ref, cur, sketches = _line_sketches(spark, sf_dir)
+    return drift.psi_numeric(ref, cur, LINE_NUMBERS, sketches=sketches)
+
+
 # Answer quality ---------------------------------------------------------------------------
 
 
@@ -416,10 +511,28 @@ def eval_gate(spark, sf_dir):
         ).alias("faithfulness"),
         (F.length("question") % 100 / F.lit(100.0)).alias("relevance"),
     )
-    gate = evaluate.eval_gate(scores, 0.6)
+    return _gate_row(evaluate.eval_gate(scores, 0.6))
+
+
+def _gate_row(gate: DataFrame) -> DataFrame:
     return gate.select("n", *[_six(f"mean_{m}") for m in evaluate.METRICS], *[f"pass_{m}" for m in evaluate.METRICS], "overall")
 
 
+@query
+def score_answers(spark, sf_dir):
+    """All three scores of every answer, by the stand-in models."""
+    scored = evaluate.score_answers(star.answer_set(spark, sf_dir), length_scorer, letter_embedder)
+    return scored.select("id", _six("faithfulness"), F.round("relevance", 4).alias("relevance"), _six("precision"))
+
+
+@query
+def answer_gate(spark, sf_dir):
+    """The gate over the scores of the whole answer set."""
+    scored = evaluate.score_answers(star.answer_set(spark, sf_dir), length_scorer, letter_embedder)
+    gate = evaluate.eval_gate(_stored(scored.select("id", *evaluate.METRICS), "answer-scores"), 0.45)
+    return _gate_row(gate).withColumn("mean_relevance", F.round("mean_relevance", 4))
+
+
 # Request metrics --------------------------------------------------------------------------
 
 
@@ -514,6 +627,66 @@ def stream_psi(spark, sf_dir):
     return _window_drift(spark.read.parquet(path))
 
 
+@query
+def stream_latest_per_key(spark, sf_dir):
+    """The newest event per user and type, from a stream that brings them out of order, a file at a time."""
+    events = star.table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    path, out = scratch_path(spark, "shuffled-events"), scratch_path(spark, "newest")
+    events.repartition(4, F.xxhash64("event_id")).write.parquet(path)
+    stream = read_log_stream(spark, path, events.schema, files_per_trigger=1)
+    keys = ["user_id", "event_type"]
+    newest_stream(stream, out, keys, "ts", ["event_id"], once=True).awaitTermination()
+    return read_newest(spark, out, events.schema, keys, "ts", ["event_id"]).select(*keys, "event_id", "value")
+
+
+@query
+def stream_pit_join(spark, sf_dir):
+    """Each click of a user with the user's newest view of the day before; of all days but the last, whose end has not come."""
+    events = star.table(spark, sf_dir, "events")
+    stream = read_log_stream(spark, sf_dir, events.schema, name_filter="events.parquet")
+    time = F.col("ts").cast("timestamp").alias("event_timestamp")
+    views = stream.filter("event_type = 'view'").select("user_id", time, F.col("event_id").alias("view_id"), F.col("value").alias("seen"))
+    clicks = stream.filter("event_type = 'click'").select("user_id", time, "event_id")
+    found = _drained(pit_join_stream(clicks, views, ["user_id"], ttl_days=1, delay=STREAM_DELAY), "clicks")
+    last = events.agg(F.date_trunc("day", F.max("ts")).cast("timestamp").alias("last"))
+    return found.join(F.broadcast(last), found["event_timestamp"] < F.col("last")).select("event_id", "user_id", "view_id", "seen")
+
+
+def _labels_in_time(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Predictions by a rule, and sales that become known up to eleven days after their date."""
+    date = F.col("date").cast("timestamp").alias("date")
+    rows = _stored(_baseline_rows(spark, sf_dir).select(date, *SERIES, "yhat", "sales"), "labelled")
+    late = (F.day("date") + F.col("store_nbr")) % 12
+    actuals = rows.select("date", *SERIES, "sales", (F.col("date") + F.make_dt_interval(days=late.cast("int"))).alias("known_at"))
+    return rows.drop("sales"), actuals
+
+
+def _truth_rows(joined: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Those whose wait was over ten days before the newest prediction."""
+    end = predictions.agg((F.max("date") - F.expr("INTERVAL 20 DAYS")).alias("end"))
+    closed = joined.join(F.broadcast(end), joined["date"] < F.col("end"))
+    return closed.select(_day(), *SERIES, _six("yhat"), F.coalesce("y", F.lit(-1.0)).alias("y"))
+
+
+@query
+def delayed_truth_join(spark, sf_dir):
+    """Predictions with the sales that became known within a week."""
+    predictions, actuals = _labels_in_time(spark, sf_dir)
+    return _truth_rows(delayed_truth(predictions, actuals), predictions)
+
+
+@query
+def stream_delayed_truth(spark, sf_dir):
+    """The same join of two streams."""
+    predictions, actuals = _labels_in_time(spark, sf_dir)
+    streams = []
+    for rows, name in ((predictions, "predictions"), (actuals, "actuals")):
+        path = scratch_path(spark, name)
+        rows.write.parquet(path)
+        streams.append(read_log_stream(spark, path, rows.schema))
+    return _truth_rows(_drained(delayed_truth(*streams), "truth"), predictions)
+
+
 @query
 def stream_validate_requests(spark, sf_dir):
     """Orders as a stream of raw requests; counts of good and quarantined rows."""
@@ -674,6 +847,10 @@ def store_attributes(spark, sf_dir):
 # Models -----------------------------------------------------------------------------------
 
 TRIAL_ROUNDS = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.2, "seed": 42}
+#: Trees of one split over numbers with few values: small enough to be fitted in SQL as well.
+STUMP_FEATURES = ("store_nbr", "month", "day_of_week")
+STUMPS = {"maxIter": 8, "maxDepth": 1, "stepSize": 0.6, "seed": 42}
+STUMP_PATIENCE = 2
 
 
 def _split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -683,53 +860,104 @@ def _split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "valid")
 
 
+def _stump_fit(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, PipelineModel, list[float]]:
+    """(train, valid, model, losses) of stumps over the calendar and the store."""
+    rows = features.calendar_features(star.daily_sales(spark, sf_dir))
+    rows = split.chrono_split(_stored(rows, "calendar-rows"))
+    train, valid = rows.filter(F.col("split") == "train"), rows.filter(F.col("split") == "valid")
+    model, losses = models.fit_stages(
+        train, valid, STUMP_FEATURES, params=STUMPS, category=None, patience=STUMP_PATIENCE, stage_rounds=3
+    )
+    return train, valid, model, losses
+
+
 @query
 def train_regressor(spark, sf_dir):
-    """Rows per part of the split, and whether the fit is better there than the training mean."""
+    """Error of the fit and of the training mean in both parts of the split, and the rounds kept."""
     train, valid = _split_rows(spark, sf_dir)
     model = models.train_regressor(train, valid, params=TRIAL_ROUNDS)
     mean = train.agg(F.avg("sales")).first()[0]
     scored = forecast.score_table(model, train.unionByName(valid)).withColumn("mean", F.lit(mean))
     fit, plain = forecast.rmse(scored, "sales", "yhat", ["split"]), forecast.rmse(scored, "sales", "mean", ["split"])
-    plain = plain.select("split", F.col("rmse").alias("plain"))
-    return fit.join(plain, "split").select("split", "n", (F.col("rmse") < F.col("plain")).alias("beats_mean"))
+    plain = plain.select("split", _six("rmse", "plain_rmse"))
+    kept = F.lit(model.stages[-1].getNumTrees).alias("rounds")
+    return fit.join(plain, "split").select("split", "n", _six("rmse"), "plain_rmse", kept)
+
+
+@query
+def train_stumps(spark, sf_dir):
+    """Error in both parts of the split and rounds kept of a fit that its patience ends."""
+    train, valid, model, _ = _stump_fit(spark, sf_dir)
+    scored = forecast.score_table(model, train.unionByName(valid))
+    kept = F.lit(model.stages[-1].getNumTrees).cast("long").alias("rounds")
+    return forecast.rmse(scored, "sales", "yhat", ["split"]).select("split", "n", _six("rmse"), kept)
+
+
+@query
+def boosting_losses(spark, sf_dir):
+    """Validation loss after each round, up to the one at which the patience is over."""
+    _, _, model, losses = _stump_fit(spark, sf_dir)
+    kept = model.stages[-1].getNumTrees
+    rows = models.loss_rows(spark, {0: losses}).filter(F.col("round") <= kept + STUMP_PATIENCE)
+    return rows.select(F.col("round").cast("long").alias("round"), _six("loss"), (F.col("round") <= kept).alias("kept"))
 
 
 @query
 def score_table(spark, sf_dir):
-    """Every row of the later part, and whether its forecast is a number not below 0."""
-    train, valid = _split_rows(spark, sf_dir)
-    model = models.train_regressor(train, params={**TRIAL_ROUNDS, "maxIter": 5})
-    scored = forecast.score_table(model, valid)
-    return scored.select(_day(), *SERIES, "sales", F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("has_forecast"))
+    """The forecast of every row of the later part."""
+    _, valid, model, _ = _stump_fit(spark, sf_dir)
+    return forecast.score_table(model, valid).select(_day(), *SERIES, "sales", _six("yhat"))
 
 
 @query
 def forecast_requests(spark, sf_dir):
-    """Forecasts of a fitted model: per request the steps, identifiers, and whether all are at least 0."""
-    train, _ = _split_rows(spark, sf_dir)
-    model = models.train_regressor(train, params={**TRIAL_ROUNDS, "maxIter": 5})
+    """Forecasts of a fitted model: per request the identifiers, the steps and their total."""
+    _, _, model, _ = _stump_fit(spark, sf_dir)
     made = forecast.forecast_requests(star.requests(spark, sf_dir), model)
-    return made.select(
-        "request_id", "model_version", "prediction_id", "status",
-        F.size("forecast").alias("steps"), F.forall("forecast", lambda y: y >= 0).alias("not_below_zero"),
-    )
+    return _forecast_rows(made).withColumn("total", F.round("total", 3))
+
+
+@query
+def score_tree_rows(spark, sf_dir):
+    """Every row of the later part scored twice by trees over all features: by the model, and by joins with its exported nodes."""
+    train, valid = _split_rows(spark, sf_dir)
+    model = models.train_regressor(train, valid, params={**TRIAL_ROUNDS, "maxIter": 5})
+    key = ["date", *SERIES]
+    vectors = PipelineModel(model.stages[:-1]).transform(valid).select(*key, vector_to_array("features").alias("x"))
+    nodes = F.broadcast(models.tree_rows(spark, model))
+    at = vectors.crossJoin(nodes.filter("node = 0")).select(*key, "x", *nodes.columns)
+    x = F.col("x")[F.col("feature")]
+    goes_below = F.when(F.col("members").isNull(), x <= F.col("threshold")).otherwise(F.array_contains("members", x))
+    for _ in range(TRIAL_ROUNDS["maxDepth"]):
+        step = at.withColumn("next", F.when(F.col("feature").isNull(), F.col("node")).when(goes_below, F.col("below")).otherwise(F.col("above")))
+        below = nodes.withColumnsRenamed({"tree": "next_tree", "node": "next"})
+        at = step.select(*key, "x", F.col("tree").alias("next_tree"), "next").join(below, ["next_tree", "next"])
+        at = at.withColumnsRenamed({"next_tree": "tree", "next": "node"})
+    again = at.groupBy(*key).agg(F.greatest(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("by_rows"))
+    return forecast.score_table(model, valid).join(again, key).select(_day(), *SERIES, _six("yhat"), _six("by_rows"))
 
 
 @query
 def search_params(spark, sf_dir):
-    """The settings that were drawn, and whether each trial was measured and kept at most its rounds."""
+    """Twenty trials by successive halving: one row for each trial of a rung, with its error and whether it went on."""
     train, valid = _split_rows(spark, sf_dir)
-    _, trials = models.search_params(train, valid, n_trials=2, rounds=(4, 8))
-    measured = F.col("val_rmse").isNotNull() & (F.col("val_rmse") > 0) & F.col("maxIter").between(1, 8)
-    return trials.select("trial", "maxDepth", F.round("stepSize", 9).alias("stepSize"), measured.alias("measured"))
+    _, trials = models.search_params(train, valid, rounds=(6, 12), patience=4, stage_rounds=4)
+    return trials.select("trial", "rung", "maxDepth", _six("stepSize"), "rounds", "maxIter", _six("val_rmse"), "goes_on")
+
+
+@query
+def rung_survivors(spark, sf_dir):
+    """The rule of a rung over a table of errors made of parts: sizes stand for rungs, prices for errors."""
+    parts = star.table(spark, sf_dir, "part")
+    rungs = parts.select(F.col("p_size").alias("rung"), F.col("p_partkey").alias("trial"), F.col("p_retailprice").alias("val_rmse"))
+    return models.survivors(rungs)
 
 
 @query
 def load_model(spark, sf_dir):
     """Rows per part of the split, and how many score alike after the model was saved and loaded."""
     train, valid = _split_rows(spark, sf_dir)
-    model, path = models.train_regressor(train, params={**TRIAL_ROUNDS, "maxIter": 5}), scratch_path(spark, "model")
+    model, path = models.train_regressor(train, valid, params={**TRIAL_ROUNDS, "maxIter": 5}), scratch_path(spark, "model")
     models.save_model(model, path)
     scored = forecast.score_table(model, train.unionByName(valid)).withColumnRenamed("yhat", "first")
     both = forecast.score_table(models.load_model(spark, path), scored)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.forecast import DEFAULT_HORIZON, check_requests, split_checked
+from ..operators.forecast import DEFAULT_HORIZON, MAX_HORIZON, check_requests, split_checked
 from .tables import batch_folder, checkpoint_beside
 
 
@@ -18,7 +18,7 @@ def validate_stream(
     base_date: str | None = None,
     once: bool = False,
     every: str = "1 minute",
-    max_horizon: int | None = None,
+    max_horizon: int = MAX_HORIZON,
 ) -> StreamingQuery:
     """Write good requests and quarantined ones to their tables, one folder per batch.
 

@@ -86,13 +86,94 @@ def test_early_stop_keeps_fewer_trees_when_the_rest_overfit(spark):
     assert fitted.stages[-1].getNumTrees < 12
 
 
-def test_search(parts):
+def stump_rows(spark):
+    draw = random.Random(7)
+    data = [(draw.randint(0, 9), draw.randint(0, 4), draw.random() * 10) for _ in range(600)]
+    return spark.createDataFrame([(float(a), float(b), 3.0 * a + 10 * (b > 2) + e) for a, b, e in data], "a double, b double, sales double")
+
+
+def test_stages_go_on_where_they_stopped(spark):
+    """Stages of one round, of four, and one long stage fit the trees that a single fit of Spark ML has."""
+    rows = stump_rows(spark).persist()
+    params = {"maxIter": 8, "maxDepth": 3, "stepSize": 0.3, "seed": 1}
+    whole = models.train_regressor(rows, None, ["a", "b"], params=params, category=None)
+    wanted = {tuple(r)[:3]: r["prediction"] for r in whole.transform(rows).collect()}
+    for stage in (1, 4, 8):
+        model, losses = models.fit_stages(rows, rows, ["a", "b"], params=params, category=None, stage_rounds=stage)
+        assert len(losses) == 8 and losses == sorted(losses, reverse=True) and model.stages[-1].getNumTrees == 8
+        got = {tuple(r)[:3]: r["prediction"] for r in model.transform(rows).collect()}
+        assert got.keys() == wanted.keys() and all(abs(got[k] - wanted[k]) < 1e-9 for k in got)
+
+
+def test_patience_ends_the_fit_and_kept_rounds_follow_the_losses(spark):
+    draw = random.Random(1)
+    noise = [(i, draw.random(), draw.random()) for i in range(300)]
+    rows = spark.createDataFrame(noise, "i int, x double, sales double").persist()
+    train, valid = rows.filter("i < 200"), rows.filter("i >= 200")
+    params = {"maxIter": 60, "maxDepth": 5, "seed": 3}
+    model, losses = models.fit_stages(train, valid, ["x"], params=params, category=None, patience=4, stage_rounds=3)
+    kept = model.stages[-1].getNumTrees
+    assert kept + 4 <= len(losses) <= kept + 6 and len(losses) % 3 == 0
+    table = models.loss_rows(spark, {5: losses})
+    assert models.kept_rounds(table, patience=4).first().asDict() == {"trial": 5, "kept": kept}
+    error = valid.join(model.transform(valid).select("i", "prediction"), "i").selectExpr("avg(pow(sales - prediction, 2))").first()[0]
+    assert error == pytest.approx(losses[kept - 1])
+
+
+def test_no_validation_rows(spark, parts):
+    with pytest.raises(ValueError, match="no validation rows"):
+        models.fit_stages(parts[0], parts[1].filter("false"), params=PARAMS)
+
+
+def test_search_by_rungs(spark, parts):
     train, valid = parts
-    best, trials = models.search_params(train, valid, n_trials=2, seed=3, rounds=(2, 4))
-    rows = trials.collect()
-    assert len(rows) == 2
-    least = min(rows, key=lambda r: r["val_rmse"])
+    best, trials = models.search_params(train, valid, n_trials=7, seed=3, rounds=(5, 9), rungs=2, keep=3, patience=3, stage_rounds=2)
+    rows = [r.asDict() for r in trials.collect()]
+    rungs = {n: [r for r in rows if r["rung"] == n] for n in (0, 1)}
+    assert len(rungs[0]) == 7 and len(rungs[1]) == 3
+    first = sorted(rungs[0], key=lambda r: (r["val_rmse"], r["trial"]))
+    assert {r["trial"] for r in first[:3]} == {r["trial"] for r in rungs[1]} == {r["trial"] for r in rungs[0] if r["goes_on"]}
+    drawn = models.trial_params(7, 3, (5, 9))
+    for r in rows:
+        full = drawn[r["trial"]]["maxIter"]
+        assert r["rounds"] <= models.rung_rounds(full, 2, 3)[r["rung"]] and 1 <= r["maxIter"] <= r["rounds"]
+    later = {r["trial"]: r for r in rungs[1]}
+    assert all(later[t]["val_rmse"] <= r["val_rmse"] for r in rungs[0] for t in [r["trial"]] if t in later)
+    least = min(rows, key=lambda r: (r["val_rmse"], r["trial"], -r["rung"]))
     assert best == {k: least[k] for k in ("maxDepth", "stepSize", "maxIter")}
+    alone = models.fit_stages(train, valid, params={**best, "seed": 3}, patience=3, stage_rounds=2)[0]
+    assert validation_error(alone, valid) == pytest.approx(least["val_rmse"], rel=0.05)
+
+
+def test_rung_rounds():
+    assert models.rung_rounds(90) == [10, 30, 90] and models.rung_rounds(2) == [1, 1, 2] and models.rung_rounds(5, 1) == [5]
+
+
+def test_survivors_of_ties_and_missing_losses(spark):
+    rows = spark.createDataFrame([(0, 3, 1.0), (0, 1, 1.0), (0, 2, None), (0, 4, 0.5), (1, 1, None)], "rung int, trial int, val_rmse double")
+    got = {(r["rung"], r["trial"]): r["goes_on"] for r in models.survivors(rows, keep=2).collect()}
+    assert got == {(0, 4): True, (0, 1): True, (0, 3): False, (0, 2): False, (1, 1): True}
+
+
+def walked(nodes, x):
+    total = 0.0
+    for tree in {n["tree"] for n in nodes}:
+        by_id = {n["node"]: n for n in nodes if n["tree"] == tree}
+        n = by_id[0]
+        while n["feature"] is not None:
+            v = x[n["feature"]]
+            below = v in n["members"] if n["members"] is not None else v <= n["threshold"]
+            n = by_id[n["below"] if below else n["above"]]
+        total += n["value"] * n["weight"]
+    return total
+
+
+def test_exported_trees_score_like_the_model(spark, parts, model):
+    nodes = [r.asDict() for r in models.tree_rows(spark, model).collect()]
+    assert {n["tree"] for n in nodes} == set(range(model.stages[-1].getNumTrees))
+    assert any(n["members"] for n in nodes)
+    for r in model.transform(parts[1]).limit(80).collect():
+        assert walked(nodes, r["features"].toArray()) == pytest.approx(r["prediction"])
 
 
 def test_trials_repeat_and_stay_in_range():

@@ -86,6 +86,45 @@ def test_scan_eval_jsonl(spark, tmp_path):
         sources.scan_eval_jsonl(spark, str(tmp_path / "set.jsonl"), strict=True)
 
 
+@pytest.fixture
+def small_pieces(spark):
+    """Files are cut into pieces of 64 bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_line_numbers_over_many_pieces(spark, tmp_path, small_pieces, end):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    wanted = set()
+    for name, n in (("a.txt", 200), ("b.txt", 1), ("c.txt", 63), ("empty.txt", 0)):
+        lines = [f"{i} " + "é" * (i * 37 % 90) if i % 5 else "" for i in range(n)]
+        text = end.join(lines) + (end if n % 2 == 0 else "")
+        (folder / name).write_bytes(text.encode())
+        wanted |= {(name, i, line) for i, line in enumerate(text.splitlines(), start=1)}
+    found = sources.numbered_lines(spark, str(folder))
+    assert found.rdd.getNumPartitions() > 40
+    rows = found.collect()
+    assert {(r["source"].rsplit("/", 1)[1], r["line_no"], r["value"]) for r in rows} == wanted and len(rows) == len(wanted)
+
+
+def test_quarantine_and_strict_reading_name_the_line(spark, tmp_path, small_pieces):
+    lines = [GOOD_LINE] * 40
+    lines[17], lines[30] = "{broken", '{"question": "q"}'
+    (tmp_path / "set.jsonl").write_text("\n".join(["", *lines]))
+    good, bad = sources.scan_eval_jsonl(spark, str(tmp_path / "set.jsonl"))
+    assert good.count() == 38
+    assert sorted((r["line_no"], r["reason"]) for r in bad.collect()) == [(19, "bad_json"), (32, "missing: answer, context")]
+    with pytest.raises(sources.QuarantineNotEmpty, match=r"2 bad rows, such as bad_json in line 19 of .*set.jsonl"):
+        sources.scan_eval_jsonl(spark, str(tmp_path / "set.jsonl"), strict=True)
+
+
 def test_strict_reading_of_an_empty_and_a_good_file(spark, tmp_path):
     (tmp_path / "empty.jsonl").write_text("\n\n")
     (tmp_path / "good.jsonl").write_text(GOOD_LINE + "\n\n")

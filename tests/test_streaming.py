@@ -2,8 +2,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from shelfwatch.operators import drift, metrics
-from shelfwatch.streaming import append_table, psi_stream, read_log_stream, reference_bins, validate_stream, window_bin_counts, window_psi
+import random
+
+from shelfwatch.operators import asof, drift, metrics
+from shelfwatch.streaming import append_table, delayed_truth, newest_stream, pit_join_stream, psi_stream, read_log_stream
+from shelfwatch.streaming import read_newest, reference_bins, validate_stream, window_bin_counts, window_psi
 
 SCHEMA = "ts timestamp, status string, latency_s double"
 T0 = dt.datetime(2024, 1, 1, 12, 0)
@@ -120,3 +123,125 @@ def test_requests_and_drift_survive_a_restart(spark, tmp_path):
         psi_stream(stream, sample(spark, 500), ["value", "kind"], out, watermark="1 minute", once=True).awaitTermination()
         windows.append(spark.read.parquet(out).select("window_start", "feature").distinct().count())
     assert windows[1] > windows[0] + 10
+
+
+def put(spark, path, data, schema):
+    spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(path))
+
+
+def minutes(n):
+    return T0 + dt.timedelta(minutes=n)
+
+
+NEWEST = "feature string, kind string, scored_on timestamp, psi double, note string, _class long"
+
+
+def test_newest_of_late_rows_ties_and_restarts(spark, tmp_path):
+    draw = random.Random(3)
+    log, out = str(tmp_path / "scores"), str(tmp_path / "newest")
+    data = [
+        (draw.choice(["a", "b", None]), draw.choice("xy"), minutes(draw.randrange(30)), draw.choice([None, 0.1, 0.2]), draw.choice([None, "n", "m"]), draw.randrange(2))
+        for _ in range(120)
+    ]
+    data += [("a", "x", None, 9.0, "no time", 1)]
+    for part in range(4):
+        put(spark, log, data[part * 30 : part * 30 + 31], NEWEST)
+        stream = read_log_stream(spark, log, NEWEST, files_per_trigger=1)
+        newest_stream(stream, out, ["feature", "kind"], "scored_on", ["psi"], once=True).awaitTermination()
+    got = {tuple(r) for r in read_newest(spark, out, NEWEST, ["feature", "kind"], "scored_on", ["psi"]).collect()}
+    batch = asof.latest_per_key(spark.read.schema(NEWEST).parquet(log), ["feature", "kind"], "scored_on", ["psi"])
+    assert got == {tuple(r) for r in batch.collect()} and len(got) == 6
+    changes = spark.read.schema(NEWEST).option("recursiveFileLookup", True).parquet(out)
+    assert len(got) <= changes.count() < 60
+
+
+def test_newest_with_expiry(spark, tmp_path):
+    log, out = str(tmp_path / "scores"), str(tmp_path / "newest")
+    # An hour behind the newest a key leaves; what comes in still later is dropped, a new row of the key is not.
+    for n, rows in enumerate(
+        (
+            [("a", "x", minutes(1), 0.5, "n", 1), ("b", "x", minutes(70), 0.1, "n", 1)],
+            [("a", "x", minutes(2), 9.0, "late", 1)],
+            [("a", "x", minutes(50), 0.7, "n", 1)],
+        )
+    ):
+        put(spark, log, rows, NEWEST)
+        stream = read_log_stream(spark, log, NEWEST)
+        newest_stream(stream, out, ["feature", "kind"], "scored_on", expire_hours=1.0, once=True).awaitTermination()
+    found = read_newest(spark, out, NEWEST, ["feature", "kind"], "scored_on").collect()
+    assert {(r["feature"], r["psi"]) for r in found} == {("a", 0.7), ("b", 0.1)}
+    changes = spark.read.schema(NEWEST).option("recursiveFileLookup", True).parquet(out).collect()
+    assert "late" not in {r["note"] for r in changes}
+
+
+ASKED = "k string, n long, event_timestamp timestamp, request string"
+KNOWN = "k string, n long, event_timestamp timestamp, v double, w string"
+
+
+def test_point_in_time_stream_equals_batch(spark, tmp_path):
+    draw = random.Random(9)
+    asked_log, known_log = str(tmp_path / "asked"), str(tmp_path / "known")
+    out = str(tmp_path / "out")
+    asked, known = [], []
+    for part in range(3):
+        # Rows come up to 20 minutes out of order; the delay is half an hour.
+        def at():
+            return minutes(part * 120 + draw.randrange(120) - 20 * draw.randrange(2)) + dt.timedelta(microseconds=draw.randrange(1000))
+
+        own_asked = [(draw.choice("ab"), draw.randrange(2), at(), f"{part}-{i}") for i in range(40)]
+        own_asked += [(None, 1, at(), f"{part}-null key"), ("a", 1, None, f"{part}-null time")]
+        own_known = [(draw.choice("abc"), draw.randrange(2), at(), draw.choice([None, 1.0, 2.0]), draw.choice([None, "p", "q"])) for _ in range(25)]
+        own_known += [(*own_known[0][:3], 3.0, None), ("a", None, at(), 1.0, "p"), (*own_asked[0][:3], 7.0, "same time")]
+        put(spark, asked_log, own_asked, ASKED)
+        put(spark, known_log, own_known, KNOWN)
+        asked += own_asked
+        known += own_known
+        if part == 2:
+            put(spark, asked_log, [("z", 0, minutes(2000), "closing")], ASKED)
+            put(spark, known_log, [("z", 0, minutes(2000), 0.0, "closing")], KNOWN)
+        stream = pit_join_stream(
+            read_log_stream(spark, asked_log, ASKED), read_log_stream(spark, known_log, KNOWN), ["k", "n"], ttl_days=1, delay="30 minutes"
+        )
+        append_table(stream, out, once=True).awaitTermination()
+    got = sorted(map(str, (tuple(r) for r in spark.read.schema(stream.schema).parquet(out).filter("request <> 'closing'").collect())))
+    batch = asof.pit_join(spark.createDataFrame(asked, ASKED), spark.createDataFrame(known, KNOWN), ["k", "n"], ttl_days=1)
+    assert stream.columns == batch.columns
+    assert got == sorted(map(str, (tuple(r) for r in batch.collect())))
+
+
+def test_point_in_time_stream_forgets_old_features(spark, tmp_path):
+    asked_log, known_log, out = (str(tmp_path / n) for n in ("asked", "known", "out"))
+    put(spark, known_log, [("a", 0, minutes(0), 1.0, "old"), ("z", 0, minutes(3000), 0.0, "end")], KNOWN)
+    put(spark, asked_log, [("a", 0, minutes(1445), "too old"), ("a", 0, minutes(1435), "in time"), ("z", 0, minutes(3000), "end")], ASKED)
+    stream = pit_join_stream(read_log_stream(spark, asked_log, ASKED), read_log_stream(spark, known_log, KNOWN), ["k", "n"], ttl_days=1)
+    append_table(stream, out, once=True).awaitTermination()
+    rows = spark.read.schema(stream.schema).parquet(out).collect()
+    assert {r["request"]: r["w"] for r in rows} == {"too old": None, "in time": "old"}
+
+
+def test_delayed_truth_stream_equals_batch(spark, tmp_path):
+    made = "store_nbr long, family string, date timestamp, yhat double"
+    truth = "store_nbr long, family string, date timestamp, known_at timestamp, sales double"
+    days = lambda n: T0 + dt.timedelta(days=n)
+    predictions = [(s, "F", days(d), s + d / 10) for d in range(30) for s in (1, 2)] + [(None, "F", days(3), 0.0)]
+    actuals = [(s, "F", days(d), days(d + (d * s) % 11), float(d)) for d in range(30) for s in (1, 2) if d % 4]
+    actuals += [(1, "F", days(8), days(7), 5.0), (1, "other", days(8), days(8), 5.0), (None, "F", days(3), days(3), 5.0)]
+    asked, known, out = (str(tmp_path / n) for n in ("asked", "known", "out"))
+
+    def join():
+        return delayed_truth(read_log_stream(spark, asked, made), read_log_stream(spark, known, truth))
+
+    # Labels come in the order in which they became known, in three runs with a restart between them.
+    for first, last in ((0, 10), (10, 20), (20, 60)):
+        put(spark, asked, [p for p in predictions if first <= (p[2] - T0).days < last], made)
+        labels = [a for a in actuals if first <= (a[3] - T0).days < last]
+        closing = [(9, "closing", days(200), days(200), 0.0)] if last == 60 else []
+        put(spark, known, labels + closing, truth)
+        if closing:
+            put(spark, asked, [(9, "closing", days(200), 0.0)], made)
+        append_table(join(), out, once=True).awaitTermination()
+    got = spark.read.schema(join().schema).parquet(out).filter("family <> 'closing'").collect()
+    batch = delayed_truth(spark.createDataFrame(predictions, made), spark.createDataFrame(actuals, truth)).collect()
+    key = lambda r: (str(r["store_nbr"]), r["date"])
+    assert sorted(map(tuple, sorted(got, key=key)), key=str) == sorted(map(tuple, sorted(batch, key=key)), key=str)
+    assert len(got) == len(predictions) and {r["y"] is None for r in got} == {True, False}
