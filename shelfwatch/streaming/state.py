@@ -5,16 +5,16 @@ from __future__ import annotations
 import bisect
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, LongType, StructField, StructType, TimestampNTZType, TimestampType
 
 from ..operators.asof import latest_per_key
 from .tables import batch_folder, checkpoint_beside
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_AT, _SIDE = "asof_at", "asof_side"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,63 +24,63 @@ def keep_state_on_disk(spark: SparkSession) -> None:
 
 
 def _safe(columns: Sequence[str]) -> dict[str, str]:
-    """Names for use inside a state processor, which takes no leading underscore and no keyword of Python."""
+    """Names for use inside a state processor, whatever the columns are called."""
     return {c: f"c{i}" for i, c in enumerate(columns)}
 
 
-def _greatest(rows: pd.DataFrame, order: Sequence[str]) -> pd.DataFrame:
-    """The last row by ``order``, a missing value before all others, as Spark compares rows."""
-    return rows.sort_values(list(order), na_position="first", kind="stable").tail(1)
+def _stamps(schema: StructType) -> dict[str, DataType]:
+    return {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))}
 
 
-def _plain(row: pd.DataFrame) -> tuple:
-    """The values of a frame's one row as state takes them."""
-    values = []
-    for value in row.iloc[0]:
-        if pd.isna(value):
-            values.append(None)
-        elif isinstance(value, pd.Timestamp):
-            values.append(value.to_pydatetime())
-        else:
-            values.append(value.item() if hasattr(value, "item") else value)
-    return tuple(values)
+def _numbered(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Times as microseconds, so that nothing depends on Python's time zone; ``keep`` stay as they are."""
+    times = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in _stamps(df.schema) if c not in keep}
+    return df.withColumns(times) if times else df
+
+
+def _timed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The times of ``schema`` again, from microseconds."""
+    times = {c: F.timestamp_micros(c).cast(kind) for c, kind in _stamps(schema).items() if c in df.columns}
+    return df.withColumns(times) if times else df
+
+
+def _rank(row: Sequence, places: Sequence[int]) -> tuple:
+    """What two rows are compared by: as Spark compares them, a missing value before all others, not-a-number last."""
+    values = (row[p] for p in places)
+    return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in values)
 
 
 class _Newest(StatefulProcessor):
     """Holds the newest row of a key and gives it out when it changes."""
 
     def __init__(self, schema: StructType, keys: Sequence[str], order: Sequence[str], expires: bool):
-        self.schema, self.keys, self.order, self.expires = schema, list(keys), list(order), expires
-        self.names = [f.name for f in schema.fields if f.name not in self.keys]
+        self.schema, self.expires = schema, expires
+        self.kept = [i for i, f in enumerate(schema.fields) if f.name not in keys]
+        self.keys = [schema.names.index(k) for k in keys]
+        names = [schema.names[i] for i in self.kept]
+        self.order = [names.index(o) for o in order]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        kept = StructType([f for f in self.schema.fields if f.name in self.names])
-        self.handle, self.newest = handle, handle.getValueState("newest", kept)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for frame in rows:
-            own = frame[self.names]
-            best = _greatest(own if best is None else pd.concat([best, own]), self.order)
-        if best is None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", StructType([self.schema.fields[i] for i in self.kept]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = tuple(self.newest.get()) if self.newest.exists() else None
+        new = max((tuple(row[i] for i in self.kept) for row in rows), key=lambda r: _rank(r, self.order), default=None)
+        if new is None or (held is not None and _rank(new, self.order) <= _rank(held, self.order)):
             return
-        new = _plain(best)
-        held = self.newest.get() if self.newest.exists() else None
-        if held is not None:
-            before = pd.DataFrame([tuple(held), new], columns=self.names)
-            new = _plain(_greatest(before, self.order))
-            if _plain(before.head(1)) == new:
-                return
         self.newest.update(new)
         if self.expires:
             self.handle.registerTimer(self._time(new))
-        values = {**dict(zip(self.keys, key)), **dict(zip(self.names, new))}
-        yield pd.DataFrame([[values[f.name] for f in self.schema.fields]], columns=[f.name for f in self.schema.fields])
+        values = [None] * len(self.schema.fields)
+        for at, value in [*zip(self.keys, key), *zip(self.kept, new)]:
+            values[at] = value
+        yield Row(*self.schema.names)(*values)
 
     def _time(self, row: tuple) -> int:
-        return int(pd.Timestamp(row[self.names.index(self.order[0])]).value // 1_000_000) + 1
+        return -(-row[self.order[0]] // 1000)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         # A key that has a newer row by now has a later timer too.
         if self.newest.exists() and self._time(tuple(self.newest.get())) <= expiredTimerInfo.getExpiryTimeInMs():
             self.newest.clear()
@@ -110,14 +110,15 @@ def newest_changes(
     stream, keys, ts = stream.toDF(*name.values()), [name[k] for k in keys], name[ts]
     timed = stream.filter(F.col(ts).isNotNull())
     if expire_hours is not None:
-        timed = timed.withWatermark(ts, f"{int(expire_hours * 3600)} seconds")
-    found = timed.groupBy(*keys).transformWithStateInPandas(
-        _Newest(stream.schema, keys, order, expire_hours is not None),
-        outputStructType=stream.schema,
+        timed = timed.withColumn(_AT, F.col(ts).cast("timestamp")).withWatermark(_AT, f"{int(expire_hours * 3600)} seconds")
+    numbers = _numbered(stream).schema
+    found = _numbered(timed, [_AT]).groupBy(*keys).transformWithState(
+        _Newest(numbers, keys, order, expire_hours is not None),
+        outputStructType=numbers,
         outputMode="Update",
         timeMode="None" if expire_hours is None else "EventTime",
     )
-    return found.toDF(*names)
+    return _timed(found, stream.schema).toDF(*names)
 
 
 def newest_stream(
@@ -156,63 +157,68 @@ def read_newest(
     return latest_per_key(changes, keys, ts, tie_cols)
 
 
-_AT, _SIDE = "asof_at", "asof_side"
-
-
 class _AsOf(StatefulProcessor):
-    """Holds the features of a key that may still answer a request, and the requests that wait."""
+    """Holds the features of a key that may still answer a request, and the requests that wait.
 
-    def __init__(self, features: StructType, requests: StructType, out: StructType, keys, time_col, order, ttl_us: int):
-        self.features, self.requests, self.out = features, requests, out
-        self.keys, self.time_col, self.order, self.ttl_us = list(keys), time_col, list(order), ttl_us
+    Rows are (keys..., time, micros, side, request values..., feature values...).
+    """
+
+    def __init__(self, n_keys: int, asked: StructType, known: StructType, order: Sequence[int], ttl_us: int, out: StructType):
+        self.names = out.names
+        self.asked_type, self.known_type, self.order, self.ttl_us = asked, known, list(order), ttl_us
+        self.at, self.side, first = n_keys + 1, n_keys + 2, n_keys + 3
+        self.asked_at = slice(first, first + len(asked.fields))
+        self.known_at = slice(first + len(asked.fields), first + len(asked.fields) + len(known.fields))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.known = handle.getMapState("known", "at long", self.features)
-        self.asked = handle.getListState("asked", StructType(self.requests.fields).add(_AT, "long"))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names, due = self.features.names, set()
-        for frame in rows:
-            for at, group in frame[frame[_SIDE] == 0].groupby(_AT):
-                group = group[names]
-                if self.known.containsKey((int(at),)):
-                    group = pd.concat([pd.DataFrame([tuple(self.known.getValue((int(at),)))], columns=names), group])
-                self.known.updateValue((int(at),), _plain(_greatest(group, self.order)))
-            waiting = frame[frame[_SIDE] == 1]
-            if len(waiting):
-                own = waiting[[*self.requests.names, _AT]]
-                self.asked.appendList([_plain(own.iloc[i : i + 1]) for i in range(len(own))])
-                # Nothing at or before a request can come once the watermark has reached it.
-                due |= {-(-int(at) // 1000) for at in waiting[_AT]}
-        for at in due:
+        self.known = handle.getMapState("known", "at long", self.known_type)
+        self.asked = handle.getListState("asked", StructType([StructField("at", LongType()), *self.asked_type.fields]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best: dict[int, tuple] = {}
+        waiting = []
+        for row in rows:
+            row = tuple(row)
+            at = row[self.at]
+            if row[self.side]:
+                waiting.append((at, *row[self.asked_at]))
+                continue
+            new = row[self.known_at]
+            if at not in best or _rank(new, self.order) > _rank(best[at], self.order):
+                best[at] = new
+        for at, new in best.items():
+            held = tuple(self.known.getValue((at,))) if self.known.containsKey((at,)) else None
+            if held is None or _rank(new, self.order) > _rank(held, self.order):
+                self.known.updateValue((at,), new)
+        if waiting:
+            self.asked.appendList(waiting)
+        # Nothing at or before a request can come once the watermark has reached it.
+        for at in {-(-row[0] // 1000) for row in waiting}:
             self.handle.registerTimer(at)
         yield from ()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         asked = [tuple(r) for r in self.asked.get()]
-        due = [r for r in asked if r[-1] <= now]
+        due = [r for r in asked if r[0] <= now]
         if not due:
             return
-        times = sorted(k[0] for k in self.known.keys())
-        own, answers = dict(zip(self.keys, key)), []
-        for row in due:
-            at, found = row[-1], bisect.bisect_right(times, row[-1]) - 1
-            seen = found >= 0 and times[found] >= at - self.ttl_us
-            values = tuple(self.known.getValue((times[found],))) if seen else (None,) * len(self.features.names)
-            made = {**own, **dict(zip(self.requests.names, row)), **dict(zip(self.features.names, values))}
-            made[self.time_col] = pd.Timestamp(at, unit="us")
-            answers.append([made[n] for n in self.out.names])
-        left = [r for r in asked if r[-1] > now]
+        left = [r for r in asked if r[0] > now]
         if left:
             self.asked.put(left)
         else:
             self.asked.clear()
+        times = sorted(k[0] for k in self.known.keys())
+        nothing = (None,) * len(self.known_type.fields)
+        for at, *values in due:
+            found = bisect.bisect_right(times, at) - 1
+            seen = found >= 0 and times[found] >= at - self.ttl_us
+            answer = tuple(self.known.getValue((times[found],))) if seen else nothing
+            yield Row(*self.names)(*key, at, *values, *answer)
         # Later requests lie beyond the watermark: of what is before it they can see the newest only.
         for at in times[: max(bisect.bisect_right(times, now) - 1, 0)]:
             self.known.removeKey((at,))
-        yield pd.DataFrame(answers, columns=self.out.names)
 
     def close(self) -> None:
         pass
@@ -249,31 +255,34 @@ def pit_join_stream(
     requests, features = (df.select(*[F.col(c).alias(name[c]) for c in df.columns]) for df in (requests, features))
     keys, values, asked, tie_cols = ([name[c] for c in cs] for cs in (keys, values, asked, tie_cols))
     time_col = name[time_col]
-    order = [*tie_cols, *[c for c in values if c not in tie_cols]]
-    out = StructType([*requests.schema.fields, *[features.schema[c] for c in values]])
-
-    def side(df: DataFrame, number: int, own: Sequence[str], other: DataFrame, absent: Sequence[str]) -> DataFrame:
-        missing = [F.lit(None).cast(other.schema[c].dataType).alias(c) for c in absent]
-        time = F.col(time_col).cast("timestamp")
-        return df.withColumn(time_col, time).withWatermark(time_col, delay).select(
-            *keys, time_col, F.unix_micros(time_col).alias(_AT), F.lit(number).alias(_SIDE), *own, *missing
+    whole = StructType([*requests.schema.fields, *[features.schema[c] for c in values]])
+    requests, features = _numbered(requests, [time_col, *keys]), _numbered(features, [time_col, *keys])
+    order = [values.index(c) for c in (*tie_cols, *[c for c in values if c not in tie_cols])]
+
+    def side(df: DataFrame, number: int) -> DataFrame:
+        timed = df.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, delay)
+
+        def own(c: str, schema: StructType) -> Column:
+            return F.col(c) if c in df.columns else F.lit(None).cast(schema[c].dataType).alias(c)
+
+        return timed.select(
+            *keys, time_col, F.unix_micros(time_col).alias(_AT), F.lit(number).alias(_SIDE),
+            *[own(c, requests.schema) for c in asked], *[own(c, features.schema) for c in values],
         )
 
     present = F.col(time_col).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-    known = side(features.filter(present), 0, values, requests, asked)
-    waiting = side(requests.filter(present), 1, asked, features, values)
-    both = known.unionByName(waiting)
-    processor = _AsOf(
-        StructType([features.schema[c] for c in values]),
-        StructType([requests.schema[c] for c in asked]),
-        StructType([out[c] if c != time_col else both.schema[time_col] for c in out.names]),
-        keys, time_col, order, int(ttl_days) * 86_400_000_000,
-    )
-    answered = both.groupBy(*keys).transformWithStateInPandas(
-        processor, outputStructType=processor.out, outputMode="Append", timeMode="EventTime"
+    both = side(features.filter(present), 0).union(side(requests.filter(present), 1))
+    asked_type, known_type = StructType([requests.schema[c] for c in asked]), StructType([features.schema[c] for c in values])
+    out = StructType([*[requests.schema[k] for k in keys], StructField(_AT, LongType()), *asked_type.fields, *known_type.fields])
+    answered = both.groupBy(*keys).transformWithState(
+        _AsOf(len(keys), asked_type, known_type, order, int(ttl_days) * 86_400_000_000, out),
+        outputStructType=out, outputMode="Append", timeMode="EventTime",
     )
+    time = F.timestamp_micros(_AT).cast(requests.schema[time_col].dataType).alias(time_col)
+    columns = [*requests.columns, *values]
+    answered = answered.select(*[time if c == time_col else F.col(c) for c in columns])
     unknown = requests.filter(~present).withColumns({c: F.lit(None).cast(features.schema[c].dataType) for c in values})
-    answered = answered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in out.fields])
-    return answered.unionByName(unknown.select(*out.names)).toDF(*names)
+    payload = StructType([f for f in whole.fields if f.name not in (time_col, *keys)])
+    return _timed(answered.unionByName(unknown.select(*columns)), payload).toDF(*names)
