@@ -7,17 +7,23 @@ on its count alone, so a pair of groups needs only its joint cells: how many ter
 ``a`` in the one and ``b`` in the other, which is the population count of the AND of two bit
 words. Terms that a group lacks are never stored: their cells are what is left of the totals.
 
-Everything is a DataFrame expression in whole numbers. Counting combines before its shuffle,
-so neither a source nor a word that makes up a third of all rows is hot; a word of the bitmaps
-holds 64 terms of each source, however many documents there are.
+Texts are counted in tasks, a few megabytes at a time; from there on everything is a DataFrame
+expression in whole numbers. Counting combines before its shuffle, so neither a source nor a
+word that makes up a third of all rows is hot; a word of the bitmaps holds 64 terms of each
+source, however many documents there are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, stored
+from .common import bounded_broadcast, narrow_batches, stored, text_column
+from .periodic import word_array
 
 #: Documents of a language that hold a kept term, at least; what is added to every count; ranks of terms.
 MIN_DOCS, SMOOTH, TOP_TERMS = 30, 5, 50
@@ -25,24 +31,72 @@ _SCALE = 1_000_000_000
 # Fixed value: what a term is made of, all but ASCII other than letters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of texts that are counted at once.
+CHUNK_BYTES = 4 << 20
+# A term's bytes with A-Z as a-z; a space for all others.
+_TERM_BYTES = np.full(256, 0x20, np.uint8)
+_TERM_BYTES[0x80:] = np.arange(0x80, 0x100)
+_TERM_BYTES[0x61:0x7B] = _TERM_BYTES[0x41:0x5B] = np.arange(0x61, 0x7B)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n, docs) of a few megabytes of texts at a time."""
+
+    def chunk(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        langs, sources = (rows.column(c).combine_chunks().dictionary_encode() for c in (0, 1))
+        group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
+        texts = text_column(rows.column(2).combine_chunks())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.zeros(0, np.uint8)
+        if offsets[-1] > offsets[0]:
+            data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+        # What belongs to no term counts as white space.
+        words, counts = word_array(_TERM_BYTES[data], offsets - offsets[0])
+        words = words.dictionary_encode()
+        ids, distinct = words.indices.to_numpy().astype(np.int64), max(1, len(words.dictionary))
+        doc = np.repeat(np.arange(len(counts)), counts)
+        found, n = np.unique(group[doc] * distinct + ids, return_counts=True)
+        held_by = np.unique(doc * distinct + ids)
+        docs = np.unique(group[held_by // distinct] * distinct + held_by % distinct, return_counts=True)[1]
+        # A row without a term for every group, so that no group is lost.
+        groups = np.unique(group)
+        of = np.concatenate([found // distinct, groups])
+        term = pa.array(np.append(found % distinct, np.zeros(len(groups), np.int64)), mask=np.arange(len(of)) >= len(found))
+        none = np.zeros(len(groups), np.int64)
+        width = len(sources.dictionary)
+        return pa.RecordBatch.from_arrays(
+            [
+                langs.dictionary.take(pa.array(of // width)),
+                sources.dictionary.take(pa.array(of % width)),
+                words.dictionary.view(pa.large_string()).cast(pa.string()).take(term),
+                pa.array(np.append(n, none)),
+                pa.array(np.append(docs, none)),
+            ],
+            names=["lang", "source", "term", "n", "docs"],
+        )
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= CHUNK_BYTES:
+            yield chunk(held)
+            held = []
+    if sum(map(len, held)):
+        yield chunk(held)
 
 
 def group_terms(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Rows (lang, source, term, n, docs): occurrences of each term in a group, and documents that hold it.
 
-    One pass: a document brings its terms once each as they stand and once each as a set. A
-    document without terms brings its group under a null term, so that no group is lost.
+    A task counts a few megabytes of texts at once, whole documents always, and Spark adds the
+    counts up before its shuffle and after it. A group without terms has a row with a null term.
     """
-    text, lang, source = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (text_col, lang_col, source_col))
-    terms = F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    rows = docs.select(lang.alias("lang"), source.alias("source"), terms.alias("terms"))
-    shown = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-    held = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
-    return (
-        rows.select("lang", "source", F.inline_outer(F.concat(shown, held)))
-        .groupBy("lang", "source", "term")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("docs"))
-    )
+    narrow_batches(docs.sparkSession)
+    names = {lang_col: "lang", source_col: "source", text_col: "text"}
+    rows = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in names.items()])
+    counted = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(cells: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
