@@ -196,7 +196,8 @@ def _joined(threshold: float):
         gain = (near.astype(np.float32) > last[:, None]) & (fresh[:, None] | fresh)
         np.fill_diagonal(gain, False)
         a, b = np.nonzero(gain)
-        return _edges(node[a], node[b], near[a, b], hot[a, b])
+        edges = _edges(node[a], node[b], near[a, b], hot[a, b])
+        return edges.append_column("length", rows.column(7).take(pa.array(a)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -217,11 +218,28 @@ def _joined(threshold: float):
     return run
 
 
+_LIST = ["node", "other", "near", "hot", "length", "fresh", "rank", "last", "saturated", "moved"]
+
+
 def _lists(edges: DataFrame) -> DataFrame:
-    """The best ``length`` entries of each node; Spark cuts to the longest list before its shuffle."""
+    """The best ``length`` entries of each node of edges (node, other, near, hot, length, fresh).
+
+    Spark cuts to the longest list before its shuffle. Each row also has what concerns its whole
+    list: ``last``, the nearness that a new entry must beat, whether all entries of a full list
+    may be links (``saturated``), and whether one of them is new (``moved``).
+    """
     best = Window.partitionBy("node").orderBy(F.col("near").desc(), "other")
+    whole = Window.partitionBy("node")
     ranked = edges.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= LONGEST)
-    return ranked.filter("rank <= length").drop("rank")
+    kept = ranked.filter("rank <= length")
+    full = F.count(F.lit(1)).over(whole) >= F.col("length")
+    return kept.withColumns(
+        {
+            "last": F.when(full, F.min("near").over(whole)).otherwise(F.lit(-2.0).cast("float")),
+            "saturated": full & F.min("hot").over(whole),
+            "moved": F.max("fresh").over(whole),
+        }
+    ).select(*_LIST)
 
 
 def _start(nodes: DataFrame, orders: range, threshold: float) -> DataFrame:
@@ -233,20 +251,6 @@ def _start(nodes: DataFrame, orders: range, threshold: float) -> DataFrame:
         return stored(placed.mapInArrow(_blocks(SHORT, threshold), _EDGE).repartition("node").distinct(), "vector-blocks")
 
 
-def _last_entries(graph: DataFrame) -> DataFrame:
-    """Of each node the length of its list, the nearness it asks of a new entry, and whether all entries may be links."""
-    ends = graph.groupBy("node").agg(
-        F.max("length").alias("length"), F.count(F.lit(1)).alias("n"), F.min("near").alias("least"), F.min("hot").alias("all_hot")
-    )
-    full = F.col("n") >= F.col("length")
-    return ends.select(
-        "node",
-        "length",
-        F.when(full, F.col("least")).otherwise(F.lit(-2.0).cast("float")).alias("last"),
-        (full & F.col("all_hot")).alias("saturated"),
-    )
-
-
 def _round(graph: DataFrame, nodes: DataFrame, turn: int, threshold: float) -> DataFrame:
     """One round of neighbours' neighbours: every two neighbours of a node meet if one of them is new to it.
 
@@ -254,71 +258,67 @@ def _round(graph: DataFrame, nodes: DataFrame, turn: int, threshold: float) -> D
     as its own list is long, drawn by a hash: a hub that stands in very many is no hot group.
     """
     spark = graph.sparkSession
-    ends = stored(_last_entries(graph), "list-ends")
-    incoming = graph.groupBy("other").agg(F.count(F.lit(1)).alias("lists"))
+    heads = graph.filter("rank = 1").select(F.col("node").alias("centre"), "length", "last", "moved")
+    incoming = graph.groupBy(F.col("other").alias("centre")).agg(F.count(F.lit(1)).alias("lists"), F.max("fresh").alias("found"))
+    centres = heads.join(incoming, "centre", "left").filter(F.col("moved") | F.coalesce("found", F.lit(False)))
+    centres = bounded_broadcast(stored(centres.select("centre", "length", F.coalesce("lists", F.lit(0)).alias("lists")), "centres"))
     draw = F.pmod(F.xxhash64("node", "other", F.lit(turn)), F.lit(1 << 20)) * F.col("lists") < F.col("length") * (1 << 20)
-    forward = graph.select(F.col("node").alias("centre"), F.col("other").alias("node"), "fresh")
-    back = graph.join(incoming, "other").filter(draw).select(F.col("other").alias("centre"), "node", "fresh")
-    members = forward.union(back)
-    active = stored(members.filter("fresh").select("centre").distinct(), "active")
-    known = nodes.join(ends.select("node", "last"), "node")
+    forward = graph.select(F.col("node").alias("centre"), F.col("other").alias("node"), "fresh").join(centres.select("centre"), "centre")
+    back = graph.select(F.col("other").alias("centre"), "node", "other", "fresh").join(centres, "centre").filter(draw)
+    known = nodes.join(graph.filter("rank = 1").select("node", "last", "length"), "node")
     members = (
-        members.join(bounded_broadcast(active), "centre", "left_semi")
+        forward.union(back.select("centre", "node", "fresh"))
         .join(known, "node")
-        .select("centre", "node", "fresh", "code", "scale", "gap", "last")
+        .select("centre", "node", "fresh", "code", "scale", "gap", "last", "length")
         .repartition("centre")
         .sortWithinPartitions("centre", "node", F.col("fresh").desc())
     )
     with wide_batches(spark, 4_096):
-        found = members.mapInArrow(_joined(threshold), _EDGE).distinct()
-        lengths = ends.select("node", "length")
-        old = graph.select("node", "other", "near", "hot", "length", F.lit(True).alias("old"))
-        new = found.join(lengths, "node").withColumn("old", F.lit(False))
-        both = old.unionByName(new).groupBy("node", "other").agg(
-            F.max("near").alias("near"), F.max("hot").alias("hot"), F.max("length").alias("length"), F.max("old").alias("old")
+        new = members.mapInArrow(_joined(threshold), _EDGE + ", length int").withColumn("fresh", F.lit(True))
+        both = graph.select(*new.columns[:5], F.lit(False).alias("fresh")).union(new).groupBy("node", "other")
+        merged = both.agg(
+            F.max("near").alias("near"), F.max("hot").alias("hot"), F.max("length").alias("length"), F.min("fresh").alias("fresh")
         )
-        merged = _lists(both).select("node", "other", "near", "hot", "length", (~F.col("old")).alias("fresh"))
-        return stored(merged, "neighbour-lists")
+        return stored(_lists(merged), "neighbour-lists")
 
 
 def _grown(graph: DataFrame) -> DataFrame | None:
     """The graph with saturated lists twice as long and only their edges new again, None if none can grow."""
-    growing = _last_entries(graph).filter((F.col("length") < LONGEST) & F.col("saturated")).select("node")
-    growing = stored(growing, "growing")
-    if growing.isEmpty():
+    grows = F.col("saturated") & (F.col("length") < LONGEST)
+    if graph.filter(grows).isEmpty():
         return None
-    marked = graph.join(bounded_broadcast(growing.withColumn("grows", F.lit(True))), "node", "left")
-    grows = F.coalesce("grows", F.lit(False))
-    longer = marked.select(
+    return graph.select(
         "node", "other", "near", "hot",
         F.when(grows, F.least(F.col("length") * 2, F.lit(LONGEST))).otherwise(F.col("length")).alias("length"),
         grows.alias("fresh"),
+        "rank",
+        F.when(grows, F.lit(-2.0).cast("float")).otherwise(F.col("last")).alias("last"),
+        (F.col("saturated") & ~grows).alias("saturated"),
+        grows.alias("moved"),
     )
-    return stored(longer, "neighbour-lists")
 
 
 def neighbour_graph(nodes: DataFrame, threshold: float, orders: range, known: DataFrame | None = None) -> DataFrame:
-    """Rows (node, other, near, hot, length, fresh): the lists after descent from new random orders.
+    """Rows (node, other, near, hot, ...) of the lists after descent from new random orders.
 
     Rounds end when one finds hardly any possible link outside saturated lists: a thousandth of
     those known. Then saturated lists grow, and rounds go on until none can.
     """
     start = _start(nodes, orders, threshold)
-    first = start.withColumn("length", F.lit(SHORT)).withColumn("fresh", F.lit(True))
+    first = start.select(*start.columns, F.lit(SHORT).alias("length"), F.lit(True).alias("fresh"))
     if known is not None:
-        first = known.unionByName(first).groupBy("node", "other").agg(
+        # A node keeps the length that its list has grown to.
+        grown = known.filter("rank = 1").select("node", F.col("length").alias("grown"))
+        first = first.join(grown, "node", "left").withColumn("length", F.coalesce("grown", "length")).drop("grown")
+        first = known.select(*first.columns[:5], F.lit(False).alias("fresh")).union(first).groupBy("node", "other").agg(
             F.max("near").alias("near"), F.max("hot").alias("hot"), F.max("length").alias("length"), F.min("fresh").alias("fresh")
         )
-        # An entry that a block found stands in a list as long as the node's list has become.
-        whole = Window.partitionBy("node")
-        first = first.withColumn("length", F.max("length").over(whole))
     graph = stored(_lists(first), "neighbour-lists")
     rounds = 0
     while True:
         graph = _round(graph, nodes, rounds, threshold)
         rounds += 1
-        open_ = graph.join(_last_entries(graph).filter("not saturated").select("node"), "node", "left_semi")
-        links, new = open_.filter("hot").agg(F.count(F.lit(1)), F.count_if("fresh")).first()
+        links, new = graph.filter("not saturated and hot").agg(F.count(F.lit(1)), F.count_if("fresh")).first()
         if rounds < LEAST_ROUNDS or (1000 * new > links and rounds % MOST_ROUNDS):
             continue
         longer = _grown(graph)
@@ -431,11 +431,9 @@ def _linked_nodes(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataF
     roots = components(links)
     # The root of a component is its smallest node and stands for itself.
     roots = stored(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "vector-roots")
-    full = _last_entries(graph).filter((F.col("length") >= LONGEST) & F.col("saturated")).select("node")
-    least = graph.groupBy("node").agg(F.min("near").alias("least"))
-    dense = (
-        full.join(roots, "node").join(least, "node").join(nodes.select("node", "vector", "copies"), "node")
-    )
+    full = graph.filter((F.col("rank") == 1) & (F.col("length") >= LONGEST) & F.col("saturated"))
+    full = full.select("node", F.col("last").alias("least"))
+    dense = full.join(roots, "node").join(nodes.select("node", "vector", "copies"), "node")
     dense = stored(dense.select("root", "node", "vector", "copies", "least"), "dense-nodes")
     ways = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))
     seen = links.select(F.inline(ways))
