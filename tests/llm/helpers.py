@@ -52,22 +52,28 @@ def groups(texts, k, percent=80):
 
 
 def repeats(texts, n=50):
-    """({doc: words cut}, {doc: words of first occurrences}) by listing every run of n words."""
+    """({doc: words cut}, {doc: words of first occurrences}) by listing every run of n words.
+
+    A word goes if a run that stands earlier covers it, other than a first run that the later one
+    overlaps in its own document; what only such overlaps cover goes outside first runs. Of
+    documents with the same words all but the first go whole.
+    """
     docs = sorted((i, (t or "").encode().split()) for i, t in texts.items())
     first = {}
     for i, w in docs:
         first.setdefault(tuple(w), i)
     copies = {i for i, w in docs if len(w) >= n and first[tuple(w)] != i}
-    seen, cut, keep = defaultdict(list), defaultdict(set), defaultdict(set)
+    seen, gone, own, keep = defaultdict(list), defaultdict(set), defaultdict(set), defaultdict(set)
     for i, w in docs:
         for p in range(len(w) - n + 1 if i not in copies else 0):
             seen[tuple(w[p : p + n])].append((i, p))
-    for places in seen.values():
-        if len(places) > 1:
-            keep[places[0][0]].update(range(places[0][1], places[0][1] + n))
-            for i, p in places[1:]:
-                cut[i].update(range(p, p + n))
-    cut = {i: cut[i] - keep[i] for i in cut}
+    for (j, q), *later in seen.values():
+        if later:
+            keep[j].update(range(q, q + n))
+        for i, p in later:
+            (own if i == j and p - q < n else gone)[i].update(range(p, p + n))
+    cut = {i: gone[i] | (own[i] - keep[i]) for i, _ in docs}
+    keep = defaultdict(set, {i: v - cut.get(i, set()) for i, v in keep.items()})
     whole = dict(docs)
     for i in copies:
         cut[i] = set(range(len(whole[i])))
