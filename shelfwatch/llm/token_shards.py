@@ -168,7 +168,8 @@ def write_shards(
     parts = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 64))
     (
         placed.withColumn("shard", F.floor(F.col("slot") / shard))
-        .repartitionByRange(parts, "shard")
+        # The range of a shard is known, so nothing is sampled.
+        .repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int"))
         .sortWithinPartitions("shard", "slot")
         .select(F.col("record").cast("string").alias("record"), "shard")
         .write.partitionBy("shard")
@@ -201,12 +202,16 @@ def _number(rows: DataFrame) -> DataFrame:
     joined = rows.join(starts, rows["doc_id"].eqNullSafe(starts["id"]))
     # An id with one row per sequence needs no more; rows that repeat an id are told apart by rank.
     twins = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("top")).filter("n > top + 1")
-    twins = twins.select(F.col("doc_id").alias("twin_id"))
+    twins = stored(twins.select(F.col("doc_id").alias("twin_id")), "repeated-ids")
+    columns = ["doc_id", "seq", "n_tokens", "ids"]
+    plain = (F.col("start") + F.col("seq")).alias("place")
+    if twins.isEmpty():
+        return joined.select(*columns, plain)
+    twins = bounded_broadcast(twins)
     single = joined.join(twins, joined["doc_id"].eqNullSafe(twins["twin_id"]), "left_anti")
     several = joined.join(twins, joined["doc_id"].eqNullSafe(twins["twin_id"]), "left_semi")
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq", "ids")) - 1
-    columns = ["doc_id", "seq", "n_tokens", "ids"]
-    return single.select(*columns, (F.col("start") + F.col("seq")).alias("place")).unionByName(
+    return single.select(*columns, plain).unionByName(
         several.select(*columns, (F.col("start") + rank).alias("place"))
     )
 
