@@ -101,7 +101,9 @@ def sketch_probes(sketches: DataFrame, fractions: Sequence[float]) -> DataFrame:
         F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("total"), F.min("least").alias("least"), F.max("greatest").alias("greatest")
     )
     probes = F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(p)) for p in at])
-    return merged.select("feature", probes.alias("__probes"), F.array("least", "greatest").alias("__ends"), "total")
+    found = merged.select("feature", probes.alias("__probes"), F.array("least", "greatest").alias("__ends"), "total")
+    # Merging draws at random, and all parts of a plan must see the same values: one row per column is fetched.
+    return sketches.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def quantile_edges(

@@ -19,8 +19,8 @@ DEFAULT_STORE = 1
 DEFAULT_FAMILY = "GROCERY I"
 DEFAULT_ONPROMOTION = 0
 DEFAULT_HORIZON = 30
-# A horizon is an array of days in one row: a hundred years unless a caller wants more.
-MAX_HORIZON = 36_500
+# A horizon is an array of days in one row: this many at most unless a caller wants more.
+MAX_HORIZON = 100_000
 MODEL_VERSION = "1.0.0"
 
 REQUEST_PARAMS = ("store_nbr", "family", "onpromotion", "base_date", "days_ahead")

@@ -596,6 +596,9 @@ SELECT request_id, '1.0.0' AS model_version, sha256(request_id || '|1.0.0') AS p
        CAST(count(*) AS INTEGER) AS steps, round(sum(f), 3) AS total
 FROM dated r JOIN cells c ON {_CELL} GROUP BY request_id
 """
+ORACLES["score_tree_rows"] = f"""
+WITH {_SPLIT} SELECT {DAY}, store_nbr, family, 0.0::DOUBLE AS gap FROM placed WHERE NOT first
+"""
 ORACLES["rung_survivors"] = """
 SELECT p_size AS rung, p_partkey AS trial, p_retailprice AS val_rmse,
        row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice, p_partkey) <= ceil(count(*) OVER (PARTITION BY p_size) / 3.0) AS goes_on

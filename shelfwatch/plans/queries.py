@@ -919,7 +919,7 @@ def forecast_requests(spark, sf_dir):
 
 @query
 def score_tree_rows(spark, sf_dir):
-    """Every row of the later part scored twice by trees over all features: by the model, and by joins with its exported nodes."""
+    """How far two scores of every row of the later part lie apart: the model's, and that of joins with its exported nodes."""
     train, valid = _split_rows(spark, sf_dir)
     model = models.train_regressor(train, valid, params={**TRIAL_ROUNDS, "maxIter": 5})
     key = ["date", *SERIES]
@@ -934,7 +934,8 @@ def score_tree_rows(spark, sf_dir):
         at = step.select(*key, "x", F.col("tree").alias("next_tree"), "next").join(below, ["next_tree", "next"])
         at = at.withColumnsRenamed({"next_tree": "tree", "next": "node"})
     again = at.groupBy(*key).agg(F.greatest(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("by_rows"))
-    return forecast.score_table(model, valid).join(again, key).select(_day(), *SERIES, _six("yhat"), _six("by_rows"))
+    gap = F.abs(F.col("yhat") - F.col("by_rows"))
+    return forecast.score_table(model, valid).join(again, key).select(_day(), *SERIES, _six(gap, "gap"))
 
 
 @query

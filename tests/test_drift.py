@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwatch.functions import tails
 from shelfwatch.operators import checks, drift, ordered
 
 
@@ -187,3 +188,73 @@ def test_ranked_values_over_many_ranges(spark):
     assert got["a_upto"].tolist() == got["a"].cumsum().tolist()
     assert got["b_upto"].tolist() == list(range(1, 501))
     assert set(got["a_total"]) == {got["a"].sum()}
+
+
+def poisson_tail(x, a):
+    """Q(a, x) of a whole ``a``: the chance of fewer than ``a`` events."""
+    return sum(math.exp(-x + k * math.log(x) - math.lgamma(k + 1)) for k in range(a))
+
+
+def test_chi_squared_tail(spark):
+    cases = [(0.5, 2), (3.0, 2), (9.5, 4), (40.0, 20), (15.0, 20), (1000.0, 1000), (900.0, 1000), (2300.0, 2000), (60000.0, 60000), (0.0, 4), (5.0, 0)]
+    odd = [(x, 1) for x in (0.001, 0.5, 3.84, 30.0)]
+    df = spark.createDataFrame([(float(x), d) for x, d in cases + odd], "x double, d long")
+    got = {(r["x"], r["d"]): r["p"] for r in df.select("x", "d", tails.chi2_tail(F.col("x"), F.col("d")).alias("p")).collect()}
+    for x, d in cases:
+        expected = 1.0 if x == 0 or d == 0 else poisson_tail(x / 2, d // 2)
+        assert got[x, d] == pytest.approx(expected, abs=1e-9)
+    for x, d in odd:
+        assert got[x, d] == pytest.approx(math.erfc(math.sqrt(x / 2)), abs=1e-12)
+        three = math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2)
+        row = spark.createDataFrame([(x,)], "x double").select(tails.chi2_tail(F.col("x"), F.lit(3)).alias("p")).first()
+        assert row["p"] == pytest.approx(three, abs=1e-12)
+
+
+def test_kolmogorov_tail(spark):
+    points = [0.01, 0.2, 0.5, 0.8276, 0.99, 1.0, 1.01, 1.3581, 1.6276, 3.0, 8.0]
+    df = spark.createDataFrame([(x / math.sqrt(500.0),) for x in points], "gap double")
+    rows = df.select("gap", tails.kolmogorov_tail(F.col("gap"), F.lit(1000), F.lit(1000)).alias("p")).collect()
+    for r, x in zip(sorted(rows), points):
+        series = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 4000))
+        assert r["p"] == pytest.approx(min(1.0, series), abs=1e-9)
+    assert [r["p"] for r in sorted(rows)][7] == pytest.approx(0.05, abs=1e-4)
+
+
+def test_drift_tests(spark):
+    rng = np.random.default_rng(3)
+    ref = spark.createDataFrame([(float(a), float(a), "ab"[int(b > 0.5)], None) for a, b in zip(rng.normal(size=800), rng.random(800))], "same double, moved double, kind string, none double")
+    cur = spark.createDataFrame([(float(a), float(a) + 0.3, "ab"[int(b > 0.3)], 1.0) for a, b in zip(rng.normal(size=600), rng.random(600))], "same double, moved double, kind string, none double")
+    got = {r["feature"]: r for r in checks.drift_tests(ref, cur).collect()}
+    assert {f: (r["test"], r["drift"]) for f, r in got.items()} == {
+        "same": ("ks", False), "moved": ("ks", True), "kind": ("chi2", True), "none": ("ks", False)
+    }
+    assert got["none"]["p_value"] is None and got["kind"]["degrees"] == 1 and 0.05 < got["same"]["p_value"] <= 1
+    with pytest.raises(ValueError, match="share no columns"):
+        checks.drift_tests(ref.select("same"), cur.select("kind"))
+
+
+def test_edges_from_kept_sketches(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "KEEP_ALL_ROWS", 100)
+    df = spark.range(60_000).select(
+        F.date_from_unix_date((F.col("id") % 40).cast("int")).alias("date"),
+        ((F.col("id") * 7919) % 59_999 / 7).alias("wide"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") % 11).cast("double").alias("few"),
+        F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).otherwise(F.pow(F.lit(1.0002), "id")).alias("steep"),
+    )
+    cols = ["wide", "few", "steep"]
+    kept = drift.daily_sketches(df, cols).persist()
+    assert kept.count() == 120
+    window = df.filter("date < '1970-01-21'")
+    of_window = kept.filter("day < '1970-01-21'")
+    plain = by_feature(drift.quantile_edges(window, cols), "edges")
+    assert by_feature(drift.quantile_edges(window, cols, sketches=of_window), "edges") == plain
+    current = df.filter("date >= '1970-01-21'")
+    assert by_feature(drift.psi_report(window, current, cols, sketches=of_window), "psi") == by_feature(drift.psi_report(window, current, cols), "psi")
+
+
+def test_sketches_of_other_rows_fail_or_agree(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "KEEP_ALL_ROWS", 100)
+    df = spark.range(20_000).select(F.date_from_unix_date(F.lit(0)).alias("date"), F.col("id").cast("double").alias("v"))
+    other = drift.daily_sketches(df.withColumn("v", F.col("v") + 9_000), ["v"])
+    with pytest.raises(Exception, match="missed its error bound"):
+        drift.quantile_edges(df, ["v"], sketches=other).collect()

@@ -164,3 +164,9 @@ def test_one_hot_family_errors_and_pass_through(spark):
     assert same.columns == ["id"] and categories == []
     with pytest.raises(ValueError):
         features.fitted_categories(clash, limit=1)
+
+
+def test_the_default_limit_of_categories(spark):
+    many = spark.range(features.MAX_CATEGORIES + 1).select(F.concat(F.lit("f"), "id").alias("family"))
+    with pytest.raises(ValueError, match=f"family has {features.MAX_CATEGORIES + 1} categories, more than the limit of {features.MAX_CATEGORIES}"):
+        features.one_hot_family(many)

@@ -122,3 +122,12 @@ def test_each_request_may_have_its_own_hint(spark):
 def test_align_columns(spark):
     df = spark.createDataFrame([(1, 2)], "extra int, kept int")
     assert tuple(forecast.align_columns(df, ["absent", "kept"]).first()) == (0.0, 2)
+
+
+def test_a_horizon_beyond_the_default_bound(spark):
+    df = spark.createDataFrame([("a", "100000"), ("b", "2000000000")], "request_id string, days_ahead string")
+    good, bad = forecast.validate_requests(df, base_date="2017-08-16")
+    assert [r["request_id"] for r in good.collect()] == ["a"] and bad.first()["reason"] == "invalid: days_ahead"
+    with pytest.raises(Exception, match="beyond 100000 days: 2000000000"):
+        forecast.expand_horizon(valid(spark, [("b", 1, "A", 0, 2_000_000_000)])).count()
+    assert forecast.expand_horizon(valid(spark, [("b", 1, "A", 0, 3)]), max_horizon=3).count() == 3

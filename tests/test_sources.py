@@ -167,3 +167,42 @@ def test_drift_scores_over_time(spark, tmp_path):
     assert history.count() == 4
     newest = latest_per_key(history, ["feature"], "scored_on").collect()
     assert {(r["feature"], str(r["scored_on"])) for r in newest} == {("a", "2017-01-02"), ("b", "2017-01-02")}
+
+
+def grid_sales(spark, rows):
+    return spark.createDataFrame(rows, "date date, store_nbr bigint, family string, onpromotion bigint, sales double")
+
+
+def test_feature_table_grows_in_any_order(spark, tmp_path):
+    start, rows = dt.date(2015, 11, 1), []
+    for store in (1, 2, 3):
+        for i in range(0, 130, store):
+            rows.append((start + dt.timedelta(days=i), store, "A/B", i % 2, float(i * store % 17)))
+    # A series with long gaps: its history lies further back than the first look.
+    rows += [(start + dt.timedelta(days=100 * i), 9, "C", 0, float(i)) for i in range(20)]
+    path, whole = str(tmp_path / "grown"), str(tmp_path / "whole")
+    sources.write_feature_table(demand_features(grid_sales(spark, [r for n, r in enumerate(rows) if n % 4])), path)
+    for part in (8, 0, 4):
+        sources.update_feature_table(grid_sales(spark, [r for n, r in enumerate(rows) if n % 12 == part]), path)
+    extra = [(start - dt.timedelta(days=3), 2, "A/B", 1, 4.0), (start, 7, "new", 0, 1.0)]
+    sources.update_feature_table(grid_sales(spark, extra), path)
+    sources.write_feature_table(demand_features(grid_sales(spark, rows + extra)), whole)
+    columns = list(sources.FEATURE_COLUMNS)
+    grown, built = (sorted(map(tuple, spark.read.parquet(p).select(*columns).collect())) for p in (path, whole))
+    assert grown == built and len(grown) == len(rows) + 2
+
+
+def test_an_update_replaces_days_and_leaves_other_partitions(spark, tmp_path):
+    rows = [(dt.date(2015, 1, 1) + dt.timedelta(days=i), 1, "A", 0, float(i)) for i in range(800)]
+    path = tmp_path / "features"
+    sources.write_feature_table(demand_features(grid_sales(spark, rows)), str(path))
+    before = {p: p.stat().st_mtime_ns for p in path.glob("year=2015/*.parquet")}
+    changed = (*rows[797][:4], 1000.0)
+    touched = sources.update_feature_table(grid_sales(spark, [changed]), str(path))
+    assert touched == [(2017,)] and {p: p.stat().st_mtime_ns for p in path.glob("year=2015/*.parquet")} == before
+    built = demand_features(grid_sales(spark, [*rows[:797], changed, *rows[798:]]))
+    columns = ["lag_7", "rolling_mean_7", "sales"]
+    wanted = {r["date"]: tuple(r[c] for c in columns) for r in built.collect()}
+    got = {r["event_timestamp"].date(): tuple(r[c] for c in columns) for r in spark.read.parquet(str(path)).collect()}
+    assert got == wanted
+    assert sources.update_feature_table(grid_sales(spark, []), str(path)) == []

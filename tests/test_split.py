@@ -91,3 +91,51 @@ def test_drift_window(spark):
     assert dict(got.dtypes) == {
         "store_nbr": "bigint", "family": "string", "onpromotion": "bigint", "day_of_week": "bigint", "month": "bigint", "year": "bigint"
     }
+
+
+@pytest.mark.parametrize("limit", [10_000, 4])
+def test_several_boundaries_equal_one_by_one(spark, monkeypatch, limit):
+    monkeypatch.setattr(split, "N_PIVOTS", 3)
+    keys = sales_keys(140, 11) + [(None, 1, "A"), (None, None, "B")]
+    df = spark.createDataFrame(keys, SCHEMA)
+    order = sorted(keys, key=lambda k: tuple((v is not None, v) for v in k))
+    ratios = [0.0, 0.01, 0.3, 0.31, 0.311, 0.5, 0.999, 1.0]
+    found = split.split_boundaries(df, "date", ["store_nbr", "family"], ratios, limit=limit)
+    for ratio, first in zip(ratios, found):
+        rows = [tuple(r) for r in df.filter(first).collect()]
+        assert sorted(rows, key=str) == sorted(order[: int(len(keys) * ratio)], key=str)
+
+
+def test_three_parts(spark):
+    keys = sales_keys(97, 9)
+    rows = split.chrono_parts(spark.createDataFrame(keys, SCHEMA), {"train": 0.7, "valid": 0.15, "test": 0.15}).collect()
+    ends = [0, int(97 * 0.7), int(97 * 0.85), 97]
+    for part, a, b in zip(("train", "valid", "test"), ends, ends[1:]):
+        assert sorted(tuple(r)[:3] for r in rows if r["split"] == part) == sorted(keys)[a:b]
+    with pytest.raises(ValueError, match="add up to 1"):
+        split.chrono_parts(spark.createDataFrame(keys, SCHEMA), {"train": 0.7, "valid": 0.2})
+
+
+def test_folds_move_on_in_time(spark):
+    keys = sales_keys(100, 9)
+    rows = split.rolling_origins(spark.createDataFrame(keys, SCHEMA), 4, first=0.6)
+    ordered = sorted(keys)
+    for k in range(1, 5):
+        learn, judge = (sorted(tuple(r)[:3] for r in part.collect()) for part in split.fold(rows, k))
+        assert learn == ordered[: 50 + 10 * k] and judge == ordered[50 + 10 * k : 60 + 10 * k]
+    with pytest.raises(ValueError):
+        split.rolling_origins(rows, 0)
+
+
+def test_ties_and_no_rows_among_several_boundaries(spark):
+    same = spark.createDataFrame([(dt.date(2020, 1, 1), 1, "A")] * 4, SCHEMA)
+    with pytest.raises(ValueError, match="4 rows are equal"):
+        split.split_boundaries(same, "date", ["store_nbr"], [0.5, 1.0])
+    empty = spark.createDataFrame([], SCHEMA)
+    assert split.chrono_parts(empty, {"a": 0.5, "b": 0.5}).collect() == []
+
+
+def test_boundaries_of_timestamps(spark):
+    df = spark.range(50).select(F.timestamp_seconds(F.col("id") * 3601).alias("date"), "id")
+    rows = split.rolling_origins(df, 5, tie_cols=["id"]).groupBy("block").count().orderBy("block").collect()
+    assert [tuple(r) for r in rows] == [(0, 25), *[(k, 5) for k in range(1, 6)]]
