@@ -133,18 +133,18 @@ class Adam:
         self.vector -= (self.rate * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
 
 
-def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(sizes: np.ndarray, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Overlapping windows over sequences laid end to end: (places, real, scored), a row per window.
 
     Every place of every sequence is scored in exactly one window; later windows begin with
-    ``OVERLAP`` places that are context only.
+    ``overlap`` places that are context only.
     """
-    step = SPAN - OVERLAP
+    step = SPAN - overlap
     count = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - SPAN) // step)), 0)
     of = np.repeat(np.arange(len(sizes)), count)
     number = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
     begin = np.concatenate([[0], np.cumsum(sizes)])
     places = (begin[of] + number * step)[:, None] + np.arange(SPAN)
     real = places < begin[of + 1][:, None]
-    scored = real & ((np.arange(SPAN) >= OVERLAP) | (number == 0)[:, None])
+    scored = real & ((np.arange(SPAN) >= overlap) | (number == 0)[:, None])
     return np.minimum(places, max(0, begin[-1] - 1)), real, scored

@@ -3,9 +3,10 @@
 Word counts give the base score. The model is a causal self-attention network over subword
 ids of a public vocabulary, trained in numpy inside Spark tasks: each task takes gradient
 steps on its own documents' windows, and the weights of all tasks are averaged by Spark after
-every round. A document's probability is the mean of three: that of its subwords under the
-network, that of its words under the smoothed counts, and that of its words when each may come
-from either, with a half each.
+every round. Each word of a document comes from the counts or from the network, which spells it
+out of subwords: its probability is ``(1 - w) * smoothed share of its count + w * network``. The
+weight ``w`` is the one of a fixed ladder under which the training fold is likeliest, with each of
+its words left out of its own count, so that words seen once stand for words not seen before.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .attention import SPAN, Adam, class_log10, start_weights, unpack, windows
-from .common import Words, bounded_broadcast, documents_of, slices, stored, text_column
+from .common import Words, bounded_broadcast, documents_of, mix, slices, stored, text_column, wide_batches
 from .token_shards import byte_encoder
 
 #: Words whose counts every task holds; rarer ones are joined.
@@ -27,7 +28,9 @@ DICTIONARY = 300_000
 #: Subwords with an input vector of their own, single-subword classes, classes in all.
 INPUTS, SINGLE, CLASSES = 2_047, 40, 64
 #: Training rounds, of which each window belongs to one; windows of a gradient step.
-TRAIN_ROUNDS, BATCH = 4, 32
+TRAIN_ROUNDS, BATCH = 4, 256
+#: Weights of the network from which the training fold chooses one, as powers of ten.
+LADDER = tuple(-3 + 0.25 * k for k in range(12))
 #: Windows scored at once: what they need stays in a core's cache.
 AT_ONCE = 24
 END_ID = 50_256
@@ -147,14 +150,18 @@ class LanguageModel:
     def batches(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(inputs, target classes, scored, places) of all windows; a sequence begins with the end id."""
         places, real, scored = windows(sizes)
-        before = np.concatenate([[END_ID], ids[:-1]])
-        starts = np.cumsum(sizes) - sizes
-        before[starts[sizes > 0]] = END_ID
-        tokens = self.input_of[before[places]]
+        tokens = self.input_of[_before(ids, sizes)[places]]
         tokens[~real] = self.input_of[END_ID]
         return tokens, self.class_of[ids[places]], scored, places
 
 
+def _before(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The id before each id of sequences laid end to end; the end id before the first of each."""
+    before = np.concatenate([[END_ID], ids[:-1]])
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = END_ID
+    return before
+
+
 def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(input, class, log10 of the share within the class) of every subword id, from corpus counts.
 
@@ -175,38 +182,55 @@ def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return inputs, of, np.log10(weight / mass[of])
 
 
-def _trained(shared, part: int):
-    """Gradient steps on the windows of a task's documents that belong to this round."""
+def _windows(path: str, pattern: str):
+    """(round, ids) of all training windows: an id and the ``SPAN`` that follow it, fewer at a text's end, 16 bits each.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        table, learner, used = _table(model.path, model.pattern), Adam(model.weights, model.inputs, CLASSES), 0
-        waiting: list[tuple[np.ndarray, ...]] = []
-
-        def learn(least: int) -> None:
-            nonlocal waiting, used
-            if sum(len(w[0]) for w in waiting) < least:
-                return
-            tokens, targets, counted = (np.concatenate([w[k] for w in waiting]) for k in range(3))
-            order = np.random.default_rng(part).permutation(len(tokens))
-            for at in range(0, len(order), BATCH):
-                some = order[at : at + BATCH]
-                learner.step(tokens[some], targets[some], counted[some])
-            used += len(order)
-            waiting = []
+    Windows do not overlap, so every id is learned from once. A window's round follows from its ids.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(path, pattern)
         for batch in batches:
             for _, _, data, offsets in slices(text_column(batch.column(0))):
                 words = Words(data, offsets, lower=True)
                 _, places, of = table.find(words, data)
                 ids, word = table.subwords(places)
                 sizes = np.bincount(of[word], minlength=words.docs)
-                tokens, targets, scored, _ = model.batches(ids, sizes)
-                # A window's round follows from its tokens, so none is missed when rows come in another order.
-                mine = tokens.sum(axis=1) % TRAIN_ROUNDS == part
-                waiting.append((tokens[mine], targets[mine], scored[mine]))
-                learn(32 * BATCH)
-        learn(1)
+                at, real, _ = windows(sizes, 0)
+                rows = np.concatenate([_before(ids, sizes)[at[:, :1]], ids[at]], axis=1).astype(np.uint16)
+                kept = np.concatenate([np.ones((len(rows), 1), bool), real], axis=1)
+                rounds = mix((rows.astype(np.uint64) * kept) @ (np.arange(1, SPAN + 2, dtype=np.uint64) * np.uint64(0x9E3779B1)))
+                ends = np.concatenate([[0], np.cumsum(kept.sum(axis=1) * 2)]).astype(np.int32)
+                flat = pa.BinaryArray.from_buffers(
+                    pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows[kept].tobytes())]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((rounds % np.uint64(TRAIN_ROUNDS)).astype(np.int32)), flat], names=["round", "ids"]
+                )
+
+    return run
+
+
+def _trained(shared, part: int):
+    """Gradient steps on the windows of a task that belong to this round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        learner, used, turn = Adam(model.weights, model.inputs, CLASSES), 0, 0
+        end = model.input_of[END_ID]
+        for batch in batches:
+            order = np.random.default_rng([part, turn]).permutation(len(batch))
+            turn += 1
+            for a in range(0, len(order), BATCH):
+                some = batch.column(0).take(pa.array(order[a : a + BATCH]))
+                sizes = np.diff(np.frombuffer(some.buffers()[1], np.int32)[some.offset : some.offset + len(some) + 1]) // 2
+                real = np.arange(SPAN + 1) < sizes[:, None]
+                ids = np.zeros(real.shape, np.int64)
+                ids[real] = np.frombuffer(b"".join(some.to_pylist()), np.uint16)
+                counted = real[:, 1:]
+                tokens = np.where(counted, model.input_of[ids[:, :-1]], end)
+                learner.step(tokens, model.class_of[ids[:, 1:]], counted)
+                used += len(some)
         if used:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(learner.vector), dtype=np.int32)), pa.array(learner.vector.astype(np.float64) * used),
@@ -220,18 +244,22 @@ def _trained(shared, part: int):
 def train(training: DataFrame, path: str, pattern: str, subword_counts: np.ndarray) -> LanguageModel:
     """A model from all ``training`` texts (one text column): rounds of local steps and averages.
 
-    Every window is learned from once, in one of the rounds.
+    Texts are cut into windows of ids once, which are written down; every window is learned from
+    once, in one of the rounds.
     """
     spark = training.sparkSession
+    cut = stored(training.mapInArrow(_windows(path, pattern), "round int, ids binary"), "windows")
     inputs_of, class_of, within = classes_of(subword_counts)
     inputs = INPUTS + CLASSES
     model = LanguageModel(inputs_of, class_of, within, inputs, start_weights(inputs, CLASSES), path, pattern)
     model.weights[-CLASSES:] = np.log(np.bincount(class_of, subword_counts + 1.0, CLASSES) / (subword_counts + 1.0).sum())
     for part in range(TRAIN_ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        steps = training.mapInArrow(_trained(shared, part), "at int, value double, used long")
+        own = cut.filter(F.col("round") == part).select("ids")
+        steps = own.mapInArrow(_trained(shared, part), "at int, value double, used long")
         averaged = steps.groupBy("at").agg((F.sum("value") / F.sum("used")).alias("value"))
-        found = averaged.toPandas()  # one row per weight of the network
+        with wide_batches(spark):
+            found = averaged.toPandas()  # one row per weight of the network
         if not len(found):
             break
         weights = model.weights.copy()
@@ -240,15 +268,23 @@ def train(training: DataFrame, path: str, pattern: str, subword_counts: np.ndarr
     return model
 
 
+def _mixed_log10(counts: np.ndarray, smooth: float, network: np.ndarray, weight: float) -> np.ndarray:
+    """log10 of the mixture of a word's smoothed share of the counts and the network's log10 probability."""
+    return np.log10((1 - weight) * ((counts + 1.0) / smooth) + weight * 10.0**network)
+
+
 def _scored(shared):
     """Base and model scores of whole documents, and the words whose counts must be joined.
 
     Until then those words count as unseen; ``rare_network`` is the network's log10 probability of each.
+    ``mixed`` has the document's score for each weight of the ladder, ``left_out`` the same with
+    each word left out of its own count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         table, weights = _table(model.path, model.pattern), unpack(model.weights, model.inputs, CLASSES)
+        ladder = [10.0**p for p in LADDER]
         for batch in batches:
             for start, end, data, offsets in slices(text_column(batch.column(1))):
                 words = Words(data, offsets, lower=True)
@@ -261,33 +297,42 @@ def _scored(shared):
                     b = a + AT_ONCE
                     part = class_log10(weights, tokens[a:b], targets[a:b])
                     log10[at[a:b][scored[a:b]]] += part[scored[a:b]]
-                by_word = np.bincount(word, log10, len(keys))
+                # Below 1e-300 a word's probability would leave the range of a double.
+                by_word = np.maximum(np.bincount(word, log10, len(keys)), -300.0)
                 found = np.minimum(np.searchsorted(model.keys, keys), max(0, len(model.keys) - 1))
                 known = model.keys[found] == keys if len(model.keys) else np.zeros(len(keys), bool)
-                counts = np.where(known, model.counts[found] if len(model.keys) else 0, 0)
-                by_count = np.log10((counts + 1.0) / model.smooth)
-                top = np.maximum(by_word, by_count)
-                both = top + np.log10(0.5 * (10 ** (by_word - top) + 10 ** (by_count - top)))
+                counts = np.where(known, model.counts[found] if len(model.keys) else 0, 0).astype(np.float64)
                 total = lambda v: np.bincount(of, v, words.docs)
+                less = np.maximum(counts - 1, 0)
+                mixed = np.stack([total(_mixed_log10(counts, model.smooth, by_word, w)) for w in ladder], axis=1)
+                left_out = np.stack([total(_mixed_log10(less, max(1.0, model.smooth - 1), by_word, w)) for w in ladder], axis=1)
                 rare = ~known
                 ends = pa.array(np.concatenate([[0], np.cumsum(total(rare))]).astype(np.int32))
+                steps = pa.array(np.arange(words.docs + 1, dtype=np.int32) * len(ladder))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
                         pa.array(total(np.ones(len(of))).astype(np.int64)),
                         pa.array(total(known).astype(np.int64)),
-                        pa.array(total(by_count)),
+                        pa.array(total(np.log10((counts + 1.0) / model.smooth))),
                         pa.array(total(by_word)),
-                        pa.array(total(both)),
+                        pa.ListArray.from_arrays(steps, pa.array(mixed.ravel())),
+                        pa.ListArray.from_arrays(steps, pa.array(left_out.ravel())),
                         pa.ListArray.from_arrays(ends, pa.array(keys[rare].view(np.int64))),
                         pa.ListArray.from_arrays(ends, pa.array(by_word[rare])),
                     ],
-                    names=["doc_id", "n_tokens", "n_known", "base", "network", "either", "rare", "rare_network"],
+                    names=["doc_id", "n_tokens", "n_known", "base", "network", "mixed", "left_out", "rare", "rare_network"],
                 )
 
     return run
 
 
+def _joined_gain(n: Column, smooth: float, network: Column, weight: float) -> Column:
+    """What a word's count adds to its log10 probability in the mixture, over a count of 0."""
+    spelled = weight * F.pow(F.lit(10.0), network)
+    return F.log10((1 - weight) * (n + 1.0) / smooth + spelled) - F.log10((1 - weight) / smooth + spelled)
+
+
 def score_documents(
     docs: DataFrame, ranks_path: str, pattern: str, dictionary: int = DICTIONARY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -295,9 +340,11 @@ def score_documents(
 
     Tokens are lower-cased words and one end per document. Counts of frequent words, at most
     ``dictionary`` of them, are broadcast; the others are joined, so no score depends on the
-    size of the dictionary. Null texts are empty
-    and consist of the end alone; a null id belongs to the training fold; rows that repeat an
-    id are scored and counted each on their own. No rows give no rows.
+    size of the dictionary. Null texts are empty and consist of the end alone; a null id belongs to
+    the training fold; rows that repeat an id are scored and counted each on their own. Other
+    columns play no part, whatever they are called. No rows give no rows.
+
+    Texts are scored whole: a task's memory grows with its longest text, by about 50 bytes for each of its bytes.
     """
     spark = docs.sparkSession
     texts = documents_of(docs, id_col, text_col)
@@ -321,29 +368,35 @@ def score_documents(
     model.keys, model.counts = keys[order], often["n"].to_numpy(np.int64)[order]
     model.total, model.smooth = total, float(total + distinct + 1)
     shared = spark.sparkContext.broadcast(model)
-    schema = "doc_id long, n_tokens long, n_known long, base double, network double, either double"
-    schema += ", rare array<long>, rare_network array<double>"
+    schema = "doc_id long, n_tokens long, n_known long, base double, network double"
+    schema += ", mixed array<double>, left_out array<double>, rare array<long>, rare_network array<double>"
     scored = stored(texts.mapInArrow(_scored(shared), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.filter(F.col("n") < least).select("key", "n")
-    counted_as = lambda n: F.log10((n + 1.0) / model.smooth)
-    mixed = _half_and_half(F.col("network"), counted_as(F.col("n"))) - _half_and_half(F.col("network"), counted_as(F.lit(0)))
+    n, network = F.col("n"), F.col("network")
+    ladder = [10.0**p for p in LADDER]
     extra = (
         scored.select("row", F.explode(F.arrays_zip("rare", "rare_network")).alias("w"))
         .select("row", F.col("w.rare").alias("key"), F.col("w.rare_network").alias("network"))
         .join(rare, "key")
         .groupBy("row")
         .agg(
-            F.sum(F.log10(F.col("n") + 1.0)).alias("more"),
-            F.sum(mixed).alias("more_either"),
+            F.sum(F.log10(n + 1.0)).alias("more"),
+            F.array(*[F.sum(_joined_gain(n, model.smooth, network, w)) for w in ladder]).alias("more_mixed"),
+            F.array(*[F.sum(_joined_gain(n - 1, max(1.0, model.smooth - 1), network, w)) for w in ladder]).alias("more_left_out"),
             F.count(F.lit(1)).alias("known"),
         )
     )
-    base = F.col("base") + F.coalesce("more", F.lit(0.0))
-    either = F.col("either") + F.coalesce("more_either", F.lit(0.0))
-    ways = [F.col("network"), either, F.col("base_score")]
-    top = F.greatest(*ways)
-    mean = sum((F.pow(F.lit(10.0), w - top) for w in ways), F.lit(0.0)) / len(ways)
-    joined = scored.drop("rare", "rare_network").join(extra, "row", "left").withColumn("base_score", base)
+    none = F.array(*[F.lit(0.0) for _ in ladder])
+    joined = scored.drop("rare", "rare_network").join(extra, "row", "left").withColumns(
+        {
+            "base_score": F.col("base") + F.coalesce("more", F.lit(0.0)),
+            "mixed": F.zip_with("mixed", F.coalesce("more_mixed", none), lambda a, b: a + b),
+            "left_out": F.zip_with("left_out", F.coalesce("more_left_out", none), lambda a, b: a + b),
+        }
+    )
+    joined = stored(joined, "mixed-scores")
+    likely = joined.filter(~held_out()).agg(*[F.sum(F.col("left_out")[k]) for k in range(len(ladder))]).first()
+    best = max(range(len(ladder)), key=lambda k: (likely[k] if likely[k] is not None else 0.0, -k))
     return joined.select(
         "doc_id",
         held_out().alias("held_out"),
@@ -351,26 +404,33 @@ def score_documents(
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         "base_score",
-        (top + F.log10(mean)).alias("score"),
+        F.col("mixed")[best].alias("score"),
         F.col("network").alias("network_score"),
     )
 
 
-def _half_and_half(a: Column, b: Column) -> Column:
-    """log10 of the mean of two probabilities given as log10."""
-    top = F.greatest(a, b)
-    return top + F.log10(F.lit(0.5) * (F.pow(F.lit(10.0), a - top) + F.pow(F.lit(10.0), b - top)))
-
-
 def _threshold(words: DataFrame, dictionary: int) -> int:
-    """The least count such that at most ``dictionary`` words have it, found from a histogram of counts."""
-    top = 10_000
-    bins = words.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count(F.lit(1)).alias("words")).collect()
-    held, least = 0, None
-    for row in sorted(bins, key=lambda r: -r["n"]):
-        if held + row["words"] > dictionary:
-            break
-        held, least = held + row["words"], row["n"]
-    if least is None:  # more words reach the top bin than may be held: all are joined
-        return (1 << 62) if bins else 1
-    return least
+    """The least count such that at most ``dictionary`` words have it, found from a histogram of counts by octave.
+
+    The octave in which the dictionary is full is cut finer and finer, down to single counts, so
+    the dictionary holds the most frequent words however many are frequent.
+    """
+    low, high, held = 1, 1 << 62, 0
+    while low < high:
+        # Sixteen steps of a like ratio between the counts that are still open.
+        cuts = sorted({low + int((high - low) * (2.0 ** (k / 2) - 1) / (2.0**32 - 1)) for k in range(64)} | {high})
+        step = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("n")))
+        inside = words.filter((F.col("n") >= low) & (F.col("n") < high))
+        bins = {r["step"]: r["words"] for r in inside.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()}
+        full = None
+        for k in range(len(cuts) - 1, 0, -1):
+            if held + bins.get(k, 0) > dictionary:
+                full = k
+                break
+            held += bins.get(k, 0)
+        if full is None:
+            return low
+        if cuts[full] - cuts[full - 1] <= 1:
+            return cuts[full]
+        low, high = cuts[full - 1], cuts[full]
+    return low

@@ -350,28 +350,84 @@ def test_later_windows_see_half_a_window_before():
     assert (at >= np.minimum(within, attention.SPAN // 2)).all()
 
 
-def test_every_window_is_learned_from(texts, monkeypatch):
+def small_model():
     inputs_of, class_of, within = lm_scores.classes_of(np.ones(lm_scores.END_ID + 1))
     inputs = lm_scores.INPUTS + lm_scores.CLASSES
     weights = attention.start_weights(inputs, lm_scores.CLASSES)
-    model = lm_scores.LanguageModel(inputs_of, class_of, within, inputs, weights, RANKS, PATTERN)
-    learned = collections.Counter()
-    monkeypatch.setattr(
-        lm_scores.Adam, "step", lambda self, tokens, targets, counted: learned.update(t.tobytes() for t in tokens)
-    )
-    batch = pa.RecordBatch.from_arrays([pa.array(list(texts.values())[:60], pa.string())], names=["text"])
+    return lm_scores.LanguageModel(inputs_of, class_of, within, inputs, weights, RANKS, PATTERN)
+
+
+def subwords_of(text):
+    """(ids, word of each id) of a text, word by word, with the end id last."""
+    encoder = lm_scores._table(RANKS, PATTERN).encoder
+    ids = [encoder.encode_ordinary(" " + w.decode()) for w in text.encode().lower().split()] + [[lm_scores.END_ID]]
+    return [i for word in ids for i in word], [n for n, word in enumerate(ids) for _ in word]
+
+
+def test_every_id_is_learned_from_once(texts, monkeypatch):
+    model, learned = small_model(), []
+
+    def step(self, tokens, targets, counted):
+        assert (tokens[~counted] == model.input_of[lm_scores.END_ID]).all()
+        learned.extend((t[c].tobytes(), g[c].tobytes()) for t, g, c in zip(tokens, targets, counted))
+
+    monkeypatch.setattr(lm_scores.Adam, "step", step)
+    some = list(texts.values())[:60]
+    batch = pa.RecordBatch.from_arrays([pa.array(some, pa.string())], names=["text"])
+    cut = pa.Table.from_batches(lm_scores._windows(RANKS, PATTERN)(iter([batch]))).combine_chunks()
     used = 0
     for part in range(lm_scores.TRAIN_ROUNDS):
-        order = pa.array(np.random.default_rng(part).permutation(len(batch)))
-        for out in lm_scores._trained(types.SimpleNamespace(value=model), part)(iter([batch.take(order)])):
+        own = cut.filter(pa.compute.equal(cut.column("round"), part)).select(["ids"])
+        assert len(own)
+        for out in lm_scores._trained(types.SimpleNamespace(value=model), part)(iter(own.to_batches())):
             used += out.column(2)[0].as_py()
-    table, wanted = lm_scores._table(RANKS, PATTERN), collections.Counter()
-    for _, _, data, offsets in slices(text_column(batch.column(0))):
-        words = Words(data, offsets, lower=True)
-        _, places, of = table.find(words, data)
-        ids, word = table.subwords(places)
-        wanted.update(t.tobytes() for t in model.batches(ids, np.bincount(of[word], minlength=words.docs))[0])
-    assert learned == wanted and used == wanted.total()
+    wanted = collections.Counter()
+    for text in some:
+        ids = np.array(subwords_of(text or "")[0])
+        before = np.concatenate([[lm_scores.END_ID], ids[:-1]])
+        for a in range(0, len(ids), attention.SPAN):
+            wanted[model.input_of[before[a : a + attention.SPAN]].tobytes(), model.class_of[ids[a : a + attention.SPAN]].tobytes()] += 1
+    assert collections.Counter(learned) == wanted and used == wanted.total()
+
+
+def test_scores_equal_a_word_by_word_mixture(texts):
+    model, some = small_model(), [t for t in texts.values() if t][:20] + [""]
+    words = [w for t in some for w in (*t.encode().lower().split(), None)]
+    counts = collections.Counter(words[::2])
+    data = b" ".join(w for w in counts if w)
+    split = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), lower=True)
+    keys = dict(zip((w for w in counts if w), split.hashes)) | {None: lm_scores.END_KEY}
+    order = sorted(counts, key=lambda w: int(keys[w]))
+    model.keys = np.array([keys[w] for w in order], np.uint64)
+    model.counts, model.total = np.array([counts[w] for w in order]), sum(counts.values())
+    model.smooth = float(model.total + len(counts) + 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some, pa.string())], names=["doc_id", "text"])
+    rows = [r for out in lm_scores._scored(types.SimpleNamespace(value=model))(iter([batch])) for r in out.to_pylist()]
+    weights = attention.unpack(model.weights, model.inputs, lm_scores.CLASSES)
+    for text, row in zip(some, rows):
+        ids, of = subwords_of(text)
+        tokens, targets, scored, at = model.batches(np.array(ids), np.array([len(ids)]))
+        log10 = model.within[ids].copy()
+        part = attention.class_log10(weights, tokens, targets)
+        log10[at[scored]] += part[scored]
+        network = np.bincount(of, log10)
+        own = [counts[w] for w in (*text.encode().lower().split(), None)]
+        for k, power in enumerate(lm_scores.LADDER):
+            w = 10.0**power
+            plain = sum(math.log10((1 - w) * (c + 1) / model.smooth + w * 10**n) for c, n in zip(own, network))
+            less = sum(math.log10((1 - w) * (max(c - 1, 0) + 1) / (model.smooth - 1) + w * 10**n) for c, n in zip(own, network))
+            assert row["mixed"][k] == pytest.approx(plain, rel=1e-4) and row["left_out"][k] == pytest.approx(less, rel=1e-4)
+
+
+def test_the_dictionary_holds_the_most_frequent_words(spark):
+    draw = random.Random(4)
+    counts = [draw.choice([1, 1, 1, 2, 3, 5, 40, 9_999, 10_000, 20_000, 10**9, 10**13]) + draw.randrange(3) for _ in range(400)]
+    words = spark.createDataFrame(list(enumerate(counts)), "key long, n long").persist()
+    for size in (0, 1, 7, 150, 399, 400, 1000):
+        least = lm_scores._threshold(words, size)
+        held = sum(n >= least for n in counts)
+        assert held <= size and (held == 400 or held + sum(n == max(m for m in counts if m < least) for n in counts) > size)
+    assert lm_scores._threshold(words.filter("false"), 5) == 1
 
 
 @pytest.mark.parametrize("dictionary", [1_000_000, 50])
@@ -390,7 +446,7 @@ def test_lm_base_scores(spark, texts, dictionary):
         assert (r["held_out"], r["train_tokens"], r["n_tokens"]) == (held[r["doc_id"]], total, len(own))
         assert r["n_known"] == sum(counts[w] > 0 for w in own)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / smooth) for w in own))
-        assert r["base_score"] - math.log10(3) - 1e-9 <= r["score"] < 0
+        assert r["base_score"] + 2 * r["n_tokens"] > r["score"] and r["network_score"] + lm_scores.LADDER[0] * r["n_tokens"] <= r["score"] < 0
     rows = lm_scores.score_documents(awkward(spark), RANKS, PATTERN).collect()
     assert len(rows) == awkward(spark).count() and all(math.isfinite(r["score"]) for r in rows)
     assert lm_scores.score_documents(nothing(spark), RANKS, PATTERN).collect() == []
