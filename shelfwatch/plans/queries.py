@@ -648,8 +648,8 @@ def stream_pit_join(spark, sf_dir):
     views = stream.filter("event_type = 'view'").select("user_id", time, F.col("event_id").alias("view_id"), F.col("value").alias("seen"))
     clicks = stream.filter("event_type = 'click'").select("user_id", time, "event_id")
     found = _drained(pit_join_stream(clicks, views, ["user_id"], ttl_days=1, delay=STREAM_DELAY), "clicks")
-    last = events.agg(F.date_trunc("day", F.max("ts")).cast("timestamp").alias("last"))
-    return found.join(F.broadcast(last), found["event_timestamp"] < F.col("last")).select("event_id", "user_id", "view_id", "seen")
+    last = events.agg(F.unix_micros(F.date_trunc("day", F.max("ts")).cast("timestamp"))).first()[0]
+    return found.filter(F.unix_micros("event_timestamp") < last).select("event_id", "user_id", "view_id", "seen")
 
 
 def _labels_in_time(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -663,9 +663,8 @@ def _labels_in_time(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def _truth_rows(joined: DataFrame, predictions: DataFrame) -> DataFrame:
     """Those whose wait was over ten days before the newest prediction."""
-    end = predictions.agg((F.max("date") - F.expr("INTERVAL 20 DAYS")).alias("end"))
-    closed = joined.join(F.broadcast(end), joined["date"] < F.col("end"))
-    return closed.select(_day(), *SERIES, _six("yhat"), F.coalesce("y", F.lit(-1.0)).alias("y"))
+    end = predictions.agg(F.unix_micros(F.max("date") - F.expr("INTERVAL 20 DAYS"))).first()[0]
+    return joined.filter(F.unix_micros("date") < end).select(_day(), *SERIES, _six("yhat"), F.coalesce("y", F.lit(-1.0)).alias("y"))
 
 
 @query
@@ -925,7 +924,8 @@ def score_tree_rows(spark, sf_dir):
     key = ["date", *SERIES]
     vectors = PipelineModel(model.stages[:-1]).transform(valid).select(*key, vector_to_array("features").alias("x"))
     nodes = F.broadcast(models.tree_rows(spark, model))
-    at = vectors.crossJoin(nodes.filter("node = 0")).select(*key, "x", *nodes.columns)
+    every = F.explode(F.sequence(F.lit(0), F.lit(model.stages[-1].getNumTrees - 1))).alias("tree")
+    at = vectors.select(*key, "x", every).join(nodes.filter("node = 0"), "tree").select(*key, "x", *nodes.columns)
     x = F.col("x")[F.col("feature")]
     goes_below = F.when(F.col("members").isNull(), x <= F.col("threshold")).otherwise(F.array_contains("members", x))
     for _ in range(TRIAL_ROUNDS["maxDepth"]):

@@ -10,10 +10,12 @@ from shelfwatch.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|MapInArrow")
-NEEDS_PYTHON = {"score_faithfulness", "embed_text"}
+NEEDS_PYTHON = {"score_faithfulness", "embed_text", "score_answers"}
 WRITES_FIRST = {
     "train_regressor", "score_table", "forecast_requests", "search_params", "prediction_drift", "psi_windows",
     "stream_request_rate_5m", "stream_latency_quantiles_5m", "stream_psi", "stream_validate_requests",
+    "train_stumps", "boosting_losses", "score_tree_rows", "feature_table_update", "answer_gate",
+    "stream_latest_per_key", "stream_pit_join", "stream_delayed_truth",
 }
 
 
