@@ -15,6 +15,8 @@ from .tables import batch_folder, checkpoint_beside
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _AT, _SIDE = "asof_at", "asof_side"
+#: Rows that go to the state server in one message.
+_ROWS_A_MESSAGE = 4_096
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -157,10 +159,26 @@ def read_newest(
     return latest_per_key(changes, keys, ts, tie_cols)
 
 
+def _append(state, rows: list[tuple]) -> None:
+    """Adds rows to a list state, a bounded number in one message."""
+    for a in range(0, len(rows), _ROWS_A_MESSAGE):
+        state.appendList(rows[a : a + _ROWS_A_MESSAGE])
+
+
+def _put(state, rows: list[tuple]) -> None:
+    """The same in place of what a list state holds."""
+    if not rows:
+        state.clear()
+        return
+    state.put(rows[:_ROWS_A_MESSAGE])
+    _append(state, rows[_ROWS_A_MESSAGE:])
+
+
 class _AsOf(StatefulProcessor):
     """Holds the features of a key that may still answer a request, and the requests that wait.
 
-    Rows are (keys..., time, micros, side, request values..., feature values...).
+    Both are lists that are written and read as a whole, and a key has one timer, so a batch costs
+    a few calls of the state server for each key, not for each row. Rows are (keys..., time, micros, side, request values..., feature values...).
     """
 
     def __init__(self, n_keys: int, asked: StructType, known: StructType, order: Sequence[int], ttl_us: int, out: StructType):
@@ -172,8 +190,9 @@ class _AsOf(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.known = handle.getMapState("known", "at long", self.known_type)
-        self.asked = handle.getListState("asked", StructType([StructField("at", LongType()), *self.asked_type.fields]))
+        at = StructField("at", LongType())
+        self.known = handle.getListState("known", StructType([at, *self.known_type.fields]))
+        self.asked = handle.getListState("asked", StructType([at, *self.asked_type.fields]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best: dict[int, tuple] = {}
@@ -183,42 +202,54 @@ class _AsOf(StatefulProcessor):
             at = row[self.at]
             if row[self.side]:
                 waiting.append((at, *row[self.asked_at]))
-                continue
-            new = row[self.known_at]
-            if at not in best or _rank(new, self.order) > _rank(best[at], self.order):
-                best[at] = new
-        for at, new in best.items():
-            held = tuple(self.known.getValue((at,))) if self.known.containsKey((at,)) else None
-            if held is None or _rank(new, self.order) > _rank(held, self.order):
-                self.known.updateValue((at,), new)
-        if waiting:
-            self.asked.appendList(waiting)
+            else:
+                self._keep_best(best, at, row[self.known_at])
+        _append(self.known, [(at, *new) for at, new in best.items()])
+        _append(self.asked, waiting)
         # Nothing at or before a request can come once the watermark has reached it.
-        for at in {-(-row[0] // 1000) for row in waiting}:
-            self.handle.registerTimer(at)
+        self._wake(min((r[0] for r in waiting), default=max(best, default=0)), bool(waiting))
         yield from ()
 
+    def _keep_best(self, best: dict[int, tuple], at: int, new: tuple) -> None:
+        if at not in best or _rank(new, self.order) > _rank(best[at], self.order):
+            best[at] = new
+
+    def _wake(self, at: int, asked: bool) -> None:
+        """One timer a key: at its first request that waits, or to forget features where none does."""
+        due, timers = -(-at // 1000), list(self.handle.listTimers())
+        if timers and (not asked or min(timers) <= due):
+            return
+        for later in timers:
+            self.handle.deleteTimer(later)
+        self.handle.registerTimer(due)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         asked = [tuple(r) for r in self.asked.get()]
-        due = [r for r in asked if r[0] <= now]
-        if not due:
-            return
-        left = [r for r in asked if r[0] > now]
-        if left:
-            self.asked.put(left)
-        else:
-            self.asked.clear()
-        times = sorted(k[0] for k in self.known.keys())
-        nothing = (None,) * len(self.known_type.fields)
-        for at, *values in due:
+        known = [tuple(r) for r in self.known.get()]
+        best: dict[int, tuple] = {}
+        for at, *new in known:
+            self._keep_best(best, at, tuple(new))
+        times = sorted(best)
+        nothing, answer = (None,) * len(self.known_type.fields), Row(*self.names)
+        left = []
+        for row in asked:
+            at, *values = row
+            if at > now:
+                left.append(row)
+                continue
             found = bisect.bisect_right(times, at) - 1
             seen = found >= 0 and times[found] >= at - self.ttl_us
-            answer = tuple(self.known.getValue((times[found],))) if seen else nothing
-            yield Row(*self.names)(*key, at, *values, *answer)
+            yield answer(*key, at, *values, *(best[times[found]] if seen else nothing))
         # Later requests lie beyond the watermark: of what is before it they can see the newest only.
-        for at in times[: max(bisect.bisect_right(times, now) - 1, 0)]:
-            self.known.removeKey((at,))
+        kept = times[max(bisect.bisect_right(times, now) - 1, 0) :]
+        if len(left) < len(asked):
+            _put(self.asked, left)
+        if len(kept) < len(known):
+            _put(self.known, [(at, *best[at]) for at in kept])
+        ahead = min((r[0] for r in left), default=kept[-1] if kept and kept[-1] > now else None)
+        if ahead is not None:
+            self.handle.registerTimer(-(-ahead // 1000))
 
     def close(self) -> None:
         pass

@@ -1,12 +1,15 @@
 import datetime as dt
+import types
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 import random
 
 from shelfwatch.operators import asof, drift, metrics
 from shelfwatch.streaming import append_table, delayed_truth, newest_stream, pit_join_stream, psi_stream, read_log_stream
 from shelfwatch.streaming import read_newest, reference_bins, validate_stream, window_bin_counts, window_psi
+from shelfwatch.streaming.state import _AsOf
 
 SCHEMA = "ts timestamp, status string, latency_s double"
 T0 = dt.datetime(2024, 1, 1, 12, 0)
@@ -219,6 +222,69 @@ def test_point_in_time_stream_forgets_old_features(spark, tmp_path):
     assert {r["request"]: r["w"] for r in rows} == {"too old": None, "in time": "old"}
 
 
+class FakeState:
+    """A state server of one key that counts its calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.lists = 0, set(), {}
+
+    def called(self, result=None):
+        self.calls += 1
+        return result
+
+    def getListState(self, name, schema):
+        held = self.lists.setdefault(name, [])
+        state = types.SimpleNamespace()
+        state.get = lambda: iter(self.called(list(held)))
+        state.appendList = lambda rows: self.called(held.extend(rows))
+        state.put = lambda rows: self.called(held.__setitem__(slice(None), rows))
+        state.clear = lambda: self.called(held.clear())
+        return state
+
+    def registerTimer(self, at):
+        self.called(self.timers.add(at))
+
+    def deleteTimer(self, at):
+        self.called(self.timers.discard(at))
+
+    def listTimers(self):
+        return iter(self.called(sorted(self.timers)))
+
+
+def test_point_in_time_state_calls_do_not_grow_with_the_rows_of_a_key():
+    long = lambda *names: StructType([StructField(n, LongType()) for n in names])
+    server, ms = FakeState(), 1000
+    joined = _AsOf(1, long("r"), long("v"), [0], 86_400_000_000, long("k", "at", "r", "v"))
+    joined.init(server)
+
+    def expire(watermark):
+        out = []
+        for due in sorted(t for t in server.timers if t <= watermark):
+            out += joined.handleExpiredTimer(
+                (1,), types.SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark),
+                types.SimpleNamespace(getExpiryTimeInMs=lambda: due),
+            )
+            server.timers.discard(due)
+        return [tuple(r) for r in out]
+
+    features = [(1, None, 2 * i * ms, 0, None, i) for i in range(500)]
+    requests = [(1, None, (2 * i + 1) * ms, 1, i, None) for i in range(500)]
+    # The second half comes first, so its timer has to move.
+    for rows in (features[250:] + requests[250:], features[:250] + requests[:250]):
+        assert list(joined.handleInputRows((1,), iter(rows), None)) == []
+    assert server.timers == {1}
+    got = expire(600)
+    assert sorted(got) == [(1, (2 * i + 1) * ms, i, i) for i in range(300)]
+    assert server.timers == {601} and len(server.lists["known"]) == 200 and len(server.lists["asked"]) == 200
+    got = expire(5000)
+    assert sorted(got) == [(1, (2 * i + 1) * ms, i, i) for i in range(300, 500)]
+    assert server.timers == set() and server.lists == {"known": [(998 * ms, 499)], "asked": []}
+    # Features alone are forgotten too.
+    list(joined.handleInputRows((1,), iter([(1, None, t * ms, 0, None, t) for t in (6000, 7000)]), None))
+    assert expire(8000) == [] and server.timers == set() and server.lists["known"] == [(7000 * ms, 7000)]
+    assert server.calls < 40
+
+
 def test_delayed_truth_stream_equals_batch(spark, tmp_path):
     made = "store_nbr long, family string, date timestamp, yhat double"
     truth = "store_nbr long, family string, date timestamp, known_at timestamp, sales double"
