@@ -9,6 +9,8 @@ has the same size, so slot s stands at byte ``(s mod shard) * stride`` of shard
 from __future__ import annotations
 
 import base64
+import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,20 +24,22 @@ from .common import bounded_broadcast, documents_of, mix, stored, text_column
 LENGTH, SHARD, HEADER = 512, 4_096, 16
 END_ID = 50_256
 ROUNDS = 4
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 _encoders: dict[tuple[str, str], tuple] = {}
 
 
 def byte_encoder(path: str, pattern: str):
-    """The encoder of a rank file, and the ids of pieces already encoded; one per worker."""
+    """The encoder of a rank file, the ids of pieces already encoded, the bytes of each id; one per worker."""
     if (path, pattern) not in _encoders:
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         encoder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        _encoders[path, pattern] = (encoder, {})
+        widths = np.zeros(max(ranks.values()) + 1, np.int64)
+        widths[list(ranks.values())] = list(map(len, ranks))
+        _encoders[path, pattern] = (encoder, {}, widths)
     return _encoders[path, pattern]
 
 
@@ -43,26 +47,66 @@ def encode_text(encoder, known: dict[str, bytes], text: str) -> bytes:
     """The ids of a whole text as 16-bit words.
 
     A space between two visible characters always begins a piece of these byte-level
-    vocabularies, so pieces are encoded once and remembered.
+    vocabularies, so pieces are encoded once and remembered, by what follows their space.
     """
-    parts = text.split(" ")
-    out, held = [], parts[0]
-    for part in parts[1:]:
+    first, *rest = text.split(" ")
+    # Pieces that begin or end with a blank are never remembered: such texts come to the long way.
+    if first and not first[-1].isspace():
+        try:
+            return _ids(encoder, first) + b"".join(map(known.__getitem__, rest))
+        except KeyError:
+            pass
+    held, pieces = first, []
+    for part in rest:
         if held and part and not held[-1].isspace() and not part[0].isspace():
-            out.append(held)
-            held = " " + part
+            pieces.append(held)
+            held = part
         else:
             held = f"{held} {part}"
-    out.append(held)
-    try:
-        return b"".join(map(known.__getitem__, out))
-    except KeyError:
-        if len(known) > REMEMBERED:
-            known.clear()
-        for piece in out:
-            if piece not in known:
-                known[piece] = np.array(encoder.encode_ordinary(piece), np.uint16).tobytes()
-        return b"".join(map(known.__getitem__, out))
+    pieces.append(held)
+    if len(known) > REMEMBERED:
+        known.clear()
+    out = [_ids(encoder, pieces[0])]
+    for piece in pieces[1:]:
+        ids = known.get(piece)
+        if ids is None:
+            ids = _ids(encoder, f" {piece}")
+            if not piece[-1].isspace():
+                known[piece] = ids
+        out.append(ids)
+    return b"".join(out)
+
+
+def learn_pieces(encoder, known: dict[str, bytes], widths: np.ndarray, texts: list[str]) -> None:
+    """Remembers the pieces of texts that are not known yet.
+
+    All are encoded in one call, one after the other: as each begins with a space before a
+    visible character, no id reaches over a border, and the bytes of the ids say where each ends.
+    """
+    if len(known) > REMEMBERED:
+        known.clear()
+    found: set[str] = set()
+    for text in texts:
+        found.update(text.split(" "))
+    new = [p for p in found.difference(known) if p and not p[0].isspace() and not p[-1].isspace()]
+    if not new:
+        return
+    ids = np.array(encoder.encode_ordinary(" " + " ".join(new)), np.uint16)
+    ends = np.cumsum([len(p.encode()) + 1 for p in new])
+    cuts = (2 * np.searchsorted(np.cumsum(widths[ids]), ends) + 2).tolist()
+    data = ids.tobytes()
+    known.update(zip(new, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+
+
+def _encoded(path: str, pattern: str, texts: list[str]) -> Iterator[bytes]:
+    """The ids of each text."""
+    encoder, known, widths = byte_encoder(path, pattern)
+    learn_pieces(encoder, known, widths, texts)
+    return (encode_text(encoder, known, text) for text in texts)
+
+
+def _ids(encoder, piece: str) -> bytes:
+    return array("H", encoder.encode_ordinary(piece)).tobytes()
 
 
 def feistel(index: np.ndarray, size: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -92,13 +136,12 @@ def sequences(
     """Rows (doc_id, seq, n_tokens, ids): whole texts with a closing id, cut into ``length`` ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, known = byte_encoder(ranks_path, pattern)
         for batch in batches:
             for at in range(0, len(batch), 128):
                 part = batch.slice(at, 128)
                 rows, seqs, sizes, ids = [], [], [], []
-                for row, text in enumerate(text_column(part.column(1)).to_pylist()):
-                    data = encode_text(encoder, known, text) + np.uint16(END_ID).tobytes()
+                for row, data in enumerate(_encoded(ranks_path, pattern, text_column(part.column(1)).to_pylist())):
+                    data += np.uint16(END_ID).tobytes()
                     for seq, start in enumerate(range(0, len(data), 2 * length)):
                         piece = data[start : start + 2 * length]
                         rows.append(row)
@@ -118,18 +161,56 @@ def sequences(
     return documents_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, seq int, n_tokens int, ids binary")
 
 
+def _sizes(path: str, pattern: str, length: int):
+    """(doc_id, n): the number of sequences of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [len(b) // 2 // length + 1 for b in _encoded(path, pattern, text_column(batch.column(1)).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "n"])
+
+    return run
+
+
+def _record(doc_id: int | None, seq: int, ids: bytes, length: int) -> bytes:
+    pad = struct.pack("<H", END_ID) * (length - len(ids) // 2)
+    return struct.pack("<qii", -1 if doc_id is None else doc_id, seq, len(ids) // 2) + ids + pad
+
+
+def _dealt(places: list[int], records: list[bytes], size: int, key: int) -> pa.RecordBatch:
+    slots = feistel(np.array(places, np.int64), size, key) if size else np.zeros(0, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(records, pa.binary())], names=["slot", "record"])
+
+
+def _records(path: str, pattern: str, size: int, key: int, length: int):
+    """(slot, record) of the sequences of texts (doc_id, text, start, n) that begin at ``start``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = struct.pack("<H", END_ID)
+        for batch in batches:
+            for at in range(0, len(batch), 128):
+                part = batch.slice(at, 128)
+                ids, starts, sizes = (part.column(k).to_pylist() for k in (0, 2, 3))
+                texts = _encoded(path, pattern, text_column(part.column(1)).to_pylist())
+                places, records = [], []
+                for doc_id, data, start, n in zip(ids, texts, starts, sizes):
+                    data += end
+                    if -(-len(data) // (2 * length)) != n:
+                        raise ValueError(f"the text of document {doc_id} is another one than at the first reading")
+                    places.extend(range(start, start + n))
+                    records.extend(_record(doc_id, k, data[2 * length * k : 2 * length * (k + 1)], length) for k in range(n))
+                yield _dealt(places, records, size, key)
+
+    return run
+
+
 def _slots(size: int, key: int, length: int):
-    pad = np.uint16(END_ID).tobytes()
+    """(slot, record) of sequences (doc_id, seq, ids, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = feistel(batch.column(4).to_numpy(), size, key) if size else np.zeros(0, np.int64)
-            ids, seqs, sizes = (batch.column(k).to_pylist() for k in (0, 1, 2))
-            records = [
-                np.int64(-1 if i is None else i).tobytes() + np.int32(s).tobytes() + np.int32(n).tobytes() + b + pad * (length - n)
-                for i, s, n, b in zip(ids, seqs, sizes, batch.column(3).to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(records, pa.binary())], names=["slot", "record"])
+            ids, seqs, data, places = (batch.column(k).to_pylist() for k in range(4))
+            yield _dealt(places, [_record(i, s, b, length) for i, s, b in zip(ids, seqs, data)], size, key)
 
     return run
 
@@ -154,16 +235,33 @@ def write_shards(
 
     Sequences are numbered by doc_id, so the order depends on the key and the data alone. Null
     and empty texts have one sequence with the closing id only. A null id is written as -1.
+    ``docs`` is read and encoded twice, once for the number of sequences of each text and once for
+    the ids, so ids are on disk only in one shuffle and in the shards; both readings must give
+    the same texts, else the job fails.
     Rows that repeat an id are all written, in the order of their ids' bytes. No rows write
     no shard.
     """
     spark = docs.sparkSession
-    rows = stored(sequences(docs, ranks_path, pattern, length, id_col, text_col), "sequences")
-    total = rows.count()
-    numbered = _number(rows)
-    placed = numbered.select("doc_id", "seq", "n_tokens", "ids", "place").mapInArrow(
-        _slots(total, key, length), "slot long, record binary"
+    texts = documents_of(docs, id_col, text_col)
+    sizes = texts.mapInArrow(_sizes(ranks_path, pattern, length), "doc_id long, n long")
+    starts = _starts(sizes)
+    total = starts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    repeated = not starts.filter("copies > 1").isEmpty()
+    shared = bounded_broadcast(starts, 1_000_000)
+    found = texts.join(shared, texts["doc_id"].eqNullSafe(shared["id"])).select("doc_id", "text", "start", "n", "copies")
+    slotted = "slot long, record binary"
+    single = found.filter("copies = 1") if repeated else found
+    placed = single.select("doc_id", "text", "start", "n").mapInArrow(
+        _records(ranks_path, pattern, total, key, length), slotted
     )
+    if repeated:
+        # Rows that repeat an id are told apart by the rank of their sequences.
+        rows = sequences(found.filter("copies > 1").select("doc_id", "text"), ranks_path, pattern, length)
+        rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq", "ids")) - 1
+        several = bounded_broadcast(starts.filter("copies > 1").select("id", "start"), 1_000_000)
+        ranked = rows.withColumn("rank", rank).join(several, rows["doc_id"].eqNullSafe(several["id"]))
+        ranked = ranked.select("doc_id", "seq", "ids", (F.col("start") + F.col("rank")).alias("place"))
+        placed = placed.unionByName(ranked.mapInArrow(_slots(total, key, length), slotted))
     shards = max(1, -(-total // shard))
     parts = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 64))
     (
@@ -178,42 +276,26 @@ def write_shards(
     return total
 
 
-def _number(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``place``: 0, 1, 2 ... by doc_id and sequence.
+def _starts(sizes: DataFrame) -> DataFrame:
+    """(id, start, n, copies) of every id: its first place by doc_id, its sequences, its rows.
 
     Only the number of sequences of each id is sorted. Within tasks of that sort the numbers
     are running sums; what the tasks before hold is added from one row per task.
     """
-    counts = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    # Written before the sort, which samples its input: no text is encoded for the sample.
+    counts = stored(sizes.groupBy("doc_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("copies")), "sequence-counts")
     ranged = stored(
-        counts.repartitionByRange(F.col("doc_id").asc_nulls_last())
-        .withColumn("part", F.spark_partition_id()),
-        "sequence-counts",
+        counts.repartitionByRange(F.col("doc_id").asc_nulls_last()).withColumn("part", F.spark_partition_id()),
+        "sorted-counts",
     )
     order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_last())
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     parts = ranged.groupBy("part").agg(F.sum("n").alias("rows"))
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("rows").over(ahead), F.lit(0)).alias("ahead"))
-    starts = ranged.join(F.broadcast(offsets), "part").select(
-        F.col("doc_id").alias("id"), (F.col("ahead") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("start"), "n"
-    )
-    starts = bounded_broadcast(stored(starts, "sequence-starts"), 1_000_000)
-    joined = rows.join(starts, rows["doc_id"].eqNullSafe(starts["id"]))
-    # An id with one row per sequence needs no more; rows that repeat an id are told apart by rank.
-    twins = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("top")).filter("n > top + 1")
-    twins = stored(twins.select(F.col("doc_id").alias("twin_id")), "repeated-ids")
-    columns = ["doc_id", "seq", "n_tokens", "ids"]
-    plain = (F.col("start") + F.col("seq")).alias("place")
-    if twins.isEmpty():
-        return joined.select(*columns, plain)
-    twins = bounded_broadcast(twins)
-    single = joined.join(twins, joined["doc_id"].eqNullSafe(twins["twin_id"]), "left_anti")
-    several = joined.join(twins, joined["doc_id"].eqNullSafe(twins["twin_id"]), "left_semi")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq", "ids")) - 1
-    return single.select(*columns, plain).unionByName(
-        several.select(*columns, (F.col("start") + rank).alias("place"))
-    )
+    start = F.col("ahead") + F.coalesce(F.sum("n").over(before), F.lit(0))
+    starts = ranged.join(F.broadcast(offsets), "part").select(F.col("doc_id").alias("id"), start.alias("start"), "n", "copies")
+    return stored(starts, "sequence-starts")
 
 
 def stride(length: int = LENGTH) -> int:

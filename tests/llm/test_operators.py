@@ -5,6 +5,7 @@ import math
 import random
 import types
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -252,6 +253,26 @@ def test_feistel_is_a_permutation(size):
     assert size < 17 or slots.tolist() != token_shards.feistel(np.arange(size), size, 54321).tolist()
 
 
+def test_encode_text_remembers_no_blank_at_the_end_of_a_piece():
+    encoder = token_shards.byte_encoder(RANKS, PATTERN)[0]
+    known, widths = {}, token_shards.byte_encoder(RANKS, PATTERN)[2]
+    texts = ["a b\n", "a b\n c", "a b c", " a", "a  b", "", " ", "a ", "b\t c  d\n\n e", "x\u00a0 y z", "a b\n c", "c b a c", "a b  c"]
+    texts += ["I'd say thhe, \u00e9t\u00e9s. 12345 \u4e2d\u6587 it's \U0001f600! don't", "x y, z. x; \u2028 y"]
+    for k, text in enumerate(texts * 3):
+        if k >= len(texts):
+            token_shards.learn_pieces(encoder, known, widths, texts)
+        assert np.frombuffer(token_shards.encode_text(encoder, known, text), np.uint16).tolist() == encoder.encode_ordinary(text)
+
+
+def test_shards_keep_no_second_copy_of_the_ids(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i * 400 + j}" for j in range(400))) for i in range(100)]
+    docs, out = spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "shards")
+    held = lambda: sum(p.stat().st_size for p in Path(spark.conf.get("spark.checkpoint.dir")).rglob("*.parquet"))
+    before = held()
+    total = token_shards.write_shards(docs, out, RANKS, PATTERN, length=64, shard=500)
+    assert held() - before < total * 64 * 2 / 5
+
+
 def test_shards_round_trip(spark, tmp_path):
     docs, out = awkward(spark), str(tmp_path / "shards")
     total = token_shards.write_shards(docs, out, RANKS, PATTERN, key=7, length=64, shard=50)
