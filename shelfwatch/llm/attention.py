@@ -52,21 +52,21 @@ def unpack(vector: np.ndarray, inputs: int, classes: int) -> dict[str, np.ndarra
     return out
 
 
-def _logits(w: dict[str, np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, dict]:
-    """Class logits, a row per position, and what the backward step needs. All but the attention
-    itself is a product of two matrices."""
-    n = tokens.size
+def _logits(w: dict[str, np.ndarray], tokens: np.ndarray, first: int = 0) -> tuple[np.ndarray, dict]:
+    """Class logits, a row per position from ``first`` on, and what the backward step needs. All but
+    the attention itself is a product of two matrices."""
+    n, m = tokens.size, tokens.size // SPAN * (SPAN - first)
     x = (w["embed"][tokens] + w["place"]).reshape(n, SIZE)
     qkv = (x @ np.concatenate([w["q"], w["k"], w["v"]], axis=1)).reshape(-1, SPAN, 3 * SIZE)
-    q, k, v = qkv[..., :SIZE], qkv[..., SIZE : 2 * SIZE], qkv[..., 2 * SIZE :]
+    q, k, v = qkv[:, first:, :SIZE], qkv[..., SIZE : 2 * SIZE], qkv[..., 2 * SIZE :]
     near = (q * np.float32(SIZE**-0.5)) @ k.transpose(0, 2, 1)
     np.minimum(near, 60, out=near)
     np.exp(near, out=near)
-    near *= _SEEN
+    near *= _SEEN[first:]
     # Sums as products with ones: faster than numpy's reductions over short rows.
-    mass = (near.reshape(n, SPAN) @ np.ones(SPAN, np.float32)).reshape(-1, SPAN, 1)
-    seen = ((near @ v) / mass).reshape(n, SIZE)
-    h = x + seen @ w["mixed"]
+    mass = (near.reshape(m, SPAN) @ np.ones(SPAN, np.float32)).reshape(-1, SPAN - first, 1)
+    seen = ((near @ v) / mass).reshape(m, SIZE)
+    h = x.reshape(-1, SPAN, SIZE)[:, first:].reshape(m, SIZE) + seen @ w["mixed"]
     hidden = h @ w["up"]
     hidden += w["up_bias"]
     np.maximum(hidden, 0, out=hidden)
@@ -77,9 +77,9 @@ def _logits(w: dict[str, np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, d
     return logits, {"x": x, "q": q, "k": k, "v": v, "near": near, "mass": mass, "seen": seen, "h": h, "hidden": hidden, "y": y}
 
 
-def class_log10(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """log10 probability of each target class, window by window."""
-    logits, _ = _logits(w, tokens)
+def class_log10(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray, first: int = 0) -> np.ndarray:
+    """log10 probability of each target class, window by window; places before ``first`` are context only and have no targets."""
+    logits, _ = _logits(w, tokens, first)
     own = logits[np.arange(len(logits)), targets.ravel()]
     np.exp(logits, out=logits)
     return ((own - np.log(logits @ np.ones(logits.shape[1], np.float32))) / np.log(10)).reshape(targets.shape)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .attention import SPAN, Adam, class_log10, start_weights, unpack, windows
+from .attention import OVERLAP, SPAN, Adam, class_log10, start_weights, unpack, windows
 from .common import Words, bounded_broadcast, documents_of, mix, slices, stored, text_column, wide_batches
 from .token_shards import byte_encoder
 
@@ -293,10 +293,14 @@ def _scored(shared):
                 sizes = np.bincount(of[word], minlength=words.docs)
                 tokens, targets, scored, at = model.batches(ids, sizes)
                 log10 = model.within[ids]
-                for a in range(0, len(tokens), AT_ONCE):
-                    b = a + AT_ONCE
-                    part = class_log10(weights, tokens[a:b], targets[a:b])
-                    log10[at[a:b][scored[a:b]]] += part[scored[a:b]]
+                # Nothing is predicted at places that are context only.
+                later = ~scored[:, :OVERLAP].any(axis=1)
+                for chosen, first in ((np.flatnonzero(~later), 0), (np.flatnonzero(later), OVERLAP)):
+                    size = AT_ONCE * SPAN // (SPAN - first)
+                    for a in range(0, len(chosen), size):
+                        some = chosen[a : a + size]
+                        own = scored[some, first:]
+                        log10[at[some, first:][own]] += class_log10(weights, tokens[some], targets[some, first:], first)[own]
                 # Below 1e-300 a word's probability would leave the range of a double.
                 by_word = np.maximum(np.bincount(word, log10, len(keys)), -300.0)
                 found = np.minimum(np.searchsorted(model.keys, keys), max(0, len(model.keys) - 1))
@@ -333,6 +337,30 @@ def _joined_gain(n: Column, smooth: float, network: Column, weight: float) -> Co
     return F.log10((1 - weight) * (n + 1.0) / smooth + spelled) - F.log10((1 - weight) / smooth + spelled)
 
 
+def _joined_counts(scored: DataFrame, rare: DataFrame, smooth: float) -> DataFrame:
+    """What the counts of joined words add to the scores of each row: (row, more, more_mixed, more_left_out, known).
+
+    A word goes to its row as its count and one probability. The sums, two for each weight of the ladder,
+    are formed there: formed before, they would be as many as the words, and ten times as wide.
+    """
+    n, network = F.col("n"), F.col("network")
+    ladder = [10.0**p for p in LADDER]
+    return (
+        scored.select("row", F.explode(F.arrays_zip("rare", "rare_network")).alias("w"))
+        .select("row", F.col("w.rare").alias("key"), F.col("w.rare_network").alias("network"))
+        .join(rare, "key")
+        .select("row", "n", "network")
+        .repartition("row")
+        .groupBy("row")
+        .agg(
+            F.sum(F.log10(n + 1.0)).alias("more"),
+            F.array(*[F.sum(_joined_gain(n, smooth, network, w)) for w in ladder]).alias("more_mixed"),
+            F.array(*[F.sum(_joined_gain(n - 1, max(1.0, smooth - 1), network, w)) for w in ladder]).alias("more_left_out"),
+            F.count(F.lit(1)).alias("known"),
+        )
+    )
+
+
 def score_documents(
     docs: DataFrame, ranks_path: str, pattern: str, dictionary: int = DICTIONARY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -372,20 +400,8 @@ def score_documents(
     schema += ", mixed array<double>, left_out array<double>, rare array<long>, rare_network array<double>"
     scored = stored(texts.mapInArrow(_scored(shared), schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.filter(F.col("n") < least).select("key", "n")
-    n, network = F.col("n"), F.col("network")
-    ladder = [10.0**p for p in LADDER]
-    extra = (
-        scored.select("row", F.explode(F.arrays_zip("rare", "rare_network")).alias("w"))
-        .select("row", F.col("w.rare").alias("key"), F.col("w.rare_network").alias("network"))
-        .join(rare, "key")
-        .groupBy("row")
-        .agg(
-            F.sum(F.log10(n + 1.0)).alias("more"),
-            F.array(*[F.sum(_joined_gain(n, model.smooth, network, w)) for w in ladder]).alias("more_mixed"),
-            F.array(*[F.sum(_joined_gain(n - 1, max(1.0, model.smooth - 1), network, w)) for w in ladder]).alias("more_left_out"),
-            F.count(F.lit(1)).alias("known"),
-        )
-    )
+    extra = _joined_counts(scored, rare, model.smooth)
+    ladder = LADDER
     none = F.array(*[F.lit(0.0) for _ in ladder])
     joined = scored.drop("rare", "rare_network").join(extra, "row", "left").withColumns(
         {

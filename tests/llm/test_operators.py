@@ -339,6 +339,39 @@ def test_sketches_merge_and_contain(spark):
 # language model
 
 
+def test_context_places_need_no_prediction():
+    rng = np.random.default_rng(5)
+    w = attention.unpack(attention.start_weights(7, 5), 7, 5)
+    tokens, targets = rng.integers(0, 7, (6, attention.SPAN)), rng.integers(0, 5, (6, attention.SPAN))
+    whole = attention.class_log10(w, tokens, targets)
+    part = attention.class_log10(w, tokens, targets[:, attention.OVERLAP :], attention.OVERLAP)
+    assert np.allclose(part, whole[:, attention.OVERLAP :], atol=1e-5)
+
+
+def test_joined_words_are_summed_at_their_row_only(spark):
+    rng = np.random.default_rng(6)
+    keys = rng.integers(0, 40, (20, 15))
+    networks = -rng.random((20, 15)) * 9
+    scored = spark.createDataFrame(
+        [(r, k.tolist(), v.tolist()) for r, (k, v) in enumerate(zip(keys, networks))], "row long, rare array<long>, rare_network array<double>"
+    )
+    rare = spark.createDataFrame([(k, k + 1) for k in range(30)], "key long, n long")
+    found = lm_scores._joined_counts(scored, rare, 1000.0)
+    # No sums cross the shuffle between the words and their rows.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" not in plan.split("Exchange hashpartitioning(row")[1]
+    got = {r["row"]: r for r in found.collect()}
+    for r in range(20):
+        own = keys[r] < 30
+        n, v = keys[r][own] + 1.0, networks[r][own]
+        assert got[r]["known"] == own.sum() and math.isclose(got[r]["more"], np.log10(n + 1).sum())
+        for k, power in enumerate(lm_scores.LADDER):
+            w = 10.0**power
+            gain = lambda c, s: lm_scores._mixed_log10(c, s, v, w) - lm_scores._mixed_log10(0 * c, s, v, w)
+            assert math.isclose(got[r]["more_mixed"][k], gain(n, 1000.0).sum(), rel_tol=1e-9)
+            assert math.isclose(got[r]["more_left_out"][k], gain(n - 1, 999.0).sum(), rel_tol=1e-9, abs_tol=1e-12)
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(0)
     v = attention.start_weights(7, 5).astype(np.float64)
