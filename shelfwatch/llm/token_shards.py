@@ -25,6 +25,8 @@ LENGTH, SHARD, HEADER = 512, 4_096, 16
 END_ID = 50_256
 ROUNDS = 4
 REMEMBERED = 800_000
+#: Characters of the texts whose new pieces are encoded in one call.
+TOGETHER = 1 << 19
 
 _encoders: dict[tuple[str, str], tuple] = {}
 
@@ -43,13 +45,13 @@ def byte_encoder(path: str, pattern: str):
     return _encoders[path, pattern]
 
 
-def encode_text(encoder, known: dict[str, bytes], text: str) -> bytes:
-    """The ids of a whole text as 16-bit words.
+def encode_text(encoder, known: dict[str, bytes], parts: list[str]) -> bytes:
+    """The ids of a whole text, cut at its spaces, as 16-bit words.
 
     A space between two visible characters always begins a piece of these byte-level
     vocabularies, so pieces are encoded once and remembered, by what follows their space.
     """
-    first, *rest = text.split(" ")
+    first, rest = parts[0], parts[1:]
     # Pieces that begin or end with a blank are never remembered: such texts come to the long way.
     if first and not first[-1].isspace():
         try:
@@ -77,7 +79,7 @@ def encode_text(encoder, known: dict[str, bytes], text: str) -> bytes:
     return b"".join(out)
 
 
-def learn_pieces(encoder, known: dict[str, bytes], widths: np.ndarray, texts: list[str]) -> None:
+def learn_pieces(encoder, known: dict[str, bytes], widths: np.ndarray, texts: list[list[str]]) -> None:
     """Remembers the pieces of texts that are not known yet.
 
     All are encoded in one call, one after the other: as each begins with a space before a
@@ -86,8 +88,8 @@ def learn_pieces(encoder, known: dict[str, bytes], widths: np.ndarray, texts: li
     if len(known) > REMEMBERED:
         known.clear()
     found: set[str] = set()
-    for text in texts:
-        found.update(text.split(" "))
+    for parts in texts:
+        found.update(parts)
     new = [p for p in found.difference(known) if p and not p[0].isspace() and not p[-1].isspace()]
     if not new:
         return
@@ -99,10 +101,17 @@ def learn_pieces(encoder, known: dict[str, bytes], widths: np.ndarray, texts: li
 
 
 def _encoded(path: str, pattern: str, texts: list[str]) -> Iterator[bytes]:
-    """The ids of each text."""
+    """The ids of each text; texts of about a megabyte are cut and looked up together."""
     encoder, known, widths = byte_encoder(path, pattern)
-    learn_pieces(encoder, known, widths, texts)
-    return (encode_text(encoder, known, text) for text in texts)
+    held, size = [], 0
+    for k, text in enumerate(texts):
+        held.append(text.split(" "))
+        size += len(text)
+        if size >= TOGETHER or k == len(texts) - 1:
+            learn_pieces(encoder, known, widths, held)
+            for parts in held:
+                yield encode_text(encoder, known, parts)
+            held, size = [], 0
 
 
 def _ids(encoder, piece: str) -> bytes:
