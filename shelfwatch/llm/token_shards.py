@@ -25,33 +25,29 @@ LENGTH, SHARD, HEADER = 512, 4_096, 16
 END_ID = 50_256
 ROUNDS = 4
 REMEMBERED = 800_000
-#: Characters of the texts whose new pieces are encoded in one call.
-TOGETHER = 1 << 19
 
 _encoders: dict[tuple[str, str], tuple] = {}
 
 
 def byte_encoder(path: str, pattern: str):
-    """The encoder of a rank file, the ids of pieces already encoded, the bytes of each id; one per worker."""
+    """The encoder of a rank file, and the ids of pieces already encoded; one per worker."""
     if (path, pattern) not in _encoders:
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         encoder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        widths = np.zeros(max(ranks.values()) + 1, np.int64)
-        widths[list(ranks.values())] = list(map(len, ranks))
-        _encoders[path, pattern] = (encoder, {}, widths)
+        _encoders[path, pattern] = (encoder, {})
     return _encoders[path, pattern]
 
 
-def encode_text(encoder, known: dict[str, bytes], parts: list[str]) -> bytes:
-    """The ids of a whole text, cut at its spaces, as 16-bit words.
+def encode_text(encoder, known: dict[str, bytes], text: str) -> bytes:
+    """The ids of a whole text as 16-bit words.
 
     A space between two visible characters always begins a piece of these byte-level
     vocabularies, so pieces are encoded once and remembered, by what follows their space.
     """
-    first, rest = parts[0], parts[1:]
+    first, *rest = text.split(" ")
     # Pieces that begin or end with a blank are never remembered: such texts come to the long way.
     if first and not first[-1].isspace():
         try:
@@ -79,39 +75,10 @@ def encode_text(encoder, known: dict[str, bytes], parts: list[str]) -> bytes:
     return b"".join(out)
 
 
-def learn_pieces(encoder, known: dict[str, bytes], widths: np.ndarray, texts: list[list[str]]) -> None:
-    """Remembers the pieces of texts that are not known yet.
-
-    All are encoded in one call, one after the other: as each begins with a space before a
-    visible character, no id reaches over a border, and the bytes of the ids say where each ends.
-    """
-    if len(known) > REMEMBERED:
-        known.clear()
-    found: set[str] = set()
-    for parts in texts:
-        found.update(parts)
-    new = [p for p in found.difference(known) if p and not p[0].isspace() and not p[-1].isspace()]
-    if not new:
-        return
-    ids = np.array(encoder.encode_ordinary(" " + " ".join(new)), np.uint16)
-    ends = np.cumsum([len(p.encode()) + 1 for p in new])
-    cuts = (2 * np.searchsorted(np.cumsum(widths[ids]), ends) + 2).tolist()
-    data = ids.tobytes()
-    known.update(zip(new, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
-
-
 def _encoded(path: str, pattern: str, texts: list[str]) -> Iterator[bytes]:
-    """The ids of each text; texts of about a megabyte are cut and looked up together."""
-    encoder, known, widths = byte_encoder(path, pattern)
-    held, size = [], 0
-    for k, text in enumerate(texts):
-        held.append(text.split(" "))
-        size += len(text)
-        if size >= TOGETHER or k == len(texts) - 1:
-            learn_pieces(encoder, known, widths, held)
-            for parts in held:
-                yield encode_text(encoder, known, parts)
-            held, size = [], 0
+    """The ids of each text."""
+    encoder, known = byte_encoder(path, pattern)
+    return (encode_text(encoder, known, text) for text in texts)
 
 
 def _ids(encoder, piece: str) -> bytes:

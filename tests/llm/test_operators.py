@@ -255,13 +255,11 @@ def test_feistel_is_a_permutation(size):
 
 def test_encode_text_remembers_no_blank_at_the_end_of_a_piece():
     encoder = token_shards.byte_encoder(RANKS, PATTERN)[0]
-    known, widths = {}, token_shards.byte_encoder(RANKS, PATTERN)[2]
+    known = {}
     texts = ["a b\n", "a b\n c", "a b c", " a", "a  b", "", " ", "a ", "b\t c  d\n\n e", "x\u00a0 y z", "a b\n c", "c b a c", "a b  c"]
     texts += ["I'd say thhe, \u00e9t\u00e9s. 12345 \u4e2d\u6587 it's \U0001f600! don't", "x y, z. x; \u2028 y"]
-    for k, text in enumerate(texts * 3):
-        if k >= len(texts):
-            token_shards.learn_pieces(encoder, known, widths, [t.split(" ") for t in texts])
-        assert np.frombuffer(token_shards.encode_text(encoder, known, text.split(" ")), np.uint16).tolist() == encoder.encode_ordinary(text)
+    for text in texts * 2:
+        assert np.frombuffer(token_shards.encode_text(encoder, known, text), np.uint16).tolist() == encoder.encode_ordinary(text)
 
 
 def test_shards_keep_no_second_copy_of_the_ids(spark, tmp_path):
