@@ -22,6 +22,8 @@ from ..session import scratch_path
 SLICE_BYTES = 512 << 10
 #: Rows of texts that go to a Python worker at once.
 TEXT_ROWS = 512
+#: Bytes and rows of texts that are put together where words are looked up once for all of them.
+CHUNK_BYTES, CHUNK_ROWS = 16 << 20, 16_384
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of ids that may be broadcast: 32 MB of longs.
 BROADCAST_ROWS = 4_000_000
@@ -130,6 +132,40 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
+def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in the same order, in batches of about ``CHUNK_BYTES`` of the text column; a longer text is alone."""
+
+    def together(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        at, done = 0, 0
+        while at < len(batch):
+            end = int(np.searchsorted(ends, done + CHUNK_BYTES - size, side="right"))
+            end = min(max(end, at if held else at + 1), at + CHUNK_ROWS - rows)
+            if end > at:
+                held.append(batch.slice(at, end - at))
+                size, rows, done, at = size + int(ends[end - 1]) - done, rows + end - at, int(ends[end - 1]), end
+            if at < len(batch):
+                yield together(held)
+                held, size, rows = [], 0, 0
+    if held:
+        yield together(held)
+
+
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets into them) of a column with 64-bit offsets and no nulls."""
+    n = len(texts)
+    if not n:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+    buffer = texts.buffers()[2]
+    data = np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 class Words:
     """The words of a slice of documents: where they are, whose they are, their hashes."""
 

@@ -18,26 +18,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, documents_of, mix, stored, text_column
+from .common import bounded_broadcast, bytes_of, chunks, documents_of, mix, stored, text_column
 
 #: Tokens of a sequence, sequences of a shard, bytes before the tokens of a record.
 LENGTH, SHARD, HEADER = 512, 4_096, 16
 END_ID = 50_256
 ROUNDS = 4
-REMEMBERED = 800_000
+#: Pieces, and bytes of pieces, whose ids a worker keeps.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64 << 20
 
 _encoders: dict[tuple[str, str], tuple] = {}
+#: First bytes of the characters of three bytes among which there are blanks.
+_BLANK_LEADS = np.zeros(256, bool)
+_BLANK_LEADS[[0xE1, 0xE2, 0xE3]] = True
 
 
 def byte_encoder(path: str, pattern: str):
-    """The encoder of a rank file, and the ids of pieces already encoded; one per worker."""
+    """The encoder of a rank file, the ids of pieces already encoded and the bytes of each id; one per worker."""
     if (path, pattern) not in _encoders:
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         encoder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        _encoders[path, pattern] = (encoder, {})
+        sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        sizes[list(ranks.values())] = list(map(len, ranks))
+        _encoders[path, pattern] = (encoder, {}, sizes)
     return _encoders[path, pattern]
 
 
@@ -75,10 +81,137 @@ def encode_text(encoder, known: dict[str, bytes], text: str) -> bytes:
     return b"".join(out)
 
 
-def _encoded(path: str, pattern: str, texts: list[str]) -> Iterator[bytes]:
-    """The ids of each text."""
-    encoder, known = byte_encoder(path, pattern)
-    return (encode_text(encoder, known, text) for text in texts)
+def _after_blank(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether a blank may end at each of ``ends``; some other characters count as blanks too."""
+    one, two, three = (data[np.maximum(ends - k, 0)] for k in (1, 2, 3))
+    return (one <= 0x20) | (one >= 0x80) & ((two == 0xC2) | _BLANK_LEADS[three])
+
+
+def cut_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(pieces of texts that can be encoded one by one, first piece of each text and the end).
+
+    A space between two visible characters always begins a piece of these byte-level
+    vocabularies. Spaces beside characters that may be blanks are not cut at.
+    """
+    data, offsets = bytes_of(texts)
+    inner = np.concatenate([data[1:], np.zeros(min(1, len(data)), np.uint8)])
+    at = np.flatnonzero((data == 0x20) & (inner > 0x20))
+    after = inner[at]
+    at = at[~_after_blank(data, at) & (after != 0xC2) & ~_BLANK_LEADS[after] & (at > 0)]
+    # What stands at a text's border follows from that text alone: its first byte begins a piece anyway.
+    begins = np.zeros(len(data) + 1, bool)
+    begins[at] = True
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    starts = np.flatnonzero(begins[:-1])
+    pieces = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)]
+    )
+    return pieces, np.searchsorted(starts, offsets)
+
+
+def encode_pieces(
+    path: str, pattern: str, pieces: pa.Array, errors: str = "strict"
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, first place in them, number of ids) of distinct pieces, most of them encoded in one call.
+
+    A piece that begins with a space is encoded alike behind any that ends with a visible character.
+    ``errors`` says what becomes of bytes that are not UTF-8, as in ``bytes.decode``.
+    """
+    encoder, known, id_bytes = byte_encoder(path, pattern)
+    data, offsets = bytes_of(pieces)
+    sizes = np.diff(offsets)
+    joint = sizes > 1
+    joint[joint] = data[offsets[:-1][joint]] == 0x20
+    joint[joint] &= ~_after_blank(data, offsets[1:][joint])
+    together, ends = bytes_of(pieces.filter(pa.array(joint)))
+    try:
+        text = together.tobytes().decode("utf-8")
+    except UnicodeDecodeError:
+        if errors == "strict":
+            raise
+        joint[:], text, ends = False, "", ends[:1]
+    ids = np.array(encoder.encode_ordinary(text), np.uint16)
+    id_ends = np.cumsum(id_bytes[ids])
+    last = np.searchsorted(id_ends, ends[1:])
+    if not np.array_equal(id_ends[last], ends[1:]):
+        raise ValueError("an id spans two pieces")
+    alone = np.flatnonzero(~joint)
+    if len(known) > REMEMBERED:
+        known.clear()
+    texts = (data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", errors) for i in alone)
+    own = [np.frombuffer(encode_text(encoder, known, t), np.uint16) for t in texts]
+    counts = np.zeros(len(pieces), np.int64)
+    counts[joint] = np.diff(last + 1, prepend=0)
+    counts[alone] = [len(o) for o in own]
+    starts = np.zeros(len(pieces), np.int64)
+    starts[joint] = np.cumsum(counts[joint]) - counts[joint]
+    starts[alone] = len(ids) + np.cumsum(counts[alone]) - counts[alone]
+    return np.concatenate([ids, *own]), starts, counts
+
+
+def laid_out(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The ids of pieces end to end, each given by its place in ``starts`` and ``counts``."""
+    n = counts[codes]
+    ends = np.cumsum(n)
+    return ids[np.repeat(starts[codes] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class PieceTable:
+    """Ids of the pieces seen so far, each encoded once; one per worker."""
+
+    def __init__(self, path: str, pattern: str):
+        self.vocabulary = path, pattern
+        self.clear()
+
+    def clear(self) -> None:
+        self.pieces = pa.array([], pa.large_binary())
+        self.ids, self.starts, self.counts = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def codes(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each piece in ``starts`` and ``counts``, until the next call."""
+        if len(self.pieces) > REMEMBERED or self.pieces.nbytes > REMEMBERED_BYTES:
+            self.clear()
+        have = len(self.pieces)
+        # The known pieces are distinct and come first, so they keep their places.
+        coded = pa.concat_arrays([self.pieces, pieces]).dictionary_encode()
+        self.pieces = coded.dictionary
+        ids, starts, counts = self.encode(self.pieces.slice(have))
+        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+        return coded.indices.to_numpy()[have:]
+
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return encode_pieces(*self.vocabulary, pieces)
+
+
+_tables: dict[tuple[str, str], PieceTable] = {}
+
+
+def piece_table(path: str, pattern: str) -> PieceTable:
+    if (path, pattern) not in _tables:
+        _tables[path, pattern] = PieceTable(path, pattern)
+    return _tables[path, pattern]
+
+
+class EncodedTexts:
+    """Texts as pieces that are encoded once each: ids by piece, pieces by text."""
+
+    def __init__(self, path: str, pattern: str, texts: pa.Array):
+        table = piece_table(path, pattern)
+        pieces, self.first = cut_texts(texts)
+        self.codes = table.codes(pieces)
+        self.ids, self.starts, self.counts = table.ids, table.starts, table.counts
+
+    def sizes(self) -> np.ndarray:
+        """The number of ids of each text."""
+        return np.diff(np.concatenate([[0], np.cumsum(self.counts[self.codes])])[self.first])
+
+    def texts(self) -> Iterator[bytes]:
+        """The ids of each text as 16-bit words."""
+        flat = laid_out(self.ids, self.starts, self.counts, self.codes)
+        ends = np.cumsum(self.sizes())
+        return (flat[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends))
 
 
 def _ids(encoder, piece: str) -> bytes:
@@ -112,27 +245,25 @@ def sequences(
     """Rows (doc_id, seq, n_tokens, ids): whole texts with a closing id, cut into ``length`` ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.slice(at, 128)
-                rows, seqs, sizes, ids = [], [], [], []
-                for row, data in enumerate(_encoded(ranks_path, pattern, text_column(part.column(1)).to_pylist())):
-                    data += np.uint16(END_ID).tobytes()
-                    for seq, start in enumerate(range(0, len(data), 2 * length)):
-                        piece = data[start : start + 2 * length]
-                        rows.append(row)
-                        seqs.append(seq)
-                        sizes.append(len(piece) // 2)
-                        ids.append(piece)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(rows, pa.int64())),
-                        pa.array(seqs, pa.int32()),
-                        pa.array(sizes, pa.int32()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    names=["doc_id", "seq", "n_tokens", "ids"],
-                )
+        for part in chunks(batches, 1):
+            rows, seqs, sizes, ids = [], [], [], []
+            for row, data in enumerate(EncodedTexts(ranks_path, pattern, text_column(part.column(1))).texts()):
+                data += np.uint16(END_ID).tobytes()
+                for seq, start in enumerate(range(0, len(data), 2 * length)):
+                    piece = data[start : start + 2 * length]
+                    rows.append(row)
+                    seqs.append(seq)
+                    sizes.append(len(piece) // 2)
+                    ids.append(piece)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(pa.array(rows, pa.int64())),
+                    pa.array(seqs, pa.int32()),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(ids, pa.binary()),
+                ],
+                names=["doc_id", "seq", "n_tokens", "ids"],
+            )
 
     return documents_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, seq int, n_tokens int, ids binary")
 
@@ -141,9 +272,9 @@ def _sizes(path: str, pattern: str, length: int):
     """(doc_id, n): the number of sequences of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [len(b) // 2 // length + 1 for b in _encoded(path, pattern, text_column(batch.column(1)).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "n"])
+        for part in chunks(batches, 1):
+            n = EncodedTexts(path, pattern, text_column(part.column(1))).sizes() // length + 1
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64())], names=["doc_id", "n"])
 
     return run
 
@@ -163,18 +294,19 @@ def _records(path: str, pattern: str, size: int, key: int, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = struct.pack("<H", END_ID)
-        for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.slice(at, 128)
-                ids, starts, sizes = (part.column(k).to_pylist() for k in (0, 2, 3))
-                texts = _encoded(path, pattern, text_column(part.column(1)).to_pylist())
-                places, records = [], []
-                for doc_id, data, start, n in zip(ids, texts, starts, sizes):
-                    data += end
-                    if -(-len(data) // (2 * length)) != n:
-                        raise ValueError(f"the text of document {doc_id} is another one than at the first reading")
-                    places.extend(range(start, start + n))
-                    records.extend(_record(doc_id, k, data[2 * length * k : 2 * length * (k + 1)], length) for k in range(n))
+        for part in chunks(batches, 1):
+            ids, starts, sizes = (part.column(k).to_pylist() for k in (0, 2, 3))
+            places, records = [], []
+            for doc_id, data, start, n in zip(ids, EncodedTexts(path, pattern, text_column(part.column(1))).texts(), starts, sizes):
+                data += end
+                if -(-len(data) // (2 * length)) != n:
+                    raise ValueError(f"the text of document {doc_id} is another one than at the first reading")
+                places.extend(range(start, start + n))
+                records.extend(_record(doc_id, k, data[2 * length * k : 2 * length * (k + 1)], length) for k in range(n))
+                if len(places) > 512:
+                    yield _dealt(places, records, size, key)
+                    places, records = [], []
+            if places:
                 yield _dealt(places, records, size, key)
 
     return run

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import attention, fingerprints, lm_scores, mixing, near_dups, packing, quality, repeats
+from shelfwatch.llm import attention, common, fingerprints, lm_scores, mixing, near_dups, packing, quality, repeats
 from shelfwatch.llm import token_counts, token_shards, vector_search
 from shelfwatch.llm.common import Words, slices, text_column
 from shelfwatch.llm.queries import ORACLES, QUERIES
@@ -262,6 +262,52 @@ def test_encode_text_remembers_no_blank_at_the_end_of_a_piece():
         assert np.frombuffer(token_shards.encode_text(encoder, known, text), np.uint16).tolist() == encoder.encode_ordinary(text)
 
 
+def blank_texts(n, seed=3):
+    """Texts with blanks of all kinds beside visible characters of one to four bytes."""
+    rng = random.Random(seed)
+    parts = [" "] * 8 + ["a", "The", "\u00e9", "\u4e2d", "\u304b", "\U0001f600", "\u2014", "\u00ab", "'s", "1", "23", ".", "\x7f", "\u200b"]
+    parts += ["\n", "\t", "\r\n", "\x1c", "\x85", "\u00a0", "\u2009", "\u3000", "\u1680"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(n)] + ["", " ", None, "x" * 5000, " y"]
+
+
+@pytest.mark.parametrize("remembered", [10**6, 20])
+def test_texts_encoded_by_pieces_equal_the_library(monkeypatch, remembered):
+    monkeypatch.setattr(token_shards, "REMEMBERED", remembered)
+    monkeypatch.setattr(token_shards, "_tables", {})
+    encoder, some = token_shards.byte_encoder(RANKS, PATTERN)[0], blank_texts(3000)
+    for part in (some[:1000], some[1000:], [], [None]):
+        encoded = token_shards.EncodedTexts(RANKS, PATTERN, text_column(pa.array(part, pa.string())))
+        wanted = [encoder.encode_ordinary(t or "") for t in part]
+        assert [np.frombuffer(b, np.uint16).tolist() for b in encoded.texts()] == wanted
+        assert encoded.sizes().tolist() == [len(w) for w in wanted]
+
+
+def test_new_pieces_of_many_texts_are_encoded_together(monkeypatch):
+    encoder, calls = token_shards.byte_encoder(RANKS, PATTERN)[0], []
+    counting = types.SimpleNamespace(encode_ordinary=lambda t: calls.append(t) or encoder.encode_ordinary(t))
+    rest = token_shards.byte_encoder(RANKS, PATTERN)[2:]
+    monkeypatch.setattr(token_shards, "byte_encoder", lambda *_: (counting, {}, *rest))
+    monkeypatch.setattr(token_shards, "_tables", {}, raising=False)
+    some = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(some, pa.string())], names=["doc_id", "text"])
+    sizes = [r["n"] for out in token_shards._sizes(RANKS, PATTERN, 64)(iter([batch.slice(0, 7), batch.slice(7)])) for r in out.to_pylist()]
+    assert sizes == [len(encoder.encode_ordinary(t)) // 64 + 1 for t in some]
+    # One call for what follows a space in any text, one for the beginning of each.
+    assert len(calls) <= 21
+
+
+def test_chunks_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(common, "CHUNK_BYTES", 100)
+    monkeypatch.setattr(common, "CHUNK_ROWS", 9)
+    draw = random.Random(2)
+    some = [draw.choice([None, "", "a" * 500, "b" * draw.randrange(60)]) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(some, pa.string())], names=["doc_id", "text"])
+    parts = list(common.chunks(iter([batch.slice(a, 13) for a in range(0, 200, 13)]), 1))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict() and len(parts) < 150
+    for p in parts:
+        assert 0 < len(p) <= 9 and (len(p) == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 100)
+
+
 def test_shards_keep_no_second_copy_of_the_ids(spark, tmp_path):
     rows = [(i, " ".join(f"w{i * 400 + j}" for j in range(400))) for i in range(100)]
     docs, out = spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "shards")
