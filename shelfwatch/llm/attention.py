@@ -6,11 +6,17 @@ within its class is left to corpus counts. Windows are batched and masked.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 #: Positions of a window, positions that are context only, vector size, hidden size.
 SPAN, OVERLAP, SIZE, HIDDEN = 32, 16, 16, 32
 _SEEN = np.tril(np.ones((SPAN, SPAN), np.float32))
+#: Windows worked on at once: what they need stays in a core's cache.
+AT_ONCE = 64
+#: Sums of exponents below this hold no exponent above 60.
+_TOP = 1e26
 
 
 def shapes(inputs: int, classes: int) -> dict[str, tuple[int, ...]]:
@@ -52,21 +58,108 @@ def unpack(vector: np.ndarray, inputs: int, classes: int) -> dict[str, np.ndarra
     return out
 
 
-def _logits(w: dict[str, np.ndarray], tokens: np.ndarray, first: int = 0) -> tuple[np.ndarray, dict]:
-    """Class logits, a row per position from ``first`` on, and what the backward step needs. All but
-    the attention itself is a product of two matrices."""
-    n, m = tokens.size, tokens.size // SPAN * (SPAN - first)
+_rooms: dict[tuple, np.ndarray] = {}
+
+
+def _room(name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+    """Memory for one intermediate result, used again by the next call: new memory costs more than the arithmetic."""
+    size, held = math.prod(shape), _rooms.get((name, kind))
+    if held is None or len(held) < size:
+        held = _rooms[name, kind] = np.empty(size, kind)
+    return held[:size].reshape(shape)
+
+
+def _attended(q: np.ndarray, k: np.ndarray, v: np.ndarray, first: int) -> np.ndarray:
+    """The mean of the values seen, for positions from ``first`` on."""
+    kind = q.dtype
+    near = _room("near", (len(q), SPAN - first, SPAN), kind)
+
+    def fill(top: bool) -> np.ndarray:
+        np.matmul(q, k.transpose(0, 2, 1), out=near)
+        if top:
+            np.minimum(near, 60, out=near)
+        np.exp(near, out=near)
+        np.multiply(near, _SEEN[first:], out=near)
+        # Sums as products with ones: faster than numpy's reductions over short rows.
+        return (near.reshape(-1, SPAN) @ np.ones(SPAN, kind)).reshape(-1, SPAN - first, 1)
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        mass = fill(False)
+    if not mass.max(initial=0) < _TOP:
+        mass = fill(True)
+    seen = np.matmul(near, v, out=_room("seen", q.shape, kind))
+    seen /= mass
+    return seen
+
+
+def _odds(y: np.ndarray, out: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of the exponents of the class logits, logits of the targets); logits are held within 60 of 0."""
+    logits = np.matmul(y, out, out=_room("logits", (len(y), out.shape[1]), y.dtype))
+    ones = np.ones(out.shape[1], y.dtype)
+    own = np.clip(logits[np.arange(len(y)), targets.ravel()], -60, 60)
+    with np.errstate(over="ignore", invalid="ignore"):
+        np.exp(logits, out=logits)
+        mass = logits @ ones
+    # Between these sums no logit is above 60, and those below -60 do not count.
+    if not (mass.max(initial=1) < _TOP and mass.min(initial=1) > 1e-15):
+        mass = np.exp(np.clip(y @ out, -60, 60)) @ ones
+    return mass, own
+
+
+def prepared(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The weights, and what a token or a place adds to keys and values, and to its own vector and query."""
+    near = np.concatenate([w["k"], w["v"] @ w["mixed"]], axis=1)
+    own = np.concatenate([np.eye(SIZE, dtype=near.dtype), w["q"] * near.dtype.type(SIZE**-0.5)], axis=1)
+    tables = {f"{n}{place}": w[of] @ m for n, m in (("near", near), ("own", own)) for of, place in (("embed", ""), ("place", "_place"))}
+    # For rows that end with a one, which carries the biases.
+    none = np.zeros((HIDDEN, 1), w["down"].dtype)
+    return w | tables | {
+        "up_all": np.vstack([w["up"], w["up_bias"]]),
+        "down_all": np.hstack([w["down"], none]),
+        "out_all": np.vstack([w["out"], w["out_bias"]]),
+    }
+
+
+def class_log10(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray, first: int = 0) -> np.ndarray:
+    """log10 probability of each target class, window by window; places before ``first`` are context only and have no targets.
+
+    ``w`` are named weights; those that ``prepared`` gives save work where many windows are asked for.
+    """
+    if "near" not in w:
+        w = prepared(w)
+    n, kind = len(tokens), w["near"].dtype
+    near = np.take(w["near"], tokens, axis=0, out=_room("near-rows", (n, SPAN, 2 * SIZE), kind), mode="clip")
+    near += w["near_place"]
+    own = np.take(w["own"], tokens[:, first:], axis=0, out=_room("own-rows", (n, SPAN - first, 2 * SIZE), kind), mode="clip")
+    own += w["own_place"][first:]
+    seen = _attended(own[..., SIZE:], near[..., :SIZE], near[..., SIZE:], first)
+    h = _room("h", (n, SPAN - first, SIZE + 1), kind)
+    np.add(seen, own[..., :SIZE], out=h[..., :SIZE])
+    h[..., SIZE] = 1
+    h = h.reshape(-1, SIZE + 1)
+    hidden = np.matmul(h, w["up_all"], out=_room("hidden", (len(h), HIDDEN), kind))
+    np.maximum(hidden, 0, out=hidden)
+    y = np.matmul(hidden, w["down_all"], out=_room("y", h.shape, kind))
+    y += h
+    mass, logits = _odds(y, w["out_all"], targets)
+    return ((logits - np.log(mass)) / np.log(10)).reshape(targets.shape)
+
+
+def _logits(w: dict[str, np.ndarray], tokens: np.ndarray) -> tuple[np.ndarray, dict]:
+    """Class logits, a row per position, and what the backward step needs. All but the attention
+    itself is a product of two matrices."""
+    n = tokens.size
     x = (w["embed"][tokens] + w["place"]).reshape(n, SIZE)
     qkv = (x @ np.concatenate([w["q"], w["k"], w["v"]], axis=1)).reshape(-1, SPAN, 3 * SIZE)
-    q, k, v = qkv[:, first:, :SIZE], qkv[..., SIZE : 2 * SIZE], qkv[..., 2 * SIZE :]
+    q, k, v = qkv[..., :SIZE], qkv[..., SIZE : 2 * SIZE], qkv[..., 2 * SIZE :]
     near = (q * np.float32(SIZE**-0.5)) @ k.transpose(0, 2, 1)
     np.minimum(near, 60, out=near)
     np.exp(near, out=near)
-    near *= _SEEN[first:]
+    near *= _SEEN
     # Sums as products with ones: faster than numpy's reductions over short rows.
-    mass = (near.reshape(m, SPAN) @ np.ones(SPAN, np.float32)).reshape(-1, SPAN - first, 1)
-    seen = ((near @ v) / mass).reshape(m, SIZE)
-    h = x.reshape(-1, SPAN, SIZE)[:, first:].reshape(m, SIZE) + seen @ w["mixed"]
+    mass = (near.reshape(n, SPAN) @ np.ones(SPAN, np.float32)).reshape(-1, SPAN, 1)
+    seen = ((near @ v) / mass).reshape(n, SIZE)
+    h = x + seen @ w["mixed"]
     hidden = h @ w["up"]
     hidden += w["up_bias"]
     np.maximum(hidden, 0, out=hidden)
@@ -77,14 +170,6 @@ def _logits(w: dict[str, np.ndarray], tokens: np.ndarray, first: int = 0) -> tup
     return logits, {"x": x, "q": q, "k": k, "v": v, "near": near, "mass": mass, "seen": seen, "h": h, "hidden": hidden, "y": y}
 
 
-def class_log10(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray, first: int = 0) -> np.ndarray:
-    """log10 probability of each target class, window by window; places before ``first`` are context only and have no targets."""
-    logits, _ = _logits(w, tokens, first)
-    own = logits[np.arange(len(logits)), targets.ravel()]
-    np.exp(logits, out=logits)
-    return ((own - np.log(logits @ np.ones(logits.shape[1], np.float32))) / np.log(10)).reshape(targets.shape)
-
-
 def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, targets: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
     """Gradient of the mean cross-entropy over the counted positions."""
     d, s = _logits(w, tokens)

@@ -132,8 +132,9 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in the same order, in batches of about ``CHUNK_BYTES`` of the text column; a longer text is alone."""
+def chunks(batches: Iterator[pa.RecordBatch], column: int, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in the same order, in batches of at most ``limit`` bytes of the text column; a longer text is alone."""
+    limit = limit or CHUNK_BYTES
 
     def together(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
@@ -143,7 +144,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
         at, done = 0, 0
         while at < len(batch):
-            end = int(np.searchsorted(ends, done + CHUNK_BYTES - size, side="right"))
+            end = int(np.searchsorted(ends, done + limit - size, side="right"))
             end = min(max(end, at if held else at + 1), at + CHUNK_ROWS - rows)
             if end > at:
                 held.append(batch.slice(at, end - at))

@@ -16,12 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .attention import OVERLAP, SPAN, Adam, class_log10, start_weights, unpack, windows
-from .common import Words, bounded_broadcast, documents_of, mix, slices, stored, text_column, wide_batches
-from .token_shards import byte_encoder
+from .attention import AT_ONCE, OVERLAP, SPAN, Adam, class_log10, prepared, start_weights, unpack, windows
+from .common import bytes_of, chunks, documents_of, mix, range_hashes, stored, text_column, wide_batches
+from .token_shards import PieceTable, byte_encoder, encode_pieces, laid_out
 
 #: Words whose counts every task holds; rarer ones are joined.
 DICTIONARY = 300_000
@@ -31,56 +32,45 @@ INPUTS, SINGLE, CLASSES = 2_047, 40, 64
 TRAIN_ROUNDS, BATCH = 4, 256
 #: Weights of the network from which the training fold chooses one, as powers of ten.
 LADDER = tuple(-3 + 0.25 * k for k in range(12))
-#: Windows scored at once: what they need stays in a core's cache.
-AT_ONCE = 24
+#: Words that are worked on at once, words whose probabilities are multiplied before a logarithm is taken.
+GROUP_WORDS, TOGETHER = 65_536, 16
+#: Bytes of texts whose words are looked up at once, words whose subwords a worker keeps.
+TEXT_BYTES, REMEMBERED_WORDS = 4 << 20, 400_000
 END_ID = 50_256
 END_KEY = np.uint64(0x9AE16A3B2F90404F)
-_REMEMBERED = 600_000
 
 
-class SubwordTable:
-    """Subword ids of words, found by the word's hash; one per worker."""
-
-    def __init__(self, path: str, pattern: str):
-        self.encoder = byte_encoder(path, pattern)[0]
-        self.clear()
+class SubwordTable(PieceTable):
+    """Subword ids and keys of the words seen so far; the first place is the end's. One per worker."""
 
     def clear(self) -> None:
+        self.encoder = byte_encoder(*self.vocabulary)[0]
+        self.pieces = pa.array([b""], pa.large_binary())
         self.keys = np.array([END_KEY], np.uint64)
-        self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
-        self.ids = np.array([END_ID], np.uint16)
-
-    def learn(self, keys: np.ndarray, words: list[bytes]) -> None:
-        """Adds words; ``keys`` are sorted and new."""
-        found = [self.encoder.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
-        sizes = np.array([len(f) for f in found], np.int64)
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], np.uint16)])
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.starts, self.sizes = (
-            np.insert(old, at, new) for old, new in ((self.keys, keys), (self.starts, starts), (self.sizes, sizes))
-        )
-
-    def find(self, words: Words, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word keys with END_KEY after each document, each key's place in the table, documents)."""
-        if len(self.keys) > _REMEMBERED:
-            self.clear()
-        keys, first = np.unique(words.hashes, return_index=True)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        new = np.flatnonzero(self.keys[at] != keys)
-        if len(new):
-            raw = data.tobytes().lower()
-            self.learn(keys[new], [raw[words.starts[i] : words.ends[i]] for i in first[new]])
-        stream = np.insert(words.hashes, words.first[1:], END_KEY)
-        of = np.insert(words.doc, words.first[1:], np.arange(words.docs))
-        return stream, np.searchsorted(self.keys, stream), of
-
-    def subwords(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, index of each id's word) of words by their place in the table."""
-        sizes = self.sizes[places]
-        of = np.repeat(np.arange(len(places)), sizes)
-        within = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return self.ids[self.starts[places][of] + within].astype(np.int64), of
+        self.ids, self.starts, self.counts = np.array([END_ID], np.uint16), np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        data, offsets = bytes_of(pieces)
+        keys = range_hashes(data.astype(np.uint64) + np.uint64(1), offsets[:-1], offsets[1:])
+        self.keys = np.concatenate([self.keys, keys])
+        space, nothing = (pa.scalar(v, pa.large_binary()) for v in (b" ", b""))
+        return encode_pieces(*self.vocabulary, pc.binary_join_element_wise(space, pieces, nothing), "replace")
+
+
+def _word_codes(table: SubwordTable, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, end text, places of their words and ends in the table, number of those in each text), some texts at a time."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, begins = split.values, split.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(words), 0)
+    first = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[begins]
+    codes = table.codes(words.filter(real).cast(pa.large_binary()))
+    codes = np.insert(codes[first[0] : first[-1]], first[1:] - first[0], 0)
+    first = first - first[0] + np.arange(len(first))
+    row = 0
+    while row < len(texts):
+        end = max(row + 1, int(np.searchsorted(first, first[row] + GROUP_WORDS, side="right")) - 1)
+        yield row, end, codes[first[row] : first[end]], np.diff(first[row : end + 1])
+        row = end
 
 
 _tables: dict[tuple[str, str], SubwordTable] = {}
@@ -88,7 +78,7 @@ _tables: dict[tuple[str, str], SubwordTable] = {}
 
 def _table(path: str, pattern: str) -> SubwordTable:
     if (path, pattern) not in _tables:
-        _tables[path, pattern] = SubwordTable(path, pattern)
+        _tables[path, pattern] = SubwordTable(path, pattern, REMEMBERED_WORDS)
     return _tables[path, pattern]
 
 
@@ -97,40 +87,6 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _counts(path: str, pattern: str):
-    """Counts of words (kind 0) and subwords (kind 1) of a task's documents."""
-
-    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return keys, np.bincount(inverse, np.concatenate([p[1] for p in parts])).astype(np.int64)
-
-    def rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)],
-            names=["kind", "key", "n"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, parts, subwords = _table(path, pattern), [], np.zeros(END_ID + 1, np.int64)
-        for batch in batches:
-            for _, _, data, offsets in slices(text_column(batch.column(0))):
-                stream, places, _ = table.find(Words(data, offsets, lower=True), data)
-                keys, inverse = np.unique(places, return_inverse=True)
-                counts = np.bincount(inverse)
-                ids, of = table.subwords(keys)
-                subwords += np.bincount(ids, counts[of], END_ID + 1).astype(np.int64)
-                parts.append((table.keys[keys], counts.astype(np.int64)))
-            if sum(len(p[0]) for p in parts) > 2_000_000:
-                yield rows(0, *merged(parts))
-                parts = []
-        if parts:
-            yield rows(0, *merged(parts))
-        seen = np.flatnonzero(subwords)
-        yield rows(1, seen.astype(np.uint64), subwords[seen])
-
-    return run
-
-
 @dataclass
 class LanguageModel:
     """The network, what it knows of subwords, and the counts of frequent words."""
@@ -150,9 +106,9 @@ class LanguageModel:
     def batches(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(inputs, target classes, scored, places) of all windows; a sequence begins with the end id."""
         places, real, scored = windows(sizes)
-        tokens = self.input_of[_before(ids, sizes)[places]]
+        tokens = self.input_of[_before(ids, sizes)][places]
         tokens[~real] = self.input_of[END_ID]
-        return tokens, self.class_of[ids[places]], scored, places
+        return tokens, self.class_of[ids][places], scored, places
 
 
 def _before(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -182,31 +138,56 @@ def classes_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return inputs, of, np.log10(weight / mass[of])
 
 
+#: Rows of ``_windows``.
+_CUT = "round int, ids binary, kind int, key long, n long"
+
+
 def _windows(path: str, pattern: str):
-    """(round, ids) of all training windows: an id and the ``SPAN`` that follow it, fewer at a text's end, 16 bits each.
+    """(round, ids) of all training windows: an id and the ``SPAN`` that follow it, fewer at a text's end, 16 bits each;
+    and (kind, key, n): counts of words (kind 0) and subwords (kind 1) of a task's documents.
 
     Windows do not overlap, so every id is learned from once. A window's round follows from its ids.
     """
 
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return keys, np.bincount(inverse, np.concatenate([p[1] for p in parts])).astype(np.int64)
+
+    def counted(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        n = len(keys)
+        columns = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(np.full(n, kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["round", "ids", "kind", "key", "n"])
+
+    def cut(ids: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        at, real, _ = windows(sizes, 0)
+        rows = np.concatenate([_before(ids, sizes)[at[:, :1]], ids[at]], axis=1).astype(np.uint16)
+        kept = np.concatenate([np.ones((len(rows), 1), bool), real], axis=1)
+        rounds = mix((rows.astype(np.uint64) * kept) @ (np.arange(1, SPAN + 2, dtype=np.uint64) * np.uint64(0x9E3779B1)))
+        ends = np.concatenate([[0], np.cumsum(kept.sum(axis=1) * 2)]).astype(np.int32)
+        n = len(rows)
+        flat = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(rows[kept].tobytes())])
+        columns = [pa.array((rounds % np.uint64(TRAIN_ROUNDS)).astype(np.int32)), flat]
+        columns += [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["round", "ids", "kind", "key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(path, pattern)
-        for batch in batches:
-            for _, _, data, offsets in slices(text_column(batch.column(0))):
-                words = Words(data, offsets, lower=True)
-                _, places, of = table.find(words, data)
-                ids, word = table.subwords(places)
-                sizes = np.bincount(of[word], minlength=words.docs)
-                at, real, _ = windows(sizes, 0)
-                rows = np.concatenate([_before(ids, sizes)[at[:, :1]], ids[at]], axis=1).astype(np.uint16)
-                kept = np.concatenate([np.ones((len(rows), 1), bool), real], axis=1)
-                rounds = mix((rows.astype(np.uint64) * kept) @ (np.arange(1, SPAN + 2, dtype=np.uint64) * np.uint64(0x9E3779B1)))
-                ends = np.concatenate([[0], np.cumsum(kept.sum(axis=1) * 2)]).astype(np.int32)
-                flat = pa.BinaryArray.from_buffers(
-                    pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows[kept].tobytes())]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((rounds % np.uint64(TRAIN_ROUNDS)).astype(np.int32)), flat], names=["round", "ids"]
-                )
+        table, parts, subwords = _table(path, pattern), [], np.zeros(END_ID + 1, np.int64)
+        for batch in chunks(batches, 0, TEXT_BYTES):
+            counts = 0
+            for _, _, codes, words in _word_codes(table, text_column(batch.column(0))):
+                counts = counts + np.bincount(codes, minlength=len(table.keys))
+                ids = laid_out(table.ids, table.starts, table.counts, codes).astype(np.int64)
+                subwords += np.bincount(ids, minlength=END_ID + 1)
+                yield cut(ids, np.add.reduceat(table.counts[codes], np.cumsum(words) - words))
+            seen = np.flatnonzero(counts)
+            parts.append((table.keys[seen], counts[seen]))
+            if sum(len(p[0]) for p in parts) > 2_000_000:
+                yield counted(0, *merged(parts))
+                parts = []
+        if parts:
+            yield counted(0, *merged(parts))
+        seen = np.flatnonzero(subwords)
+        yield counted(1, seen.astype(np.uint64), subwords[seen])
 
     return run
 
@@ -241,14 +222,12 @@ def _trained(shared, part: int):
     return run
 
 
-def train(training: DataFrame, path: str, pattern: str, subword_counts: np.ndarray) -> LanguageModel:
-    """A model from all ``training`` texts (one text column): rounds of local steps and averages.
+def train(cut: DataFrame, path: str, pattern: str, subword_counts: np.ndarray) -> LanguageModel:
+    """A model from the windows (round, ids) of all training texts: rounds of local steps and averages.
 
-    Texts are cut into windows of ids once, which are written down; every window is learned from
-    once, in one of the rounds.
+    Every window is learned from once, in one of the rounds.
     """
-    spark = training.sparkSession
-    cut = stored(training.mapInArrow(_windows(path, pattern), "round int, ids binary"), "windows")
+    spark = cut.sparkSession
     inputs_of, class_of, within = classes_of(subword_counts)
     inputs = INPUTS + CLASSES
     model = LanguageModel(inputs_of, class_of, within, inputs, start_weights(inputs, CLASSES), path, pattern)
@@ -273,6 +252,27 @@ def _mixed_log10(counts: np.ndarray, smooth: float, network: np.ndarray, weight:
     return np.log10((1 - weight) * ((counts + 1.0) / smooth) + weight * 10.0**network)
 
 
+def _mixed_sums(shares: np.ndarray, network: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The sum of the mixture's log10 over the words of each text, a column for each weight of the ladder.
+
+    Probabilities of ``TOGETHER`` words are multiplied before a logarithm is taken: a share is no
+    less than one of all tokens, so the product stays in the range of a double.
+    """
+    groups = -(-words // TOGETHER)
+    of = np.repeat(np.arange(len(words)), groups)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(groups) - groups, groups)
+    begins = np.cumsum(words) - words
+    at = (begins[of] + number * TOGETHER) + np.arange(TOGETHER)[:, None]
+    real = at < (begins + words)[of]
+    at = np.minimum(at, len(shares) - 1)
+    counted, spelled = (np.where(real, v[at], 1.0) for v in (shares, network))
+    columns = []
+    for power in LADDER:
+        w = 10.0**power
+        columns.append(np.bincount(of, np.log10(np.multiply.reduce((1 - w) * counted + w * spelled, axis=0)), len(words)))
+    return np.stack(columns, axis=1)
+
+
 def _scored(shared):
     """Base and model scores of whole documents, and the words whose counts must be joined.
 
@@ -283,46 +283,49 @@ def _scored(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        table, weights = _table(model.path, model.pattern), unpack(model.weights, model.inputs, CLASSES)
-        ladder = [10.0**p for p in LADDER]
-        for batch in batches:
-            for start, end, data, offsets in slices(text_column(batch.column(1))):
-                words = Words(data, offsets, lower=True)
-                keys, places, of = table.find(words, data)
-                ids, word = table.subwords(places)
-                sizes = np.bincount(of[word], minlength=words.docs)
-                tokens, targets, scored, at = model.batches(ids, sizes)
+        table, weights = _table(model.path, model.pattern), prepared(unpack(model.weights, model.inputs, CLASSES))
+        for batch in chunks(batches, 1, TEXT_BYTES):
+            for start, end, codes, words in _word_codes(table, text_column(batch.column(1))):
+                begins = np.cumsum(words) - words
+                ids = laid_out(table.ids, table.starts, table.counts, codes)
+                subwords = table.counts[codes]
+                tokens, targets, scored, at = model.batches(ids, np.add.reduceat(subwords, begins))
                 log10 = model.within[ids]
                 # Nothing is predicted at places that are context only.
                 later = ~scored[:, :OVERLAP].any(axis=1)
                 for chosen, first in ((np.flatnonzero(~later), 0), (np.flatnonzero(later), OVERLAP)):
-                    size = AT_ONCE * SPAN // (SPAN - first)
+                    size = AT_ONCE * SPAN // (SPAN - first) // 2
                     for a in range(0, len(chosen), size):
                         some = chosen[a : a + size]
                         own = scored[some, first:]
                         log10[at[some, first:][own]] += class_log10(weights, tokens[some], targets[some, first:], first)[own]
                 # Below 1e-300 a word's probability would leave the range of a double.
-                by_word = np.maximum(np.bincount(word, log10, len(keys)), -300.0)
-                found = np.minimum(np.searchsorted(model.keys, keys), max(0, len(model.keys) - 1))
-                known = model.keys[found] == keys if len(model.keys) else np.zeros(len(keys), bool)
-                counts = np.where(known, model.counts[found] if len(model.keys) else 0, 0).astype(np.float64)
-                total = lambda v: np.bincount(of, v, words.docs)
-                less = np.maximum(counts - 1, 0)
-                mixed = np.stack([total(_mixed_log10(counts, model.smooth, by_word, w)) for w in ladder], axis=1)
-                left_out = np.stack([total(_mixed_log10(less, max(1.0, model.smooth - 1), by_word, w)) for w in ladder], axis=1)
+                by_word = np.maximum(np.add.reduceat(log10, np.cumsum(subwords) - subwords), -300.0)
+                used = np.flatnonzero(np.bincount(codes, minlength=len(table.keys)))
+                found = np.minimum(np.searchsorted(model.keys, table.keys[used]), max(0, len(model.keys) - 1))
+                held = model.keys[found] == table.keys[used] if len(model.keys) else np.zeros(len(used), bool)
+                in_table = np.zeros(len(table.keys), np.int64)
+                in_table[used] = np.where(held, model.counts[found] if len(model.keys) else 0, -1)
+                own_counts = in_table[codes]
+                known = own_counts >= 0
+                counts = np.maximum(own_counts, 0).astype(np.float64)
+                total = lambda v: np.add.reduceat(v, begins)
+                spelled = np.exp(by_word * np.log(10))
                 rare = ~known
-                ends = pa.array(np.concatenate([[0], np.cumsum(total(rare))]).astype(np.int32))
-                steps = pa.array(np.arange(words.docs + 1, dtype=np.int32) * len(ladder))
+                ends = pa.array(np.concatenate([[0], np.cumsum(total(rare.astype(np.int64)))]).astype(np.int32))
+                steps = pa.array(np.arange(len(words) + 1, dtype=np.int32) * len(LADDER))
+                mixed = _mixed_sums((counts + 1) / model.smooth, spelled, words)
+                left_out = _mixed_sums((np.maximum(counts - 1, 0) + 1) / max(1.0, model.smooth - 1), spelled, words)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
-                        pa.array(total(np.ones(len(of))).astype(np.int64)),
-                        pa.array(total(known).astype(np.int64)),
+                        pa.array(words.astype(np.int64)),
+                        pa.array(total(known.astype(np.int64))),
                         pa.array(total(np.log10((counts + 1.0) / model.smooth))),
                         pa.array(total(by_word)),
                         pa.ListArray.from_arrays(steps, pa.array(mixed.ravel())),
                         pa.ListArray.from_arrays(steps, pa.array(left_out.ravel())),
-                        pa.ListArray.from_arrays(ends, pa.array(keys[rare].view(np.int64))),
+                        pa.ListArray.from_arrays(ends, pa.array(table.keys[codes[rare]].view(np.int64))),
                         pa.ListArray.from_arrays(ends, pa.array(by_word[rare])),
                     ],
                     names=["doc_id", "n_tokens", "n_known", "base", "network", "mixed", "left_out", "rare", "rare_network"],
@@ -377,10 +380,10 @@ def score_documents(
     spark = docs.sparkSession
     texts = documents_of(docs, id_col, text_col)
     training = texts.filter(~held_out()).select("text")
+    # Texts are cut into windows of ids and their words are counted in one reading.
+    cut = stored(training.mapInArrow(_windows(ranks_path, pattern), _CUT), "windows")
     counted = stored(
-        training.mapInArrow(_counts(ranks_path, pattern), "kind int, key long, n long")
-        .groupBy("kind", "key")
-        .agg(F.sum("n").alias("n")),
+        cut.filter("kind is not null").groupBy("kind", "key").agg(F.sum("n").alias("n")),
         "word-counts",
     )
     words = counted.filter("kind = 0")
@@ -388,7 +391,7 @@ def score_documents(
     subwords = np.zeros(END_ID + 1)
     for row in counted.filter("kind = 1").collect():  # at most one row per id of the vocabulary
         subwords[row["key"]] = row["n"]
-    model = train(training, ranks_path, pattern, subwords)
+    model = train(cut, ranks_path, pattern, subwords)
     least = _threshold(words, dictionary)
     often = words.filter(F.col("n") >= least).select("key", "n").toPandas()
     keys = often["key"].to_numpy(np.int64).view(np.uint64)

@@ -159,8 +159,8 @@ def laid_out(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, codes: np.
 class PieceTable:
     """Ids of the pieces seen so far, each encoded once; one per worker."""
 
-    def __init__(self, path: str, pattern: str):
-        self.vocabulary = path, pattern
+    def __init__(self, path: str, pattern: str, remembered: int | None = None):
+        self.vocabulary, self.remembered = (path, pattern), remembered
         self.clear()
 
     def clear(self) -> None:
@@ -169,7 +169,7 @@ class PieceTable:
 
     def codes(self, pieces: pa.Array) -> np.ndarray:
         """The place of each piece in ``starts`` and ``counts``, until the next call."""
-        if len(self.pieces) > REMEMBERED or self.pieces.nbytes > REMEMBERED_BYTES:
+        if len(self.pieces) > (self.remembered or REMEMBERED) or self.pieces.nbytes > REMEMBERED_BYTES:
             self.clear()
         have = len(self.pieces)
         # The known pieces are distinct and come first, so they keep their places.

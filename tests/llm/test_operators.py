@@ -392,6 +392,46 @@ def test_context_places_need_no_prediction():
     assert np.allclose(part, whole[:, attention.OVERLAP :], atol=1e-5)
 
 
+def test_class_log10_where_logits_are_large():
+    rng = np.random.default_rng(8)
+    for scale in (1, 6):
+        w = {k: v * np.float32(scale) for k, v in attention.unpack(attention.start_weights(7, 5), 7, 5).items()}
+        tokens, targets = rng.integers(0, 7, (6, attention.SPAN)), rng.integers(0, 5, (6, attention.SPAN))
+        logits = attention._logits(w, tokens)[0].astype(np.float64)
+        assert (np.abs(logits).max() == 60) == (scale > 1)
+        wanted = logits[np.arange(len(logits)), targets.ravel()] - np.log(np.exp(logits).sum(1))
+        assert np.allclose(attention.class_log10(attention.prepared(w), tokens, targets).ravel(), wanted / np.log(10), atol=1e-2 if scale > 1 else 1e-5)
+
+
+def test_mixed_sums_take_few_logarithms(monkeypatch):
+    rng = np.random.default_rng(9)
+    words = np.array([1, 40, 16, 3, 200])
+    counts, network = rng.integers(0, 9, words.sum()), -rng.random(words.sum()) * 20
+    network[:3] = -300
+    wanted = np.stack([lm_scores._mixed_log10(counts, 1e15, network, 10.0**p) for p in lm_scores.LADDER], axis=1)
+    taken, log10 = [], np.log10
+    monkeypatch.setattr(np, "log10", lambda x: taken.append(x.size) or log10(x))
+    got = lm_scores._mixed_sums((counts + 1) / 1e15, 10.0**network, words)
+    assert sum(taken) == len(lm_scores.LADDER) * sum(-(-n // 16) for n in words)
+    assert np.allclose(got, np.add.reduceat(wanted, np.cumsum(words) - words, axis=0), rtol=1e-12)
+
+
+def test_words_are_counted_where_windows_are_cut(monkeypatch):
+    monkeypatch.setattr(lm_scores, "GROUP_WORDS", 20)
+    monkeypatch.setattr(lm_scores, "_tables", {})
+    some = [t.lower() if t and i % 2 else t for i, t in enumerate(blank_texts(400, 6))] + ["The the THE \u00c9 \u00e9"]
+    batch = pa.RecordBatch.from_arrays([pa.array(some, pa.string())], names=["text"])
+    cut = pa.Table.from_batches(lm_scores._windows(RANKS, PATTERN)(iter([batch])))
+    found = [r for r in cut.to_pylist() if r["kind"] is not None]
+    words = collections.Counter(w for t in some for w in (*(t or "").encode().lower().split(), None))
+    data = b" ".join(w for w in words if w)
+    split = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), lower=True)
+    keys = dict(zip((w for w in words if w), split.hashes)) | {None: lm_scores.END_KEY}
+    assert {r["key"] % 2**64: r["n"] for r in found if r["kind"] == 0} == {int(keys[w]): n for w, n in words.items()}
+    subwords = collections.Counter(i for t in some for i in subwords_of(t or "")[0])
+    assert {r["key"]: r["n"] for r in found if r["kind"] == 1} == subwords
+
+
 def test_joined_words_are_summed_at_their_row_only(spark):
     rng = np.random.default_rng(6)
     keys = rng.integers(0, 40, (20, 15))
