@@ -59,6 +59,9 @@ class SubwordTable(PieceTable):
 
 def _word_codes(table: SubwordTable, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end text, places of their words and ends in the table, number of those in each text), some texts at a time."""
+    # A column that was cut out of a batch and cast has offsets that begin above 0, which Arrow's ``ascii_lower`` reads wrongly.
+    data, offsets = bytes_of(texts)
+    texts = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(data))
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     words, begins = split.values, split.offsets.to_numpy()
     real = pc.greater(pc.binary_length(words), 0)

@@ -432,6 +432,19 @@ def test_words_are_counted_where_windows_are_cut(monkeypatch):
     assert {r["key"]: r["n"] for r in found if r["kind"] == 1} == subwords
 
 
+def test_words_of_a_part_of_a_batch(monkeypatch):
+    # Each text is a part of its own, so all but the first stand behind others in their batch.
+    monkeypatch.setattr(lm_scores, "TEXT_BYTES", 40)
+    monkeypatch.setattr(lm_scores, "_tables", {})
+    some = [f"Word{i} the The {'x' * i}" for i in range(20, 60)]
+    for kind in (pa.string(), pa.large_string()):
+        batch = pa.RecordBatch.from_arrays([pa.array(some, kind)], names=["text"])
+        found = [r for out in lm_scores._windows(RANKS, PATTERN)(iter([batch])) for r in out.to_pylist() if r["kind"] == 0]
+        table = lm_scores._table(RANKS, PATTERN)
+        words = dict(zip(table.keys.tolist(), table.pieces.to_pylist()))
+        assert {words[r["key"] % 2**64]: r["n"] for r in found} == collections.Counter(w for t in some for w in (*t.encode().lower().split(), b""))
+
+
 def test_joined_words_are_summed_at_their_row_only(spark):
     rng = np.random.default_rng(6)
     keys = rng.integers(0, 40, (20, 15))
