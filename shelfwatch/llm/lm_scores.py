@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .attention import AT_ONCE, OVERLAP, SPAN, Adam, class_log10, prepared, start_weights, unpack, windows
+from .attention import SPAN, Adam, prepared, start_weights, texts_log10, unpack, windows
 from .common import bytes_of, chunks, documents_of, mix, range_hashes, stored, text_column, wide_batches
 from .token_shards import PieceTable, byte_encoder, encode_pieces, laid_out
 
@@ -43,7 +43,10 @@ END_KEY = np.uint64(0x9AE16A3B2F90404F)
 class SubwordTable(PieceTable):
     """Subword ids and keys of the words seen so far; the first place is the end's. One per worker."""
 
+    cleared = 0
+
     def clear(self) -> None:
+        self.cleared += 1
         self.encoder = byte_encoder(*self.vocabulary)[0]
         self.pieces = pa.array([b""], pa.large_binary())
         self.keys = np.array([END_KEY], np.uint64)
@@ -106,6 +109,13 @@ class LanguageModel:
     total: int = 0
     smooth: float = 1.0
 
+    def counts_of(self, keys: np.ndarray) -> np.ndarray:
+        """The count of each word that is held, -1 for others."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[found] == keys, self.counts[found], -1)
+
     def batches(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(inputs, target classes, scored, places) of all windows; a sequence begins with the end id."""
         places, real, scored = windows(sizes)
@@ -207,10 +217,10 @@ def _trained(shared, part: int):
             turn += 1
             for a in range(0, len(order), BATCH):
                 some = batch.column(0).take(pa.array(order[a : a + BATCH]))
-                sizes = np.diff(np.frombuffer(some.buffers()[1], np.int32)[some.offset : some.offset + len(some) + 1]) // 2
-                real = np.arange(SPAN + 1) < sizes[:, None]
+                ends = np.frombuffer(some.buffers()[1], np.int32)[some.offset : some.offset + len(some) + 1]
+                real = np.arange(SPAN + 1) < np.diff(ends)[:, None] // 2
                 ids = np.zeros(real.shape, np.int64)
-                ids[real] = np.frombuffer(b"".join(some.to_pylist()), np.uint16)
+                ids[real] = np.frombuffer(some.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.uint16)
                 counted = real[:, 1:]
                 tokens = np.where(counted, model.input_of[ids[:, :-1]], end)
                 learner.step(tokens, model.class_of[ids[:, 1:]], counted)
@@ -287,28 +297,21 @@ def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         table, weights = _table(model.path, model.pattern), prepared(unpack(model.weights, model.inputs, CLASSES))
+        none = in_table = np.zeros(0, np.int64)
+        cleared = table.cleared
         for batch in chunks(batches, 1, TEXT_BYTES):
             for start, end, codes, words in _word_codes(table, text_column(batch.column(1))):
                 begins = np.cumsum(words) - words
                 ids = laid_out(table.ids, table.starts, table.counts, codes)
                 subwords = table.counts[codes]
-                tokens, targets, scored, at = model.batches(ids, np.add.reduceat(subwords, begins))
-                log10 = model.within[ids]
-                # Nothing is predicted at places that are context only.
-                later = ~scored[:, :OVERLAP].any(axis=1)
-                for chosen, first in ((np.flatnonzero(~later), 0), (np.flatnonzero(later), OVERLAP)):
-                    size = AT_ONCE * SPAN // (SPAN - first) // 2
-                    for a in range(0, len(chosen), size):
-                        some = chosen[a : a + size]
-                        own = scored[some, first:]
-                        log10[at[some, first:][own]] += class_log10(weights, tokens[some], targets[some, first:], first)[own]
+                sizes = np.add.reduceat(subwords, begins)
+                log10 = texts_log10(weights, model.input_of[_before(ids, sizes)], model.class_of[ids], sizes) + model.within[ids]
                 # Below 1e-300 a word's probability would leave the range of a double.
                 by_word = np.maximum(np.add.reduceat(log10, np.cumsum(subwords) - subwords), -300.0)
-                used = np.flatnonzero(np.bincount(codes, minlength=len(table.keys)))
-                found = np.minimum(np.searchsorted(model.keys, table.keys[used]), max(0, len(model.keys) - 1))
-                held = model.keys[found] == table.keys[used] if len(model.keys) else np.zeros(len(used), bool)
-                in_table = np.zeros(len(table.keys), np.int64)
-                in_table[used] = np.where(held, model.counts[found] if len(model.keys) else 0, -1)
+                if cleared != table.cleared or len(in_table) < len(table.keys):
+                    # Counts of the words that came to the table since the last look.
+                    in_table = in_table if cleared == table.cleared else none
+                    in_table, cleared = np.concatenate([in_table, model.counts_of(table.keys[len(in_table) :])]), table.cleared
                 own_counts = in_table[codes]
                 known = own_counts >= 0
                 counts = np.maximum(own_counts, 0).astype(np.float64)

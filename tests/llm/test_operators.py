@@ -486,6 +486,47 @@ def test_attention_gradient():
         assert (loss(v + step) - loss(v - step)) / 2e-5 == pytest.approx(g[i], abs=1e-6)
 
 
+def test_a_gradient_step_works_on_a_few_windows_at_a_time(monkeypatch):
+    rng = np.random.default_rng(2)
+    w = attention.unpack(attention.start_weights(7, 5), 7, 5)
+    tokens, targets = rng.integers(0, 7, (75, attention.SPAN)), rng.integers(0, 5, (75, attention.SPAN))
+    counted = rng.random(tokens.shape) < 0.7
+    taken, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **more: taken.append(len(x.reshape(-1, x.shape[-1]))) or exp(x, **more))
+    got = attention.gradient(w, tokens, targets, counted)
+    assert max(taken) <= 32 * attention.SPAN
+    # The sums of single windows' gradients, each weighed by its counted places.
+    shares = counted.sum(1) / counted.sum()
+    parts = [attention.gradient(w, *(x[i : i + 1] for x in (tokens, targets, counted))) for i in range(len(tokens))]
+    for name in attention.shapes(7, 5):
+        assert np.allclose(got[name], sum(p[name] * s for p, s in zip(parts, shares)), atol=1e-6)
+
+
+def test_gradient_where_logits_are_large():
+    rng = np.random.default_rng(5)
+    tokens, targets = rng.integers(0, 7, (3, attention.SPAN)), rng.integers(0, 5, (3, attention.SPAN))
+    counted = np.ones(tokens.shape, bool)
+    start = attention.unpack(attention.start_weights(7, 5), 7, 5)
+    g = attention.gradient({k: v * np.float32(6) for k, v in start.items()}, tokens, targets, counted)
+    wide = attention.gradient({k: v.astype(np.float64) * 6 for k, v in start.items()}, tokens, targets, counted)
+    for name in g:
+        assert np.isfinite(g[name]).all() and np.allclose(g[name], wide[name], rtol=1e-2, atol=1e-2 * np.abs(wide[name]).max())
+
+
+def test_texts_are_scored_as_in_windows(monkeypatch):
+    rng = np.random.default_rng(4)
+    w = attention.prepared(attention.unpack(attention.start_weights(50, 9), 50, 9))
+    for sizes in ([0, 1, 16, 31, 32, 33, 47, 48, 49, 64, 65, 200, 0, 5], [0, 0], [33], [700] * 40 + [40] * 90):
+        sizes = np.array(sizes)
+        tokens, targets = rng.integers(0, 50, sizes.sum()), rng.integers(0, 9, sizes.sum())
+        got = attention.texts_log10(w, tokens, targets, sizes)
+        places, _, scored = attention.windows(sizes)
+        wanted = np.full(sizes.sum(), np.nan)
+        if len(places):
+            wanted[places[scored]] = attention.class_log10(w, tokens[places], targets[places])[scored]
+        assert np.allclose(got, wanted, rtol=1e-4, atol=1e-5)
+
+
 def test_windows_score_each_place_once():
     sizes = np.array([0, 1, 31, 32, 33, 200])
     places, real, scored = attention.windows(sizes)
