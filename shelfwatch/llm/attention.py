@@ -13,7 +13,7 @@ import numpy as np
 #: Positions of a window, positions that are context only, vector size, hidden size.
 SPAN, OVERLAP, SIZE, HIDDEN = 32, 16, 16, 32
 _SEEN = np.tril(np.ones((SPAN, SPAN), np.float32))
-#: Windows worked on at once: what they need stays in a core's cache.
+#: Windows worked on at once, in scoring and in a gradient: what they need stays in a core's cache.
 AT_ONCE, STEP_AT_ONCE = 64, 32
 #: Sums of exponents below the first hold no exponent above 60; in sums above the second those below -60 do not count.
 _TOP, _LOW = 1e26, 1e-15

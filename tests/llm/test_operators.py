@@ -611,6 +611,25 @@ def test_scores_equal_a_word_by_word_mixture(texts):
             assert row["mixed"][k] == pytest.approx(plain, rel=1e-4) and row["left_out"][k] == pytest.approx(less, rel=1e-4)
 
 
+def test_counts_are_looked_up_again_where_words_were_forgotten(texts, monkeypatch):
+    model, some = small_model(), [t for t in texts.values() if t][:40]
+    words = sorted({w for t in some for w in t.encode().lower().split()})
+    split = Words(np.frombuffer(b" ".join(words), np.uint8), np.array([0, len(b" ".join(words))]), lower=True)
+    model.keys = np.unique(np.append(split.hashes[::2], lm_scores.END_KEY))
+    model.counts, model.smooth = np.arange(1, len(model.keys) + 1), 1e6
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some, pa.string())], names=["doc_id", "text"])
+    found = []
+    for remembered, size in ((10**6, 4 << 20), (30, 2_000)):
+        monkeypatch.setattr(lm_scores, "_tables", {})
+        monkeypatch.setattr(lm_scores, "REMEMBERED_WORDS", remembered)
+        monkeypatch.setattr(lm_scores, "TEXT_BYTES", size)
+        found.append([r for out in lm_scores._scored(types.SimpleNamespace(value=model))(iter([batch])) for r in out.to_pylist()])
+        assert (lm_scores._table(RANKS, PATTERN).cleared > 3) == (remembered == 30)
+    for one, other in zip(*found, strict=True):
+        assert all(one[c] == other[c] for c in ("doc_id", "n_tokens", "n_known", "rare"))
+        assert one["base"] == pytest.approx(other["base"], rel=1e-12) and one["network"] == pytest.approx(other["network"], rel=1e-5)
+
+
 def test_the_dictionary_holds_the_most_frequent_words(spark):
     draw = random.Random(4)
     counts = [draw.choice([1, 1, 1, 2, 3, 5, 40, 9_999, 10_000, 20_000, 10**9, 10**13]) + draw.randrange(3) for _ in range(400)]
